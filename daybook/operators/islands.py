@@ -18,7 +18,7 @@ def island_runs(days: DataFrame, entity: Sequence[str], day: str, gap_days: int,
     ``days`` must hold at most one row per (entity, day) — a daily
     aggregate — so each window partition is bounded by the calendar span of
     one entity, not by its event volume."""
-    w = Window.partitionBy(*entity).orderBy(F.col(day))
+    w = (Window.partitionBy(*entity) if entity else Window.partitionBy()).orderBy(F.col(day))
     prev = F.lag(F.col(day)).over(w)
     starts = F.when(prev.isNull() | (F.datediff(F.col(day), prev) > gap_days + 1), 1).otherwise(0)
     return (days.withColumn("__start", starts)

@@ -98,7 +98,7 @@ def band_anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str], l_ts:
 
 def within_radius_flag(points: DataFrame, places: DataFrame, lat: str, lng: str,
                        flag: str = "is_private", p_lat: str = "lat", p_lng: str = "lng",
-                       p_radius_m: str = "radius_m") -> DataFrame:
+                       p_radius_m: str = "radius_m", zero_rule: str = "both") -> DataFrame:
     """Add ``flag`` = 1 when a point lies within the radius of any place.
 
     Grid-cell join: the sphere is cut into square cells no smaller than the
@@ -108,7 +108,9 @@ def within_radius_flag(points: DataFrame, places: DataFrame, lat: str, lng: str,
     equi-join on the cell and are confirmed with the exact haversine. The
     output is the union of the semi-join (flag 1) and anti-join (flag 0), so
     every point appears exactly once and no pair list is materialised.
-    Points at 0/0 (no coordinates) never match. An empty place list gives 0.
+    Points without coordinates never match: ``zero_rule="both"`` treats
+    only 0/0 as missing, ``"either"`` any zero coordinate (the Maps model's
+    rule). An empty place list gives 0.
     """
     P = (places.select(F.col(p_lat).cast("double").alias("__plat"),
                        F.col(p_lng).cast("double").alias("__plng"),
@@ -137,7 +139,7 @@ def within_radius_flag(points: DataFrame, places: DataFrame, lat: str, lng: str,
     Q = points.withColumn("__cy", F.floor((la + 90.0) / cell).cast("long")) \
               .withColumn("__cx", F.pmod(F.floor((lo + 180.0) / cell).cast("long"), F.lit(ncells).cast("long")))
     cond = [Q["__cy"] == Pc["__cy"], Q["__cx"] == Pc["__cx"],
-            ~((Q[lat] == 0) & (Q[lng] == 0)),
+            (~((Q[lat] == 0) & (Q[lng] == 0)) if zero_rule == "both" else ((Q[lat] != 0) & (Q[lng] != 0))),
             haversine_m(Q[lat], Q[lng], Pc["__plat"], Pc["__plng"]) <= Pc["__prad"]]
     hit = Q.join(Pc, cond, "left_semi").withColumn(flag, F.lit(1))
     miss = Q.join(Pc, cond, "left_anti").withColumn(flag, F.lit(0))
