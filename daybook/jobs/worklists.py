@@ -54,3 +54,63 @@ def latest_text_and_coords(rows: DataFrame, key: str, text: str, ts: str,
 def skip_done(candidates: DataFrame, done: DataFrame, keys: Sequence[str], force: bool = False) -> DataFrame:
     """Monotonic skip of already-processed keys unless forced (JON-17)."""
     return candidates if force else candidates.join(done.select(*keys).distinct(), list(keys), "left_anti")
+
+
+# ---------------------------------------------------------------- domain lists
+def place_worklist(spark, cfg, cap: int | None = 200) -> DataFrame:
+    """Maps keys with no catalog row: latest text and mean raw coordinates (PIP-05)."""
+    from daybook.plans.maps import maps_activity_keyed
+    from daybook.sources.tables import read_table
+    k = maps_activity_keyed(spark, cfg).filter(F.col("geo_key") != "")
+    todo = worklist(k.select("geo_key"), read_table(spark, cfg, "maps_place_catalog")
+                    .select(F.col("place_id").alias("geo_key")), "geo_key", cap)
+    info = latest_text_and_coords(k.join(todo, "geo_key", "left_semi"), "geo_key", "best_text", "event_ts", "lat", "lng")
+    return info.withColumnRenamed("best_text", "text")
+
+
+def calendar_place_worklist(spark, cfg, cap: int | None = 200) -> DataFrame:
+    """Calendar locations with no catalog row, keyed like Maps (PIP-06)."""
+    from daybook.functions.text import text_key
+    from daybook.plans.calendar import silver_calendar_events
+    from daybook.sources.tables import read_table
+    e = silver_calendar_events(spark, cfg).filter(F.col("location") != "").withColumn("geo_key", text_key("location"))
+    todo = worklist(e.select("geo_key"), read_table(spark, cfg, "maps_place_catalog")
+                    .select(F.col("place_id").alias("geo_key")), "geo_key", cap)
+    return latest_text_and_coords(e.join(todo, "geo_key", "left_semi"), "geo_key", "location", "started_at") \
+        .withColumnRenamed("location", "text")
+
+
+def track_worklist(spark, cfg, cap: int | None = 500) -> DataFrame:
+    """Track ids played but missing from the catalog (PIP-08)."""
+    from daybook.sources.tables import read_table
+    return worklist(read_table(spark, cfg, "spotify_plays_raw").select("track_id"),
+                    read_table(spark, cfg, "spotify_tracks"), "track_id", cap)
+
+
+def artist_worklist(spark, cfg, cap: int | None = 500, backfill: bool = False) -> DataFrame:
+    """Artist ids from plays (and, for the backfill, from catalog tracks ∪
+    plays) missing from the artist catalog (PIP-08, ARR-06, SET-03)."""
+    from daybook.sources.tables import read_table
+    ids = read_table(spark, cfg, "spotify_plays_raw").select(F.explode("artists_ids").alias("artist_id"))
+    if backfill:
+        ids = ids.union(read_table(spark, cfg, "spotify_tracks").select(F.explode("artists_ids").alias("artist_id")))
+    return worklist(ids.distinct(), read_table(spark, cfg, "spotify_artists"), "artist_id", cap)
+
+
+def video_worklist(spark, cfg, cap: int | None = 1000) -> DataFrame:
+    from daybook.sources.tables import read_table
+    return worklist(read_table(spark, cfg, "youtube_watch_history").select("video_id"),
+                    read_table(spark, cfg, "youtube_videos"), "video_id", cap)
+
+
+def video_tombstones(requested: DataFrame, returned: DataFrame, failed_batches: DataFrame | None = None) -> DataFrame:
+    """Placeholder ``youtube_videos`` rows for ids requested but not returned
+    (PIP-09), so the work list converges; ids of failed batches are not
+    tombstoned (they are retried)."""
+    miss = requested.select("video_id").join(returned.select("video_id"), "video_id", "left_anti")
+    if failed_batches is not None:
+        miss = miss.join(failed_batches.select("video_id"), "video_id", "left_anti")
+    return miss.select("video_id", F.lit("").alias("video_title"), F.lit("").alias("channel_id"),
+                       F.lit("").alias("category_id"), F.lit(0).cast("long").alias("duration_seconds"),
+                       F.lit("1970-01-01 00:00:00").cast("timestamp").alias("published_at"),
+                       F.lit("").alias("default_language"))

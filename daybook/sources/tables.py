@@ -51,9 +51,11 @@ def read_table(spark: SparkSession, cfg: Cfg, name: str) -> DataFrame:
     return df
 
 
-def append(df: DataFrame, cfg: Cfg, name: str, ingested_at=None) -> None:
+def append(df: DataFrame, cfg: Cfg, name: str, ingested_at=None, skip_empty: bool = True) -> None:
     """Column-aligned append; the version column defaults to ``as_of``
-    (SNK-01). An empty input writes nothing."""
+    (SNK-01). An empty input writes nothing (``skip_empty``; pass False
+    when the frame carries an ``observe`` whose counts must come from the
+    write itself)."""
     s = spec(name)
     out = df
     if s.version and s.version not in df.columns:
@@ -62,7 +64,7 @@ def append(df: DataFrame, cfg: Cfg, name: str, ingested_at=None) -> None:
         if f.name not in out.columns:
             out = out.withColumn(f.name, F.lit(None).cast(f.dataType))
     out = out.select(*[F.col(f.name).cast(f.dataType) for f in s.schema.fields])
-    if out.isEmpty():
+    if skip_empty and out.isEmpty():
         return
     out.write.mode("append").parquet(path_of(cfg, name))
 
@@ -96,3 +98,14 @@ def register_views(spark: SparkSession, frames: dict[str, DataFrame]) -> None:
 def to_json_lines(df: DataFrame, path: str) -> None:
     """Result rows as newline-delimited JSON (SNK-15)."""
     df.write.mode("overwrite").json(path)
+
+
+def compact(spark: SparkSession, cfg: Cfg, name: str, files: int | None = None) -> None:
+    """Rewrite a versioned table as its latest version per key, clustered by
+    the key (OPT-11, OPT-14): later reads skip row groups by min/max
+    statistics and the dedup aggregate has one row per key to combine."""
+    s = spec(name)
+    df = read_table(spark, cfg, name)
+    if s.keys:
+        df = (df.repartition(files, *s.keys) if files else df.repartition(*s.keys)).sortWithinPartitions(*s.keys)
+    overwrite_guarded(df, cfg, name)
