@@ -24,7 +24,8 @@ def segment_trips(spark: SparkSession, cfg: Cfg, geo_daily: DataFrame | None = N
     The series is one row per day, so the run window is bounded by the
     calendar, not by event volume."""
     g = (geo_daily if geo_daily is not None else silver_geo_daily(spark, cfg)).filter(F.col("away") == 1)
-    r = island_runs(g, [], "event_date", cfg.gap_days)
+    from daybook.session import materialize
+    r = materialize(island_runs(g, [], "event_date", cfg.gap_days))   # read by four branches below
     keys = ["run_id"]
     ne = lambda c: F.when(F.col(c) != "", F.col(c))
     agg = r.groupBy(*keys).agg(

@@ -31,17 +31,24 @@ def lambda_merge(history: DataFrame, stream: DataFrame, keys: Sequence[str], ts:
 
     A stream row is dropped when the raw history has a row with the same
     ``keys`` within ±``window_s`` seconds (the boundary race). Only history
-    rows in (T - window, T] can collide with a stream row newer than T, so
+    rows in [T - window, T] can collide with a stream row newer than T, so
     just those are read for the anti-join. An empty (or pre-``cold_start``)
-    history disables the stream branch."""
+    history disables the stream branch.
+
+    T is one scalar (a global max, answerable from Parquet footers) read
+    before planning the rest, so every comparison with it is a literal that
+    Catalyst pushes into the Parquet scans: the boundary read touches only
+    the row groups of the last ``window_s`` seconds."""
     raw = raw_history if raw_history is not None else history
     t_type = raw.schema[ts].dataType
-    T = raw.agg(F.max(ts).alias("__T"))
-    cold = F.lit(cold_start).cast(t_type)
-    h = attach_scalar(history, T).filter(F.col(ts) <= F.col("__T")).drop("__T")
-    s = attach_scalar(stream, T).filter((F.col(ts) > F.col("__T")) & (F.col("__T") > cold)).drop("__T")
-    boundary = (attach_scalar(raw.select(*keys, ts), T)
-                .filter(F.col(ts) >= F.timestamp_add("SECOND", F.lit(-window_s), F.col("__T")))
-                .drop("__T"))
+    t_max = raw.agg(F.max(ts).alias("t")).first()["t"]
+    if t_max is None:
+        return history.limit(0)
+    T = F.lit(t_max).cast(t_type)
+    h = history.filter(F.col(ts) <= T)
+    if t_max <= cold_start:
+        return h
+    s = stream.filter(F.col(ts) > T)
+    boundary = raw.select(*keys, ts).filter(F.col(ts) >= F.lit(t_max - dt.timedelta(seconds=window_s)).cast(t_type))
     s = band_anti_join(s, boundary, keys, ts, ts, window_s)
     return h.unionByName(s.select(*history.columns))

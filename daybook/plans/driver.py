@@ -955,7 +955,10 @@ def trip_islands(spark, d):
         F.concat(F.lit("B"), F.floor(F.max("value") / 100).cast("long").cast("string")).alias("locality"),
         (F.avg("value") / 10).alias("lat"), F.avg("k").alias("lng"),
         F.count_if(F.col("value") >= 100).alias("directions"))
-    r = island_runs(daily, ["user_id"], "day", GAP_DAYS)
+    from daybook.session import materialize
+    # the daily series (one row per user and active day) feeds three
+    # per-run aggregations: materialise it once instead of rescanning events
+    r = materialize(island_runs(daily, ["user_id"], "day", GAP_DAYS))
     keys = ["user_id", "run_id"]
     runs = r.groupBy(*keys).agg(F.min("day").alias("started_at"), F.max("day").alias("ended_at"),
                                 F.sum("directions").alias("directions"),

@@ -60,3 +60,11 @@ def local_path(p: str) -> str:
 
 def is_local_fs(p: str) -> bool:
     return p.startswith("/") or p.startswith("file:") or "://" not in p and os.path.isabs(p)
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint into ``spark.checkpoint.dir``
+    (the shared folder on a cluster; never executor-local storage) when a
+    small intermediate feeds several branches of one job."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
