@@ -11,22 +11,60 @@ from pyspark.sql import functions as F
 from daybook.functions.timefn import seconds_between
 
 
+def _chunked(df: DataFrame, chunk: Column | None) -> DataFrame:
+    return df.withColumn("__chunk", chunk if chunk is not None else F.lit(0))
+
+
+def neighbour_in_order(df: DataFrame, entity: Sequence[str], order: Sequence[str], cols: Sequence[str],
+                       chunk: Column | None, direction: str = "prev", prefix: str = "prev_") -> DataFrame:
+    """Values of ``cols`` on the previous (or next) row of the same entity.
+
+    Two levels so that one entity holding a large share of all rows is
+    split over tasks: a window per (entity, chunk) — ``chunk`` must be a
+    monotone function of the ordering, e.g. the day of the timestamp —
+    and, for the first (last) row of a chunk, the last (first) row of the
+    nearest earlier (later) non-empty chunk, taken from a per-chunk summary
+    whose size is entities × chunks, not rows. With ``chunk=None`` it is a
+    plain ``lag``/``lead`` over the entity."""
+    c = _chunked(df, chunk)
+    packed = F.struct(*[F.col(x).alias(x) for x in cols])
+    ordering = F.struct(*[F.col(x) for x in order])
+    w = Window.partitionBy(*entity, "__chunk").orderBy(*[F.col(x) for x in order])
+    inside = F.lag(packed).over(w) if direction == "prev" else F.lead(packed).over(w)
+    c = c.withColumn("__in", inside)
+    if chunk is None:
+        nb = F.col("__in")
+        out = c
+    else:
+        edge = (F.max_by(packed, ordering) if direction == "prev" else F.min_by(packed, ordering)).alias("__edge")
+        summary = c.groupBy(*entity, "__chunk").agg(edge)
+        ws = (Window.partitionBy(*entity) if entity else Window.partitionBy()).orderBy("__chunk")
+        carry = summary.select(*entity, "__chunk", (F.lag("__edge").over(ws) if direction == "prev"
+                                                    else F.lead("__edge").over(ws)).alias("__carry"))
+        out = c.join(carry, [*entity, "__chunk"], "left")
+        nb = F.coalesce(F.col("__in"), F.col("__carry"))
+    return out.select(*df.columns, *[nb[x].alias(prefix + x) for x in cols])
+
+
 def transitions(df: DataFrame, entity: Sequence[str], ts: str, state: Sequence[str],
-                tiebreak: Sequence[str] = ()) -> DataFrame:
+                tiebreak: Sequence[str] = (), chunk: Column | None = None) -> DataFrame:
     """Keep a row only when its state differs from the previous row of the
-    same entity (the first row of an entity always counts)."""
-    w = Window.partitionBy(*entity).orderBy(F.col(ts), *[F.col(c) for c in tiebreak])
+    same entity (the first row of an entity always counts). ``chunk`` (a
+    monotone bucket of ``ts``) enables the two-level scan for hot entities."""
+    order = [ts, *tiebreak]
+    n = neighbour_in_order(df.withColumn("__one", F.lit(1)), entity, order, [*state, "__one"], chunk)
     changed: Column | None = None
     for c in state:
-        diff = ~F.col(c).eqNullSafe(F.lag(F.col(c)).over(w))
+        diff = ~F.col(c).eqNullSafe(F.col("prev_" + c))
         changed = diff if changed is None else (changed | diff)
-    first = F.lag(F.col(ts)).over(w).isNull()
-    return df.withColumn("__keep", first | changed).filter("__keep").drop("__keep")
+    first = F.col("prev___one").isNull()
+    return n.filter(first | changed).select(*df.columns)
 
 
 def dwell_segments(df: DataFrame, entity: Sequence[str], ts: str, key: str, duration_ms: str,
                    as_of, dwell_s: int = 30, slack_s: int = 15,
-                   lookback_days: int | None = None, end_col: str = "played_at") -> DataFrame:
+                   lookback_days: int | None = None, end_col: str = "played_at",
+                   chunk: Column | None = None) -> DataFrame:
     """Turn state-transition events into plays (the speed layer).
 
     * a segment starts whenever ``key`` differs from the previous event's
@@ -38,21 +76,23 @@ def dwell_segments(df: DataFrame, entity: Sequence[str], ts: str, key: str, dura
     * segments shorter than ``dwell_s`` (second boundaries) are dropped.
 
     Ordered by (ts, key) within ``entity`` so same-instant ties are
-    reproducible. ``lookback_days`` bounds the window sort (STM-10).
+    reproducible. ``lookback_days`` bounds the window sort (STM-10);
+    ``chunk`` (a monotone bucket of ``ts``) splits a hot entity over tasks.
     """
     t = df.schema[ts].dataType
     as_of_c = F.lit(as_of).cast(t)
     src = df
     if lookback_days is not None:
         src = src.filter(F.col(ts) >= F.timestamp_add("DAY", F.lit(-lookback_days), as_of_c))
-    w = Window.partitionBy(*entity).orderBy(F.col(ts), F.col(key))
-    seg = (src.withColumn("__prev", F.lag(F.col(key), 1, "__none__").over(w))
-              .filter((F.col(key) != F.col("__prev")) & (F.col(key) != "")).drop("__prev"))
-    nxt = F.lead(F.col(ts), 1).over(w)
+    order = [ts, key]
+    p = neighbour_in_order(src, entity, order, [key], chunk, "prev", "__p_")
+    seg = p.filter((F.col(key) != F.coalesce(F.col("__p_" + key), F.lit("__none__"))) & (F.col(key) != "")) \
+        .drop("__p_" + key)
+    nx = neighbour_in_order(seg, entity, order, [ts], chunk, "next", "__n_")
     clamp = F.when(F.col(duration_ms) > 0,
                    F.timestamp_add("SECOND", (F.floor(F.col(duration_ms) / 1000) + slack_s).cast("long"),
                                    F.col(ts))).otherwise(as_of_c)
-    bounded = seg.withColumn(end_col, F.least(F.coalesce(nxt, as_of_c), clamp))
+    bounded = nx.withColumn(end_col, F.least(F.coalesce(F.col("__n_" + ts), as_of_c), clamp)).drop("__n_" + ts)
     return bounded.filter(seconds_between(F.col(ts), F.col(end_col)) >= dwell_s)
 
 

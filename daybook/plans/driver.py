@@ -983,7 +983,7 @@ WHERE prev IS NULL OR prev <> event_type
 def transition_filter(spark, d):
     """Emit only state changes per entity (first event always emitted)."""
     ev = _ev(spark, d).select("user_id", "event_id", "ts", "event_type")
-    return transitions(ev, ["user_id"], "ts", ["event_type"], tiebreak=["event_id"])
+    return transitions(ev, ["user_id"], "ts", ["event_type"], tiebreak=["event_id"], chunk=F.to_date("ts"))
 
 
 # --------------------------------------------------------------------------
@@ -1005,7 +1005,8 @@ def dwell_segments_q(spark, d):
     change | as_of, start + duration + 15 s), keep dwell ≥ 30 s."""
     ev = _ev(spark, d).select("user_id", "ts", "event_type",
                               F.round(F.col("value") * 1000).cast("long").alias("duration_ms"))
-    seg = dwell_segments(ev, ["user_id"], "ts", "event_type", "duration_ms", EVENTS_AS_OF, dwell_s=DWELL_S)
+    seg = dwell_segments(ev, ["user_id"], "ts", "event_type", "duration_ms", EVENTS_AS_OF, dwell_s=DWELL_S,
+                         chunk=F.to_date("ts"))
     from daybook.functions.timefn import seconds_between
     return seg.select("user_id", "event_type", F.col("ts").alias("started_at"), "played_at",
                       seconds_between("ts", "played_at").alias("dwell_s"))

@@ -60,7 +60,8 @@ def silver_spotify_plays_stream(spark: SparkSession, cfg: Cfg) -> DataFrame:
         "album_name", "album_images", "context_type", "context_uri")
     entity = list(cfg.extra.get("stream_entity", []))
     seg = dwell_segments(cur, entity, "captured_at", "track_id", "track_duration_ms", cfg.as_of,
-                         dwell_s=cfg.dwell_seconds, lookback_days=cfg.stream_lookback_days)
+                         dwell_s=cfg.dwell_seconds, lookback_days=cfg.stream_lookback_days,
+                         chunk=F.date_trunc("hour", F.col("captured_at")))
     return enrich_plays(seg, read_table(spark, cfg, "spotify_tracks"), read_table(spark, cfg, "spotify_artists"),
                         duration_col="track_duration_ms")
 

@@ -124,3 +124,21 @@ def test_top_n_plus_other(spark):
     c = spark.createDataFrame([("a", 5), ("b", 4), ("c", 4), ("d", 1)], "name string, value long")
     got = {r["name"]: r["value"] for r in top_n_plus_other(c, "name", "value", 2).collect()}
     assert got == {"a": 5, "b": 4, "Other": 5}
+
+
+def test_chunked_scans_match_plain_windows(spark):
+    """The two-level (chunked) lag/lead gives the same result as one window
+    per entity, also when one entity holds most rows and chunks are sparse."""
+    rnd = random.Random(5)
+    rows = []
+    for n in range(600):
+        user = "hot" if n % 3 else "u%d" % rnd.randint(0, 4)
+        rows.append((user, T0 + dt.timedelta(seconds=rnd.randint(0, 5 * 86400)), rnd.choice("ab"),
+                     rnd.choice([0, 20000, 200000])))
+    df = spark.createDataFrame(rows, "u string, ts timestamp, track string, dur long")
+    as_of = T0 + dt.timedelta(days=6)
+    day = F.to_date("ts")
+    key = lambda d: sorted(tuple(r) for r in d.collect())
+    assert key(transitions(df, ["u"], "ts", ["track"], chunk=day)) == key(transitions(df, ["u"], "ts", ["track"]))
+    assert key(dwell_segments(df, ["u"], "ts", "track", "dur", as_of, chunk=F.date_trunc("hour", "ts"))) == \
+        key(dwell_segments(df, ["u"], "ts", "track", "dur", as_of))
