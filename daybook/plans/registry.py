@@ -88,3 +88,39 @@ def run_daily(spark: SparkSession, cfg: Cfg) -> dict[str, int]:
     overwrite_guarded(segment_trips(spark, cfg), cfg, "maps_trips")
     models = build_all(spark, cfg)
     return {k: 1 for k in models}
+
+
+def _uni(spark, cfg):
+    return unified.silver_events_unified(spark, cfg)
+
+
+# name → builder of that model alone (its own dependency chain only)
+MODELS: dict[str, Callable[[SparkSession, Cfg], DataFrame]] = {
+    **SILVER,
+    "silver_events_unified_spotify_plays":
+        lambda s, c: unified.events_spotify_plays(spotify.silver_spotify_plays_merged(s, c)),
+    "silver_events_unified_spotify_liked": lambda s, c: unified.events_spotify_liked(spotify.silver_spotify_saved(s, c)),
+    "silver_events_unified_maps_visits":
+        lambda s, c: unified.events_maps_visits(maps.silver_maps_activity_enriched(s, c)),
+    "silver_events_unified_youtube_watches":
+        lambda s, c: unified.events_youtube_watches(youtube.silver_youtube_watches(s, c)),
+    "silver_events_unified_calendar": lambda s, c: unified.events_calendar(calendar.silver_calendar_events(s, c)),
+    "gold_spotify_current_track": spotify.gold_spotify_current_track,
+    **{f"gold_spotify_{n}": getattr(spotify, f"gold_spotify_{n}")
+       for n in ("recent_tracks", "kpis_summary", "kpis_dashboard", "top_artists", "genres", "daily_listening")},
+    **{f"gold_youtube_{n}": getattr(youtube, f"gold_youtube_{n}")
+       for n in ("kpis_with_watch_time_dashboard", "top_channels_dashboard", "category_breakdown_dashboard",
+                 "daily_watch_time_breakdown_dashboard", "hourly_activity_dashboard", "recent_videos_dashboard")},
+    **{f"gold_maps_{n}": getattr(maps, f"gold_maps_{n}")
+       for n in ("trips", "kpis_dashboard", "locations_dashboard", "destinations_dashboard",
+                 "hourly_activity_dashboard", "daily_activity_dashboard", "recent_activities")},
+    **{f"gold_calendar_{n}": getattr(calendar, f"gold_calendar_{n}")
+       for n in ("kpis", "busy_hours", "categories", "weekday_breakdown", "daily_events", "week_grid",
+                 "upcoming_events")},
+    "gold_home_overview_stats": lambda s, c: home.gold_home_overview_stats(
+        s, c, spotify.silver_spotify_plays_merged(s, c), youtube.silver_youtube_watches(s, c),
+        youtube.silver_youtube_searches(s, c), maps.silver_maps_activity_enriched(s, c),
+        maps.gold_maps_kpis_dashboard(s, c)),
+    "gold_home_daily_data_generation": lambda s, c: home.gold_home_daily_data_generation(s, c, _uni(s, c)),
+    "gold_home_recent_events": lambda s, c: home.gold_home_recent_events(s, c, _uni(s, c)),
+}
