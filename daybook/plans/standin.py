@@ -137,11 +137,13 @@ def standin_warehouse(spark: SparkSession, sf_dir: str) -> Cfg:
         return _BUILT[key]
     import uuid
     cfg = Cfg(as_of=AS_OF, kpi_start_date=KPI_START, root=f"{base}/standin-{uuid.uuid4().hex[:10]}")
-    for name, df in _frames(spark, sf_dir).items():
+    def write(name: str, df: DataFrame) -> None:
         spec = TABLES[name]
         out = df.withColumn(spec.version, F.lit(AS_OF).cast("timestamp")) if spec.version else df
         out.select(*[F.col(f.name).cast(f.dataType) for f in spec.schema.fields]) \
             .write.mode("overwrite").parquet(cfg.table_path(spec.layer, spec.name))
+    from daybook.session import run_parallel
+    run_parallel([(write, (n, df)) for n, df in _frames(spark, sf_dir).items()])
     from daybook.jobs.trips import segment_trips
     from daybook.sources.tables import overwrite_guarded
     overwrite_guarded(segment_trips(spark, cfg), cfg, "maps_trips")

@@ -68,3 +68,14 @@ def materialize(df):
     small intermediate feeds several branches of one job."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def run_parallel(calls, workers: int = 8):
+    """Run independent Spark actions ``[(fn, args), ...]`` from a small
+    thread pool, so many small jobs share the cluster instead of queueing
+    one after another (the scheduler interleaves their tasks)."""
+    from concurrent.futures import ThreadPoolExecutor
+    if not calls:
+        return []
+    with ThreadPoolExecutor(max_workers=min(workers, len(calls))) as pool:
+        return list(pool.map(lambda c: c[0](*c[1]), calls))

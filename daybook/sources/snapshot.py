@@ -16,6 +16,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.session import run_parallel as _parallel
+
 MANIFEST = "_MANIFEST.json"
 
 
@@ -38,13 +40,15 @@ def snapshot(spark: SparkSession, tables: dict[str, DataFrame], root: str, day:
     fs, mp = _fs(spark, f"{base}/{MANIFEST}")
     if fs.exists(mp):
         fs.delete(mp, False)  # the snapshot is incomplete until rewritten
-    entries = {}
-    for name, df in tables.items():
+    def write_one(name: str, df: DataFrame) -> tuple[str, dict]:
         out = df if not dedup or name not in dedup else dedup[name](df)
         path = f"{base}/{name}"
         out.write.mode("overwrite").option("compression", "zstd").parquet(path)
         rows = spark.read.parquet(path).count()  # answered from Parquet footers
-        entries[name] = {"rows": int(rows), "bytes": _dir_bytes(spark, path)}
+        return name, {"rows": int(rows), "bytes": _dir_bytes(spark, path)}
+    # tables are independent jobs: submit them concurrently so small tables
+    # do not leave the cluster idle one after another (OPT-16)
+    entries = dict(_parallel([(write_one, (n, df)) for n, df in tables.items()]))
     manifest = {"dt": day.isoformat(), "tables": entries}
     stream = fs.create(mp, True)
     stream.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
@@ -93,16 +97,12 @@ def restore(spark: SparkSession, root: str, target: Callable[[str], str | None],
         missing = wanted - set(present)
         if missing:
             raise FileNotFoundError(f"tables not in snapshot {day}: {sorted(missing)}")
-    done: dict[str, int] = {}
-    for name in present:
-        if wanted is not None and name not in wanted:
-            continue
-        dest = target(name)
-        if dest is None:
-            continue
-        df = read_snapshot(spark, root, day, name)
-        df.write.mode("append").parquet(dest)
-        done[name] = 1
+    def restore_one(name: str, dest: str) -> tuple[str, int]:
+        read_snapshot(spark, root, day, name).write.mode("append").parquet(dest)
+        return name, 1
+    jobs = [(restore_one, (name, target(name))) for name in present
+            if (wanted is None or name in wanted) and target(name) is not None]
+    done: dict[str, int] = dict(_parallel(jobs))
     if not done:
         raise ValueError("restore selected no tables")
     return done
