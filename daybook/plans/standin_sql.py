@@ -95,3 +95,72 @@ MODEL_ORACLE: dict[str, str] = {
                count(*) FILTER (WHERE activity_type NOT IN ('directions', 'search', 'view_place')) AS other
         FROM ({PUBLIC}) WHERE event_date BETWEEN DATE '2024-01-31' - 29 AND DATE '2024-01-31' GROUP BY 1""",
 }
+
+# ---------------------------------------------------------------- spotify slice
+PLAYS_RAW = f"""SELECT DISTINCT CAST(ts AS TIMESTAMP) AS played_at, 't' || CAST({K} AS VARCHAR) AS track_id,
+  'Track ' || CAST({K} AS VARCHAR) AS track_name, ['a' || CAST(user_id AS VARCHAR)] AS artists_ids,
+  ['User ' || CAST(user_id AS VARCHAR)] AS artists_names, CAST([] AS VARCHAR[]) AS album_images,
+  CAST(round(value * 1000) AS BIGINT) AS duration_ms FROM events
+  WHERE event_type = 'view' AND ts < TIMESTAMP '2024-01-29 00:00:00'"""
+CURRENT = f"""SELECT DISTINCT CAST(ts AS TIMESTAMP) AS captured_at, 't' || CAST({K} AS VARCHAR) AS track_id,
+  'Track ' || CAST({K} AS VARCHAR) AS track_name, CAST(round(value * 1000) AS INTEGER) AS duration_ms,
+  ['a' || CAST(user_id AS VARCHAR)] AS artists_ids, ['User ' || CAST(user_id AS VARCHAR)] AS artists_names,
+  CAST([] AS VARCHAR[]) AS album_images FROM events WHERE event_type = 'click'"""
+TRACKS = """SELECT 't' || CAST(p_partkey AS VARCHAR) AS track_id, p_name AS t_name, CAST(p_size * 10007 AS BIGINT) AS t_dur,
+  [p_type] AS t_images, CAST([] AS VARCHAR[]) AS t_artists FROM part WHERE p_size > 5"""
+ARTISTS = "SELECT 'a' || CAST(c_custkey AS VARCHAR) AS artist_id, c_name AS a_name FROM customer"
+
+
+def _enrich(src: str) -> str:
+    return f"""SELECT p.played_at, p.track_id,
+      CASE WHEN coalesce(t.t_name, '') <> '' THEN t.t_name ELSE p.track_name END AS track_name,
+      CASE WHEN coalesce(t.t_dur, 0) > 0 THEN t.t_dur ELSE coalesce(p.duration_ms, 0) END AS duration_ms,
+      p.pid AS primary_artist_id,
+      CASE WHEN coalesce(a.a_name, '') <> '' THEN a.a_name ELSE coalesce(p.artists_names[1], '') END AS primary_artist_name,
+      CASE WHEN len(coalesce(t.t_images, [])) > 0 THEN t.t_images[1] ELSE coalesce(p.album_images[1], '') END AS album_art_url
+    FROM (SELECT *, CASE WHEN len(artists_ids) > 0 THEN artists_ids[1] ELSE '' END AS pid FROM ({src})) p
+    LEFT JOIN ({TRACKS}) t USING (track_id) LEFT JOIN ({ARTISTS}) a ON a.artist_id = p.pid"""
+
+
+STREAM_PLAYS = f"""WITH b AS (SELECT *, lag(track_id, 1, '__none__') OVER (ORDER BY captured_at, track_id) AS prev
+           FROM ({CURRENT}) WHERE captured_at >= {AS_OF} - INTERVAL 7 DAY),
+  s AS (SELECT * FROM b WHERE track_id <> prev AND track_id <> ''),
+  n AS (SELECT *, lead(captured_at) OVER (ORDER BY captured_at, track_id) AS next_start FROM s)
+  SELECT least(coalesce(next_start, {AS_OF}),
+               CASE WHEN duration_ms > 0 THEN captured_at + to_seconds(CAST(floor(duration_ms / 1000) AS BIGINT) + 15)
+                    ELSE {AS_OF} END) AS played_at, track_id, track_name, duration_ms, artists_ids, artists_names, album_images,
+         captured_at
+  FROM n"""
+MERGED = f"""WITH raw AS ({PLAYS_RAW}), tt AS (SELECT max(played_at) AS T FROM raw),
+  st AS (SELECT * FROM ({STREAM_PLAYS}) WHERE date_diff('second', captured_at, played_at) >= 30)
+  SELECT * FROM ({_enrich('SELECT * FROM raw')}) WHERE played_at <= (SELECT T FROM tt)
+  UNION ALL
+  SELECT * FROM ({_enrich('SELECT played_at, track_id, track_name, CAST(duration_ms AS BIGINT) AS duration_ms, artists_ids, artists_names, album_images FROM st')}) s
+  WHERE s.played_at > (SELECT T FROM tt) AND (SELECT T FROM tt) > TIMESTAMP '2000-01-01 00:00:00'
+    AND NOT EXISTS (SELECT 1 FROM raw r WHERE r.played_at >= (SELECT T FROM tt) - INTERVAL 120 SECOND
+                    AND r.track_id = s.track_id AND abs(date_diff('second', r.played_at, s.played_at)) <= 120)"""
+SINCE_FLOOR = f"SELECT * FROM ({MERGED}) WHERE played_at >= TIMESTAMP '2024-01-01 00:00:00'"
+
+
+def _fmt1(x: str) -> str:
+    return f"regexp_replace(CAST(round({x}, 1) AS VARCHAR), '\\.0$', '')"
+
+
+MODEL_ORACLE.update({
+    "model_gold_spotify_daily_listening": f"""
+        SELECT CAST(played_at AS DATE) AS date, round(sum(duration_ms) / 3600000.0, 1) AS hours FROM ({MERGED})
+        WHERE played_at >= CAST(DATE '2024-01-31' - 29 AS TIMESTAMP) AND played_at <= {AS_OF} GROUP BY 1""",
+    "model_gold_spotify_kpis_summary": f"""
+        SELECT count(DISTINCT primary_artist_id) AS artists, count(DISTINCT track_id) AS songs,
+               {_fmt1('coalesce(sum(duration_ms), 0) / 3600000.0')} || ' hrs' AS total_hours FROM ({SINCE_FLOOR})""",
+    "model_gold_spotify_kpis_dashboard": f"""
+        SELECT {_fmt1('total_ms / 3600000.0')} || ' hrs' AS total_time, CAST(songs AS VARCHAR) AS songs_streamed,
+               CAST(artists AS VARCHAR) AS unique_artists,
+               {_fmt1('total_ms / 3600000.0 / nullif(active_days, 0)')} || ' hrs' AS avg_daily
+        FROM (SELECT coalesce(sum(duration_ms), 0) AS total_ms, count(DISTINCT track_id) AS songs,
+                     count(DISTINCT primary_artist_id) AS artists, count(DISTINCT CAST(played_at AS DATE)) AS active_days
+              FROM ({SINCE_FLOOR}))""",
+    "model_gold_spotify_recent_tracks": f"""
+        SELECT track_name AS track, primary_artist_name AS artist, strftime(played_at, '%Y-%m-%dT%H:%M:%SZ') AS played_at,
+               album_art_url AS album_art FROM ({MERGED}) ORDER BY played_at DESC LIMIT 50""",
+})
