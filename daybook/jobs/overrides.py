@@ -45,9 +45,10 @@ def set_home(spark: SparkSession, cfg: Cfg, anchors: DataFrame) -> None:
 def home_on_date(spark: SparkSession, cfg: Cfg, days: DataFrame, day: str = "event_date") -> DataFrame:
     """The home anchor valid on each date (as-of lookup): anchor intervals
     [valid_from, next valid_from) from ``lead``, then a range join. Anchors
-    are few (one per move), so the join side is tiny and broadcast."""
+    are few (one per move); Spark broadcasts them when their measured size
+    allows, nothing forces it."""
     a = valid_intervals(read_table(spark, cfg, "maps_home_locations"), [], "valid_from")
     a = a.select(F.to_date("valid_from").alias("vf"), F.to_date("valid_until").alias("vu"),
                  F.col("lat").alias("home_lat"), F.col("lng").alias("home_lng"), F.col("label").alias("home_label"))
     cond = (F.col(day) >= F.col("vf")) & (F.col("vu").isNull() | (F.col(day) < F.col("vu")))
-    return days.join(F.broadcast(a), cond, "left").drop("vf", "vu")
+    return days.join(a, cond, "left").drop("vf", "vu")

@@ -15,13 +15,21 @@ COLD_START = dt.datetime(2000, 1, 1)  # fixed value: history before this means "
 
 
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Add the columns of a one-row frame (a global aggregate) to every row.
-
-    A global ``agg`` always yields exactly one row, so the broadcast is
-    bounded by construction; it is joined on a constant key, which plans as
-    a broadcast hash join rather than a nested loop."""
-    return (df.withColumn("__one", F.lit(1))
-            .join(F.broadcast(one_row.withColumn("__one", F.lit(1))), "__one").drop("__one"))
+    """Add the columns of a one-row frame (a global aggregate or a top-1)
+    to every row, as typed literals.
+
+    The row is read first — it is bounded by construction — so no join (and
+    no nested-loop plan) is needed, and Catalyst can fold the values into
+    later filters. An empty ``one_row`` gives an empty result, like a cross
+    join with an empty relation."""
+    rows = one_row.take(2)
+    if len(rows) > 1:
+        raise ValueError("attach_scalar expects at most one row")
+    out = df
+    for f in one_row.schema.fields:
+        v = rows[0][f.name] if rows else None
+        out = out.withColumn(f.name, F.lit(v).cast(f.dataType))
+    return out if rows else out.limit(0)
 
 
 def lambda_merge(history: DataFrame, stream: DataFrame, keys: Sequence[str], ts: str,

@@ -90,6 +90,13 @@ def run_daily(spark: SparkSession, cfg: Cfg) -> dict[str, int]:
     return {k: 1 for k in models}
 
 
+def _overview(spark, cfg):
+    enriched = maps.silver_maps_activity_enriched(spark, cfg)
+    return home.gold_home_overview_stats(
+        spark, cfg, spotify.silver_spotify_plays_merged(spark, cfg), youtube.silver_youtube_watches(spark, cfg),
+        youtube.silver_youtube_searches(spark, cfg), enriched, maps.gold_maps_kpis_dashboard(spark, cfg, enriched))
+
+
 def _uni(spark, cfg):
     return unified.silver_events_unified(spark, cfg)
 
@@ -117,10 +124,7 @@ MODELS: dict[str, Callable[[SparkSession, Cfg], DataFrame]] = {
     **{f"gold_calendar_{n}": getattr(calendar, f"gold_calendar_{n}")
        for n in ("kpis", "busy_hours", "categories", "weekday_breakdown", "daily_events", "week_grid",
                  "upcoming_events")},
-    "gold_home_overview_stats": lambda s, c: home.gold_home_overview_stats(
-        s, c, spotify.silver_spotify_plays_merged(s, c), youtube.silver_youtube_watches(s, c),
-        youtube.silver_youtube_searches(s, c), maps.silver_maps_activity_enriched(s, c),
-        maps.gold_maps_kpis_dashboard(s, c)),
+    "gold_home_overview_stats": lambda s, c: _overview(s, c),
     "gold_home_daily_data_generation": lambda s, c: home.gold_home_daily_data_generation(s, c, _uni(s, c)),
     "gold_home_recent_events": lambda s, c: home.gold_home_recent_events(s, c, _uni(s, c)),
 }
