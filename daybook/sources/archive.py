@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StructType
 
 
 def read_many(spark: SparkSession, root: str, glob: str, schema: StructType, multiline: bool = True) -> DataFrame:
@@ -57,14 +57,19 @@ def bad_texts(texts: DataFrame, element_schema: StructType, text_col: str = "tex
 
 
 def tolerant_read(spark: SparkSession, path, schema: StructType) -> tuple[DataFrame, DataFrame]:
-    """(good rows, corrupt records with their file path) of a JSON read in
-    PERMISSIVE mode (SRC-28): unreadable input is kept and counted instead
-    of failing the job or being dropped silently."""
-    s = StructType(schema.fields + [StructField("_corrupt_record", StringType())])
-    df = (spark.read.schema(s).option("mode", "PERMISSIVE").option("multiLine", True)
-          .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-          .withColumn("_file", F.col("_metadata.file_path"))
-          .cache())  # Spark refuses queries that read only the corrupt-record column of a raw JSON scan
-    good = df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record", "_file")
-    bad = df.filter(F.col("_corrupt_record").isNotNull()).select("_file", "_corrupt_record")
+    """(good rows, bad files) of a folder of JSON-array export files (SRC-28).
+
+    Each file is one task (a multi-line JSON document is not splittable in
+    any reader): its text is parsed with ``from_json`` into an array of
+    ``schema``. A file whose top level is not an array, or that does not
+    parse, is kept in ``bad`` with its path and text instead of failing the
+    job or disappearing; entries that are not objects parse to NULL and
+    are dropped."""
+    texts = (spark.read.option("wholetext", True).text(path)
+             .select(F.col("_metadata.file_path").alias("_file"), F.col("value")))
+    is_array = F.ltrim(F.col("value")).startswith("[")
+    parsed = texts.withColumn("_rows", F.when(is_array, F.from_json("value", ArrayType(schema))))
+    good = (parsed.filter(F.col("_rows").isNotNull()).select(F.explode("_rows").alias("r"))
+            .filter(F.col("r").isNotNull()).select("r.*"))
+    bad = parsed.filter(F.col("_rows").isNull()).select("_file", F.col("value").alias("_corrupt_record"))
     return good, bad

@@ -142,3 +142,17 @@ def test_normalisers(spark):
                                                 {"geometry": {"coordinates": ["x"]}}]}], google.STARRED_DDL)
     st = google.starred_place_rows(star).collect()
     assert [(r["lat"], r["lng"], r["radius_m"]) for r in st] == [(48.85, 2.35, 100)]
+
+
+def test_tolerant_read_keeps_bad_files(spark):
+    from daybook.sources.archive import tolerant_read
+    from daybook.sources.google import MY_ACTIVITY_DDL
+    d = tempfile.mkdtemp(prefix="tol-")
+    with open(os.path.join(d, "good.json"), "w") as f:
+        json.dump([{"header": "Maps", "title": "Used Maps", "time": "2025-01-01T00:00:00Z"}], f)
+    with open(os.path.join(d, "bad.json"), "w") as f:
+        f.write("{not json")
+    good, bad = tolerant_read(spark, d, spsrc.schema(MY_ACTIVITY_DDL))
+    assert good.count() == 1 and good.first()["title"] == "Used Maps"
+    b = bad.collect()
+    assert len(b) == 1 and b[0]["_file"].endswith("bad.json") and "{not json" in b[0]["_corrupt_record"]
