@@ -164,3 +164,83 @@ MODEL_ORACLE.update({
         SELECT track_name AS track, primary_artist_name AS artist, strftime(played_at, '%Y-%m-%dT%H:%M:%SZ') AS played_at,
                album_art_url AS album_art FROM ({MERGED}) ORDER BY played_at DESC LIMIT 50""",
 })
+
+# ---------------------------------------------------------------- more models
+SAVED = f"""SELECT DISTINCT CAST(ts AS TIMESTAMP) AS added_at, 't' || CAST({K} AS VARCHAR) AS track_id
+  FROM events WHERE event_type = 'purchase'"""
+MAPS_BRONZE = f"""SELECT CAST(ts AS TIMESTAMP) AS event_ts, t AS activity_type,
+  CASE WHEN t = 'search' THEN p ELSE '' END AS query, CASE WHEN t = 'view_place' THEN p ELSE '' END AS place_name,
+  '' AS place_id, 0.0 AS lat, 0.0 AS lng, '' AS origin, CASE WHEN t = 'directions' THEN p ELSE '' END AS destination,
+  '' AS raw_url, {AS_OF} AS _ingested_at
+  FROM (SELECT ts, CASE WHEN value < 50 THEN 'directions' WHEN value < 150 THEN 'search' ELSE 'view_place' END AS t,
+               'place ' || CAST({K} AS VARCHAR) AS p FROM events WHERE event_type IN ('signup', 'error'))"""
+KEYED = f"""SELECT *, CASE WHEN place_id <> '' THEN place_id
+    WHEN best_text = '' THEN ''
+    ELSE 'q:' || trim(regexp_replace(lower(best_text), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g')) END AS geo_key
+  FROM (SELECT *, CASE WHEN place_name <> '' THEN place_name WHEN activity_type = 'search' AND query <> '' THEN query
+                       WHEN activity_type = 'directions' AND destination <> '' THEN destination
+                       WHEN query <> '' THEN query WHEN destination <> '' THEN destination ELSE '' END AS best_text
+        FROM ({MAPS_BRONZE}))"""
+CATEGORY_MAP = """(VALUES ('1','Film & Animation'),('2','Autos & Vehicles'),('10','Music'),('15','Pets & Animals'),
+  ('17','Sports'),('18','Short Movies'),('19','Travel & Events'),('20','Gaming'),('21','Videoblogging'),
+  ('22','People & Blogs'),('23','Comedy'),('24','Entertainment'),('25','News & Politics'),('26','Howto & Style'),
+  ('27','Education'),('28','Science & Technology'),('29','Nonprofits & Activism'),('30','Movies'),
+  ('31','Anime/Animation'),('32','Action/Adventure'),('33','Classics'),('34','Comedy'),('35','Documentary'),
+  ('36','Drama'),('37','Family'),('38','Foreign'),('39','Horror'),('40','Sci-Fi/Fantasy'),('41','Thriller'),
+  ('42','Shorts'),('43','Shows'),('44','Trailers')) AS m(id, name)"""
+
+
+def _unit(n: str, word: str) -> str:
+    return f"CASE WHEN {n} > 0 THEN CAST({n} AS VARCHAR) || ' {word}' || CASE WHEN {n} = 1 THEN '' ELSE 's' END END"
+
+
+def _readable(s: str) -> str:
+    y, r1 = f"({s} // 31536000)", f"({s} % 31536000)"
+    mo, r2 = f"({r1} // 2635200)", f"({r1} % 2635200)"
+    d, r3 = f"({r2} // 86400)", f"({r2} % 86400)"
+    h, r4 = f"({r3} // 3600)", f"({r3} % 3600)"
+    mi, sec = f"({r4} // 60)", f"({r4} % 60)"
+    parts = ", ".join(_unit(x, w) for x, w in ((y, "year"), (mo, "month"), (d, "day"), (h, "hour"), (mi, "minute"),
+                                               (sec, "second")))
+    return f"CASE WHEN {s} <= 0 THEN '0 seconds' ELSE regexp_replace(concat_ws(', ', {parts}), ', ([^,]*)$', ' and \\1') END"
+
+
+def _uid(source: str, kind: str, ts: str, title: str) -> str:
+    return f"sha256(concat_ws(':', '{source}', '{kind}', strftime({ts}, '%Y-%m-%d %H:%M:%S.%f'), coalesce({title}, '')))"
+
+
+MODEL_ORACLE.update({
+    "model_silver_spotify_saved": f"""
+        SELECT s.added_at, s.track_id, coalesce(t.t_name, '') AS track_name, coalesce(a.a_name, '') AS primary_artist_name,
+               coalesce(t.t_images[1], '') AS album_art_url
+        FROM ({SAVED}) s LEFT JOIN ({TRACKS}) t USING (track_id)
+        LEFT JOIN ({ARTISTS}) a ON a.artist_id = coalesce(t.t_artists[1], '')""",
+    "model_maps_activity_keyed": KEYED,
+    "model_silver_events_unified_calendar": f"""
+        SELECT started_at AS event_ts, 'calendar' AS source, 'meeting' AS kind, title, category AS subtitle, '' AS image_url,
+               0 AS is_from_ads,
+               to_json(map(['duration_minutes', 'location', 'attendee_count'],
+                           [CAST(duration_minutes AS VARCHAR), location, CAST(attendee_count AS VARCHAR)])) AS metadata,
+               {_uid('calendar', 'meeting', 'started_at', 'title')} AS event_id
+        FROM ({CAL_EVENTS})""",
+    "model_silver_events_unified_youtube_watches": f"""
+        SELECT watched_at AS event_ts, 'youtube' AS source, 'watch' AS kind, video_title AS title, channel_title AS subtitle,
+               '' AS image_url, CAST(is_from_ads AS INTEGER) AS is_from_ads,
+               to_json(map(['category_id', 'duration_seconds'], [category_id, CAST(duration_seconds AS VARCHAR)])) AS metadata,
+               {_uid('youtube', 'watch', 'watched_at', 'video_title')} AS event_id
+        FROM ({WATCHES}) WHERE video_id <> ''""",
+    "model_gold_youtube_top_channels_dashboard": f"""
+        WITH w AS (SELECT * FROM ({WATCHES}) WHERE watched_date >= DATE '2024-01-01' AND channel_id <> ''),
+        r AS (SELECT channel_id, arg_max(channel_title, watched_at) AS channel_title, count(*) AS watch_count,
+                     CAST(sum(duration_seconds) AS BIGINT) AS total_watch_time_seconds,
+                     count(DISTINCT video_id) AS unique_videos_watched FROM w GROUP BY 1),
+        c AS (SELECT channel_id, category_id AS top_cat FROM (
+                SELECT channel_id, category_id, row_number() OVER (PARTITION BY channel_id ORDER BY count(*) DESC, category_id) AS rn
+                FROM w WHERE category_id <> '' GROUP BY 1, 2) WHERE rn = 1),
+        t AS (SELECT * FROM r ORDER BY total_watch_time_seconds DESC, watch_count DESC, channel_id LIMIT 10)
+        SELECT t.channel_id, t.channel_title, t.watch_count, t.total_watch_time_seconds,
+               {_readable('t.total_watch_time_seconds')} AS total_watch_time_formatted,
+               CASE WHEN coalesce(c.top_cat, '') = '' THEN '' ELSE coalesce(m.name, 'Other') END AS primary_category,
+               t.unique_videos_watched
+        FROM t LEFT JOIN c USING (channel_id) LEFT JOIN {CATEGORY_MAP} ON m.id = c.top_cat""",
+})
