@@ -205,8 +205,10 @@ def _readable(s: str) -> str:
     return f"CASE WHEN {s} <= 0 THEN '0 seconds' ELSE regexp_replace(concat_ws(', ', {parts}), ', ([^,]*)$', ' and \\1') END"
 
 
-def _uid(source: str, kind: str, ts: str, title: str) -> str:
-    return f"sha256(concat_ws(':', '{source}', '{kind}', strftime({ts}, '%Y-%m-%d %H:%M:%S.%f'), coalesce({title}, '')))"
+def _uid(source: str, kind: str, ts: str, title: str, kind_sql: str | None = None) -> str:
+    """sha256 of source:kind:time:title (``kind_sql`` for a kind column)."""
+    k = kind_sql or f"'{kind}'"
+    return f"sha256(concat_ws(':', '{source}', {k}, strftime({ts}, '%Y-%m-%d %H:%M:%S.%f'), coalesce({title}, '')))"
 
 
 MODEL_ORACLE.update({
@@ -244,3 +246,67 @@ MODEL_ORACLE.update({
                t.unique_videos_watched
         FROM t LEFT JOIN c USING (channel_id) LEFT JOIN {CATEGORY_MAP} ON m.id = c.top_cat""",
 })
+
+# enriched maps rows with the columns the visit feed and gold maps models read
+CATALOG_FULL = """SELECT 'q:place ' || CAST(s_suppkey AS VARCHAR) AS place_id, s_name AS c_name, 'poi' AS primary_type,
+  ((s_acctbal + 1000) % 180) - 90 AS lat, ((s_suppkey * 7.3) % 360) - 180 AS lng, n_name AS locality, r_name AS country,
+  CASE WHEN s_acctbal > 0 THEN 0.9 ELSE 0.3 END AS match_confidence
+  FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey"""
+ENRICHED_FULL = f"""SELECT k.event_ts, k.activity_type, k.query,
+  CASE WHEN c.place_id IS NOT NULL THEN coalesce(c.c_name, '') ELSE k.place_name END AS place_name,
+  coalesce(c.primary_type, '') AS primary_type, coalesce(c.lat, k.lat) AS lat, coalesce(c.lng, k.lng) AS lng,
+  '' AS neighborhood, coalesce(c.locality, '') AS locality, coalesce(c.country, '') AS country,
+  CAST(k.event_ts AS DATE) AS event_date
+  FROM ({KEYED}) k LEFT JOIN ({CATALOG_FULL}) c ON c.place_id = k.geo_key"""
+PUBLIC_FULL = f"""SELECT * FROM ({ENRICHED_FULL}) e WHERE NOT EXISTS (
+  SELECT 1 FROM ({PRIVATE}) p WHERE e.lat <> 0 AND e.lng <> 0 AND {_hav_m('e.lat', 'e.lng', 'p.lat', 'p.lng')} <= p.radius_m)"""
+
+
+def _label(prefix: str = "") -> str:
+    n, lo, c = (f"{prefix}{x}" for x in ("neighborhood", "locality", "country"))
+    return (f"CASE WHEN {n} <> '' AND {lo} <> '' THEN {n} || ', ' || {lo} WHEN {lo} <> '' THEN {lo} "
+            f"WHEN {c} <> '' THEN {c} ELSE 'Unknown' END")
+
+
+MAPS_VISITS = f"""SELECT event_ts, 'maps' AS source,
+  CASE activity_type WHEN 'search' THEN 'maps_search' WHEN 'directions' THEN 'maps_directions'
+       WHEN 'view_place' THEN 'maps_view' ELSE 'maps_other' END AS kind,
+  coalesce(nullif(trim(place_name), ''), nullif(trim(query), ''), 'Maps activity') AS title, primary_type AS subtitle,
+  '' AS image_url, 0 AS is_from_ads,
+  to_json(map(['neighborhood', 'locality', 'country', 'primary_type', 'activity_type'],
+              [neighborhood, locality, country, primary_type, activity_type])) AS metadata
+  FROM ({PUBLIC_FULL})"""
+LIKED = f"""SELECT s.added_at AS event_ts, 'spotify' AS source, 'liked' AS kind, coalesce(t.t_name, '') AS title,
+  '' AS subtitle, coalesce(t.t_images[1], '') AS image_url, 0 AS is_from_ads,
+  to_json(map(['source'], ['spotify_liked'])) AS metadata
+  FROM ({SAVED}) s LEFT JOIN ({TRACKS}) t USING (track_id)"""
+
+MODEL_ORACLE.update({
+    "model_silver_events_unified_maps_visits":
+        f"SELECT *, {_uid('maps', '', 'event_ts', 'title', kind_sql='kind')} AS event_id FROM ({MAPS_VISITS})",
+    "model_silver_events_unified_spotify_liked":
+        f"SELECT *, {_uid('spotify', 'liked', 'event_ts', 'title')} AS event_id FROM ({LIKED})",
+    "model_gold_maps_recent_activities": f"""
+        SELECT strftime(event_ts, '%Y-%m-%dT%H:%M:%SZ') AS time, {_label()} AS location,
+               CASE WHEN activity_type = 'directions' THEN 'directions'
+                    WHEN activity_type = 'search' AND primary_type <> '' THEN 'search · ' || primary_type
+                    WHEN activity_type = 'search' THEN 'search' WHEN primary_type <> '' THEN primary_type ELSE 'view' END AS type
+        FROM ({PUBLIC_FULL}) ORDER BY event_ts DESC LIMIT 10""",
+    "model_gold_maps_destinations_dashboard": f"""
+        WITH a AS (SELECT * FROM ({PUBLIC_FULL}) WHERE event_date >= DATE '2024-01-01'),
+        g AS (SELECT {_label()} AS destination, count(*) AS count, min(primary_type) AS type FROM a
+              WHERE country IN (SELECT DISTINCT country FROM a WHERE activity_type = 'directions' AND country <> '')
+              GROUP BY 1)
+        SELECT * FROM g WHERE destination <> 'Unknown' ORDER BY count DESC, destination LIMIT 10""",
+    "model_gold_home_daily_data_generation": f"""
+        WITH u AS (
+          SELECT played_at AS event_ts, 'spotify' AS source FROM ({MERGED}) WHERE track_id <> ''
+          UNION ALL SELECT event_ts, 'spotify' FROM ({LIKED})
+          UNION ALL SELECT event_ts, 'maps' FROM ({PUBLIC_FULL})
+          UNION ALL SELECT watched_at, 'youtube' FROM ({WATCHES})
+          UNION ALL SELECT started_at, 'calendar' FROM ({CAL_EVENTS}))
+        SELECT CAST(event_ts AS DATE) AS date, count(*) FILTER (WHERE source = 'spotify') AS spotify,
+               count(*) FILTER (WHERE source = 'youtube') AS youtube, count(*) FILTER (WHERE source = 'calendar') AS google,
+               count(*) FILTER (WHERE source = 'maps') AS maps
+        FROM u WHERE event_ts >= CAST(DATE '2024-01-31' - 90 AS TIMESTAMP) AND event_ts <= {AS_OF} GROUP BY 1""",
+})
