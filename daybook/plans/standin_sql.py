@@ -100,12 +100,12 @@ MODEL_ORACLE: dict[str, str] = {
 PLAYS_RAW = f"""SELECT DISTINCT CAST(ts AS TIMESTAMP) AS played_at, 't' || CAST({K} AS VARCHAR) AS track_id,
   'Track ' || CAST({K} AS VARCHAR) AS track_name, ['a' || CAST(user_id AS VARCHAR)] AS artists_ids,
   ['User ' || CAST(user_id AS VARCHAR)] AS artists_names, CAST([] AS VARCHAR[]) AS album_images,
-  CAST(round(value * 1000) AS BIGINT) AS duration_ms FROM events
+  CAST(round(value * 1000) AS BIGINT) AS duration_ms, event_type AS context_type FROM events
   WHERE event_type = 'view' AND ts < TIMESTAMP '2024-01-29 00:00:00'"""
 CURRENT = f"""SELECT DISTINCT CAST(ts AS TIMESTAMP) AS captured_at, 't' || CAST({K} AS VARCHAR) AS track_id,
   'Track ' || CAST({K} AS VARCHAR) AS track_name, CAST(round(value * 1000) AS INTEGER) AS duration_ms,
   ['a' || CAST(user_id AS VARCHAR)] AS artists_ids, ['User ' || CAST(user_id AS VARCHAR)] AS artists_names,
-  CAST([] AS VARCHAR[]) AS album_images FROM events WHERE event_type = 'click'"""
+  CAST([] AS VARCHAR[]) AS album_images, '' AS context_type FROM events WHERE event_type = 'click'"""
 TRACKS = """SELECT 't' || CAST(p_partkey AS VARCHAR) AS track_id, p_name AS t_name, CAST(p_size * 10007 AS BIGINT) AS t_dur,
   [p_type] AS t_images, CAST([] AS VARCHAR[]) AS t_artists FROM part WHERE p_size > 5"""
 ARTISTS = "SELECT 'a' || CAST(c_custkey AS VARCHAR) AS artist_id, c_name AS a_name FROM customer"
@@ -117,7 +117,8 @@ def _enrich(src: str) -> str:
       CASE WHEN coalesce(t.t_dur, 0) > 0 THEN t.t_dur ELSE coalesce(p.duration_ms, 0) END AS duration_ms,
       p.pid AS primary_artist_id,
       CASE WHEN coalesce(a.a_name, '') <> '' THEN a.a_name ELSE coalesce(p.artists_names[1], '') END AS primary_artist_name,
-      CASE WHEN len(coalesce(t.t_images, [])) > 0 THEN t.t_images[1] ELSE coalesce(p.album_images[1], '') END AS album_art_url
+      CASE WHEN len(coalesce(t.t_images, [])) > 0 THEN t.t_images[1] ELSE coalesce(p.album_images[1], '') END AS album_art_url,
+      coalesce(p.context_type, '') AS context_type
     FROM (SELECT *, CASE WHEN len(artists_ids) > 0 THEN artists_ids[1] ELSE '' END AS pid FROM ({src})) p
     LEFT JOIN ({TRACKS}) t USING (track_id) LEFT JOIN ({ARTISTS}) a ON a.artist_id = p.pid"""
 
@@ -129,13 +130,13 @@ STREAM_PLAYS = f"""WITH b AS (SELECT *, lag(track_id, 1, '__none__') OVER (ORDER
   SELECT least(coalesce(next_start, {AS_OF}),
                CASE WHEN duration_ms > 0 THEN captured_at + to_seconds(CAST(floor(duration_ms / 1000) AS BIGINT) + 15)
                     ELSE {AS_OF} END) AS played_at, track_id, track_name, duration_ms, artists_ids, artists_names, album_images,
-         captured_at
+         context_type, captured_at
   FROM n"""
 MERGED = f"""WITH raw AS ({PLAYS_RAW}), tt AS (SELECT max(played_at) AS T FROM raw),
   st AS (SELECT * FROM ({STREAM_PLAYS}) WHERE date_diff('second', captured_at, played_at) >= 30)
   SELECT * FROM ({_enrich('SELECT * FROM raw')}) WHERE played_at <= (SELECT T FROM tt)
   UNION ALL
-  SELECT * FROM ({_enrich('SELECT played_at, track_id, track_name, CAST(duration_ms AS BIGINT) AS duration_ms, artists_ids, artists_names, album_images FROM st')}) s
+  SELECT * FROM ({_enrich('SELECT played_at, track_id, track_name, CAST(duration_ms AS BIGINT) AS duration_ms, artists_ids, artists_names, album_images, context_type FROM st')}) s
   WHERE s.played_at > (SELECT T FROM tt) AND (SELECT T FROM tt) > TIMESTAMP '2000-01-01 00:00:00'
     AND NOT EXISTS (SELECT 1 FROM raw r WHERE r.played_at >= (SELECT T FROM tt) - INTERVAL 120 SECOND
                     AND r.track_id = s.track_id AND abs(date_diff('second', r.played_at, s.played_at)) <= 120)"""
@@ -310,3 +311,35 @@ MODEL_ORACLE.update({
                count(*) FILTER (WHERE source = 'maps') AS maps
         FROM u WHERE event_ts >= CAST(DATE '2024-01-31' - 90 AS TIMESTAMP) AND event_ts <= {AS_OF} GROUP BY 1""",
 })
+
+ARTIST_GENRES = "SELECT 'a' || CAST(c_custkey AS VARCHAR) AS artist_id, [lower(c_mktsegment)] AS genres FROM customer"
+MERGED_G = f"""SELECT m.*, coalesce(g.genres, CAST([] AS VARCHAR[])) AS genres FROM ({MERGED}) m
+  LEFT JOIN ({ARTIST_GENRES}) g ON g.artist_id = m.primary_artist_id"""
+PLAYS_FEED = f"""SELECT played_at AS event_ts, 'spotify' AS source, 'play' AS kind, track_name AS title,
+  primary_artist_name AS subtitle, album_art_url AS image_url, 0 AS is_from_ads,
+  to_json(map(['context_type', 'duration_ms', 'genres'], [context_type, CAST(duration_ms AS VARCHAR), to_json(genres)::VARCHAR]))
+    AS metadata, {_uid('spotify', 'play', 'played_at', 'track_name')} AS event_id
+  FROM ({MERGED_G}) WHERE track_id <> ''"""
+UNIFIED = f"""{PLAYS_FEED}
+  UNION ALL SELECT *, {_uid('spotify', 'liked', 'event_ts', 'title')} FROM ({LIKED})
+  UNION ALL SELECT *, {_uid('maps', '', 'event_ts', 'title', kind_sql='kind')} FROM ({MAPS_VISITS})
+  UNION ALL {MODEL_ORACLE['model_silver_events_unified_youtube_watches']}
+  UNION ALL {MODEL_ORACLE['model_silver_events_unified_calendar']}"""
+
+MODEL_ORACLE.update({
+    "model_gold_calendar_categories": f"""
+        WITH b AS (SELECT category FROM ({CAL_EVENTS}) WHERE started_at <= {AS_OF} AND event_date >= DATE '2024-01-01'),
+        g AS (SELECT category AS name, count(*) AS value FROM b GROUP BY 1)
+        SELECT name, value, coalesce(round(value / nullif(sum(value) OVER (), 0) * 100.0, 0), 0.0) AS percentage FROM g""",
+    "model_gold_spotify_genres": f"""
+        SELECT name, count(*) AS value FROM (SELECT unnest(genres) AS name FROM ({MERGED_G})
+                                           WHERE played_at >= TIMESTAMP '2024-01-01 00:00:00')
+        WHERE name <> '' GROUP BY 1 ORDER BY value DESC, name LIMIT 20""",
+    "model_silver_events_unified_spotify_plays": PLAYS_FEED,
+    "model_silver_events_unified": UNIFIED,
+    "model_gold_home_recent_events": f"""
+        SELECT source, row_number() OVER (PARTITION BY source ORDER BY event_ts DESC, event_id) AS recency_rank, title,
+               CASE WHEN source = 'spotify' THEN subtitle WHEN source = 'maps' THEN kind ELSE '' END AS subtitle,
+               strftime(event_ts, '%Y-%m-%dT%H:%M:%SZ') AS time, image_url, kind AS activity_type, is_from_ads
+        FROM ({UNIFIED}) QUALIFY recency_rank <= 10""",
+})
