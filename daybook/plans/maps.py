@@ -155,22 +155,34 @@ def gold_maps_trips(spark: SparkSession, cfg: Cfg, trips: DataFrame | None = Non
 
 def gold_maps_kpis_dashboard(spark: SparkSession, cfg: Cfg, enriched: DataFrame | None = None,
                              trips: DataFrame | None = None) -> DataFrame:
-    """One KPI row: activity counts (one aggregate), cities/countries with a
-    directions row, trip KPIs floored by start, new places this year, home."""
+    """One KPI row: activity counts, cities/countries with a directions row,
+    trip KPIs floored by start, new places this year, home.
+
+    The activity part is ONE scan: GROUPING SETS ((), (locality),
+    (country)) computes the totals and the per-locality / per-country
+    directions counts together (Expand + one hash aggregate); a second,
+    tiny aggregate over that result (one row per locality and country)
+    folds it into the KPI row."""
     e = enriched if enriched is not None else silver_maps_activity_enriched(spark, cfg)
     a = public_activity(spark, cfg, e).filter(F.col("event_date") >= floor_date(cfg))
     t = F.col("activity_type")
-    k = a.agg(F.count(F.lit(1)).alias("total_activities"),
-              F.count_if(t == "directions").alias("total_directions"),
-              F.count_if(t == "search").alias("total_searches"),
-              F.count_if(t == "view_place").alias("total_explorations"),
-              F.countDistinct("event_date").alias("days_with_activity"),
-              F.countDistinct(F.when(F.col("place_name") != "", F.col("place_name"))).alias("unique_destinations"),
-              F.min("event_date").alias("__min"), F.max("event_date").alias("__max"))
-
-    def with_directions(col):
-        g = a.filter(F.col(col) != "").groupBy(col).agg(F.count_if(t == "directions").alias("d"))
-        return g.filter("d > 0").agg(F.count(F.lit(1)).alias(f"{'cities' if col == 'locality' else 'countries'}_visited"))
+    gs = a.groupingSets([[], ["locality"], ["country"]], "locality", "country").agg(
+        F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("n"),
+        F.count_if(t == "directions").alias("dirs"), F.count_if(t == "search").alias("searches"),
+        F.count_if(t == "view_place").alias("views"), F.countDistinct("event_date").alias("days"),
+        F.countDistinct(F.when(F.col("place_name") != "", F.col("place_name"))).alias("places"),
+        F.min("event_date").alias("__min"), F.max("event_date").alias("__max"))
+    total = F.col("gid") == 3          # () : both columns aggregated away
+    by_loc, by_country = F.col("gid") == 1, F.col("gid") == 2
+
+    def tot(c):
+        return F.max(F.when(total, F.col(c)))
+    k = gs.agg(tot("n").alias("total_activities"), tot("dirs").alias("total_directions"),
+               tot("searches").alias("total_searches"), tot("views").alias("total_explorations"),
+               tot("days").alias("days_with_activity"), tot("places").alias("unique_destinations"),
+               tot("__min").alias("__min"), tot("__max").alias("__max"),
+               F.count_if(by_loc & (F.col("locality") != "") & (F.col("dirs") > 0)).alias("cities_visited"),
+               F.count_if(by_country & (F.col("country") != "") & (F.col("dirs") > 0)).alias("countries_visited"))
     gt = gold_maps_trips(spark, cfg, trips)
     recent = gt.filter(F.to_date("start") >= floor_date(cfg))
     tk = recent.agg(F.coalesce(F.sum("days"), F.lit(0)).cast("long").alias("days_away_from_home"),
@@ -181,12 +193,14 @@ def gold_maps_kpis_dashboard(spark: SparkSession, cfg: Cfg, enriched: DataFrame
     home = silver_home_base(spark, cfg, e).agg(F.coalesce(F.first("home_locality"), F.lit("")).alias("home_locality"),
                                                F.coalesce(F.first("home_country"), F.lit("")).alias("home_country"))
     one = k
-    for part in (with_directions("locality"), with_directions("country"), tk, newp, home):
+    for part in (tk, newp, home):
         one = attach_scalar(one, part)
     n = F.col("total_activities")
     return one.select(
-        "total_activities", "total_directions", "total_searches", "total_explorations",
-        F.col("total_explorations").alias("total_likely_visits"), "days_with_activity", "unique_destinations",
+        F.coalesce(n, F.lit(0)).alias("total_activities"),
+        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("total_directions", "total_searches", "total_explorations")],
+        F.coalesce(F.col("total_explorations"), F.lit(0)).alias("total_likely_visits"),
+        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("days_with_activity", "unique_destinations")],
         "cities_visited", "countries_visited",
         F.coalesce(F.col("__min"), F.lit(dt.date(1970, 1, 1))).cast("string").alias("first_activity"),
         F.coalesce(F.col("__max"), F.lit(dt.date(1970, 1, 1))).cast("string").alias("last_activity"),
