@@ -79,3 +79,43 @@ def run_parallel(calls, workers: int = 8):
         return []
     with ThreadPoolExecutor(max_workers=min(workers, len(calls))) as pool:
         return list(pool.map(lambda c: c[0](*c[1]), calls))
+
+
+def cluster_conf(input_bytes: float, executors: int, cores_per_executor: int = 8,
+                 executor_memory_gb: float = 32.0, target_partition_mb: int = 256) -> dict[str, str]:
+    """Spark settings sized for a cluster run over ``input_bytes``.
+
+    * scan splits of ``target_partition_mb`` (files.maxPartitionBytes) so a
+      task's input fits comfortably in its share of executor memory;
+    * initial shuffle partitions = max(input / target, 3 × total cores),
+      rounded up to a multiple of the core count, and AQE coalescing back to
+      the advisory size at run time, so small stages do not pay for the
+      large ones;
+    * AQE skew-join splitting for a key that holds a large share of a
+      partition, and a broadcast threshold far below a task's memory share.
+    Example: 100 TiB on 1000 executors × 8 cores → 256 MiB splits and
+    416,000 shuffle partitions (100 TiB / 256 MiB rounded up to a multiple of
+    the 8,000 cores) before AQE coalescing."""
+    cores = max(executors * cores_per_executor, 1)
+    target = target_partition_mb * 1024 * 1024
+    per_task_mem = executor_memory_gb * 1024 ** 3 / max(cores_per_executor, 1)
+    split = int(min(target, per_task_mem / 4))
+    parts = max(-(-int(input_bytes) // split), 3 * cores)
+    parts = ((parts + cores - 1) // cores) * cores
+    bcast = int(min(64 * 1024 ** 2, per_task_mem / 16))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(split),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(split),
+        "spark.sql.autoBroadcastJoinThreshold": str(bcast),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(bcast),
+        "spark.sql.parquet.aggregatePushdown": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.parquet.compression.codec": "zstd",
+        "spark.ui.enabled": "false",
+    }
