@@ -29,17 +29,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_raw(spark: SparkSession, cfg: Cfg, name: str) -> DataFrame:
-    """All stored rows (no dedup). A missing table reads as empty with its
-    schema; columns added later to the schema are filled with NULL."""
+    """All stored rows (no dedup), read with the declared schema: no schema
+    inference or footer merging job, and columns added to the schema later
+    read as NULL from older files. A missing table reads as empty."""
     s = spec(name)
     p = path_of(cfg, name)
     if not _exists(spark, p):
         return spark.createDataFrame([], s.schema)
-    df = spark.read.option("mergeSchema", "true").parquet(p)
-    for f in s.schema.fields:
-        if f.name not in df.columns:
-            df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in s.schema.fields])
+    return spark.read.schema(s.schema).parquet(p)
 
 
 def read_table(spark: SparkSession, cfg: Cfg, name: str) -> DataFrame:
