@@ -27,7 +27,7 @@ from daybook.functions.numeric import quantize_level, safe_div
 from daybook.functions.text import first_nonblank, join_nonblank, stable_id, text_key, url_decode_plus, url_param
 from daybook.functions.timefn import iso_dow, iso_utc, minutes_between, readable_delta
 from daybook.operators.islands import island_runs, run_mode, run_path_km
-from daybook.operators.joins import band_anti_join, overlap_join, valid_intervals, within_radius_flag
+from daybook.operators.joins import overlap_join, valid_intervals, within_radius_flag
 from daybook.operators.segments import dwell_segments, transitions
 from daybook.operators.spine import date_spine, densify, int_spine
 from daybook.operators.topn import rank_rows, top_n, top_n_per_group, top_n_plus_other
