@@ -156,3 +156,29 @@ def test_tolerant_read_keeps_bad_files(spark):
     assert good.count() == 1 and good.first()["title"] == "Used Maps"
     b = bad.collect()
     assert len(b) == 1 and b[0]["_file"].endswith("bad.json") and "{not json" in b[0]["_corrupt_record"]
+
+
+def test_speed_layer_stream_equals_batch_on_closed_segments(spark):
+    import random
+    from daybook.operators.segments import dwell_segments
+    from daybook.streaming.speed_layer import plays_stream
+    rnd = random.Random(11)
+    t0 = dt.datetime(2025, 6, 30, 8)
+    rows, t = [], t0
+    for i in range(300):
+        t += dt.timedelta(seconds=rnd.choice([2, 5, 20, 45, 90, 200, 400]))
+        rows.append((rnd.choice(["d1", "d2"]), t, rnd.choice(["a", "b", "c", ""]), rnd.choice([0, 30000, 180000])))
+    d = tempfile.mkdtemp(prefix="speed-")
+    df = spark.createDataFrame(rows, "device_id string, captured_at timestamp, track_id string, track_duration_ms long")
+    df.write.parquet(d + "/in")
+    stream = spark.readStream.schema(df.schema).parquet(d + "/in")
+    q = (plays_stream(stream, watermark="1 minute").writeStream.format("memory").queryName("speed_out")
+         .outputMode("append").option("checkpointLocation", d + "/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {(r["device_id"], r["track_id"], r["started_at"], r["played_at"]) for r in spark.table("speed_out").collect()}
+    batch = dwell_segments(df, ["device_id"], "captured_at", "track_id", "track_duration_ms",
+                           t + dt.timedelta(days=1))
+    want = {(r["device_id"], r["track_id"], r["captured_at"], r["played_at"]) for r in batch.collect()}
+    last_start = {dev: max(r[2] for r in want if r[0] == dev) for dev in ("d1", "d2")}
+    closed = {w for w in want if w[2] < last_start[w[0]]}
+    assert closed and closed <= got and got <= want
