@@ -343,3 +343,20 @@ MODEL_ORACLE.update({
                strftime(event_ts, '%Y-%m-%dT%H:%M:%SZ') AS time, image_url, kind AS activity_type, is_from_ads
         FROM ({UNIFIED}) QUALIFY recency_rank <= 10""",
 })
+
+MODEL_ORACLE.update({
+    "model_gold_calendar_kpis": f"""
+        WITH ev AS ({TIMED}), days AS (SELECT count(DISTINCT event_date) AS d FROM ev),
+        ws AS (SELECT day_of_week, count(*) AS n FROM ev GROUP BY 1),
+        b AS (SELECT coalesce((SELECT ['Mon','Tue','Wed','Thu','Fri','Sat','Sun'][day_of_week] FROM ws
+                               ORDER BY n DESC, day_of_week LIMIT 1), 'Mon') AS busiestDay)
+        SELECT count(*) FILTER (WHERE attendee_count > 0) AS plansCount,
+               CAST(greatest(0, 30 - (SELECT d FROM days)) AS BIGINT) AS freeDays,
+               count(*) AS totalEvents, CAST(coalesce(round(sum(duration_minutes) / 60.0, 0), 0) AS BIGINT) AS meetingHours,
+               coalesce(round(count(*) / nullif((SELECT d FROM days), 0), 1), 0.0) AS avgDaily,
+               (SELECT busiestDay FROM b) AS busiestDay
+        FROM ev""",
+    "model_gold_calendar_upcoming_events": f"""
+        SELECT title, category, strftime(started_at, '%Y-%m-%dT%H:%M:%SZ') AS time, duration_minutes AS durationMinutes
+        FROM ({CAL_EVENTS}) WHERE started_at >= {AS_OF} AND is_all_day = 0 ORDER BY started_at, event_id LIMIT 8""",
+})
