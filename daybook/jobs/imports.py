@@ -61,3 +61,16 @@ def import_calendar(spark: SparkSession, cfg: Cfg, events: DataFrame) -> int:
     """Per-calendar event payloads (with calendar_id/calendar_name columns)
     → bronze (PIP-13); deletions arrive as status 'cancelled' versions."""
     return _land(google.calendar_event_rows(events), cfg, "calendar_events", "calendar", False)
+
+
+def rebuild_private_places(spark: SparkSession, cfg: Cfg, root: str, radius_m: int = 100) -> int:
+    """Rebuild the privacy filter from starred-place GeoJSON files (SRC-13,
+    SNK-03/04): only coordinates are kept, and an input that yields no
+    coordinates refuses to replace the current list."""
+    from daybook.sources.tables import overwrite_guarded
+    collections = (spark.read.schema(spotify.schema(google.STARRED_DDL)).option("multiLine", True)
+                   .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").json(root))
+    rows = google.starred_place_rows(collections, radius_m).withColumn(
+        "_set_at", F.lit(cfg.as_of).cast("timestamp"))
+    overwrite_guarded(rows, cfg, "maps_private_places", allow_empty=False)
+    return spark.read.parquet(f"{cfg.table_path('silver', 'maps_private_places')}").count()

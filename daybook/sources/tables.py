@@ -68,22 +68,30 @@ def append(df: DataFrame, cfg: Cfg, name: str, ingested_at=None, skip_empty: boo
 
 def overwrite_guarded(df: DataFrame, cfg: Cfg, name: str, allow_empty: bool = True) -> None:
     """Full rebuild (SNK-03). With ``allow_empty=False`` an empty result
-    raises before anything is replaced (SNK-04 fail-safe). The new rows are
-    written to a side folder first, then swapped in."""
+    raises before anything is replaced (SNK-04 fail-safe).
+
+    The new rows are written to a staging folder; the old table is moved
+    aside, the staging folder moved in, and only then is the old copy
+    deleted. A run that dies in between leaves either the old table or its
+    ``__old`` copy, which the next run restores before doing anything."""
     s = spec(name)
     out = df.select(*[F.col(f.name).cast(f.dataType) for f in s.schema.fields])
-    if not allow_empty and out.isEmpty():
-        raise ValueError(f"refusing to replace {name} with an empty result")
     spark = df.sparkSession
-    target = path_of(cfg, name)
-    staging = target.rstrip("/") + "__staging"
-    out.write.mode("overwrite").parquet(staging)
     jvm = spark.sparkContext._jvm
-    fs = jvm.org.apache.hadoop.fs.Path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    tp, sp = jvm.org.apache.hadoop.fs.Path(target), jvm.org.apache.hadoop.fs.Path(staging)
+    target = path_of(cfg, name).rstrip("/")
+    tp, sp, bp = (jvm.org.apache.hadoop.fs.Path(x) for x in (target, target + "__staging", target + "__old"))
+    fs = tp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(tp) and fs.exists(bp):
+        fs.rename(bp, tp)                       # recover an interrupted swap
+    if not allow_empty and out.isEmpty():
+        raise ValueError(f"refusing to replace {name} with an empty result")
+    out.write.mode("overwrite").parquet(target + "__staging")
+    if fs.exists(bp):
+        fs.delete(bp, True)
     if fs.exists(tp):
-        fs.delete(tp, True)
+        fs.rename(tp, bp)
     fs.rename(sp, tp)
+    fs.delete(bp, True)
 
 
 def register_views(spark: SparkSession, frames: dict[str, DataFrame]) -> None:

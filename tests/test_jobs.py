@@ -134,3 +134,20 @@ def test_trips_evidence_verdicts_weather_and_build(spark, cfg, put_rows):
     cur = bundles.current_track_shaped(models["gold_spotify_current_track"]).collect()
     assert len(cur) == 1 and cur[0]["has_track"] is False
     assert read_raw(spark, cfg, "alerts").count() == 0
+
+
+def test_private_places_rebuild_is_fail_safe(spark, cfg):
+    root = tempfile.mkdtemp(prefix="star-")
+    with open(os.path.join(root, "Saved Places.json"), "w") as f:
+        json.dump({"features": [{"geometry": {"coordinates": [2.35, 48.85]}},
+                                {"geometry": {"coordinates": [0, 0]}}]}, f)
+    assert imports.rebuild_private_places(spark, cfg, root) == 1
+    empty = tempfile.mkdtemp(prefix="star-empty-")
+    with open(os.path.join(empty, "Saved Places.json"), "w") as f:
+        json.dump({"features": []}, f)
+    try:
+        imports.rebuild_private_places(spark, cfg, empty)
+        raise AssertionError("an empty rebuild must be refused")
+    except ValueError:
+        pass
+    assert read_table(spark, cfg, "maps_private_places").count() == 1   # old list intact
