@@ -11,8 +11,11 @@ from daybook.functions.text import clip
 from daybook.operators.joins import valid_intervals
 from daybook.sources.tables import append, read_table
 
-LABELS = ["confirm", "reject", "edit"]  # fixed values: accepted label verbs
+# fixed values: accepted label verbs, the trip key pattern and clip lengths
+LABELS = ["confirm", "reject", "edit"]
 TRIP_KEY_RE = "^\\d{4}-\\d{2}-\\d{2}_\\d{4}-\\d{2}-\\d{2}$"
+EDIT_CLIP = {"edited_title": 200, "edited_destination": 200, "edited_trip_type": 32}
+NOTE_CLIP = 500
 
 
 def validate_labels(posted: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -25,9 +28,8 @@ def validate_labels(posted: DataFrame) -> tuple[DataFrame, DataFrame]:
     is_edit = F.col("label") == "edit"
     ok = p.filter(F.col("reason").isNull()).select(
         "trip_key", "label",
-        *[F.when(is_edit, clip(F.col(c), 120)).otherwise(F.lit("")).alias(c)
-          for c in ("edited_title", "edited_destination", "edited_trip_type")],
-        clip(F.col("note"), 500).alias("note"))
+        *[F.when(is_edit, clip(F.col(c), n)).otherwise(F.lit("")).alias(c) for c, n in EDIT_CLIP.items()],
+        clip(F.col("note"), NOTE_CLIP).alias("note"))
     return ok, p.filter(F.col("reason").isNotNull())
 
 

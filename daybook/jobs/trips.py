@@ -13,7 +13,8 @@ from daybook.operators.joins import overlap_join
 from daybook.operators.topn import top_n_per_group
 from daybook.plans.maps import public_activity, silver_geo_daily, trip_key
 
-TRIP_TYPES = ["vacation", "business", "family", "event", "weekend", "layover", "other"]  # verdict enum
+# fixed values: accepted trip types of a verdict (anything else becomes 'other')
+TRIP_TYPES = ["leisure", "business", "weekend", "day_trip", "relocation", "visiting", "other"]
 
 
 def segment_trips(spark: SparkSession, cfg: Cfg, geo_daily: DataFrame | None = None) -> DataFrame:
@@ -119,25 +120,32 @@ def trip_evidence(spark: SparkSession, cfg: Cfg, trips: DataFrame, enriched: Dat
 
 
 def normalise_verdicts(verdicts: DataFrame, done: DataFrame | None = None, force: bool = False) -> DataFrame:
-    """Externally supplied verdict rows → ``maps_trips_enriched`` rows:
-    enum trip type, confidence clamped to [0, 1], clipped texts, split
-    suggestions as bounded JSON; keys already enriched are skipped unless
-    ``force`` (PIP-03, STR-20, JSN-02, JON-17). The JSON object is taken
-    from the first '{' to the last '}' of the raw answer (JSN-04)."""
+    """Externally supplied verdict rows → ``maps_trips_enriched`` rows
+    (PIP-03, STR-20, JSN-02, JSN-04): the JSON object is taken from the first
+    '{' to the last '}' of the raw answer; trip type trimmed, clipped to 32,
+    lower-cased, '-'/' ' → '_', unknown → 'other'; confidence clamped to
+    [0, 1]; texts trimmed and clipped (title and label 200, country 100,
+    summary 1000, evidence 500); a non-empty split list becomes JSON text
+    (', ' separators, at most 2000 characters), otherwise ''. Keys already
+    enriched are skipped unless ``force`` (JON-17)."""
     raw = F.regexp_extract(F.coalesce(F.col("raw"), F.lit("")), "(?s)(\\{.*\\})", 1)
     schema = ("is_trip boolean, confidence double, trip_type string, title string, destination_label string, "
-              "destination_country string, summary string, suggested_split array<string>")
+              "destination_country string, summary string, evidence string, suggested_split array<string>")
     v = verdicts.withColumn("j", F.from_json(raw, schema))
+    split = F.col("j.suggested_split")
+    split_items = F.transform(split, lambda x: F.regexp_extract(F.to_json(F.array(x)), "^\\[(.*)\\]$", 1))
+    split_text = F.when(F.coalesce(F.size(split), F.lit(0)) > 0,
+                        F.substring(F.concat(F.lit("["), F.array_join(split_items, ", "), F.lit("]")), 1, 2000))
     out = v.select(
         "trip_key", "started_at", "ended_at", (F.datediff("ended_at", "started_at") + 1).cast("int").alias("days"),
         F.coalesce(F.col("j.is_trip"), F.lit(False)).cast("int").alias("is_trip"),
         clamp01(F.col("j.confidence")).cast("float").alias("confidence"),
-        enum_normalise(F.col("j.trip_type"), TRIP_TYPES).alias("trip_type"),
-        clip(F.col("j.title"), 80).alias("title"), clip(F.col("j.destination_label"), 80).alias("destination_label"),
-        clip(F.col("j.destination_country"), 60).alias("destination_country"),
-        clip(F.col("j.summary"), 500).alias("summary"), F.coalesce("evidence", F.lit("")).alias("evidence"),
-        F.substring(F.to_json(F.coalesce(F.col("j.suggested_split"), F.array().cast("array<string>"))), 1, 1000)
-        .alias("suggested_split"), F.coalesce("model", F.lit("")).alias("model"))
+        enum_normalise(clip(F.col("j.trip_type"), 32), TRIP_TYPES).alias("trip_type"),
+        clip(F.col("j.title"), 200).alias("title"), clip(F.col("j.destination_label"), 200).alias("destination_label"),
+        clip(F.col("j.destination_country"), 100).alias("destination_country"),
+        clip(F.col("j.summary"), 1000).alias("summary"), clip(F.col("j.evidence"), 500).alias("evidence"),
+        F.coalesce(split_text, F.lit("")).alias("suggested_split"),
+        F.substring(F.coalesce("model", F.lit("")), 1, 64).alias("model"))
     if done is not None and not force:
         out = out.join(done.select("trip_key").distinct(), "trip_key", "left_anti")
     return out

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from daybook.functions.text import is_geocodable
 
 # fixed values: place types too generic to be the primary type
-GENERIC_TYPES = ["point_of_interest", "establishment", "political", "geocode", "premise"]
+GENERIC_TYPES = ["point_of_interest", "establishment", "place_of_worship", "food", "premise", "subpremise",
+                 "political", "geocode", "street_address", "route"]
 GEOCODE_RESULT_DDL = ("key string, place_id string, name string, address_line1 string, category string, "
                       "result_type string, lat double, lon double, formatted string, neighbourhood string, "
                       "suburb string, district string, city string, state string, country string, "
@@ -25,21 +26,24 @@ def nz(c: Column) -> Column:
 
 def geocoder_rows(results: DataFrame) -> DataFrame:
     """Geocoder results → place rows (SRC-20): primary type = last dotted
-    segment of the category, else the result type; neighbourhood ←
-    suburb ← district; upper-case country code."""
-    cat = F.element_at(F.split(_s(F.col("category")), "\\."), -1)
+    segment of the category (when there is one), else the result type;
+    neighbourhood ← suburb ← district; sublocality ← district ← suburb;
+    upper-case country code; confidence from the rank; match type = result
+    type."""
+    cat = _s(F.col("category"))
     return results.select(
         F.col("key").alias("lookup_key"), _s(F.col("place_id")).alias("place_id"),
         F.coalesce(nz(F.col("name")), nz(F.col("address_line1")), F.lit("")).alias("place_name"),
-        F.coalesce(nz(cat), _s(F.col("result_type"))).alias("primary_type"),
+        F.when(cat != "", F.array(cat)).otherwise(F.array().cast("array<string>")).alias("place_types"),
+        F.when(cat != "", F.element_at(F.split(cat, "\\."), -1)).otherwise(_s(F.col("result_type"))).alias("primary_type"),
         F.coalesce(F.col("lat"), F.lit(0.0)).alias("lat"), F.coalesce(F.col("lon"), F.lit(0.0)).alias("lng"),
         _s(F.col("formatted")).alias("formatted_address"),
         F.coalesce(nz(F.col("neighbourhood")), nz(F.col("suburb")), nz(F.col("district")), F.lit("")).alias("neighborhood"),
-        _s(F.col("suburb")).alias("sublocality"), _s(F.col("city")).alias("locality"),
-        _s(F.col("state")).alias("admin_area_1"), _s(F.col("country")).alias("country"),
+        F.coalesce(nz(F.col("district")), nz(F.col("suburb")), F.lit("")).alias("sublocality"),
+        _s(F.col("city")).alias("locality"), _s(F.col("state")).alias("admin_area_1"), _s(F.col("country")).alias("country"),
         F.upper(_s(F.col("country_code"))).alias("country_code"),
         F.coalesce(F.col("rank.confidence"), F.lit(0.0)).cast("float").alias("match_confidence"),
-        F.when(_s(F.col("result_type")) != "", F.col("result_type")).otherwise(F.lit("poi")).alias("match_type"))
+        _s(F.col("result_type")).alias("match_type"))
 
 
 def address_component(components, kind: str, field: str = "long_name") -> Column:

@@ -108,11 +108,11 @@ def test_trips_evidence_verdicts_weather_and_build(spark, cfg, put_rows):
     assert ev[rome_key]["n"] == 7 and ev[rome_key]["n_dir"] == 5      # home days inside the window count too
     assert "Flight to Rome" in ev[rome_key]["evidence"] and "Rome, Italy" in ev[rome_key]["evidence"]
     v = spark.createDataFrame([(rome_key, "noise {\"is_trip\": true, \"confidence\": 1.7, \"trip_type\": \"Road Trip\","
-                                          " \"title\": \"Rome\", \"suggested_split\": [\"a\"]} tail", "m1")],
+                                          " \"title\": \"Rome\", \"suggested_split\": [\"a\", \"b\"]} tail", "m1")],
                               "trip_key string, raw string, model string").join(
         read_table(spark, cfg, "maps_trips").withColumn("trip_key", maps.trip_key("started_at", "ended_at")), "trip_key")
     nv = trips.normalise_verdicts(v.withColumn("evidence", F.lit(""))).first()
-    assert nv["confidence"] == 1.0 and nv["trip_type"] == "other" and nv["suggested_split"] == '["a"]'
+    assert nv["confidence"] == 1.0 and nv["trip_type"] == "other" and nv["suggested_split"] == '["a", "b"]'
     cents = trips.destination_centroid(read_table(spark, cfg, "maps_trips").withColumn(
         "trip_key", maps.trip_key("started_at", "ended_at")), maps.public_activity(spark, cfg, e))
     c = {r["trip_key"]: r for r in cents.collect()}[rome_key]

@@ -15,13 +15,14 @@ def test_geocoder_rows(spark):
     r = {x["lookup_key"]: x for x in places.geocoder_rows(df).collect()}
     assert (r["q:a"]["place_name"], r["q:a"]["primary_type"], r["q:a"]["neighborhood"]) == ("1 Rue X", "coffee", "D")
     assert r["q:a"]["country_code"] == "FR" and abs(r["q:a"]["match_confidence"] - 0.8) < 1e-6
+    assert (r["q:a"]["sublocality"], r["q:a"]["match_type"], r["q:a"]["place_types"]) == ("D", "amenity", ["catering.cafe.coffee"])
     assert (r["q:b"]["primary_type"], r["q:b"]["neighborhood"], r["q:b"]["match_confidence"]) == ("city", "S", 0.0)
 
 
 def test_components_primary_type_fallback(spark):
     df = spark.createDataFrame([([{"long_name": "Paris", "types": ["locality", "political"]},
                                   {"long_name": "FR", "types": ["country"]}],
-                                 ["point_of_interest", "establishment", "museum"]),
+                                 ["point_of_interest", "establishment", "food", "museum"]),
                                 ([], ["establishment"]), ([], [])],
                                "components array<struct<long_name:string,types:array<string>>>, types array<string>")
     out = df.select(places.address_component("components", "locality").alias("loc"),
