@@ -182,7 +182,11 @@ def weather_summary(trips: DataFrame, centroids: DataFrame, daily_weather: DataF
         F.avg("temperature_2m_mean").alias("temp_mean"), F.avg("temperature_2m_max").alias("tmax"),
         F.avg("temperature_2m_min").alias("tmin"), F.coalesce(F.sum("precipitation_sum"), F.lit(0.0)).alias("precip_mm"))
     g = g.filter(F.col("temp_mean").isNotNull())
-    label = F.concat(F.format_number("temp_mean", 1), F.lit("°C avg, "), F.format_number("precip_mm", 0),
-                     F.lit(" mm rain"))
-    return g.select("trip_key", "lat", "lng", "temp_mean", F.coalesce("tmax", "temp_mean").alias("temp_max"),
-                    F.coalesce("tmin", "temp_mean").alias("temp_min"), "precip_mm", label.alias("summary"))
+    # fixed format of the window summary; whole numbers round half to even
+    label = F.concat(F.bround("temp_mean", 0).cast("long").cast("string"), F.lit("°C avg · "),
+                     F.bround("precip_mm", 0).cast("long").cast("string"), F.lit("mm rain"))
+    one = lambda c: F.bround(c, 1)
+    return g.select("trip_key", "lat", "lng", one("temp_mean").alias("temp_mean"),
+                    one(F.coalesce("tmax", "temp_mean")).alias("temp_max"),
+                    one(F.coalesce("tmin", "temp_mean")).alias("temp_min"), one("precip_mm").alias("precip_mm"),
+                    label.alias("summary"))

@@ -125,6 +125,7 @@ def test_trips_evidence_verdicts_weather_and_build(spark, cfg, put_rows):
     ws = trips.weather_summary(read_table(spark, cfg, "maps_trips").withColumn("trip_key", maps.trip_key("started_at", "ended_at")),
                                cents, wx).collect()
     assert len(ws) == 1 and ws[0]["temp_mean"] == 22.0 and ws[0]["temp_min"] == 22.0 and ws[0]["precip_mm"] == 5.0
+    assert ws[0]["summary"] == "22°C avg · 5mm rain"
     models = registry.build_all(spark, cfg)
     assert len(models) >= 48
     for name, df in models.items():
