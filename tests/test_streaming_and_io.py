@@ -182,3 +182,37 @@ def test_speed_layer_stream_equals_batch_on_closed_segments(spark):
     last_start = {dev: max(r[2] for r in want if r[0] == dev) for dev in ("d1", "d2")}
     closed = {w for w in want if w[2] < last_start[w[0]]}
     assert closed and closed <= got and got <= want
+
+
+def test_now_playing_end_to_end(spark, cfg):
+    """Wire messages → contract → landed bronze → streaming speed layer; the
+    closed plays equal the batch speed-layer model over the same table."""
+    from daybook.plans.spotify import silver_spotify_plays_stream
+    from daybook.schemas import TABLES
+    from daybook.streaming.speed_layer import plays_stream
+    t0 = cfg.as_of - dt.timedelta(hours=3)
+    seq = [("a", 0, 200000), ("a", 60, 200000), ("b", 240, 180000), ("c", 250, 100000), ("d", 600, 0), ("e", 900, 240000)]
+    rows = []
+    for tid, sec, dur in seq:
+        r = dict(GOOD)
+        r.update(track_id=tid, track_duration_ms=dur, device_id="phone")
+        rows.append((t0 + dt.timedelta(seconds=sec), r))
+    df = spark.createDataFrame([{**r, "captured_at": ts} for ts, r in rows],
+                               ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TABLES["spotify_player_current"].schema.fields
+                                         if f.name != "_ingested_at"))
+    src = tempfile.mkdtemp(prefix="np-e2e-")
+    df.select(now_playing.wire_json(df).alias("value")).coalesce(1).write.text(src + "/msgs")
+    q = now_playing.run(spark, cfg, src + "/msgs", os.path.join(cfg.root, "_ck_e2e"))
+    assert sum(c["ok"] for c in q.counters) == len(seq)
+    landed_path = cfg.table_path("bronze", "spotify_player_current")
+    stream = spark.readStream.schema(TABLES["spotify_player_current"].schema).parquet(landed_path)
+    sq = (plays_stream(stream, watermark="1 minute").writeStream.format("memory").queryName("e2e_plays")
+          .outputMode("append").option("checkpointLocation", src + "/ck2").trigger(availableNow=True).start())
+    sq.awaitTermination()
+    streamed = {(r["track_id"], r["played_at"]) for r in spark.table("e2e_plays").collect()}
+    batch = {(r["track_id"], r["played_at"]) for r in silver_spotify_plays_stream(spark, cfg).collect()}
+    s = lambda n: t0 + dt.timedelta(seconds=n)
+    # 'a' (pause/resume folded) ends at its clamp 200 s + 15 s; 'b' lasted 10 s: dropped;
+    # 'd' (unknown duration) ends at the next change; 'e' is the open tail
+    closed = {("a", s(200 + 15)), ("c", s(250 + 100 + 15)), ("d", s(900))}
+    assert closed <= batch and closed <= streamed and streamed <= batch
