@@ -102,8 +102,9 @@ LEFT JOIN nation n ON n.n_nationkey = coalesce(c.c_nationkey, -1)
 def enrich_with_fallback(spark, d):
     """Plays ⟕ catalog ⟕ second catalog on a key computed from the first
     join; catalog value preferred, fact fallback when missing/empty.
-    The catalog (customer) grows with the data and is shuffled; the nation
-    table is tiny and broadcast automatically by size."""
+    No broadcast is forced: the catalog grows with the data, so Spark (and
+    AQE at run time) broadcasts a side only when its measured size is under
+    the threshold and shuffles both sides otherwise."""
     o = read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     cat = read(spark, d, "customer").filter(F.col("c_mktsegment") != "BUILDING") \
         .select("c_custkey", "c_name", "c_nationkey")
