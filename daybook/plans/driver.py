@@ -870,8 +870,8 @@ def home_and_daily_location(spark, d):
     views + searches); per day the dominant place (two-level aggregation,
     tie-safe ``max(struct(weight, n, locality, country, lat, lng))``),
     distance to home and the away rule (other country, or other locality
-    more than 50 km away). The one-row home is attached by a bounded
-    broadcast."""
+    more than 50 km away). The one-row home is read once and attached as
+    literals (``attach_scalar``)."""
     from daybook.operators.merge import attach_scalar
     c = read(spark, d, "customer").filter(F.col("c_acctbal") >= 0)
     a = (read(spark, d, "orders").join(c, F.col("c_custkey") == F.col("o_custkey"))
