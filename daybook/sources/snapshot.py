@@ -92,16 +92,19 @@ def restore(spark: SparkSession, root: str, target: Callable[[str], str | None],
         raise FileNotFoundError(f"no complete snapshot under {root}")
     fs, p = _fs(spark, f"{root.rstrip('/')}/dt={day}")
     present = sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
-    wanted = None if tables is None else {t.split(".")[-1] for t in tables}
+
+    def bare(n: str) -> str:
+        return n.split(".")[-1]
+    wanted = None if tables is None else {bare(t) for t in tables}
     if wanted is not None:
-        missing = wanted - set(present)
+        missing = wanted - {bare(n) for n in present}
         if missing:
             raise FileNotFoundError(f"tables not in snapshot {day}: {sorted(missing)}")
     def restore_one(name: str, dest: str) -> tuple[str, int]:
         read_snapshot(spark, root, day, name).write.mode("append").parquet(dest)
         return name, 1
     jobs = [(restore_one, (name, target(name))) for name in present
-            if (wanted is None or name in wanted) and target(name) is not None]
+            if (wanted is None or bare(name) in wanted) and target(name) is not None]
     done: dict[str, int] = dict(_parallel(jobs))
     if not done:
         raise ValueError("restore selected no tables")
@@ -130,3 +133,27 @@ def prune(spark: SparkSession, root: str, retention_days: int, today: dt.date) -
             fs.delete(st.getPath(), True)
             gone.append(name[3:])
     return sorted(gone)
+
+
+def snapshot_warehouse(spark: SparkSession, cfg, root: str, day: dt.date) -> dict:
+    """Snapshot every registered warehouse table that exists, read latest
+    version per key (the deduplicated state), one ``layer.table`` folder each."""
+    from daybook.schemas import TABLES
+    from daybook.sources.tables import _exists, path_of, read_table
+    tables = {f"{t.layer}.{t.name}": read_table(spark, cfg, t.name)
+              for t in TABLES.values() if _exists(spark, path_of(cfg, t.name))}
+    return snapshot(spark, tables, root, day)
+
+
+def restore_warehouse(spark: SparkSession, cfg, root: str, day: str | None = None,
+                      tables: Sequence[str] | None = None) -> dict[str, int]:
+    """Restore a warehouse snapshot into ``cfg``'s tables (appends; reads
+    dedup, so a repeated restore changes nothing). Folders of tables the
+    registry does not know are skipped."""
+    from daybook.schemas import TABLES
+    from daybook.sources.tables import path_of
+
+    def target(name: str) -> str | None:
+        t = name.split(".")[-1]
+        return path_of(cfg, t) if t in TABLES else None
+    return restore(spark, root, target, day, tables)

@@ -216,3 +216,20 @@ def test_now_playing_end_to_end(spark, cfg):
     # 'd' (unknown duration) ends at the next change; 'e' is the open tail
     closed = {("a", s(200 + 15)), ("c", s(250 + 100 + 15)), ("d", s(900))}
     assert closed <= batch and closed <= streamed and streamed <= batch
+
+
+def test_warehouse_snapshot_restore_is_idempotent(spark, cfg, put_rows):
+    from daybook.config import Cfg
+    put_rows(cfg, "youtube_search_history", [{"searched_at": AS_OF, "query": "a"}, {"searched_at": AS_OF, "query": "b"}])
+    put_rows(cfg, "youtube_search_history", [{"searched_at": AS_OF, "query": "a"}], ingested_at=AS_OF + dt.timedelta(1))
+    put_rows(cfg, "spotify_artists", [{"artist_id": "x", "artist_name": "X"}])
+    root = tempfile.mkdtemp(prefix="wh-snap-")
+    m = snapshot.snapshot_warehouse(spark, cfg, root, dt.date(2025, 6, 30))
+    assert m["tables"]["bronze.youtube_search_history"]["rows"] == 2          # deduplicated state
+    os.makedirs(os.path.join(root, "dt=2025-06-30", "bronze.unknown_table"))  # not in the registry: skipped
+    fresh = Cfg(as_of=cfg.as_of, root=tempfile.mkdtemp(prefix="wh-new-"))
+    done = snapshot.restore_warehouse(spark, fresh, root)
+    assert set(done) == {"bronze.youtube_search_history", "bronze.spotify_artists"}
+    snapshot.restore_warehouse(spark, fresh, root, tables=["youtube_search_history"])   # bare name, second time
+    assert read_table(spark, fresh, "youtube_search_history").count() == 2
+    assert read_table(spark, fresh, "spotify_artists").first()["artist_name"] == "X"
