@@ -52,8 +52,8 @@ MAPS_RAW = f"""SELECT CAST(ts AS TIMESTAMP) AS event_ts,
   CASE WHEN value < 50 THEN 'directions' WHEN value < 150 THEN 'search' ELSE 'view_place' END AS activity_type,
   'place ' || CAST({K} AS VARCHAR) AS place FROM events WHERE event_type IN ('signup', 'error')"""
 CATALOG = """SELECT 'q:place ' || CAST(s_suppkey AS VARCHAR) AS place_id, ((s_acctbal + 1000) % 180) - 90 AS lat,
-  ((s_suppkey * 7.3) % 360) - 180 AS lng FROM supplier"""
-PRIVATE = """SELECT ((c_acctbal + 1000) % 180) - 90 AS lat, ((c_custkey * 7.3) % 360) - 180 AS lng, 100000.0 AS radius_m
+  ((s_suppkey * CAST(7.3 AS DOUBLE)) % 360) - 180 AS lng FROM supplier"""
+PRIVATE = """SELECT ((c_acctbal + 1000) % 180) - 90 AS lat, ((c_custkey * CAST(7.3 AS DOUBLE)) % 360) - 180 AS lng, 100000.0 AS radius_m
   FROM customer WHERE c_acctbal > 9900"""
 ENRICHED = f"""SELECT a.event_ts, a.activity_type, CAST(a.event_ts AS DATE) AS event_date,
   CAST(hour(a.event_ts) AS INTEGER) AS hour_of_day,
@@ -250,14 +250,14 @@ MODEL_ORACLE.update({
 
 # enriched maps rows with the columns the visit feed and gold maps models read
 CATALOG_FULL = """SELECT 'q:place ' || CAST(s_suppkey AS VARCHAR) AS place_id, s_name AS c_name, 'poi' AS primary_type,
-  ((s_acctbal + 1000) % 180) - 90 AS lat, ((s_suppkey * 7.3) % 360) - 180 AS lng, n_name AS locality, r_name AS country,
+  ((s_acctbal + 1000) % 180) - 90 AS lat, ((s_suppkey * CAST(7.3 AS DOUBLE)) % 360) - 180 AS lng, n_name AS locality, r_name AS country,
   CASE WHEN s_acctbal > 0 THEN 0.9 ELSE 0.3 END AS match_confidence
   FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey"""
 ENRICHED_FULL = f"""SELECT k.event_ts, k.activity_type, k.query,
   CASE WHEN c.place_id IS NOT NULL THEN coalesce(c.c_name, '') ELSE k.place_name END AS place_name,
   coalesce(c.primary_type, '') AS primary_type, coalesce(c.lat, k.lat) AS lat, coalesce(c.lng, k.lng) AS lng,
   '' AS neighborhood, coalesce(c.locality, '') AS locality, coalesce(c.country, '') AS country,
-  CAST(k.event_ts AS DATE) AS event_date
+  CAST(k.event_ts AS DATE) AS event_date, CAST(coalesce(c.match_confidence, 0.0) AS FLOAT) AS match_confidence
   FROM ({KEYED}) k LEFT JOIN ({CATALOG_FULL}) c ON c.place_id = k.geo_key"""
 PUBLIC_FULL = f"""SELECT * FROM ({ENRICHED_FULL}) e WHERE NOT EXISTS (
   SELECT 1 FROM ({PRIVATE}) p WHERE e.lat <> 0 AND e.lng <> 0 AND {_hav_m('e.lat', 'e.lng', 'p.lat', 'p.lng')} <= p.radius_m)"""
@@ -360,3 +360,30 @@ MODEL_ORACLE.update({
         SELECT title, category, strftime(started_at, '%Y-%m-%dT%H:%M:%SZ') AS time, duration_minutes AS durationMinutes
         FROM ({CAL_EVENTS}) WHERE started_at >= {AS_OF} AND is_all_day = 0 ORDER BY started_at, event_id LIMIT 8""",
 })
+
+
+TRAVEL = ("(flight|fly to|airport|boarding|layover|✈|hotel|airbnb|hostel|check[ -]?in|check[ -]?out|"
+          "trip to|travel to|vacation|holiday|getaway|cruise|train to|ferry|road trip)")
+HOME = f"""SELECT locality AS home_locality, country AS home_country, avg(lat) AS home_lat, avg(lng) AS home_lng
+  FROM ({PUBLIC_FULL}) WHERE locality <> '' AND match_confidence >= 0.4 GROUP BY 1, 2
+  ORDER BY count(*) FILTER (WHERE activity_type = 'directions') * 3 + count(*) FILTER (WHERE activity_type = 'view_place')
+           + count(*) FILTER (WHERE activity_type = 'search') DESC, home_locality, home_country LIMIT 1"""
+CAL_GEO_J = f"""SELECT e.*, coalesce(c.locality, '') AS geo_locality, coalesce(c.country, '') AS geo_country,
+  coalesce(c.lat, 0.0) AS lat, coalesce(c.lng, 0.0) AS lng, CAST(coalesce(c.match_confidence, 0.0) AS FLOAT) AS conf,
+  h.home_country, h.home_lat, h.home_lng
+  FROM (SELECT *, CASE WHEN location <> '' THEN 'q:' || trim(regexp_replace(lower(location), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'))
+                       ELSE '' END AS loc_key FROM ({CAL_EVENTS})) e
+  LEFT JOIN ({CATALOG_FULL}) c ON c.place_id = e.loc_key CROSS JOIN ({HOME}) h"""
+_D = _hav_m("lat", "lng", "home_lat", "home_lng")
+MODEL_ORACLE["model_silver_calendar_geo"] = f"""
+    SELECT event_id, calendar_id, calendar_name, category, started_at, ended_at, event_date, title, location,
+           attendee_count, duration_minutes, is_all_day, geo_locality, geo_country, '' AS geo_country_code, lat, lng,
+           conf AS match_confidence, home_country,
+           CASE WHEN lat <> 0 OR lng <> 0 THEN round({_D} / 1000.0, 1) ELSE 0.0 END AS km_from_home,
+           CAST(CAST(ended_at AS DATE) > CAST(started_at AS DATE) AS INTEGER) AS is_multi_day,
+           CAST(regexp_matches(lower(title), '{TRAVEL}') AS INTEGER) AS is_travel_title,
+           CAST(geo_country <> '' AND geo_country <> home_country AS INTEGER) AS is_foreign,
+           CAST(lat <> 0 AND lng <> 0 AND {_D} > 100000 AS INTEGER) AS is_far,
+           CAST(regexp_matches(lower(title), '{TRAVEL}') OR (geo_country <> '' AND geo_country <> home_country)
+                OR (lat <> 0 AND lng <> 0 AND {_D} > 100000) AS INTEGER) AS corroborates_travel
+    FROM ({CAL_GEO_J})"""
