@@ -387,3 +387,19 @@ MODEL_ORACLE["model_silver_calendar_geo"] = f"""
            CAST(regexp_matches(lower(title), '{TRAVEL}') OR (geo_country <> '' AND geo_country <> home_country)
                 OR (lat <> 0 AND lng <> 0 AND {_D} > 100000) AS INTEGER) AS corroborates_travel
     FROM ({CAL_GEO_J})"""
+
+MODEL_ORACLE["model_gold_home_overview_stats"] = f"""
+    WITH p AS (SELECT * FROM ({MERGED}) WHERE played_at >= TIMESTAMP '2024-01-01 00:00:00'),
+    w AS (SELECT * FROM ({WATCHES}) WHERE watched_date >= DATE '2024-01-01'),
+    a AS (SELECT * FROM ({PUBLIC_FULL}) WHERE event_date >= DATE '2024-01-01'),
+    cities AS (SELECT count(*) AS n FROM (SELECT locality FROM a WHERE locality <> '' GROUP BY 1
+                                          HAVING count(*) FILTER (WHERE activity_type = 'directions') > 0))
+    SELECT (SELECT count(DISTINCT track_id) FROM p) AS songsStreamed,
+           (SELECT count(DISTINCT primary_artist_id) FILTER (WHERE primary_artist_id <> '') FROM p) AS artistsListened,
+           (SELECT count(*) FROM w) AS videosWatched,
+           (SELECT count(DISTINCT channel_id) FILTER (WHERE channel_id <> '') FROM w) AS youtubeChannels,
+           (SELECT count(*) FROM ({SEARCHES}) WHERE CAST(searched_at AS DATE) >= DATE '2024-01-01')
+             + (SELECT count(*) FILTER (WHERE activity_type = 'search') FROM a) AS searchQueries,
+           (SELECT n FROM cities) AS citiesVisited,
+           round((SELECT coalesce(sum(duration_ms), 0) FROM p) / 3600000.0, 1) AS spotifyHours,
+           round((SELECT coalesce(sum(duration_seconds), 0) FROM w) / 3600.0, 1) AS youtubeHours"""
