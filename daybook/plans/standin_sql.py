@@ -403,3 +403,26 @@ MODEL_ORACLE["model_gold_home_overview_stats"] = f"""
            (SELECT n FROM cities) AS citiesVisited,
            round((SELECT coalesce(sum(duration_ms), 0) FROM p) / 3600000.0, 1) AS spotifyHours,
            round((SELECT coalesce(sum(duration_seconds), 0) FROM w) / 3600.0, 1) AS youtubeHours"""
+
+MODEL_ORACLE["model_gold_youtube_kpis_with_watch_time_dashboard"] = f"""
+    WITH w AS (SELECT * FROM ({WATCHES}) WHERE watched_date >= DATE '2024-01-01'),
+    k AS (SELECT count(*) AS n, count(*) FILTER (WHERE is_from_ads) AS ads, sum(duration_seconds) AS secs,
+                 avg(duration_seconds) FILTER (WHERE duration_seconds > 0) AS avg_pos,
+                 count(DISTINCT channel_id) FILTER (WHERE channel_id <> '') AS unique_channels,
+                 count(DISTINCT video_id) AS unique_videos,
+                 count(DISTINCT category_id) FILTER (WHERE category_id <> '') AS unique_categories,
+                 count(DISTINCT watched_date) AS days, count(*) FILTER (WHERE duration_seconds > 0) AS enriched,
+                 min(watched_date) AS first_d, max(watched_date) AS last_d FROM w),
+    s AS (SELECT count(*) AS total_searches FROM ({SEARCHES}) WHERE CAST(searched_at AS DATE) >= DATE '2024-01-01')
+    SELECT n AS videos_watched, total_searches, ads AS total_ads_watched,
+           round(ads / nullif(n, 0) * 100.0, 1) AS ads_percentage,
+           CAST(coalesce(secs, 0) AS BIGINT) AS total_watch_time_seconds,
+           {_readable('CAST(coalesce(secs, 0) AS BIGINT)')} AS total_watch_time_formatted,
+           coalesce(round(avg_pos, 0), 0.0) AS avg_watch_time_seconds,
+           {_readable('CAST(coalesce(round(avg_pos, 0), 0) AS BIGINT)')} AS avg_watch_time_formatted,
+           unique_channels, unique_videos, unique_categories,
+           round(n / nullif(days, 0), 1) AS avg_activities_per_day, round(n / nullif(days, 0), 1) AS avg_watched_per_day,
+           round(enriched / nullif(n, 0) * 100.0, 1) AS enrichment_percentage,
+           coalesce(CAST(first_d AS VARCHAR), '1970-01-01') AS first_activity_date,
+           coalesce(CAST(last_d AS VARCHAR), '1970-01-01') AS last_activity_date
+    FROM k, s"""
