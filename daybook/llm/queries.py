@@ -17,7 +17,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.simhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 ORACLE: dict[str, str] = {}
