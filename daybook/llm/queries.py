@@ -12,6 +12,39 @@ from pyspark.sql import functions as F
 from daybook.llm.common import table
 
 
+#: The rules of the URL filter's contract.
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
+             ("com/fr/", "allow"), ("com/de/", "block")]
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.url_filter import filter_urls
+    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    return filter_urls(table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
+
+
+OP1_SQL = """
+WITH p AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages),
+q AS (
+  SELECT page_id,
+         coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+  FROM p),
+r(rule, rhost, rpath, rverdict) AS (VALUES
+  ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
+  ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'),
+  ('com/de/', 'com', '/de/', 'block'))
+SELECT page_id, host, path,
+       (SELECT max_by(rule, length(rule)) FROM r
+        WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)) AS rule,
+       coalesce((SELECT max_by(rverdict, length(rule)) FROM r
+        WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)), 'allow') AS verdict
+FROM q
+"""
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.quality import quality_rules
     return quality_rules(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -23,7 +56,10 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filters": op1_url_filters,
     "op5_quality_rules": op5_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_url_filters": OP1_SQL,
+}
