@@ -50,6 +50,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from daybook.llm.bpe import round_trip
+    return round_trip(table(spark, sf_dir, "documents"),
+                      public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).withColumnRenamed("id", "doc_id")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.simhash import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -58,6 +66,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op5_quality_rules": op5_quality_rules,
+    "op6_byte_bpe": op6_byte_bpe,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 ORACLE: dict[str, str] = {
