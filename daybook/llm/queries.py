@@ -58,16 +58,34 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).withColumnRenamed("id", "doc_id")
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from daybook.llm.packing import pack
+    return pack(table(spark, sf_dir, "documents"),
+                public_tokenizers.path("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.simhash import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from daybook.llm.token_files import token_files
+    return token_files(table(spark, sf_dir, "documents"),
+                       public_tokenizers.path("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op5_quality_rules": op5_quality_rules,
     "op6_byte_bpe": op6_byte_bpe,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_token_files": op10_token_files,
 }
 ORACLE: dict[str, str] = {
     "op1_url_filters": OP1_SQL,
