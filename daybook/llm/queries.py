@@ -58,6 +58,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).withColumnRenamed("id", "doc_id")
 
 
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.fingerprint import edited_fingerprints
+    return edited_fingerprints(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op5_quality_rules": op5_quality_rules,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_document_fingerprints": op7_document_fingerprints,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_token_files": op10_token_files,
