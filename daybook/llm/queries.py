@@ -45,6 +45,11 @@ FROM q
 """
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.html_extract import extract_text
+    return extract_text(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.quality import quality_rules
     return quality_rules(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -86,6 +91,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
+    "op3_html_extraction": op3_html_extraction,
     "op5_quality_rules": op5_quality_rules,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_document_fingerprints": op7_document_fingerprints,
