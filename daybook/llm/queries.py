@@ -45,6 +45,12 @@ FROM q
 """
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.substring_dedup import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.html_extract import extract_text
     return extract_text(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
@@ -91,6 +97,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_html_extraction": op3_html_extraction,
     "op5_quality_rules": op5_quality_rules,
     "op6_byte_bpe": op6_byte_bpe,
