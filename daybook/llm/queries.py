@@ -56,6 +56,12 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.suffix_dedup import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.quality import quality_rules
     return quality_rules(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -99,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_html_extraction": op3_html_extraction,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_document_fingerprints": op7_document_fingerprints,

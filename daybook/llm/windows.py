@@ -37,13 +37,15 @@ LAST = (1 << 63) - 1
 class Groups:
     """Groups of several texts: ``text`` (its index), ``first`` and ``last``
     (window starts, in the scan's own positions), ``c`` and ``s``; ``name``
-    gives the names of windows by their starts."""
+    gives the names of windows by their starts, ``verify`` fails if equal
+    names of groups stand for different content."""
     text: np.ndarray
     first: np.ndarray
     last: np.ndarray
     c: np.ndarray
     s: np.ndarray
     name: Callable[[np.ndarray], np.ndarray]
+    verify: Callable[[], None] = lambda: None
 
     def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(group, start) of every window of the chosen groups (indexes)."""
@@ -87,6 +89,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 def _name_groups(scan, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, texts in chunks(batches):
         g = scan(texts)
+        g.verify()
         doc = batch.column(0).to_numpy()[g.text]
         # a group that a document repeats becomes one row with a count
         key = mix(g.s + mix(g.c + doc.view(np.uint64)))
@@ -117,7 +120,7 @@ def _name_windows(scan, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
         wanted = batch.column(batch.schema.get_field_index("wanted"))
         chosen = np.flatnonzero(_member(wanted, g.text, g.s))
         group, start = g.windows(chosen)
-        doc = batch.column(0).to_numpy()[g.text[group]]
+        doc = batch.column(batch.schema.get_field_index("doc")).to_numpy()[g.text[group]]
         yield pa.RecordBatch.from_arrays(
             [_signed(g.c[group]), _signed(g.name(start)) if len(start) else pa.array([], pa.int64()),
              _signed(g.s[group]), pa.array(doc)], names=["c", "w", "s", "doc"])
@@ -159,9 +162,10 @@ def mark(docs: DataFrame, scan, earlier: bool) -> DataFrame:
     whole = whole.groupBy("doc").agg(F.collect_set("s").alias("whole"))
 
     wanted = known.filter("open").groupBy(F.col("least").alias("doc")).agg(F.collect_set("s").alias("wanted"))
+    # one exchange of the texts serves both joins: both ask for the same columns
     texts = docs.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc")
-    windows = written(texts.select("doc", "data").join(wanted, "doc").mapInArrow(
-        lambda it: _name_windows(scan, it), "c long, w long, s long, doc long"), "windows")
+    windows = texts.join(wanted, "doc").mapInArrow(
+        lambda it: _name_windows(scan, it), "c long, w long, s long, doc long")
     twice = windows.groupBy("c", "w").agg(F.min("doc").alias("least"), F.min("s").alias("s0"), F.max("s").alias("s1"),
                                           F.max("doc").alias("most"))
     twice = twice.filter("least < most" if earlier else "s0 <> s1")
