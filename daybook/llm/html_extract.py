@@ -1,7 +1,7 @@
 """Main text of web pages by a tree-structured graphical model.
 
-A page becomes its tree of block elements. Every block is content or not (a
-hidden state); its features (tag, class and id words, role, length of its own
+A page becomes its tree of block elements. Every block is content, furniture
+(menus, adverts, forms, comments ...) or a wrapper (a hidden state); its features (tag, class and id words, role, length of its own
 text, share of linked text) depend on its state, and its state on that of its
 parent. Sum-product messages, upward and then downward, give each block's
 marginal probability of being content. The potentials are counted on labelled
@@ -32,6 +32,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
         "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
         "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
+ROOTS = frozenset(["#page", "html", "body"])
 #: Prior knowledge, as imagined counts (see Model.prior).
 FURNITURE_TAGS = "nav header footer aside form button dialog head".split()
 CONTENT_TAGS = "article main p h1 h2 h3 h4 h5 h6 blockquote pre".split()
@@ -161,73 +162,118 @@ def features(page: Page, i: int) -> list[str]:
     return out
 
 
+#: Hidden states: neither (wrappers), content, furniture.
+WRAPPER, CONTENT, FURNITURE = range(3)
+STATES = (WRAPPER, CONTENT, FURNITURE)
+
+
 def labels(page: Page) -> list[int] | None:
-    """1 for the blocks of the article that the page names itself (``article``
-    or ``main``), without furniture inside it; None if it names none."""
+    """States as the page's own markup names them: content inside ``article``
+    or ``main``, furniture inside elements that say so (anywhere), wrappers
+    else. None if it names no article."""
     if "article" not in page.tag and "main" not in page.tag:
         return None
-    out, barred = [0] * len(page.tag), [False] * len(page.tag)
+    out = [WRAPPER] * len(page.tag)
     furniture = {f"tag:{t}" for t in FURNITURE_TAGS} | {f"word:{w}" for w in FURNITURE_WORDS} | {f"role:{r}" for r in ROLES}
     for i in range(1, len(page.tag)):
-        up = page.parent[i]
-        barred[i] = barred[up] or bool(furniture & {f"tag:{page.tag[i]}", *page.marks[i]})
-        out[i] = int(not barred[i] and (out[up] == 1 or page.tag[i] in ("article", "main")))
+        up = out[page.parent[i]]
+        if up == FURNITURE or furniture & {f"tag:{page.tag[i]}", *page.marks[i]}:
+            out[i] = FURNITURE
+        elif up == CONTENT or page.tag[i] in ("article", "main"):
+            out[i] = CONTENT
     return out
 
 
 class Model:
     """Counts of (state, feature) and of (parent's state, state), turned into
-    log potentials."""
+    potentials. ``weight``: imagined counts behind each item of prior
+    knowledge; ``most``: bound of the logarithm of one feature's potential
+    (more for the marks of furniture and the tags that name an article).
+
+    Tags and sizes of text tell text from wrappers, but not content from
+    furniture: a comment is a paragraph too, and many of them must not outvote
+    the mark on their parent. For those features the two states are tied."""
 
-    def __init__(self, counts: dict[str, int], weight: float = 20.0):
-        seen = Counter(self.prior(weight))
+    def __init__(self, counts: dict[str, int], weight: float = 20.0, most: float = 6.0):
+        seen: Counter = Counter(self.prior(weight))
         for k, n in counts.items():
             seen[k] += n
-        self.edge = [[0.0, 0.0], [0.0, 0.0]]
-        for a in (0, 1):
-            row = [seen[f"edge:{a}:{b}"] + 1 for b in (0, 1)]
-            self.edge[a] = [x / sum(row) for x in row]
-        blocks = [seen[f"state:{s}"] + 2 for s in (0, 1)]
-        self.odds: dict[str, float] = {}
-        for name in {k[4:] for k in seen if k[:4] in ("f:0:", "f:1:")}:
-            # rate per block of a state; half a count for what was never seen
-            rate = [(seen[f"f:{s}:{name}"] + 0.5) / blocks[s] for s in (0, 1)]
-            self.odds[name] = max(-12.0, min(12.0, math.log(rate[1] / rate[0])))
+        self.edge = []
+        for a in STATES:
+            row = [seen[f"edge:{a}:{b}"] + 1e-3 for b in STATES]
+            if a == CONTENT:  # an article may hold furniture though the sample's don't
+                row[FURNITURE] = max(row[FURNITURE], 0.02 * sum(row))
+            self.edge.append([x / sum(row) for x in row])
+        blocks = [seen[f"state:{s}"] + 2 for s in STATES]
+        self.own: dict[str, tuple[float, ...]] = {}
+        marks = {f"tag:{t}" for t in FURNITURE_TAGS} | {f"word:{w}" for w in FURNITURE_WORDS} | {f"role:{r}" for r in ROLES}
+        named = {"tag:article", "tag:main"}
+        for name in {k[4:] for k in seen if k[:2] == "f:"}:
+            # rate per block of a state; a part of a count for what was never seen
+            unseen, bound = (1e-6, 14.0) if name in named else (0.02, 2 * most) if name in marks else (0.5, most)
+            rate = [math.log((seen[f"f:{s}:{name}"] + unseen) / blocks[s]) for s in STATES]
+            if name not in marks and name[:4] in ("tag:", "size") and name not in named:
+                rate[CONTENT], rate[FURNITURE] = (max(rate[CONTENT], rate[FURNITURE] - 0.1),
+                                                  max(rate[FURNITURE], rate[CONTENT] - 0.1))
+            self.own[name] = tuple(max(-bound, x - max(rate)) for x in rate)
 
     @staticmethod
     def prior(weight: float) -> dict[str, float]:
-        out: dict[str, float] = {"state:0": 10 * weight, "state:1": 10 * weight}
-        for state, names in ((0, [f"tag:{t}" for t in FURNITURE_TAGS] + [f"word:{w}" for w in FURNITURE_WORDS]
+        out: dict[str, float] = {f"state:{s}": 10 * weight for s in STATES}
+        for state, names in ((FURNITURE, [f"tag:{t}" for t in FURNITURE_TAGS] + [f"word:{w}" for w in FURNITURE_WORDS]
                               + [f"role:{r}" for r in ROLES] + ["link:2"]),
-                             (1, [f"tag:{t}" for t in CONTENT_TAGS] + [f"word:{w}" for w in CONTENT_WORDS] + ["size:3"])):
+                             (CONTENT, [f"tag:{t}" for t in CONTENT_TAGS] + [f"word:{w}" for w in CONTENT_WORDS] + ["size:3"])):
             out |= {f"f:{state}:{n}": weight for n in names}
-        # a state mostly passes from parent to child
-        out |= {"edge:0:0": 8 * weight, "edge:0:1": weight, "edge:1:0": weight / 2, "edge:1:1": 50 * weight}
+        # furniture stays furniture below, content mostly stays content
+        for a, row in ((WRAPPER, (20, 2, 8)), (CONTENT, (0.1, 50, 1)), (FURNITURE, (0.05, 0, 500))):
+            out |= {f"edge:{a}:{b}": x * weight for b, x in zip(STATES, row)}
         return out
 
+    def potential(self, page: Page, i: int) -> list[float]:
+        """Of a block's features, for each state; the largest is 1."""
+        sums = [0.0, 0.0, 0.0]
+        for x in features(page, i):
+            known = self.own.get(x)
+            if known:
+                for s in STATES:
+                    sums[s] += known[s]
+        top = max(sums)
+        return [math.exp(x - top) for x in sums]
+
     def marginals(self, page: Page) -> list[float]:
         """Probability of content of every block: messages from the leaves to
-        the top, then from the top to the leaves."""
+        the top, then from the top to the leaves. The page, html and body are
+        wrappers."""
         n = len(page.tag)
-        (e00, e01), (e10, e11) = self.edge
-        odds = self.odds
-        own = []  # odds of content of the block's own evidence
+        edge = self.edge
+        below = [self.potential(page, i) for i in range(n)]  # with the messages of the children
         for i in range(n):
-            own.append(math.exp(max(-30.0, min(30.0, sum(odds.get(x, 0.0) for x in features(page, i))))))
-        below = own[:]  # with the messages of its children
-        message = [1.0] * n  # to the parent: odds that its state is 1
+            if page.tag[i] in ROOTS:
+                below[i] = [1.0, 0.0, 0.0]
+        up = [(1.0, 1.0, 1.0)] * n  # message to the parent, by its state
         for i in range(n - 1, 0, -1):
-            b = min(max(below[i], 1e-30), 1e30)
-            message[i] = (e10 + e11 * b) / (e00 + e01 * b)
-            below[page.parent[i]] *= message[i]
-            if not 1e-60 < below[page.parent[i]] < 1e60:
-                below[page.parent[i]] = min(max(below[page.parent[i]], 1e-60), 1e60)
-        belief = [0.0] * n
-        belief[0] = below[0] * 0.1
+            x, y, z = below[i]
+            m = [a * x + b * y + c * z for a, b, c in edge]
+            top = max(m)
+            up[i] = m[0] / top, m[1] / top, m[2] / top
+            mine = below[page.parent[i]]
+            for s in STATES:
+                mine[s] = mine[s] * up[i][s]
+            top = max(mine)
+            if top < 1e-100:
+                below[page.parent[i]] = [v / top for v in mine]
+        out = [0.0] * n
+        belief: list[list[float]] = [[1.0, 0.0, 0.0]] * n
         for i in range(1, n):
-            up = min(max(belief[page.parent[i]] / message[i], 1e-30), 1e30)  # without its own message
-            belief[i] = min(max(below[i] * (e01 + e11 * up) / (e00 + e10 * up), 1e-60), 1e60)
-        return [b / (1 + b) for b in belief]
+            above = belief[page.parent[i]]
+            # the parent's belief without what this block told it
+            rest = [above[s] / up[i][s] if above[s] else 0.0 for s in STATES]
+            down = [rest[0] * edge[0][s] + rest[1] * edge[1][s] + rest[2] * edge[2][s] for s in STATES]
+            own = [below[i][s] * down[s] for s in STATES]
+            total = sum(own)
+            belief[i] = [v / total for v in own]
+            out[i] = belief[i][CONTENT]
+        return out
 
 
 def main_text(source: str, model: Model) -> str:
