@@ -80,7 +80,7 @@ def _knapsack(lengths: np.ndarray, values: np.ndarray, capacity: int) -> list[in
     return out
 
 
-def solve(histogram: dict[int, int], capacity: int, rate: float = 4.0, share: float = 0.5, tilt: float = 0.2) -> list[tuple[dict[int, int], int]]:
+def solve(histogram: dict[int, int], capacity: int, rate: float = 4.0, share: float = 0.5, tilt: float = 0.5) -> list[tuple[dict[int, int], int]]:
     """Configurations ``({length: pieces}, times used)`` that hold every piece
     of the histogram exactly once.
 
