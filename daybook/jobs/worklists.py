@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 def worklist(requested: DataFrame, catalog: DataFrame, key: str, cap: int | None = None) -> DataFrame:
     """Distinct requested keys not yet in the catalog (``left_anti``, which
-    unlike ``NOT IN`` is NULL-safe); optionally the first ``cap`` by key."""
+    unlike ``NOT IN`` is NULL-safe); with ``cap`` (a caller's lookup budget)
+    the first by key, the next run takes the rest."""
     todo = (requested.select(key).filter(F.col(key).isNotNull() & (F.col(key).cast("string") != ""))
             .distinct().join(catalog.select(key), key, "left_anti"))
     return todo.orderBy(key).limit(cap) if cap else todo
@@ -31,14 +32,16 @@ def merge_with_tombstones(cached: DataFrame, todo: DataFrame, fetched: DataFrame
 
 
 def chunks(todo: DataFrame, key: str, size: int = 50) -> DataFrame:
-    """Batches of ``size`` keys for a bulk lookup (SRT-10).
-
-    Keys are hash-spread over ceil(n / size) buckets and each bucket is
-    collected — a batch is bounded by ``size`` on average and by the hash
-    spread at worst, never by the whole list."""
-    n = todo.count()
-    buckets = max((n + size - 1) // size, 1)
-    return (todo.withColumn("batch", F.pmod(F.xxhash64(key), F.lit(buckets)))
+    """Batches of at most ``size`` keys for a bulk lookup (SRT-10).
+
+    Keys are dealt to ranges and numbered inside them; a batch is a run of
+    ``size`` numbers of one range, so none is larger and at most one per range
+    is smaller."""
+    from pyspark.sql import Window
+    ranged = todo.select(key).repartitionByRange(F.col(key)).withColumn("__part", F.spark_partition_id())
+    w = Window.partitionBy("__part").orderBy(key)
+    batch = F.col("__part").cast("long") * (1 << 32) + F.floor((F.row_number().over(w) - 1) / size)
+    return (ranged.withColumn("batch", batch)
             .groupBy("batch").agg(F.sort_array(F.collect_list(key)).alias("ids")))
 
 
@@ -57,7 +60,7 @@ def skip_done(candidates: DataFrame, done: DataFrame, keys: Sequence[str], force
 
 
 # ---------------------------------------------------------------- domain lists
-def place_worklist(spark, cfg, cap: int | None = 200) -> DataFrame:
+def place_worklist(spark, cfg, cap: int | None = None) -> DataFrame:
     """Maps keys with no catalog row: latest text and mean raw coordinates (PIP-05)."""
     from daybook.plans.maps import maps_activity_keyed
     from daybook.sources.tables import read_table
@@ -68,7 +71,7 @@ def place_worklist(spark, cfg, cap: int | None = 200) -> DataFrame:
     return info.withColumnRenamed("best_text", "text")
 
 
-def calendar_place_worklist(spark, cfg, cap: int | None = 200) -> DataFrame:
+def calendar_place_worklist(spark, cfg, cap: int | None = None) -> DataFrame:
     """Calendar locations with no catalog row, keyed like Maps (PIP-06)."""
     from daybook.functions.text import text_key
     from daybook.plans.calendar import silver_calendar_events
@@ -80,14 +83,14 @@ def calendar_place_worklist(spark, cfg, cap: int | None = 200) -> DataFrame:
         .withColumnRenamed("location", "text")
 
 
-def track_worklist(spark, cfg, cap: int | None = 500) -> DataFrame:
+def track_worklist(spark, cfg, cap: int | None = None) -> DataFrame:
     """Track ids played but missing from the catalog (PIP-08)."""
     from daybook.sources.tables import read_table
     return worklist(read_table(spark, cfg, "spotify_plays_raw").select("track_id"),
                     read_table(spark, cfg, "spotify_tracks"), "track_id", cap)
 
 
-def artist_worklist(spark, cfg, cap: int | None = 500, backfill: bool = False) -> DataFrame:
+def artist_worklist(spark, cfg, cap: int | None = None, backfill: bool = False) -> DataFrame:
     """Artist ids from plays (and, for the backfill, from catalog tracks ∪
     plays) missing from the artist catalog (PIP-08, ARR-06, SET-03)."""
     from daybook.sources.tables import read_table
@@ -97,7 +100,7 @@ def artist_worklist(spark, cfg, cap: int | None = 500, backfill: bool = False) -
     return worklist(ids.distinct(), read_table(spark, cfg, "spotify_artists"), "artist_id", cap)
 
 
-def video_worklist(spark, cfg, cap: int | None = 1000) -> DataFrame:
+def video_worklist(spark, cfg, cap: int | None = None) -> DataFrame:
     from daybook.sources.tables import read_table
     return worklist(read_table(spark, cfg, "youtube_watch_history").select("video_id"),
                     read_table(spark, cfg, "youtube_videos"), "video_id", cap)

@@ -41,7 +41,10 @@ def neighbour_in_order(df: DataFrame, entity: Sequence[str], order: Sequence[str
         ws = (Window.partitionBy(*entity) if entity else Window.partitionBy()).orderBy("__chunk")
         carry = summary.select(*entity, "__chunk", (F.lag("__edge").over(ws) if direction == "prev"
                                                     else F.lead("__edge").over(ws)).alias("__carry"))
-        out = c.join(carry, [*entity, "__chunk"], "left")
+        # null-safe: rows without an entity are one entity, as in the windows
+        right = carry.toDF(*[f"__r_{x}" for x in carry.columns])
+        out = c.join(right, [c[x].eqNullSafe(right[f"__r_{x}"]) for x in [*entity, "__chunk"]], "left") \
+            .withColumnRenamed("__r___carry", "__carry")
         nb = F.coalesce(F.col("__in"), F.col("__carry"))
     return out.select(*df.columns, *[nb[x].alias(prefix + x) for x in cols])
 

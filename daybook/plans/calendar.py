@@ -146,12 +146,14 @@ def gold_calendar_upcoming_events(spark: SparkSession, cfg: Cfg, events=None) ->
 
 def gap_kpis(spark: SparkSession, cfg: Cfg, events=None) -> DataFrame:
     """Per day: longest unscheduled span between timed events and a
-    fragmentation count (gaps between consecutive events), from ``lead``
-    over each day's events (WIN-09, an extension the design documents).
-    The window is per day, so a partition holds one day of one calendar."""
+    fragmentation count (gaps between consecutive events) (WIN-09, an
+    extension the design documents). A gap runs from the latest end so far to
+    the next start, so an event inside a longer one makes none. The window
+    holds one day of all calendars: free time is free of any of them."""
     ev = _timed_past(spark, cfg, events)
     w = Window.partitionBy("event_date").orderBy("started_at", "event_id")
-    g = ev.withColumn("__next", F.lead("started_at").over(w)).withColumn(
-        "__gap", F.when(F.col("__next") > F.col("ended_at"), minutes_between("ended_at", "__next")))
+    busy = F.max("ended_at").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    g = ev.withColumn("__next", F.lead("started_at").over(w)).withColumn("__busy", busy).withColumn(
+        "__gap", F.when(F.col("__next") > F.col("__busy"), minutes_between("__busy", "__next")))
     return g.groupBy("event_date").agg(F.coalesce(F.max("__gap"), F.lit(0)).alias("longest_gap_minutes"),
                                        F.count("__gap").alias("fragments"), F.count(F.lit(1)).alias("events"))

@@ -556,16 +556,26 @@ def unified_events(spark, d):
 @query("worklist_anti_join", """
 SELECT c_custkey, c_name FROM customer c
 WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderdate >= TIMESTAMP '2001-01-01 00:00:00')
-ORDER BY c_custkey LIMIT 50
 """)
 def worklist_anti_join(spark, d):
-    """Ids not yet covered (left_anti, NULL-safe unlike NOT IN), capped at
-    50 per run after a deterministic sort — the cap is the feature: the
-    next run picks up the rest."""
+    """Ids not yet covered (left_anti, NULL-safe unlike NOT IN), all of them."""
     c = read(spark, d, "customer").select("c_custkey", "c_name")
     recent = read(spark, d, "orders").filter(F.col("o_orderdate") >= ntz(ORDERS_FLOOR)).select("o_custkey")
-    todo = c.join(recent, c.c_custkey == recent.o_custkey, "left_anti")
-    return top_n(todo, 50, [F.col("c_custkey")])
+    return c.join(recent, c.c_custkey == recent.o_custkey, "left_anti")
+
+
+# --------------------------------------------------------------------------
+# SRT-10 bulk batches
+# --------------------------------------------------------------------------
+@query("batches", """
+SELECT c_custkey AS id, 1 AS in_batches, 1 AS within_size FROM customer
+""")
+def batches(spark, d):
+    """Every customer id in exactly one batch of at most 50 ids."""
+    from daybook.jobs.worklists import chunks
+    b = chunks(read(spark, d, "customer").select("c_custkey"), "c_custkey", 50)
+    each = b.select(F.explode("ids").alias("id"), F.when(F.size("ids") <= 50, 1).otherwise(0).alias("ok"))
+    return each.groupBy("id").agg(F.count(F.lit(1)).cast("int").alias("in_batches"), F.min("ok").alias("within_size"))
 
 
 # --------------------------------------------------------------------------
@@ -1049,28 +1059,38 @@ SELECT event_id, ts, user_id, event_type, value FROM events
 """)
 def stream_dedup_available_now(spark, d):
     """Events written as JSON messages, landed by a Structured Streaming
-    query (watermark + dropDuplicatesWithinWatermark, availableNow), then
-    the last three days are redelivered and a second run drains them; the
-    landed table is read with latest-by-version. Scratch folders live
-    under spark.checkpoint.dir."""
-    from daybook.session import scratch_path
-    from daybook.streaming.landing import land_json
-    base = scratch_path(spark, "stream-dedup")
+    query (availableNow), then the last three days are redelivered and a
+    second run drains them; the landed table is read with latest-by-version.
+    Scratch folders live under spark.checkpoint.dir."""
     ev = _ev(spark, d).select("event_id", "ts", "user_id", "event_type", "value")
-    schema = ev.schema
+    return _landed(spark, "stream-dedup", [ev, ev.filter(F.col("ts") >= F.timestamp_add("DAY", F.lit(-3), ntz(EVENTS_AS_OF)))])
+
+
+def _landed(spark, name, batches):
+    """Land each batch of events with a run of its own, then read the table."""
+    from daybook.session import scratch_path
+    from daybook.streaming.landing import land_json, read_landed
+    base = scratch_path(spark, name)
     micros = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-    ev.write.mode("overwrite").options(**micros).json(f"{base}/in/batch1")
-    # event-time watermarks need TIMESTAMP; the session time zone makes the
-    # round trip from/to timestamp_ntz exact
-    run = dict(schema=schema, out_dir=f"{base}/bronze", checkpoint=f"{base}/_ckpt",
-               keys=["event_id", "ts"], ts="ts", delay="1 day",
-               transform=lambda s: s.withColumn("ts", F.col("ts").cast("timestamp")), options=micros)
-    land_json(spark, f"{base}/in/*", **run)
-    redelivered = ev.filter(F.col("ts") >= F.timestamp_add("DAY", F.lit(-3), ntz(EVENTS_AS_OF)))
-    redelivered.write.mode("overwrite").options(**micros).json(f"{base}/in/batch2")
-    land_json(spark, f"{base}/in/*", **run)
-    landed = spark.read.parquet(f"{base}/bronze").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    return latest_by_version(landed, ["event_id"], "ts").select("event_id", "ts", "user_id", "event_type", "value")
+    for i, batch in enumerate(batches):
+        batch.write.mode("overwrite").options(**micros).json(f"{base}/in/batch{i}")
+        land_json(spark, f"{base}/in/*", schema=batch.schema, out_dir=f"{base}/bronze", checkpoint=f"{base}/_ckpt",
+                  options=micros)
+    return read_landed(spark, f"{base}/bronze", ["event_id"], "ts").select(
+        "event_id", "ts", "user_id", "event_type", "value")
+
+
+@query("stream_late_rows", """
+SELECT event_id, ts, user_id, event_type, value FROM events
+""")
+def stream_late_rows(spark, d):
+    """The newer half of the events lands first, then the older half, and the
+    oldest ten days once more: every event is kept, however late."""
+    ev = _ev(spark, d).select("event_id", "ts", "user_id", "event_type", "value")
+    half = F.timestamp_add("DAY", F.lit(-15), ntz(EVENTS_AS_OF))
+    old = F.timestamp_add("DAY", F.lit(-20), ntz(EVENTS_AS_OF))
+    return _landed(spark, "stream-late", [ev.filter(F.col("ts") >= half), ev.filter(F.col("ts") < half),
+                                          ev.filter(F.col("ts") < old)])
 
 
 # --------------------------------------------------------------------------

@@ -16,6 +16,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.session import materialize
 from daybook.session import run_parallel as _parallel
 
 MANIFEST = "_MANIFEST.json"
@@ -78,6 +79,17 @@ def read_snapshot(spark: SparkSession, root: str, day: str, table: str) -> DataF
     return spark.read.parquet(f"{root.rstrip('/')}/dt={day}/{table}")
 
 
+def _missing(rows: DataFrame, held: DataFrame) -> DataFrame:
+    """``rows`` less ``held``, counting repeats (maps are compared as JSON)."""
+    plain = [F.to_json(c).alias(f.name) if "map<" in f.dataType.simpleString() else F.col(f.name)
+             for f in rows.schema.fields for c in [F.col(f.name)]]
+    if not any("map<" in f.dataType.simpleString() for f in rows.schema.fields):
+        return rows.exceptAll(held)
+    left = rows.select(*plain).exceptAll(held.select(*plain))
+    return left.select(*[F.from_json(f.name, f.dataType.simpleString()).alias(f.name)
+                         if "map<" in f.dataType.simpleString() else F.col(f.name) for f in rows.schema.fields])
+
+
 def restore(spark: SparkSession, root: str, target: Callable[[str], str | None],
             day: str | None = None, tables: Sequence[str] | None = None) -> dict[str, int]:
     """Append snapshot tables into their targets (SNK-08).
@@ -85,8 +97,10 @@ def restore(spark: SparkSession, root: str, target: Callable[[str], str | None],
     ``day`` defaults to the latest complete snapshot. ``tables`` may be bare
     (``t``) or qualified (``layer.t``). A snapshot table whose target is
     unknown (``target`` returns None) is skipped; a requested table that is
-    missing, or an empty selection, raises. Restore is additive: tables are
-    read with latest-version-per-key, so restoring twice is harmless."""
+    missing, or an empty selection, raises. Restore is additive: only rows
+    that the target doesn't hold yet are appended (compared over all columns,
+    with their number), so restoring twice changes nothing, also in tables
+    without a version. Returns the rows appended per table."""
     day = day or latest_complete(spark, root)
     if day is None:
         raise FileNotFoundError(f"no complete snapshot under {root}")
@@ -101,8 +115,14 @@ def restore(spark: SparkSession, root: str, target: Callable[[str], str | None],
         if missing:
             raise FileNotFoundError(f"tables not in snapshot {day}: {sorted(missing)}")
     def restore_one(name: str, dest: str) -> tuple[str, int]:
-        read_snapshot(spark, root, day, name).write.mode("append").parquet(dest)
-        return name, 1
+        rows = read_snapshot(spark, root, day, name)
+        fs_, d_ = _fs(spark, dest)
+        if fs_.exists(d_):
+            rows = materialize(_missing(rows, spark.read.schema(rows.schema).parquet(dest)))
+        n = rows.count()
+        if n or not fs_.exists(d_):
+            rows.write.mode("append").parquet(dest)
+        return name, n
     jobs = [(restore_one, (name, target(name))) for name in present
             if (wanted is None or bare(name) in wanted) and target(name) is not None]
     done: dict[str, int] = dict(_parallel(jobs))

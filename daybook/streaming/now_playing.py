@@ -9,10 +9,12 @@ tables are read latest-version-per-key.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import _parse_datatype_string
@@ -78,7 +80,9 @@ def route_batch(spark: SparkSession, cfg: Cfg, batch: DataFrame, value: str = "v
     if n_ok:
         tables.append(parse_valid(ok, value), cfg, "spotify_player_current")
     if n_bad:
-        tables.append(dlq_rows(bad, F.current_timestamp(), value), cfg, "spotify_player_current_dlq")
+        # the message's own time, so that a retried batch writes the same keys
+        at = F.col("received_at") if "received_at" in batch.columns else F.lit(cfg.as_of).cast("timestamp")
+        tables.append(dlq_rows(bad, at, value), cfg, "spotify_player_current_dlq")
     b.unpersist()
     return {"ok": n_ok, "rejected": n_bad}
 
@@ -90,19 +94,32 @@ def run(spark: SparkSession, cfg: Cfg, source_dir: str, checkpoint: str, availab
     ``source_dir`` (one message per line)."""
     if kafka_options:
         src = (spark.readStream.format("kafka").options(**kafka_options).load()
-               .select(F.col("value").cast("string").alias("value")))
+               .select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("received_at")))
     else:
-        src = spark.readStream.text(source_dir)
-    counters: list[dict] = []
+        src = spark.readStream.text(source_dir).select(
+            "value", F.col("_metadata.file_modification_time").alias("received_at"))
+    counters: deque[dict] = deque(maxlen=1_000)  # of the latest batches; totals run on
+    health = {"batches": 0, "ok": 0, "rejected": 0, "errors": 0, "last_ok": None}
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        counters.append({"epoch": epoch, **route_batch(spark, cfg, batch)})
+        health["batches"] += 1
+        try:
+            counts = route_batch(spark, cfg, batch)
+        except Exception:
+            health["errors"] += 1
+            raise
+        for k, n in counts.items():
+            health[k] += n
+        if counts["ok"]:
+            health["last_ok"] = dt.datetime.now(dt.timezone.utc)
+        counters.append({"epoch": epoch, **counts})
     w = src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
     q = w.start()
     if available_now:
         q.awaitTermination()
     q.counters = counters  # type: ignore[attr-defined]
+    q.health = health  # type: ignore[attr-defined]
     return q
 
 
@@ -135,6 +152,24 @@ def transition_filter_stream(rows: DataFrame, key: str = "device_id") -> DataFra
 
 
 # ------------------------------------------------------------------ STM-15
+def lag_alerts(lag: DataFrame, most: int = 50, minutes: int = 10) -> DataFrame:
+    """Alert rows from consumer-lag samples ``(sampled_at, lag)``: a sample
+    that ends a stretch of at least ``minutes`` in which every sample was over
+    ``most``; one row per stretch, when it has lasted that long. Stretches are
+    cut at midnight, so that a window holds one day of samples."""
+    over = lag.withColumn("__ok", (F.col("lag") <= most).cast("int"))
+    # stretches per day: the last sample at or under the limit starts one anew
+    w = Window.partitionBy(F.to_date("sampled_at")).orderBy("sampled_at")
+    marked = over.withColumn("__stretch", F.sum("__ok").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = marked.filter("__ok = 0").groupBy(F.to_date("sampled_at").alias("__day"), "__stretch").agg(
+        F.min("sampled_at").alias("a"), F.max("sampled_at").alias("b"), F.max("lag").alias("n"))
+    return runs.filter(F.col("b") >= F.timestamp_add("MINUTE", F.lit(minutes), F.col("a"))).select(
+        F.timestamp_add("MINUTE", F.lit(minutes), F.col("a")).alias("raised_at"), F.lit("stream_lag").alias("kind"),
+        F.lit("").alias("account_email"),
+        F.concat(F.lit("consumer lag up to "), F.col("n").cast("string"), F.lit(f" messages for over {minutes} minutes"))
+        .alias("message"))
+
+
 def alert_rules(landed: DataFrame, dlq: DataFrame, as_of, silence_hours: int = 24) -> DataFrame:
     """Alert rows from the landed tables: rejects in any 15-minute window,
     and silence (no message for ``silence_hours`` up to ``as_of``)."""

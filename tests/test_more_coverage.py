@@ -70,7 +70,10 @@ def test_reshaping_and_helpers(spark, cfg, put_rows):
     assert worklists.skip_done(cand, done, ["trip_key"], force=True).count() == 2
     ch = worklists.chunks(spark.range(120).select(F.col("id").cast("string").alias("k")), "k", 50)
     sizes = [len(x["ids"]) for x in ch.collect()]
-    assert len(sizes) == 3 and sum(sizes) == 120
+    assert max(sizes) <= 50 and sum(sizes) == 120
+    uneven = worklists.chunks(spark.range(10_000).select((F.col("id") * F.col("id")).alias("k")), "k", 50).collect()
+    assert max(len(x["ids"]) for x in uneven) <= 50 and len(uneven) <= 200 + 8
+    assert len({k for x in uneven for k in x["ids"]}) == 10_000
     ev = spark.createDataFrame([(AS_OF - dt.timedelta(days=d),) for d in range(6)], "ts timestamp")
     assert imports.windowed(ev, "ts", AS_OF, 3).count() == 4
     put_rows(cfg, "spotify_player_current", [{"captured_at": AS_OF - dt.timedelta(days=2), "track_id": "t"}])
@@ -105,3 +108,58 @@ def test_domain_worklists_and_google_import(spark, cfg, put_rows):
                    {"header": "YouTube", "title": "Searched for cats", "time": "2025-06-01T12:00:00Z"}], f)
     got = imports.import_google_archive(spark, cfg, root)
     assert got == {"maps": 1, "watches": 1, "searches": 1}
+
+
+def test_rows_without_entity_keep_their_neighbour_across_chunks(spark):
+    from daybook.operators.segments import transitions
+    rows = spark.createDataFrame([(None, AS_OF, "x"), (None, AS_OF + dt.timedelta(days=1), "x"), ("e", AS_OF, "x")],
+                                 "entity string, ts timestamp, state string")
+    plain = transitions(rows, ["entity"], "ts", ["state"]).count()
+    assert transitions(rows, ["entity"], "ts", ["state"], chunk=F.to_date("ts")).count() == plain == 2
+
+
+def test_left_overlap_keeps_rows_with_nulls_once(spark):
+    from daybook.operators.joins import overlap_join
+    left = spark.createDataFrame([(1, None, dt.date(2025, 1, 1), dt.date(2025, 1, 5)),
+                                  (2, None, dt.date(2026, 1, 1), dt.date(2026, 1, 2))], "k int, note string, a date, b date")
+    right = spark.createDataFrame([(dt.date(2025, 1, 3), "r")], "d date, r string")
+    got = sorted((r.k, r.r) for r in overlap_join(left, right, "a", "b", "d", how="left").collect())
+    assert got == [(1, "r"), (2, None)]
+
+
+def test_gap_kpis_of_nested_events_and_lag_alerts(spark, cfg):
+    from daybook.plans.calendar import gap_kpis
+    from daybook.streaming.now_playing import lag_alerts
+    day = dt.datetime(2025, 6, 2)
+    at = lambda h, m=0: day + dt.timedelta(hours=h, minutes=m)
+    ev = spark.createDataFrame([("a", at(9), at(15), day.date(), 0), ("b", at(10), at(11), day.date(), 0),
+                                ("c", at(16), at(17), day.date(), 0)],
+                               "event_id string, started_at timestamp, ended_at timestamp, event_date date, is_all_day int")
+    g = gap_kpis(spark, cfg, ev).first()
+    assert (g["longest_gap_minutes"], g["fragments"], g["events"]) == (60, 1, 3)
+    lag = spark.createDataFrame([(at(1, m), 60 if 5 <= m <= 18 or 30 <= m <= 35 else 3) for m in range(60)],
+                                "sampled_at timestamp, lag int")
+    assert [(r.raised_at, r.kind) for r in lag_alerts(lag).collect()] == [(at(1, 15), "stream_lag")]
+
+
+def test_a_cluster_needs_a_shared_scratch_folder():
+    from daybook.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    try:
+        ensure_checkpoint_dir(Session())
+        raise AssertionError("expected an error")
+    except ValueError as e:
+        assert "spark.checkpoint.dir" in str(e)

@@ -86,7 +86,9 @@ def test_snapshot_list_restore_prune(spark):
     assert snapshot.latest_complete(spark, root) == "2025-06-01"
     out = tempfile.mkdtemp(prefix="restored-")
     done = snapshot.restore(spark, root, lambda name: f"{out}/{name}" if name == "a" else None, tables=["bronze.a"])
-    assert done == {"a": 1} and spark.read.parquet(f"{out}/a").count() == 2
+    assert done == {"a": 2} and spark.read.parquet(f"{out}/a").count() == 2
+    assert snapshot.restore(spark, root, lambda name: f"{out}/{name}", tables=["a"]) == {"a": 0}
+    assert spark.read.parquet(f"{out}/a").count() == 2   # no version column, and still not doubled
     try:
         snapshot.restore(spark, root, lambda n: f"{out}/{n}", tables=["missing"])
         raise AssertionError("expected a missing-table error")

@@ -13,8 +13,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def main() -> None:
-    from pyspark.sql import functions as F
-
     from daybook.session import build_session, scratch_path
     from daybook.sources.driver import DRIVER_COLUMNS, read
     from daybook.sources.snapshot import restore, snapshot
@@ -29,8 +27,7 @@ def main() -> None:
     ev.write.options(**micros).json(f"{base}/in")
     n = ev.count()
     t0 = time.perf_counter()
-    land_json(spark, f"{base}/in", ev.schema, f"{base}/out", f"{base}/ckpt", ["event_id", "ts"], "ts", "1 day",
-              transform=lambda s: s.withColumn("ts", F.col("ts").cast("timestamp")), options=micros)
+    land_json(spark, f"{base}/in", ev.schema, f"{base}/out", f"{base}/ckpt", options=micros)
     stream_s = time.perf_counter() - t0
     tables = {t: read(spark, sf, t) for t in DRIVER_COLUMNS}
     t0 = time.perf_counter()
