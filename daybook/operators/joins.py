@@ -68,7 +68,8 @@ def overlap_join(left: DataFrame, right: DataFrame, l_start: str, l_end: str,
     if how == "inner":
         return joined
     if how == "left":
-        missing = left.join(joined.select(*lcols).distinct(), lcols, "left_anti")
+        met = joined.select(*[F.col(c).alias(f"__m{i}") for i, c in enumerate(lcols)]).distinct()
+        missing = left.join(met, [left[c].eqNullSafe(met[f"__m{i}"]) for i, c in enumerate(lcols)], "left_anti")
         for c in rcols:
             missing = missing.withColumn(c, F.lit(None).cast(right.schema[c].dataType))
         return joined.unionByName(missing)
@@ -98,8 +99,7 @@ def band_anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str], l_ts:
 
 def within_radius_flag(points: DataFrame, places: DataFrame, lat: str, lng: str,
                        flag: str = "is_private", p_lat: str = "lat", p_lng: str = "lng",
-                       p_radius_m: str = "radius_m", zero_rule: str = "both",
-                       max_places_per_cell: int = 512) -> DataFrame:
+                       p_radius_m: str = "radius_m", zero_rule: str = "both") -> DataFrame:
     """Add ``flag`` = 1 when a point lies within the radius of any place.
 
     Grid-cell join: the sphere is cut into square cells no smaller than the
@@ -108,13 +108,10 @@ def within_radius_flag(points: DataFrame, places: DataFrame, lat: str, lng: str,
     near the poles); a point keeps its own cell. Candidates meet by an
     equi-join on the cell and are confirmed with the exact haversine.
 
-    When no cell holds more than ``max_places_per_cell`` places (checked on
-    the places side), places are grouped into one row per cell and the
-    points are left-joined to it once: a point meets at most one row, and
-    ``exists`` over that cell's places sets the flag — a single pass over
-    the points. Otherwise the output is the union of the semi-join (flag 1)
-    and anti-join (flag 0); either way every point appears exactly once and
-    no pair list is materialised.
+    The output is the union of the semi-join (flag 1) and the anti-join
+    (flag 0), whatever the number of places: every point appears exactly
+    once, no pair list is materialised, and a crowded cell is split by Spark's
+    skew handling.
     Points without coordinates never match: ``zero_rule="both"`` treats
     only 0/0 as missing, ``"either"`` any zero coordinate (the Maps model's
     rule). An empty place list gives 0.
@@ -146,16 +143,6 @@ def within_radius_flag(points: DataFrame, places: DataFrame, lat: str, lng: str,
     Q = points.withColumn("__cy", F.floor((la + 90.0) / cell).cast("long")) \
               .withColumn("__cx", F.pmod(F.floor((lo + 180.0) / cell).cast("long"), F.lit(ncells).cast("long")))
     has_xy = (~((Q[lat] == 0) & (Q[lng] == 0)) if zero_rule == "both" else ((Q[lat] != 0) & (Q[lng] != 0)))
-    crowded = Pc.groupBy("__cy", "__cx").count().agg(F.max("count").alias("m")).first()["m"] or 0
-    if crowded <= max_places_per_cell:
-        cells = Pc.groupBy("__cy", "__cx").agg(
-            F.collect_list(F.struct(F.col("__plat").alias("a"), F.col("__plng").alias("o"),
-                                    F.col("__prad").alias("r"))).alias("__places"))
-        j = Q.join(cells, ["__cy", "__cx"], "left")
-        hit = F.coalesce(F.exists("__places", lambda p: haversine_m(F.col(lat), F.col(lng), p["a"], p["o"]) <= p["r"]),
-                         F.lit(False))
-        return (j.withColumn(flag, F.when(has_xy & hit, 1).otherwise(0).cast("int"))
-                .drop("__cy", "__cx", "__places"))
     cond = [Q["__cy"] == Pc["__cy"], Q["__cx"] == Pc["__cx"], has_xy,
             haversine_m(Q[lat], Q[lng], Pc["__plat"], Pc["__plng"]) <= Pc["__prad"]]
     hit = Q.join(Pc, cond, "left_semi").withColumn(flag, F.lit(1))

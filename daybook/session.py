@@ -33,12 +33,16 @@ def build_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a local one only when unset
-    (tests and local runs). On a cluster it must be a shared file system."""
+    """Return the shared checkpoint folder. In local mode (tests) one is made
+    when unset; on a cluster, where executors don't share local folders, an
+    unset folder is an error."""
     cur = spark.conf.get("spark.checkpoint.dir", None)
     if not cur:
         cur = spark.sparkContext.getCheckpointDir()
     if not cur:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         cur = tempfile.mkdtemp(prefix="daybook-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
         spark.sparkContext.setCheckpointDir(cur)
@@ -82,25 +86,26 @@ def run_parallel(calls, workers: int = 8):
 
 
 def cluster_conf(input_bytes: float, executors: int, cores_per_executor: int = 8,
-                 executor_memory_gb: float = 32.0, target_partition_mb: int = 256) -> dict[str, str]:
+                 executor_memory_gb: float = 32.0, target_partition_mb: int = 256,
+                 max_partitions: int = 30_000) -> dict[str, str]:
     """Spark settings sized for a cluster run over ``input_bytes``.
 
     * scan splits of ``target_partition_mb`` (files.maxPartitionBytes) so a
       task's input fits comfortably in its share of executor memory;
-    * initial shuffle partitions = max(input / target, 3 × total cores),
-      rounded up to a multiple of the core count, and AQE coalescing back to
-      the advisory size at run time, so small stages do not pay for the
-      large ones;
+    * initial shuffle partitions = max(input / target, 3 × total cores), at
+      most ``max_partitions`` (map tasks x reduce partitions is what the driver
+      and the shuffle service track), rounded up to a multiple of the core
+      count, with AQE coalescing back to the advisory size at run time; a
+      stage that shuffles the whole input passes its own number;
     * AQE skew-join splitting for a key that holds a large share of a
       partition, and a broadcast threshold far below a task's memory share.
-    Example: 100 TiB on 1000 executors × 8 cores → 256 MiB splits and
-    416,000 shuffle partitions (100 TiB / 256 MiB rounded up to a multiple of
-    the 8,000 cores) before AQE coalescing."""
+    Example: 100 TiB on 1000 executors × 8 cores → 256 MiB splits and 24,000
+    shuffle partitions before AQE coalescing."""
     cores = max(executors * cores_per_executor, 1)
     target = target_partition_mb * 1024 * 1024
     per_task_mem = executor_memory_gb * 1024 ** 3 / max(cores_per_executor, 1)
     split = int(min(target, per_task_mem / 4))
-    parts = max(-(-int(input_bytes) // split), 3 * cores)
+    parts = max(min(-(-int(input_bytes) // split), max_partitions // cores * cores), 3 * cores)
     parts = ((parts + cores - 1) // cores) * cores
     bcast = int(min(64 * 1024 ** 2, per_task_mem / 16))
     return {

@@ -81,16 +81,27 @@ def overwrite_guarded(df: DataFrame, cfg: Cfg, name: str, allow_empty: bool = Tr
     target = path_of(cfg, name).rstrip("/")
     tp, sp, bp = (jvm.org.apache.hadoop.fs.Path(x) for x in (target, target + "__staging", target + "__old"))
     fs = tp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def move(a, b) -> None:                     # rename reports failure by returning false
+        if not fs.rename(a, b):
+            raise OSError(f"could not rename {a} to {b}")
+
     if not fs.exists(tp) and fs.exists(bp):
-        fs.rename(bp, tp)                       # recover an interrupted swap
+        move(bp, tp)                            # recover an interrupted swap
     if not allow_empty and out.isEmpty():
         raise ValueError(f"refusing to replace {name} with an empty result")
     out.write.mode("overwrite").parquet(target + "__staging")
     if fs.exists(bp):
         fs.delete(bp, True)
-    if fs.exists(tp):
-        fs.rename(tp, bp)
-    fs.rename(sp, tp)
+    had = fs.exists(tp)
+    if had:
+        move(tp, bp)
+    try:
+        move(sp, tp)
+    except Exception:
+        if had:
+            move(bp, tp)
+        raise
     fs.delete(bp, True)
 
 

@@ -67,7 +67,7 @@ def test_cluster_conf_sizes():
     from daybook.session import cluster_conf
     c = cluster_conf(100 * 1024 ** 4, executors=1000, cores_per_executor=8, executor_memory_gb=32)
     assert int(c["spark.sql.files.maxPartitionBytes"]) == 256 * 1024 ** 2
-    assert int(c["spark.sql.shuffle.partitions"]) == 416000
+    assert int(c["spark.sql.shuffle.partitions"]) == 24000
     assert int(c["spark.sql.shuffle.partitions"]) % 8000 == 0
     small = cluster_conf(1024 ** 3, executors=1, cores_per_executor=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 24

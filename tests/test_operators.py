@@ -144,13 +144,12 @@ def test_chunked_scans_match_plain_windows(spark):
         key(dwell_segments(df, ["u"], "ts", "track", "dur", as_of))
 
 
-def test_within_radius_both_paths_agree(spark):
+def test_within_radius_of_crowded_cells(spark):
     rnd = random.Random(8)
     places = [(48.0 + rnd.uniform(-0.01, 0.01), 2.0 + rnd.uniform(-0.01, 0.01), 300) for _ in range(60)]
     pts = [(i, 48.0 + rnd.uniform(-0.02, 0.02), 2.0 + rnd.uniform(-0.02, 0.02)) for i in range(300)]
     P = spark.createDataFrame(places, "lat double, lng double, radius_m int")
     Q = spark.createDataFrame(pts, "id int, lat double, lng double")
-    one_pass = {r["id"]: r["is_private"] for r in within_radius_flag(Q, P, "lat", "lng").collect()}
-    semi_anti = {r["id"]: r["is_private"] for r in within_radius_flag(Q, P, "lat", "lng", max_places_per_cell=1).collect()}
+    got = {r["id"]: r["is_private"] for r in within_radius_flag(Q, P, "lat", "lng").collect()}
     want = {i: int(any(_hav_m(la, lo, a, b) <= r for a, b, r in places)) for i, la, lo in pts}
-    assert one_pass == semi_anti == want and 0 < sum(want.values()) < len(want)
+    assert got == want and 0 < sum(want.values()) < len(want)
