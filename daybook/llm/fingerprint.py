@@ -90,26 +90,26 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     text = F.coalesce(F.col(text_col), F.lit(""))
     number = F.col(id_col).cast("long")
     rows = docs.select(number.isNull().alias("k0"), F.coalesce(number, F.lit(0)).alias("k1"),
-                       F.xxhash64(text).alias("k2"), number.alias("id"), text.alias("t"))
-    rows = rows.withColumn("n", F.char_length("t").cast("long"))
+                       F.xxhash64(text).alias("k2"), text.alias("t"))
     key = ["k0", "k1", "k2"]
-    keys = rows.select(*key, "n").distinct()
     order = [F.col("k0").asc(), F.col("k1").desc(), F.col("k2").asc()]
-    ring = _successors(keys, key, order)
+    ring = _successors(rows.select(*key, F.char_length("t").alias("n")).distinct(), key, order)
     # what each document owes to the one before it
     owed = ring.select(*[F.col(f"next.{k}").alias(k) for k in key], F.struct(*key).alias("before"),
                        F.floor(F.col("n") / 3).cast("int").alias("wanted"))
-    own = with_sketch(rows, "t", "sketch", shingle, one_in).join(owed, key)
-    heads = own.groupBy(*key).agg(
+    # both joins below use all columns of this table, so they share one exchange of it
+    sketched = with_sketch(rows, "t", "sketch", shingle, one_in)
+    heads = sketched.join(owed, key).groupBy(*key).agg(
         F.first("before").alias("before"), F.first(F.substr("t", F.lit(1), F.col("wanted"))).alias("head"),
         F.first("sketch").alias("next_sketch")).select(
         *[F.col(f"before.{k}").alias(k) for k in key], "head", "next_sketch")
-    both = own.drop("before", "wanted").join(heads, key)
-    keep = (F.col("n") - F.floor(F.col("n") / 3)).cast("int")
-    both = both.withColumn("edited", F.concat(F.substr("t", F.lit(1), keep), "head"))
+    n = F.char_length("t")
+    both = sketched.join(heads, key).withColumn(
+        "edited", F.concat(F.substr("t", F.lit(1), (n - F.floor(n / 3)).cast("int")), "head"))
     both = with_sketch(both, "edited", "edited_sketch", shingle, one_in)
     return both.select(
-        "id", F.col("n").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        F.when(~F.col("k0"), F.col("k1")).alias("id"), n.cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
         as_text(F.col("sketch")).alias("fingerprint"), as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
         containment(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
         containment(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
