@@ -42,34 +42,33 @@ def overlap_join(left: DataFrame, right: DataFrame, l_start: str, l_end: str,
     longest right interval in days. Every pair is produced exactly once
     (one bucket per right row), and the exact predicate is re-checked.
 
-    ``M`` is read from the data with a one-row aggregate unless given. With
+    ``M`` is a scalar subquery over the right side unless given. With
     ``salt > 1`` each right row also gets a random-free salt (a hash of the
     row) and the left side is replicated ``salt`` times, so a day holding a
     large share of the right rows is spread over ``salt`` tasks.
     ``how`` may be ``inner`` or ``left`` (left rows without a partner kept).
     """
     r_end = r_end or r_start
-    if max_right_days is None:
-        m = right.select(F.max(F.datediff(F.to_date(r_end), F.to_date(r_start))).alias("m")).first()
-        max_right_days = int(m["m"] or 0) if m else 0
+    longest = F.lit(max_right_days) if max_right_days is not None else F.coalesce(
+        right.select(F.max(F.datediff(F.to_date(r_end), F.to_date(r_start))).alias("m")).scalar(), F.lit(0))
     lcols, rcols = left.columns, right.columns
     L = left.withColumn("__day", F.explode(F.sequence(
-        _epoch_day(F.col(l_start)) - max_right_days, _epoch_day(F.col(l_end)))))
-    R = right.withColumn("__day", _epoch_day(F.col(r_start)))
-    keys = ["__day"]
+        _epoch_day(F.col(l_start)) - longest, _epoch_day(F.col(l_end)))))
+    R = right.toDF(*[f"__r_{c}" for c in rcols]).withColumn("__rday", _epoch_day(F.col(f"__r_{r_start}")))
+    cond = [F.col("__day") == F.col("__rday")]
     if salt > 1:
         L = L.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        R = R.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rcols]), F.lit(salt)))
-        keys.append("__salt")
-    cond = [L[k] == R[k] for k in keys]
-    cond.append(F.to_date(R[r_start]) <= F.to_date(L[l_end]))
-    cond.append(F.to_date(R[r_end]) >= F.to_date(L[l_start]))
-    joined = L.join(R, cond, "inner").select(*[L[c] for c in lcols], *[R[c] for c in rcols])
+        R = R.withColumn("__rsalt", F.pmod(F.xxhash64(*[F.col(f"`__r_{c}`") for c in rcols]), F.lit(salt)))
+        cond.append(F.col("__salt") == F.col("__rsalt"))
+    cond.append(F.to_date(F.col(f"__r_{r_start}")) <= F.to_date(F.col(l_end)))
+    cond.append(F.to_date(F.col(f"__r_{r_end}")) >= F.to_date(F.col(l_start)))
+    joined = L.join(R, cond, "inner").select(*[F.col(f"`{c}`") for c in lcols],
+                                             *[F.col(f"`__r_{c}`").alias(c) for c in rcols])
     if how == "inner":
         return joined
     if how == "left":
-        met = joined.select(*[F.col(c).alias(f"__m{i}") for i, c in enumerate(lcols)]).distinct()
-        missing = left.join(met, [left[c].eqNullSafe(met[f"__m{i}"]) for i, c in enumerate(lcols)], "left_anti")
+        met = joined.select(*[F.col(f"`{c}`").alias(f"__m{i}") for i, c in enumerate(lcols)]).distinct()
+        missing = left.join(met, [F.col(f"`{c}`").eqNullSafe(F.col(f"__m{i}")) for i, c in enumerate(lcols)], "left_anti")
         for c in rcols:
             missing = missing.withColumn(c, F.lit(None).cast(right.schema[c].dataType))
         return joined.unionByName(missing)
@@ -120,12 +119,12 @@ def within_radius_flag(points: DataFrame, places: DataFrame, lat: str, lng: str,
                        F.col(p_lng).cast("double").alias("__plng"),
                        F.col(p_radius_m).cast("double").alias("__prad"))
          .filter("__plat IS NOT NULL AND __plng IS NOT NULL AND __prad > 0").distinct())
-    max_r = P.agg(F.max("__prad").alias("r")).first()["r"]
-    if max_r is None:
-        return points.withColumn(flag, F.lit(0).cast("int"))
-    # cells: a whole number of cells around the globe, at least max radius wide
-    raw_deg = max(max_r / 1000.0 / KM_PER_DEGREE, 1e-4)
-    ncells = max(int(360.0 // raw_deg), 1)
+    # cells: a whole number of cells around the globe, at least as wide as the
+    # largest radius, a scalar subquery (without places: null, and no cell meets)
+    max_r = P.agg(F.max("__prad").alias("r")).scalar()
+    n = F.greatest(F.floor(360.0 / F.greatest(max_r / 1000.0 / KM_PER_DEGREE, F.lit(1e-4))), F.lit(1)).cast("long")
+    P = P.withColumn("__n", n)
+    ncells = F.col("__n")
     cell = 360.0 / ncells
     dlat = F.col("__prad") / 1000.0 / KM_PER_DEGREE
     band = F.least(F.abs(F.col("__plat")) + dlat, F.lit(90.0))
@@ -133,21 +132,22 @@ def within_radius_flag(points: DataFrame, places: DataFrame, lat: str, lng: str,
     dlng = F.when(cosb < 1e-6, F.lit(360.0)).otherwise(dlat / cosb)
     lat_cells = F.sequence(F.floor((F.col("__plat") + 90.0 - dlat) / cell).cast("long"),
                            F.floor((F.col("__plat") + 90.0 + dlat) / cell).cast("long"))
-    lng_cells = F.when(dlng * 2 >= 360.0, F.sequence(F.lit(0).cast("long"), F.lit(ncells - 1).cast("long")))\
+    lng_cells = F.when(dlng * 2 >= 360.0, F.sequence(F.lit(0).cast("long"), ncells - 1))\
         .otherwise(F.array_distinct(F.transform(
             F.sequence(F.floor((F.col("__plng") + 180.0 - dlng) / cell).cast("long"),
                        F.floor((F.col("__plng") + 180.0 + dlng) / cell).cast("long")),
-            lambda j: F.pmod(j, F.lit(ncells).cast("long")))))
-    Pc = (P.withColumn("__cy", F.explode(lat_cells)).withColumn("__cx", F.explode(lng_cells)))
+            lambda j: F.pmod(j, ncells))))
+    Pc = (P.withColumn("__pcy", F.explode(lat_cells)).withColumn("__pcx", F.explode(lng_cells)).drop("__n"))
     la, lo = F.col(lat).cast("double"), F.col(lng).cast("double")
-    Q = points.withColumn("__cy", F.floor((la + 90.0) / cell).cast("long")) \
-              .withColumn("__cx", F.pmod(F.floor((lo + 180.0) / cell).cast("long"), F.lit(ncells).cast("long")))
-    has_xy = (~((Q[lat] == 0) & (Q[lng] == 0)) if zero_rule == "both" else ((Q[lat] != 0) & (Q[lng] != 0)))
-    cond = [Q["__cy"] == Pc["__cy"], Q["__cx"] == Pc["__cx"], has_xy,
-            haversine_m(Q[lat], Q[lng], Pc["__plat"], Pc["__plng"]) <= Pc["__prad"]]
+    Q = points.withColumn("__n", n).withColumn("__cy", F.floor((la + 90.0) / cell).cast("long")) \
+              .withColumn("__cx", F.pmod(F.floor((lo + 180.0) / cell).cast("long"), ncells))
+    x, y = F.col(lat), F.col(lng)
+    has_xy = (~((x == 0) & (y == 0)) if zero_rule == "both" else ((x != 0) & (y != 0)))
+    cond = [F.col("__cy") == F.col("__pcy"), F.col("__cx") == F.col("__pcx"), has_xy,
+            haversine_m(F.col(lat), F.col(lng), F.col("__plat"), F.col("__plng")) <= F.col("__prad")]
     hit = Q.join(Pc, cond, "left_semi").withColumn(flag, F.lit(1))
     miss = Q.join(Pc, cond, "left_anti").withColumn(flag, F.lit(0))
-    return hit.unionByName(miss).drop("__cy", "__cx").withColumn(flag, F.col(flag).cast("int"))
+    return hit.unionByName(miss).drop("__cy", "__cx", "__n").withColumn(flag, F.col(flag).cast("int"))
 
 
 def valid_intervals(anchors: DataFrame, entity: Sequence[str], valid_from: str,

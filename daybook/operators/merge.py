@@ -16,20 +16,17 @@ COLD_START = dt.datetime(2000, 1, 1)  # fixed value: history before this means "
 
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Add the columns of a one-row frame (a global aggregate or a top-1)
-    to every row, as typed literals.
-
-    The row is read first — it is bounded by construction — so no join (and
-    no nested-loop plan) is needed, and Catalyst can fold the values into
-    later filters. An empty ``one_row`` gives an empty result, like a cross
-    join with an empty relation."""
-    rows = one_row.take(2)
-    if len(rows) > 1:
-        raise ValueError("attach_scalar expects at most one row")
-    out = df
-    for f in one_row.schema.fields:
-        v = rows[0][f.name] if rows else None
-        out = out.withColumn(f.name, F.lit(v).cast(f.dataType))
-    return out if rows else out.limit(0)
+    to every row, as one scalar subquery.
+
+    The subquery is part of the plan: nothing runs while the plan is built,
+    it runs once, and no join is needed. More than one row is an error when it
+    runs. An empty ``one_row`` gives an empty result, like a cross join with
+    an empty relation."""
+    packed = one_row.select(F.struct(*[F.col(f"`{c}`") for c in one_row.columns]).alias("__one")).scalar()
+    out = df.withColumn("__one", packed).filter(F.col("__one").isNotNull())
+    for c in one_row.columns:
+        out = out.withColumn(c, F.col("__one").getField(c))
+    return out.drop("__one")
 
 
 def lambda_merge(history: DataFrame, stream: DataFrame, keys: Sequence[str], ts: str,
@@ -43,20 +40,15 @@ def lambda_merge(history: DataFrame, stream: DataFrame, keys: Sequence[str], ts:
     just those are read for the anti-join. An empty (or pre-``cold_start``)
     history disables the stream branch.
 
-    T is one scalar (a global max, answerable from Parquet footers) read
-    before planning the rest, so every comparison with it is a literal that
-    Catalyst pushes into the Parquet scans: the boundary read touches only
-    the row groups of the last ``window_s`` seconds."""
+    T is one scalar subquery (a global max, answerable from Parquet
+    footers): it runs with the plan, once, and its value reaches the filters of
+    the scans, so the boundary read touches only the row groups of the last
+    ``window_s`` seconds."""
     raw = raw_history if raw_history is not None else history
     t_type = raw.schema[ts].dataType
-    t_max = raw.agg(F.max(ts).alias("t")).first()["t"]
-    if t_max is None:
-        return history.limit(0)
-    T = F.lit(t_max).cast(t_type)
+    T = raw.agg(F.max(ts).alias("t")).scalar()
     h = history.filter(F.col(ts) <= T)
-    if t_max <= cold_start:
-        return h
-    s = stream.filter(F.col(ts) > T)
-    boundary = raw.select(*keys, ts).filter(F.col(ts) >= F.lit(t_max - dt.timedelta(seconds=window_s)).cast(t_type))
+    s = stream.filter((F.col(ts) > T) & (T > F.lit(cold_start).cast(t_type)))
+    boundary = raw.select(*keys, ts).filter(F.col(ts) >= T - F.make_dt_interval(secs=F.lit(window_s)))
     s = band_anti_join(s, boundary, keys, ts, ts, window_s)
     return h.unionByName(s.select(*history.columns))
