@@ -15,7 +15,7 @@ from daybook.session import scratch_path
 
 #: Text bytes handled by one round of array operations (a longer single text
 #: is handled alone).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,7 +78,7 @@ def powers(kind: str, n: int) -> np.ndarray:
         steps = np.full(max(n, 1 << 16), _BASE if kind == "base" else _INVERSE, dtype=np.uint64)
         steps[0] = 1
         have = np.cumprod(steps, dtype=np.uint64)
-        if n <= 4 * CHUNK_BYTES:
+        if n <= 16 * CHUNK_BYTES:
             _powers[kind] = have
     return have[:n]
 

@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import PrefixHash, Words, chunks, mix
-from daybook.llm.windows import LAST, Groups, RangeMin, mark, repeated_windows
+from daybook.llm.windows import LAST, RangeMin, Scan, Units, covered, mark, no_groups, repeated_windows
 
-WINDOW, ROUNDS = 50, 4
+WINDOW, ROUNDS, BLOCK = 50, 4, 8
 
 
 class Symbols:
@@ -79,16 +79,15 @@ class Symbols:
         self._keep(at, name, lo, hi)
 
 
-def scan_words(texts: list[bytes], size: int = WINDOW, rounds: int = ROUNDS) -> Groups:
+def scan_words(texts: list[bytes], size: int = WINDOW, rounds: int = ROUNDS, block: int = BLOCK) -> Scan:
     """The groups of all windows of ``size`` words of the texts; positions are
     word numbers over all texts."""
     words = Words(texts)
     names = words.hashes()
     n = len(names)
-    none = np.zeros(0, dtype=np.int64)
-    starts = np.flatnonzero(words.doc[size - 1:] == words.doc[:n - size + 1]) if n >= size else none
+    starts = np.flatnonzero(words.doc[size - 1:] == words.doc[:n - size + 1]) if n >= size else np.zeros(0, dtype=np.int64)
     if not len(starts):
-        return Groups(none, none, none, none.view(np.uint64), none.view(np.uint64), lambda at: at.view(np.uint64))
+        return Scan(no_groups(), lambda a, b: a.view(np.uint64), size, block)
     hashed = PrefixHash(names)
     symbols = Symbols(names, words.doc, words.first)
     for k in range(rounds):
@@ -109,19 +108,16 @@ def scan_words(texts: list[bytes], size: int = WINDOW, rounds: int = ROUNDS) ->
     lone = chosen < 0
     known = np.where(lone, 0, chosen)
     a, b = np.where(lone, first, symbols.lo[known]), np.where(lone, first + size, symbols.hi[known])
-    c = hashed.of(a, b)
-    s = mix(hashed.of(first, last + size) ^ mix((a - first).astype(np.uint64) + np.uint64(77)))
-    return Groups(words.doc[first], first, last, c, s, lambda w: hashed.of(w, w + size))
+    out = Scan(Units(words.doc[first], first, last, a, hashed.of(a, b), np.zeros(0, dtype=np.uint64)), hashed.of, size,
+               min(block, size))
+    out.groups.s = out.name(out.groups)
+    return out
 
 
 def _cut(size: int, names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, texts in chunks(batches):
         words = Words(texts)
-        hits = repeated_windows(batch, texts, lambda t: scan_words(t, size))
-        edge = np.zeros(len(words.start) + 1, dtype=np.int64)
-        np.add.at(edge, hits, 1)
-        np.add.at(edge, np.minimum(hits + size, len(words.start)), -1)
-        gone = np.cumsum(edge[:-1]) > 0
+        gone = covered(*repeated_windows(batch, texts, lambda t: scan_words(t, size)), size, len(words.start))
         removed = np.bincount(words.doc[gone], minlength=len(texts))
         kept, rest = [], []
         for i, text in enumerate(texts):

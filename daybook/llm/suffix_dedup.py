@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import PrefixHash, byte_values, chunks, mix
-from daybook.llm.windows import LAST, Groups, mark, repeated_windows
+from daybook.llm.windows import LAST, Scan, Units, covered, mark, no_groups, repeated_windows
 
-WINDOW, GRAM = 200, 32
+WINDOW, GRAM, BLOCK = 200, 32, 16
 
 
 class Suffixes:
@@ -108,16 +108,15 @@ def _verify(buf: np.ndarray, hashed: PrefixHash, start: np.ndarray, end: np.ndar
             raise ValueError("different stretches share a name: a hash collision")
 
 
-def scan_bytes(texts: list[bytes], size: int = WINDOW, gram: int = GRAM) -> Groups:
+def scan_bytes(texts: list[bytes], size: int = WINDOW, gram: int = GRAM, block: int = BLOCK) -> Scan:
     """The groups of all windows of ``size`` bytes of the texts; positions are
     places in the texts joined by one byte."""
     buf = np.frombuffer(b"\0".join(texts) + b"\0", dtype=np.uint8)
     lengths = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
     offset = np.concatenate([[0], np.cumsum(lengths + 1)])
     n = len(buf)
-    none = np.zeros(0, dtype=np.int64)
     if not len(texts) or lengths.max() < size:
-        return Groups(none, none, none, none.view(np.uint64), none.view(np.uint64), lambda at: at.view(np.uint64))
+        return Scan(no_groups(), lambda a, b: a.view(np.uint64), size, block)
     hashed = PrefixHash(byte_values(buf))
     # the least drawn rank of a gram in the window; the first of equal ones
     bits = max(24, int(n).bit_length())
@@ -139,21 +138,18 @@ def scan_bytes(texts: list[bytes], size: int = WINDOW, gram: int = GRAM) -> Grou
     first = np.flatnonzero(new & whole)
     ends = np.flatnonzero(whole & np.append(new[1:] | ~whole[1:], True))
     chosen = anchor[first]
-    c = hashed.of(chosen, chosen + gram)
-    s = mix(hashed.of(first, ends + size) ^ mix((chosen - first).astype(np.uint64) + np.uint64(99)))
-    return Groups(doc[first], first, ends, c, s, lambda w: hashed.of(w, w + size),
-                  lambda: _verify(buf, hashed, first, ends + size, s))
+    groups = Units(doc[first], first, ends, chosen, hashed.of(chosen, chosen + gram), np.zeros(0, dtype=np.uint64))
+    out = Scan(groups, hashed.of, size, min(block, size))
+    groups.s = out.name(groups)
+    out.verify = lambda: _verify(buf, hashed, first, ends + size, groups.s)
+    return out
 
 
 def _cut(size: int, names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, texts in chunks(batches):
-        hits = repeated_windows(batch, texts, lambda t: scan_bytes(t, size))
         lengths = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
         offset = np.concatenate([[0], np.cumsum(lengths + 1)])
-        edge = np.zeros(int(offset[-1]) + 1, dtype=np.int64)
-        np.add.at(edge, hits, 1)
-        np.add.at(edge, hits + size, -1)
-        gone = np.cumsum(edge[:-1]) > 0
+        gone = covered(*repeated_windows(batch, texts, lambda t: scan_bytes(t, size)), size, int(offset[-1]))
         turn = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
         # a window never crosses a text's end, so runs lie inside texts
         begin, end = turn[::2], turn[1::2]

@@ -2,19 +2,22 @@
 
 A scan divides the windows of each text into *groups*: consecutive windows
 that choose the same anchor, an anchor being found from a window's own content
-alone. Equal windows therefore have equal anchors. Two names describe a group:
-``c``, of the anchor (equal for every window that chooses such an anchor,
-anywhere), and ``s``, of all bytes or words that the group's windows cover.
-
-1. Groups of the same (c, s) hold the same windows: one row per group and
-   document decides most cases.
-2. Where different groups share an anchor name, some of their windows may be
-   equal all the same. One document of each such (c, s) names the group's
-   windows one by one, and equal names are found by (c, window).
-3. The names found are brought back to their documents.
-
-All groupings are partial aggregations; joins are plain equi-joins that skew
-handling can split. No list grows with anything but one document.
+alone. Equal windows therefore have equal anchors, at the same distance from
+their starts. What is compared are *units*, each with two names: ``c``, of
+content that all its windows share (so equal windows lie in units of one
+``c``), and ``s``, of all that its windows cover.
+
+1. Units are whole groups, ``c`` names the anchor. Units of the same (c, s)
+   hold the same windows: one row per group and document decides most cases.
+2. Where different groups share ``c``, some of their windows may be equal all
+   the same. One document of each such (c, s) divides the group into blocks of
+   windows at fixed distances from the anchor; ``c`` names the stretch that
+   all windows of such a block have in common.
+3. Different blocks that share ``c`` are divided into single windows.
+
+The names found are brought back to their documents. All groupings are partial
+aggregations; joins are plain equi-joins that skew handling can split. No list
+grows with anything but one document.
 """
 
 from __future__ import annotations
@@ -34,27 +37,58 @@ LAST = (1 << 63) - 1
 
 
 @dataclass
-class Groups:
-    """Groups of several texts: ``text`` (its index), ``first`` and ``last``
-    (window starts, in the scan's own positions), ``c`` and ``s``; ``name``
-    gives the names of windows by their starts, ``verify`` fails if equal
-    names of groups stand for different content."""
+class Units:
+    """Runs of windows: ``text`` (index of the text), ``first`` and ``last``
+    (starts, in the scan's own positions), ``anchor`` (place), ``c``, ``s``."""
     text: np.ndarray
     first: np.ndarray
     last: np.ndarray
+    anchor: np.ndarray
     c: np.ndarray
     s: np.ndarray
-    name: Callable[[np.ndarray], np.ndarray]
+
+    def __len__(self) -> int:
+        return len(self.first)
+
+    def take(self, at: np.ndarray) -> Units:
+        return Units(*(x[at] for x in (self.text, self.first, self.last, self.anchor, self.c, self.s)))
+
+
+@dataclass
+class Scan:
+    """The groups of some texts. ``of(start, end)`` names stretches by their
+    content, ``size`` is that of a window, ``block`` the windows of a block;
+    ``verify`` fails if equal names stand for different content."""
+    groups: Units
+    of: Callable[[np.ndarray, np.ndarray], np.ndarray]
+    size: int
+    block: int
     verify: Callable[[], None] = lambda: None
 
-    def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(group, start) of every window of the chosen groups (indexes)."""
-        count = self.last[chosen] - self.first[chosen] + 1
+    def name(self, u: Units) -> np.ndarray:
+        """``s`` of units: what they cover, and where their anchor lies."""
+        return mix(self.of(u.first, u.last + self.size) ^ mix((u.anchor - u.first).astype(np.uint64) + np.uint64(99)))
+
+    def divide(self, u: Units, width: int) -> Units:
+        """The units in blocks of ``width`` windows at distances from the
+        anchor that are the same for every unit."""
+        low = (u.anchor - u.last) // width
+        count = (u.anchor - u.first) // width - low + 1
         ends = np.cumsum(count)
-        if not len(chosen):
-            return chosen, chosen
-        at = np.arange(int(ends[-1])) - np.repeat(ends - count, count)
-        return np.repeat(chosen, count), np.repeat(self.first[chosen], count) + at
+        if not len(u):
+            return u
+        k = np.arange(int(ends[-1])) - np.repeat(ends - count, count) + np.repeat(low, count)
+        out = u.take(np.repeat(np.arange(len(u)), count))
+        near = out.anchor - k * width  # the last start that the block may have
+        out.first, out.last = np.maximum(out.first, near - width + 1), np.minimum(out.last, near)
+        out.c = mix(self.of(near, near - width + 1 + self.size) + mix(k.astype(np.uint64) + np.uint64(width)))
+        out.s = self.name(out)
+        return out
+
+
+def no_groups() -> Units:
+    none = np.zeros(0, dtype=np.int64)
+    return Units(none, none, none, none, none.view(np.uint64), none.view(np.uint64))
 
 
 class RangeMin:
@@ -88,8 +122,9 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 def _name_groups(scan, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, texts in chunks(batches):
-        g = scan(texts)
-        g.verify()
+        found = scan(texts)
+        found.verify()
+        g = found.groups
         doc = batch.column(0).to_numpy()[g.text]
         # a group that a document repeats becomes one row with a count
         key = mix(g.s + mix(g.c + doc.view(np.uint64)))
@@ -114,63 +149,101 @@ def _member(lists: pa.Array, text: np.ndarray, names: np.ndarray) -> np.ndarray:
     return have[np.minimum(np.searchsorted(have, want), len(have) - 1)] == want
 
 
-def _name_windows(scan, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _list(batch: pa.RecordBatch, name: str) -> pa.Array:
+    return batch.column(batch.schema.get_field_index(name))
+
+
+def _name_parts(scan, levels: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The blocks of the groups listed in ``groups``; with two levels the
+    windows of those of their blocks that ``blocks`` lists."""
     for batch, texts in chunks(batches):
-        g = scan(texts)
-        wanted = batch.column(batch.schema.get_field_index("wanted"))
-        chosen = np.flatnonzero(_member(wanted, g.text, g.s))
-        group, start = g.windows(chosen)
-        doc = batch.column(batch.schema.get_field_index("doc")).to_numpy()[g.text[group]]
-        yield pa.RecordBatch.from_arrays(
-            [_signed(g.c[group]), _signed(g.name(start)) if len(start) else pa.array([], pa.int64()),
-             _signed(g.s[group]), pa.array(doc)], names=["c", "w", "s", "doc"])
-
-
-def repeated_windows(batch: pa.RecordBatch, texts: list[bytes], scan) -> np.ndarray:
-    """Starts of the windows to remove, of a batch with the lists ``whole``
-    (names of groups) and ``some`` (names of windows)."""
-    g = scan(texts)
-    whole = _member(batch.column(batch.schema.get_field_index("whole")), g.text, g.s)
-    some = batch.column(batch.schema.get_field_index("some"))
-    sizes = np.nan_to_num(np.array(some.value_lengths().to_numpy(zero_copy_only=False), dtype=np.float64))
-    _, sure = g.windows(np.flatnonzero(whole))
-    group, start = g.windows(np.flatnonzero(~whole & (sizes[g.text] > 0)))
-    hit = _member(some, g.text[group], g.name(start)) if len(start) else np.zeros(0, dtype=bool)
-    return np.concatenate([sure, start[hit]])
+        found = scan(texts)
+        whole = found.groups.take(np.flatnonzero(_member(_list(batch, "groups"), found.groups.text, found.groups.s)))
+        parts = found.divide(whole, found.block)
+        if levels == 2:
+            parts = parts.take(np.flatnonzero(_member(_list(batch, "blocks"), parts.text, parts.s)))
+            parent = parts.s
+            windows = found.divide(parts, 1)
+            source = np.repeat(parent, parts.last - parts.first + 1)
+            parts = windows
+        else:
+            source = np.repeat(whole.s, (whole.anchor - whole.first) // found.block - (whole.anchor - whole.last) // found.block + 1)
+        doc = _list(batch, "doc").to_numpy()[parts.text]
+        yield pa.RecordBatch.from_arrays([_signed(parts.c), _signed(parts.s), _signed(source), pa.array(doc)],
+                                         names=["c", "s", "source", "doc"])
+
+
+def repeated_windows(batch: pa.RecordBatch, texts: list[bytes], scan) -> tuple[np.ndarray, np.ndarray]:
+    """First and last starts of the runs of windows to remove, of a batch with
+    the lists ``gone_groups``, ``gone_blocks`` and ``gone_windows``, and the
+    lists of what was divided."""
+    found = scan(texts)
+    g = found.groups
+    gone = _member(_list(batch, "gone_groups"), g.text, g.s)
+    out = [g.take(np.flatnonzero(gone))]
+    left = g.take(np.flatnonzero(~gone & _member(_list(batch, "groups"), g.text, g.s)))
+    blocks = found.divide(left, found.block)
+    gone = _member(_list(batch, "gone_blocks"), blocks.text, blocks.s)
+    out.append(blocks.take(np.flatnonzero(gone)))
+    left = blocks.take(np.flatnonzero(~gone & _member(_list(batch, "blocks"), blocks.text, blocks.s)))
+    windows = found.divide(left, 1)
+    out.append(windows.take(np.flatnonzero(_member(_list(batch, "gone_windows"), windows.text, windows.s))))
+    return np.concatenate([u.first for u in out]), np.concatenate([u.last for u in out])
+
+
+def covered(first: np.ndarray, last: np.ndarray, size: int, n: int) -> np.ndarray:
+    """Which of ``n`` positions lie in a window that starts in one of the runs."""
+    edge = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(edge, first, 1)
+    np.add.at(edge, np.minimum(last + size, n), -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
+def _lists(rows: DataFrame, name: str) -> DataFrame:
+    return rows.groupBy("doc").agg(F.collect_set("s").alias(name))
 
 
 def mark(docs: DataFrame, scan, earlier: bool) -> DataFrame:
     """``docs`` (columns ``doc`` (long, not null), ``data`` (binary), and any
-    others) with the lists ``whole`` and ``some``: names of the groups and of
-    the single windows to remove.
+    others) with the lists that ``repeated_windows`` needs.
 
     ``earlier``: a window goes if it also occurs in a document with a smaller
     ``doc``; else if it occurs anywhere else, and then every occurrence goes.
     """
     named = written(docs.select("doc", "data").mapInArrow(
         lambda it: _name_groups(scan, it), "c long, s long, doc long, n long"), "groups")
-    spans = named.groupBy("c", "s").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.sum("n").alias("n"))
-    shared = spans.groupBy("c").agg(F.min("s").alias("s0"), F.max("s").alias("s1"),
-                                    F.min("least").alias("d0"), F.max("most").alias("d1"))
-    shared = shared.filter("s0 <> s1 AND d0 <> d1" if earlier else "s0 <> s1").select("c", F.lit(True).alias("open"))
-    again = F.col("least") < F.col("most") if earlier else F.col("n") > 1
-    known = written(spans.select("c", "s", "least", again.alias("again")).join(shared, "c", "left")
-                    .withColumn("open", F.coalesce("open", F.lit(False))).filter("again OR open"), "spans")
-
+    several = F.col("least") < F.col("most") if earlier else F.col("n") > 1
     ruled = F.col("doc") > F.col("least") if earlier else F.lit(True)
-    whole = named.join(known.filter("again"), ["c", "s"]).filter(ruled).select("doc", "s")
-    whole = whole.groupBy("doc").agg(F.collect_set("s").alias("whole"))
 
-    wanted = known.filter("open").groupBy(F.col("least").alias("doc")).agg(F.collect_set("s").alias("wanted"))
-    # one exchange of the texts serves both joins: both ask for the same columns
+    def decide(units: DataFrame) -> DataFrame:
+        """Units (c, s, least) that repeat (``again``) or share ``c`` with others (``open``)."""
+        alone = units.groupBy("c").agg(F.min("s").alias("s0"), F.max("s").alias("s1"),
+                                       F.min("least").alias("d0"), F.max("most").alias("d1"))
+        shared = alone.filter("s0 <> s1 AND d0 <> d1" if earlier else "s0 <> s1").select("c", F.lit(True).alias("open"))
+        return written(units.select("c", "s", "least", several.alias("again")).join(shared, "c", "left")
+                       .withColumn("open", F.coalesce("open", F.lit(False))).filter("again OR open"), "units")
+
+    groups = decide(named.groupBy("c", "s").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.sum("n").alias("n")))
+    gone_groups = _lists(named.join(groups.filter("again"), ["c", "s"]).filter(ruled).select("doc", "s"), "gone_groups")
+    divided = _lists(groups.filter("open").select(F.col("least").alias("doc"), "s"), "groups")
+
+    # one exchange of the texts serves all joins: all ask for the same columns
     texts = docs.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc")
-    windows = texts.join(wanted, "doc").mapInArrow(
-        lambda it: _name_windows(scan, it), "c long, w long, s long, doc long")
-    twice = windows.groupBy("c", "w").agg(F.min("doc").alias("least"), F.min("s").alias("s0"), F.max("s").alias("s1"),
-                                          F.max("doc").alias("most"))
-    twice = twice.filter("least < most" if earlier else "s0 <> s1")
-    ruled = F.col("doc") > F.col("least") if earlier else F.lit(True)
-    some = windows.join(twice.select("c", "w", "least"), ["c", "w"]).filter(ruled)
-    some = some.groupBy("doc").agg(F.collect_set("w").alias("some"))
-    lists = whole.join(some, "doc", "full_outer")
+    kinds = "c long, s long, source long, doc long"
+    rows = written(texts.join(divided, "doc").mapInArrow(lambda it: _name_parts(scan, 1, it), kinds), "blocks")
+    # a unit repeats when it comes from different units: one never holds it twice
+    as_units = [F.min("doc").alias("least"), F.max("doc").alias("most"),
+                F.when(F.min("source") != F.max("source"), 2).otherwise(1).alias("n")]
+    blocks = decide(rows.groupBy("c", "s").agg(*as_units))
+    gone_blocks = _lists(rows.join(blocks.filter("again"), ["c", "s"]).filter(ruled).select("doc", "s"), "gone_blocks")
+    open_blocks = blocks.filter("open").select("c", "s", "least")
+    open_rows = rows.join(open_blocks, ["c", "s"]).filter("doc = least")
+    divided = divided.join(_lists(open_rows.select("doc", "s"), "blocks"), "doc", "left")
+
+    rows = written(texts.join(divided.filter("blocks IS NOT NULL"), "doc").mapInArrow(
+        lambda it: _name_parts(scan, 2, it), kinds), "windows")
+    windows = rows.groupBy("c", "s").agg(*as_units).filter(several).select("c", "s", "least")
+    gone_windows = _lists(rows.join(windows, ["c", "s"]).filter(ruled).select("doc", "s"), "gone_windows")
+    lists = gone_groups.join(divided, "doc", "full_outer").join(gone_blocks, "doc", "full_outer") \
+        .join(gone_windows, "doc", "full_outer")
     return texts.join(lists, "doc", "left")

@@ -137,10 +137,17 @@ def test_anchors_are_the_same_wherever_a_window_stands():
         for scan, size in ((substring_dedup.scan_words, 50), (suffix_dedup.scan_bytes, 90)):
             names = {}
             for t in texts:
-                g = scan([t], size)
-                group, start = g.windows(np.arange(len(g.first)))
-                for c, w in zip(g.c[group].tolist(), g.name(start).tolist()):
-                    names.setdefault(w, set()).add(c)
+                found = scan([t], size)
+                blocks = found.divide(found.groups, found.block)
+                single, of_blocks = found.divide(found.groups, 1), found.divide(blocks, 1)
+                assert single.first.tolist() == single.last.tolist() and single.s.tolist() == of_blocks.s.tolist()
+                assert sorted(single.first.tolist()) == sorted(of_blocks.first.tolist())
+                g = found.groups
+                parent = np.repeat(np.arange(len(g)), g.last - g.first + 1)
+                block = np.repeat(np.arange(len(blocks)), blocks.last - blocks.first + 1)
+                content = found.of(single.first, single.first + size)
+                for k, w in enumerate(content.tolist()):
+                    names.setdefault(w, set()).add((int(g.c[parent[k]]), int(blocks.c[block[k]]), int(single.s[k])))
             assert names and all(len(c) == 1 for c in names.values())
 
 
