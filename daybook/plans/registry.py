@@ -27,31 +27,37 @@ SILVER: dict[str, Callable[[SparkSession, Cfg], DataFrame]] = {
 }
 
 
-def build_all(spark: SparkSession, cfg: Cfg, persist: bool = False) -> dict[str, DataFrame]:
+def build_all(spark: SparkSession, cfg: Cfg, persist: bool = False,
+              land: Callable[[str, DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
     """Every silver and gold model as a lazy DataFrame. Shared silver frames
-    are built once; with ``persist`` they are cached so a bundle of gold
-    models reads each silver model once."""
-    def keep(df: DataFrame) -> DataFrame:
-        return df.persist() if persist else df
+    are built once; with ``persist`` they are cached, with ``land`` each
+    silver model is what ``land(name, frame)`` returns (a written table), so
+    the models on top read it instead of computing it again."""
     out: dict[str, DataFrame] = {}
-    out["maps_activity_keyed"] = maps.maps_activity_keyed(spark, cfg)
-    enriched = out["silver_maps_activity_enriched"] = keep(maps.silver_maps_activity_enriched(spark, cfg))
-    out["silver_home_base"] = maps.silver_home_base(spark, cfg, enriched)
-    out["silver_geo_daily"] = maps.silver_geo_daily(spark, cfg, enriched)
-    cal = out["silver_calendar_events"] = keep(calendar.silver_calendar_events(spark, cfg))
-    out["silver_calendar_geo"] = calendar.silver_calendar_geo(spark, cfg, cal, out["silver_home_base"])
-    out["silver_spotify_plays"] = spotify.silver_spotify_plays(spark, cfg)
-    out["silver_spotify_plays_stream"] = spotify.silver_spotify_plays_stream(spark, cfg)
-    plays = out["silver_spotify_plays_merged"] = keep(spotify.silver_spotify_plays_merged(spark, cfg))
-    saved = out["silver_spotify_saved"] = spotify.silver_spotify_saved(spark, cfg)
-    watches = out["silver_youtube_watches"] = keep(youtube.silver_youtube_watches(spark, cfg))
-    searches = out["silver_youtube_searches"] = youtube.silver_youtube_searches(spark, cfg)
+
+    def keep(name: str, df: DataFrame, shared: bool = True) -> DataFrame:
+        out[name] = land(name, df) if land else df.persist() if persist and shared else df
+        return out[name]
+
+    keep("maps_activity_keyed", maps.maps_activity_keyed(spark, cfg), False)
+    enriched = keep("silver_maps_activity_enriched", maps.silver_maps_activity_enriched(spark, cfg))
+    base = keep("silver_home_base", maps.silver_home_base(spark, cfg, enriched), False)
+    keep("silver_geo_daily", maps.silver_geo_daily(spark, cfg, enriched), False)
+    cal = keep("silver_calendar_events", calendar.silver_calendar_events(spark, cfg))
+    keep("silver_calendar_geo", calendar.silver_calendar_geo(spark, cfg, cal, base), False)
+    keep("silver_spotify_plays", spotify.silver_spotify_plays(spark, cfg), False)
+    keep("silver_spotify_plays_stream", spotify.silver_spotify_plays_stream(spark, cfg), False)
+    plays = keep("silver_spotify_plays_merged", spotify.silver_spotify_plays_merged(spark, cfg))
+    saved = keep("silver_spotify_saved", spotify.silver_spotify_saved(spark, cfg), False)
+    watches = keep("silver_youtube_watches", youtube.silver_youtube_watches(spark, cfg))
+    searches = keep("silver_youtube_searches", youtube.silver_youtube_searches(spark, cfg), False)
     parts = {"plays": unified.events_spotify_plays(plays), "liked": unified.events_spotify_liked(saved),
              "maps": unified.events_maps_visits(enriched), "youtube": unified.events_youtube_watches(watches),
              "calendar": unified.events_calendar(cal)}
-    for k, v in parts.items():
-        out[f"silver_events_unified_{dict(plays='spotify_plays', liked='spotify_liked', maps='maps_visits', youtube='youtube_watches', calendar='calendar')[k]}"] = v
-    uni = out["silver_events_unified"] = keep(unified.silver_events_unified(spark, cfg, parts))
+    names = {"plays": "spotify_plays", "liked": "spotify_liked", "maps": "maps_visits", "youtube": "youtube_watches",
+             "calendar": "calendar"}
+    parts = {k: keep(f"silver_events_unified_{names[k]}", v, False) for k, v in parts.items()}
+    uni = keep("silver_events_unified", unified.silver_events_unified(spark, cfg, parts))
     # gold
     out["gold_spotify_current_track"] = spotify.gold_spotify_current_track(spark, cfg)
     for name in ("recent_tracks", "kpis_summary", "kpis_dashboard", "top_artists", "genres", "daily_listening"):
@@ -82,12 +88,24 @@ def build_all(spark: SparkSession, cfg: Cfg, persist: bool = False) -> dict[str,
 
 def run_daily(spark: SparkSession, cfg: Cfg) -> dict[str, int]:
     """Model build + trip rebuild (PIP-01) — the modelling half of the daily
-    chain; ingestion jobs append to bronze before it."""
+    chain; ingestion jobs append to bronze before it.
+
+    Silver tables are written first, each once; the gold tables are built from
+    what was written. Every model is a Parquet folder of its layer afterwards,
+    registered as a view (SNK-14). Returns the rows per model."""
     from daybook.jobs.trips import segment_trips
-    from daybook.sources.tables import overwrite_guarded
+    from daybook.sources.tables import overwrite_guarded, publish, register_views
     overwrite_guarded(segment_trips(spark, cfg), cfg, "maps_trips")
-    models = build_all(spark, cfg)
-    return {k: 1 for k in models}
+
+    def land(name: str, df: DataFrame) -> DataFrame:
+        path = cfg.table_path("gold" if name.startswith("gold_") else "silver", f"model_{name}")
+        publish(df, path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    models = build_all(spark, cfg, land=land)
+    models |= {k: land(k, df) for k, df in models.items() if k.startswith("gold_")}
+    register_views(spark, models)
+    return {k: df.count() for k, df in models.items()}
 
 
 def _overview(spark, cfg):

@@ -76,9 +76,14 @@ def overwrite_guarded(df: DataFrame, cfg: Cfg, name: str, allow_empty: bool = Tr
     ``__old`` copy, which the next run restores before doing anything."""
     s = spec(name)
     out = df.select(*[F.col(f.name).cast(f.dataType) for f in s.schema.fields])
-    spark = df.sparkSession
+    publish(out, path_of(cfg, name), allow_empty)
+
+
+def publish(out: DataFrame, target: str, allow_empty: bool = True) -> None:
+    """Replace the Parquet folder ``target`` by ``out``, as described above."""
+    spark = out.sparkSession
     jvm = spark.sparkContext._jvm
-    target = path_of(cfg, name).rstrip("/")
+    target = target.rstrip("/")
     tp, sp, bp = (jvm.org.apache.hadoop.fs.Path(x) for x in (target, target + "__staging", target + "__old"))
     fs = tp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
@@ -89,7 +94,7 @@ def overwrite_guarded(df: DataFrame, cfg: Cfg, name: str, allow_empty: bool = Tr
     if not fs.exists(tp) and fs.exists(bp):
         move(bp, tp)                            # recover an interrupted swap
     if not allow_empty and out.isEmpty():
-        raise ValueError(f"refusing to replace {name} with an empty result")
+        raise ValueError(f"refusing to replace {target} with an empty result")
     out.write.mode("overwrite").parquet(target + "__staging")
     if fs.exists(bp):
         fs.delete(bp, True)

@@ -34,7 +34,7 @@ def test_query_matches_oracle(spark, duck, name):
     df = QS[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
     if name not in SQLS:
-        assert srows is not None
+        assert srows, "a query without an oracle must at least return rows"
         return
     res = duck.execute(SQLS[name])
     dcols = [d[0] for d in res.description]
