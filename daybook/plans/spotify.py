@@ -93,7 +93,7 @@ def _plays(spark, cfg, plays: DataFrame | None = None) -> DataFrame:
 
 def gold_spotify_current_track(spark: SparkSession, cfg: Cfg) -> DataFrame:
     cur = read_table(spark, cfg, "spotify_player_current")
-    last = top_n(cur, 1, [F.col("captured_at").desc()])
+    last = top_n(cur, 1, [F.col("captured_at").desc(), F.col("track_id"), F.col("device_id")])
     return last.select(
         "captured_at", "track_id", "track_name", "track_uri", "album_id", "album_name", "album_uri", "album_images",
         first_or_empty("artists_ids").alias("artist_id"), first_or_empty("artists_names").alias("artist_name"),
@@ -104,7 +104,8 @@ def gold_spotify_current_track(spark: SparkSession, cfg: Cfg) -> DataFrame:
 
 def gold_spotify_recent_tracks(spark: SparkSession, cfg: Cfg, plays: DataFrame | None = None) -> DataFrame:
     """50 newest plays; the top-k runs on the raw timestamp, formatting after (SRT-04)."""
-    p = top_n(_plays(spark, cfg, plays), 50, [F.col("played_at").desc()])
+    p = top_n(_plays(spark, cfg, plays), 50, [F.col("played_at").desc(), F.col("track_id"), F.col("track_name"),
+                                             F.col("primary_artist_name")])
     return p.select(F.col("track_name").alias("track"), F.col("primary_artist_name").alias("artist"),
                     iso_utc("played_at").alias("played_at"), F.col("album_art_url").alias("album_art"))
 
@@ -132,9 +133,10 @@ def gold_spotify_top_artists(spark: SparkSession, cfg: Cfg, plays: DataFrame | N
     """Top 15 artists since the floor with a dense weekly play-count trend."""
     p = _plays(spark, cfg, plays).filter((F.col("primary_artist_id") != "") & (F.col("played_at") >= floor_ts(cfg)))
     a = p.groupBy("primary_artist_id").agg(
-        F.max_by("primary_artist_name", "played_at").alias("name"), F.max_by("genres", "played_at").alias("genres"),
+        F.max_by("primary_artist_name", F.struct("played_at", "primary_artist_name")).alias("name"),
+        F.max_by("genres", F.struct("played_at", "genres")).alias("genres"),
         F.count(F.lit(1)).alias("plays"), round_half(F.sum("duration_ms") / 3600000.0, 1).alias("hours"))
-    top = top_n(a, 15, [F.col("plays").desc(), F.col("name")])
+    top = top_n(a, 15, [F.col("plays").desc(), F.col("name"), F.col("primary_artist_id")])
     n_weeks = (cfg.as_of.date() - cfg.kpi_start_date).days // 7 + 1
     week = F.floor(F.datediff(F.to_date("played_at"), F.lit(cfg.kpi_start_date)) / 7).cast("int")
     wk = (p.join(F.broadcast(top.select("primary_artist_id")), "primary_artist_id", "left_semi")
@@ -143,7 +145,7 @@ def gold_spotify_top_artists(spark: SparkSession, cfg: Cfg, plays: DataFrame | N
     trend = trend.select("primary_artist_id", F.transform(
         F.sequence(F.lit(0), F.lit(max(n_weeks, 1) - 1)),
         lambda w: F.coalesce(F.try_element_at(F.col("m"), w), F.lit(0)).cast("long")).alias("trend"))
-    ranked = rank_rows(top, [F.col("plays").desc(), F.col("name")])
+    ranked = rank_rows(top, [F.col("plays").desc(), F.col("name"), F.col("primary_artist_id")])
     return ranked.join(trend, "primary_artist_id", "left").select(
         "rank", "name", "plays", "hours", first_or_empty("genres").alias("genre"), "trend").orderBy("rank")
 

@@ -426,3 +426,78 @@ MODEL_ORACLE["model_gold_youtube_kpis_with_watch_time_dashboard"] = f"""
            coalesce(CAST(first_d AS VARCHAR), '1970-01-01') AS first_activity_date,
            coalesce(CAST(last_d AS VARCHAR), '1970-01-01') AS last_activity_date
     FROM k, s"""
+
+# ---------------------------------------------------------------- arrays as text, ratios from integers
+PLAY_TEXT = "played_at, track_id, track_name, duration_ms, primary_artist_id, primary_artist_name, genres, album_name, " \
+    "album_art_url, context_type, context_uri"
+
+
+def _play_row(src: str) -> str:
+    """The full play row over an enriched source: genres of the artist, album of the track."""
+    return f"""SELECT e.played_at, e.track_id, e.track_name, e.duration_ms, e.primary_artist_id, e.primary_artist_name,
+      coalesce(lower(c.c_mktsegment), '') AS genres, coalesce(p.p_brand, '') AS album_name, e.album_art_url,
+      e.context_type, '' AS context_uri
+    FROM ({src}) e LEFT JOIN customer c ON 'a' || CAST(c.c_custkey AS VARCHAR) = e.primary_artist_id
+    LEFT JOIN part p ON p.p_size > 5 AND 't' || CAST(p.p_partkey AS VARCHAR) = e.track_id"""
+
+
+def _ratio(part: str, total: str, digits: int, scale: int = 1) -> str:
+    """part / total x scale, rounded half up with integers."""
+    ten = 10 ** digits
+    return f"(CAST((2 * {part} * {ten * scale} + {total}) // (2 * {total}) AS DOUBLE) / {ten}.0)"
+
+
+STREAM_ENRICHED = _enrich("SELECT played_at, track_id, track_name, CAST(duration_ms AS BIGINT) AS duration_ms, artists_ids, "
+                          f"artists_names, album_images, context_type FROM ({STREAM_PLAYS}) "
+                          "WHERE date_diff('second', captured_at, played_at) >= 30")
+MODEL_ORACLE.update({
+    "model_silver_spotify_plays": f"SELECT {PLAY_TEXT} FROM ({_play_row(_enrich(PLAYS_RAW))})",
+    "model_silver_spotify_plays_stream": f"SELECT {PLAY_TEXT} FROM ({_play_row(STREAM_ENRICHED)})",
+    "model_silver_spotify_plays_merged": f"SELECT {PLAY_TEXT} FROM ({_play_row(MERGED)})",
+    "model_gold_spotify_recent_tracks": f"""
+        SELECT track, artist, strftime(heard, '%Y-%m-%dT%H:%M:%SZ') AS played_at, album_art
+        FROM (SELECT track_name AS track, primary_artist_name AS artist, played_at AS heard, album_art_url AS album_art, track_id
+              FROM ({MERGED})) ORDER BY heard DESC, track_id, track, artist LIMIT 50""",
+    "model_gold_spotify_current_track": f"""
+        SELECT CAST(ts AS TIMESTAMP) AS captured_at, 't' || CAST({K} AS VARCHAR) AS track_id,
+               'Track ' || CAST({K} AS VARCHAR) AS track_name, '' AS track_uri, '' AS album_id, '' AS album_name,
+               '' AS album_uri, '' AS album_images, 'a' || CAST(user_id AS VARCHAR) AS artist_id,
+               'User ' || CAST(user_id AS VARCHAR) AS artist_name,
+               'spotify:artist:a' || CAST(user_id AS VARCHAR) AS artist_uri, 'a' || CAST(user_id AS VARCHAR) AS artists_ids,
+               'User ' || CAST(user_id AS VARCHAR) AS artists_names, true AS is_playing, 0 AS progress_ms,
+               CAST(round(value * 1000) AS INTEGER) AS track_duration_ms, CAST(user_id AS VARCHAR) AS device_id,
+               '' AS device_name, '' AS device_type, 0 AS device_volume_percent, '' AS context_type, '' AS context_uri
+        FROM events WHERE event_type = 'click' ORDER BY captured_at DESC, track_id, device_id LIMIT 1""",
+    "model_gold_calendar_week_grid": f"""
+        WITH c AS (SELECT day_of_week - 1 AS day, hour_of_day AS hour, count(*) AS n FROM ({TIMED}) GROUP BY 1, 2),
+             m AS (SELECT max(n) AS mx FROM c)
+        SELECT CAST(s.range // 24 AS INTEGER) AS day, CAST(s.range % 24 AS INTEGER) AS hour,
+               coalesce({_ratio('c.n', 'm.mx', 2)}, 0.0) AS intensity
+        FROM range(168) s CROSS JOIN m LEFT JOIN c ON c.day = s.range // 24 AND c.hour = s.range % 24""",
+    "model_gold_youtube_category_breakdown_dashboard": f"""
+        WITH g AS (SELECT coalesce(m.name, 'Other') AS category_name, count(*) AS watch_count,
+                          CAST(sum(duration_seconds) AS BIGINT) AS secs, count(DISTINCT channel_id) AS unique_channels
+                   FROM (SELECT * FROM ({WATCHES}) WHERE category_id <> '' AND watched_date >= DATE '2024-01-01') w
+                   LEFT JOIN {CATEGORY_MAP} ON m.id = w.category_id GROUP BY 1),
+             t AS (SELECT CAST(sum(watch_count) AS BIGINT) AS n, CAST(sum(secs) AS BIGINT) AS s FROM g)
+        SELECT category_name, watch_count, secs AS total_watch_time_seconds,
+               {_readable('secs')} AS total_watch_time_formatted,
+               {_ratio('watch_count', 't.n', 1, 100)} AS watch_percentage, {_ratio('secs', 't.s', 1, 100)} AS time_percentage,
+               unique_channels FROM g, t""",
+    "model_gold_youtube_daily_watch_time_breakdown_dashboard": f"""
+        WITH w AS (SELECT watched_date AS date, count(*) FILTER (WHERE NOT is_from_ads) AS wc,
+                          count(*) FILTER (WHERE is_from_ads) AS ac,
+                          CAST(sum(duration_seconds) FILTER (WHERE NOT is_from_ads) AS BIGINT) AS ws,
+                          CAST(sum(duration_seconds) FILTER (WHERE is_from_ads) AS BIGINT) AS ads
+                   FROM ({WATCHES}) WHERE watched_date BETWEEN DATE '2024-01-31' - 29 AND DATE '2024-01-31' GROUP BY 1),
+             s AS (SELECT CAST(searched_at AS DATE) AS date, count(*) AS n FROM ({SEARCHES})
+                   WHERE CAST(searched_at AS DATE) BETWEEN DATE '2024-01-31' - 29 AND DATE '2024-01-31' GROUP BY 1),
+             d AS (SELECT date FROM w UNION SELECT date FROM s)
+        SELECT d.date, {_ratio('coalesce(ws, 0)', '3600', 2)} AS watched_hours, 0.0 AS searches_hours, 0.0 AS visits_hours,
+               {_ratio('coalesce(ads, 0)', '3600', 2)} AS ads_hours, 0.0 AS other_hours,
+               {_ratio('coalesce(ws + ads, 0)', '3600', 2)} AS total_hours, coalesce(wc, 0) AS watched_count,
+               coalesce(s.n, 0) AS searches_count, CAST(0 AS BIGINT) AS visits_count, coalesce(ac, 0) AS ads_count,
+               ['Mon', 'Tue', 'Wed', 'Thu', 'Fri', 'Sat', 'Sun'][isodow(d.date)] AS day_name,
+               CAST(isodow(d.date) >= 6 AS INTEGER) AS is_weekend
+        FROM d LEFT JOIN w ON w.date = d.date LEFT JOIN s ON s.date = d.date""",
+})
