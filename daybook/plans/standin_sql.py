@@ -206,10 +206,11 @@ def _readable(s: str) -> str:
     return f"CASE WHEN {s} <= 0 THEN '0 seconds' ELSE regexp_replace(concat_ws(', ', {parts}), ', ([^,]*)$', ' and \\1') END"
 
 
-def _uid(source: str, kind: str, ts: str, title: str, kind_sql: str | None = None) -> str:
-    """sha256 of source:kind:time:title (``kind_sql`` for a kind column)."""
+def _uid(source: str, kind: str, ts: str, title: str, kind_sql: str | None = None, keys: tuple[str, ...] = ()) -> str:
+    """sha256 of source:kind:time:title and the natural key (``kind_sql`` for a kind column)."""
     k = kind_sql or f"'{kind}'"
-    return f"sha256(concat_ws(':', '{source}', {k}, strftime({ts}, '%Y-%m-%d %H:%M:%S.%f'), coalesce({title}, '')))"
+    more = "".join(f", coalesce({c}, '')" for c in keys)
+    return f"sha256(concat_ws(':', '{source}', {k}, strftime({ts}, '%Y-%m-%d %H:%M:%S.%f'), coalesce({title}, ''){more}))"
 
 
 MODEL_ORACLE.update({
@@ -224,13 +225,13 @@ MODEL_ORACLE.update({
                0 AS is_from_ads,
                to_json(map(['duration_minutes', 'location', 'attendee_count'],
                            [CAST(duration_minutes AS VARCHAR), location, CAST(attendee_count AS VARCHAR)])) AS metadata,
-               {_uid('calendar', 'meeting', 'started_at', 'title')} AS event_id
-        FROM ({CAL_EVENTS})""",
+               {_uid('calendar', 'meeting', 'started_at', 'title', keys=('calendar_id', 'c.event_id'))} AS event_id
+        FROM ({CAL_EVENTS}) c""",
     "model_silver_events_unified_youtube_watches": f"""
         SELECT watched_at AS event_ts, 'youtube' AS source, 'watch' AS kind, video_title AS title, channel_title AS subtitle,
                '' AS image_url, CAST(is_from_ads AS INTEGER) AS is_from_ads,
                to_json(map(['category_id', 'duration_seconds'], [category_id, CAST(duration_seconds AS VARCHAR)])) AS metadata,
-               {_uid('youtube', 'watch', 'watched_at', 'video_title')} AS event_id
+               {_uid('youtube', 'watch', 'watched_at', 'video_title', keys=('video_id', 'channel_id'))} AS event_id
         FROM ({WATCHES}) WHERE video_id <> ''""",
     "model_gold_youtube_top_channels_dashboard": f"""
         WITH w AS (SELECT * FROM ({WATCHES}) WHERE watched_date >= DATE '2024-01-01' AND channel_id <> ''),
@@ -318,7 +319,7 @@ MERGED_G = f"""SELECT m.*, coalesce(g.genres, CAST([] AS VARCHAR[])) AS genres F
 PLAYS_FEED = f"""SELECT played_at AS event_ts, 'spotify' AS source, 'play' AS kind, track_name AS title,
   primary_artist_name AS subtitle, album_art_url AS image_url, 0 AS is_from_ads,
   to_json(map(['context_type', 'duration_ms', 'genres'], [context_type, CAST(duration_ms AS VARCHAR), to_json(genres)::VARCHAR]))
-    AS metadata, {_uid('spotify', 'play', 'played_at', 'track_name')} AS event_id
+    AS metadata, {_uid('spotify', 'play', 'played_at', 'track_name', keys=('track_id',))} AS event_id
   FROM ({MERGED_G}) WHERE track_id <> ''"""
 UNIFIED = f"""{PLAYS_FEED}
   UNION ALL SELECT *, {_uid('spotify', 'liked', 'event_ts', 'title')} FROM ({LIKED})

@@ -14,12 +14,13 @@ UNIFIED_COLUMNS = ["event_ts", "source", "kind", "title", "subtitle", "image_url
                    "event_id"]
 
 
-def _finish(df: DataFrame, source: str) -> DataFrame:
+def _finish(df: DataFrame, source: str, *keys: str) -> DataFrame:
     """Typed constant columns and the stable id (UID-01: a hash of the
-    logical event instead of a random UUID)."""
+    logical event and its natural key instead of a random UUID, so the same
+    meeting in two calendars is two events)."""
     return df.withColumn("source", F.lit(source)).withColumn(
         "event_id", stable_id(F.col("source"), F.col("kind"), F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
-                              F.col("title"))).select(*UNIFIED_COLUMNS)
+                              F.col("title"), *keys)).select(*UNIFIED_COLUMNS)
 
 
 def _meta(*pairs) -> F.Column:
@@ -33,7 +34,7 @@ def events_spotify_plays(plays: DataFrame) -> DataFrame:
         F.col("primary_artist_name").alias("subtitle"), F.col("album_art_url").alias("image_url"),
         F.lit(0).alias("is_from_ads"),
         _meta(("context_type", F.col("context_type")), ("duration_ms", F.col("duration_ms")),
-              ("genres", F.to_json("genres"))).alias("metadata")), "spotify")
+              ("genres", F.to_json("genres"))).alias("metadata"), F.col("track_id").alias("__k0")), "spotify", "__k0")
 
 
 def events_spotify_liked(saved: DataFrame) -> DataFrame:
@@ -62,8 +63,8 @@ def events_youtube_watches(watches: DataFrame) -> DataFrame:
         F.col("watched_at").alias("event_ts"), F.lit("watch").alias("kind"), F.col("video_title").alias("title"),
         F.col("channel_title").alias("subtitle"), F.lit("").alias("image_url"),
         F.col("is_from_ads").cast("int").alias("is_from_ads"),
-        _meta(("category_id", F.col("category_id")), ("duration_seconds", F.col("duration_seconds"))).alias("metadata")),
-        "youtube")
+        _meta(("category_id", F.col("category_id")), ("duration_seconds", F.col("duration_seconds"))).alias("metadata"),
+        F.col("video_id").alias("__k0"), F.col("channel_id").alias("__k1")), "youtube", "__k0", "__k1")
 
 
 def events_calendar(events: DataFrame) -> DataFrame:
@@ -71,7 +72,8 @@ def events_calendar(events: DataFrame) -> DataFrame:
         F.col("started_at").alias("event_ts"), F.lit("meeting").alias("kind"), F.col("title"),
         F.col("category").alias("subtitle"), F.lit("").alias("image_url"), F.lit(0).alias("is_from_ads"),
         _meta(("duration_minutes", F.col("duration_minutes")), ("location", F.col("location")),
-              ("attendee_count", F.col("attendee_count"))).alias("metadata")), "calendar")
+              ("attendee_count", F.col("attendee_count"))).alias("metadata"),
+        F.col("calendar_id").alias("__k0"), F.col("event_id").alias("__k1")), "calendar", "__k0", "__k1")
 
 
 def silver_events_unified(spark: SparkSession, cfg: Cfg, parts: dict[str, DataFrame] | None = None) -> DataFrame:
