@@ -3,12 +3,11 @@ anchors (SNK-17, JON-16, WIN-08)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daybook.config import Cfg
 from daybook.functions.text import clip
-from daybook.operators.joins import valid_intervals
 from daybook.sources.tables import append, read_table
 
 # fixed values: accepted label verbs, the trip key pattern and clip lengths
@@ -45,12 +44,20 @@ def set_home(spark: SparkSession, cfg: Cfg, anchors: DataFrame) -> None:
 
 
 def home_on_date(spark: SparkSession, cfg: Cfg, days: DataFrame, day: str = "event_date") -> DataFrame:
-    """The home anchor valid on each date (as-of lookup): anchor intervals
-    [valid_from, next valid_from) from ``lead``, then a range join. Anchors
-    are few (one per move); Spark broadcasts them when their measured size
-    allows, nothing forces it."""
-    a = valid_intervals(read_table(spark, cfg, "maps_home_locations"), [], "valid_from")
-    a = a.select(F.to_date("valid_from").alias("vf"), F.to_date("valid_until").alias("vu"),
-                 F.col("lat").alias("home_lat"), F.col("lng").alias("home_lng"), F.col("label").alias("home_label"))
-    cond = (F.col(day) >= F.col("vf")) & (F.col("vu").isNull() | (F.col(day) < F.col("vu")))
-    return days.join(a, cond, "left").drop("vf", "vu")
+    """The home anchor valid on each date (as-of lookup): the anchor of the
+    latest ``valid_from`` up to that date; dates before the first have none.
+
+    The lookup runs over the distinct dates (bounded by the calendar, not by
+    the rows) merged with the anchors in date order; the rows then meet it by
+    equality on the date."""
+    home = F.struct(F.col("lat").alias("home_lat"), F.col("lng").alias("home_lng"), F.col("label").alias("home_label"))
+    anchors = read_table(spark, cfg, "maps_home_locations").select(
+        F.to_date("valid_from").alias("__day"), F.lit(0).alias("__asked"), F.col("valid_from").alias("__from"),
+        home.alias("__home"))
+    asked = days.select(F.to_date(F.col(day)).alias("__day")).filter("__day IS NOT NULL").distinct().select(
+        "__day", F.lit(1).alias("__asked"), F.lit(None).cast(anchors.schema["__from"].dataType).alias("__from"),
+        F.lit(None).cast(anchors.schema["__home"].dataType).alias("__home"))
+    w = Window.orderBy("__day", "__asked", "__from").rowsBetween(Window.unboundedPreceding, 0)
+    known = anchors.unionByName(asked).withColumn("__home", F.last("__home", ignorenulls=True).over(w)) \
+        .filter("__asked = 1").select("__day", "__home.*")
+    return days.withColumn("__day", F.to_date(F.col(day))).join(known, "__day", "left").drop("__day")

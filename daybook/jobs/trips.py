@@ -170,14 +170,16 @@ def weather_summary(trips: DataFrame, centroids: DataFrame, daily_weather: DataF
     """Reduce a supplied daily weather table over each trip window (SRC-25):
     mean of daily means/max/min skipping NULLs, summed precipitation; max
     and min default to the mean; no daily means → no row (retry later).
-    Weather rows are matched by coordinates rounded to 2 decimals."""
+    Weather rows are matched by coordinates rounded to 2 decimals and by day:
+    a trip is one row per day, so one city's trips and days meet by equality."""
     t = trips.select("trip_key", "started_at", "ended_at").join(centroids, "trip_key")
     if done is not None and not force:
         t = t.join(done.select("trip_key"), "trip_key", "left_anti")
     t = t.withColumn("cell", F.concat_ws(",", F.round("lat", 2).cast("string"), F.round("lng", 2).cast("string")))
     w = daily_weather.withColumn("cell", F.concat_ws(",", F.round("lat", 2).cast("string"),
                                                      F.round("lng", 2).cast("string"))).drop("lat", "lng")
-    j = t.join(w, (t.cell == w.cell) & w.day.between(t.started_at, t.ended_at)).drop(w.cell)
+    t = t.withColumn("day", F.explode(F.sequence(F.to_date("started_at"), F.to_date("ended_at"))))
+    j = t.join(w.withColumn("day", F.to_date("day")), ["cell", "day"])
     g = j.groupBy("trip_key", "lat", "lng").agg(
         F.avg("temperature_2m_mean").alias("temp_mean"), F.avg("temperature_2m_max").alias("tmax"),
         F.avg("temperature_2m_min").alias("tmin"), F.coalesce(F.sum("precipitation_sum"), F.lit(0.0)).alias("precip_mm"))
