@@ -42,7 +42,7 @@ BLOCK_SCHEMA = ("part int, block int, before long, n_ids long, lanes int, ids_cr
 def scaled(counts: np.ndarray, scale: int = SCALE) -> np.ndarray:
     """Frequencies of sum ``2**scale``, at least 1 where an id occurs (and
     for two ids at least, so that none has all)."""
-    counts = counts.astype(np.float64)
+    counts = np.pad(counts.astype(np.float64), (0, max(0, 2 - len(counts))))
     if (counts > 0).sum() < 2:
         counts = counts.copy()
         counts[:2] += 1e-9
