@@ -2,9 +2,9 @@
 
 A document passes when it fails none of the base rules (too few words, too
 much of it repeated) and its zstandard ratios lie in the bands of its length:
-the ratio of the whole text, and the ratios of its fixed chunks. A low ratio
-is repetitive text, a high one is incompressible (random characters, encoded
-data).
+the ratio of the whole text, and the ratios of its chunks, which hold every
+byte: fixed ones and the rest after them. A low ratio is repetitive text, a
+high one is incompressible (random characters, encoded data).
 """
 
 from __future__ import annotations
@@ -30,10 +30,14 @@ SCHEMA = ("id long, n_words long, word_chars long, n_symbols long, n_dup_lines l
 class Bands:
     """``whole``: (bytes at least, lowest, highest ratio of the whole text),
     by length, rising. Short texts compress badly whatever they hold (the
-    frame alone is a dozen bytes), so their upper limits are wide.
+    frame alone is a dozen bytes), so their upper limits are wide. Below 128
+    bytes no text reaches the upper limit (at 64 bytes noise and prose both
+    have ratios up to 1.14), so only the lowest ratio and the base rules judge.
     ``chunk``: size of the fixed chunks; ``chunk_limits``: lowest and highest
-    ratio of one; ``bad_share``: rejected when more than this share of the
-    chunks is outside."""
+    ratio of one. What is left after the last full chunk (all of a shorter
+    text) is a chunk too, whose limits are the wider ones of ``chunk_limits``
+    and of ``whole`` at its own length. ``bad_share``: rejected when chunks
+    outside hold more than this share of the bytes."""
     level: int = 3
     whole: tuple[tuple[int, float, float], ...] = (
         (0, 0.0, 99.0), (64, 0.35, 1.30), (128, 0.34, 1.02), (256, 0.32, 0.86), (512, 0.30, 0.76),
@@ -74,6 +78,17 @@ def _repeated_words(words: Words, size: int = 5) -> np.ndarray:
 def _measure(bands: Bands, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=bands.level).compress
     starts = np.array([b[0] for b in bands.whole])
+
+    def of_length(size: int) -> tuple[int, float, float]:
+        return bands.whole[int(np.searchsorted(starts, size, side="right")) - 1]
+
+    def outside(size: int, part: float) -> bool:
+        least, most = bands.chunk_limits
+        if size < bands.chunk:
+            _, low, high = of_length(size)
+            least, most = min(least, low), max(most, high)
+        return not least <= part <= most
+
     for batch, texts in chunks(batches):
         words = Words(texts)
         begins = words.buf & 0xC0 != 0x80  # a code point starts here
@@ -89,14 +104,15 @@ def _measure(bands: Bands, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
             lines.append(len(with_word) - len(set(with_word)))
             size = len(text)
             r = len(pack(text)) / size if size else None
-            parts = [len(pack(text[i:i + bands.chunk])) / bands.chunk
-                     for i in range(0, size - bands.chunk + 1, bands.chunk)]
+            # a text of one chunk or less is its own chunk
+            pieces = [text[i:i + bands.chunk] for i in range(0, size, bands.chunk)]
+            parts = [len(pack(x)) / len(x) for x in pieces] if size > bands.chunk else [r] * len(pieces)
             ratio.append(r)
             low.append(min(parts, default=None))
             high.append(max(parts, default=None))
-            _, least, most = bands.whole[int(np.searchsorted(starts, size, side="right")) - 1]
-            bad = sum(not bands.chunk_limits[0] <= p <= bands.chunk_limits[1] for p in parts)
-            fits.append(r is None or (least <= r <= most and bad <= bands.bad_share * len(parts)))
+            _, least, most = of_length(size)
+            bad = sum(len(x) for x, p in zip(pieces, parts) if outside(len(x), p))
+            fits.append(r is None or (least <= r <= most and bad <= bands.bad_share * size))
         failed = (n_words < bands.min_words) | (100 * repeats > bands.max_repeat_percent * n_words)
         kept = ~failed & np.array(fits, dtype=bool)
         yield pa.RecordBatch.from_arrays(

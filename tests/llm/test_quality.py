@@ -63,3 +63,27 @@ def test_keep_returns_the_same_columns(spark):
 def test_limits_are_parameters(spark):
     strict = Bands(whole=((0, 0.0, 0.0),))
     assert quality_rules(docs(spark, [(1, prose(1, 600))]), bands=strict).first().kept is False
+
+
+def _noise(seed, size):
+    import base64
+    import random
+    return base64.b64encode(random.Random(seed).randbytes(size))[:size].decode()
+
+
+def test_noise_only_in_the_last_partial_chunk_is_rejected(spark):
+    clean = prose(1, 3000, 30)
+    rows = [(k, clean[:4096] + _noise(k, size)) for k, size in enumerate((2000, 2250, 2500, 2750, 3000))]
+    rows += [(10 + k, clean[:4096 + size]) for k, size in enumerate((1, 63, 64, 127, 128, 1000, 4000))]
+    out = {r.id: r for r in quality_rules(docs(spark, rows)).collect()}
+    assert all(out[k].ratio < 0.63 and not out[k].base_failed and not out[k].kept for k in range(5))
+    assert all(out[10 + k].kept for k in range(7))
+    assert keep_quality(docs(spark, rows)).count() == 7
+
+
+def test_every_byte_lies_in_a_chunk(spark):
+    text = prose(2, 3000)
+    rows = [(1, text[:1000]), (2, text[:4096]), (3, text[:4096] + _noise(2, 600))]
+    out = {r.id: r for r in quality_rules(docs(spark, rows)).collect()}
+    assert all(out[k].chunk_low == out[k].chunk_high == out[k].ratio for k in (1, 2))
+    assert out[3].chunk_high > 0.76 and out[3].kept  # 600 of 4,696 bytes are less than a quarter
