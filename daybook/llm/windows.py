@@ -15,9 +15,12 @@ content that all its windows share (so equal windows lie in units of one
    all windows of such a block have in common.
 3. Different blocks that share ``c`` are divided into single windows.
 
-The names found are brought back to their documents. All groupings are partial
-aggregations; joins are plain equi-joins that skew handling can split. No list
-grows with anything but one document.
+The names found are brought back to their rows, known by ``doc`` and ``part``,
+a hash of the text: rows without an id and rows of one id share a ``doc``, but
+only equal texts (or a rare collision) share a ``part`` too. All groupings are
+partial aggregations; joins are plain equi-joins that skew handling can split.
+No list grows with anything but one text. Equal texts of one id do go to one
+task, as rows with one list.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ from daybook.llm.common import chunks, mix, written
 
 #: Stands for a null id: after all others.
 LAST = (1 << 63) - 1
+#: What lists and texts are dealt and joined by.
+KEY = ["doc", "part"]
 
 
 @dataclass
@@ -125,12 +130,12 @@ def _name_groups(scan, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         found = scan(texts)
         found.verify()
         g = found.groups
-        doc = batch.column(0).to_numpy()[g.text]
-        # a group that a document repeats becomes one row with a count
-        key = mix(g.s + mix(g.c + doc.view(np.uint64)))
+        doc, part = _list(batch, "doc").to_numpy()[g.text], _list(batch, "part").to_numpy()[g.text]
+        # a group that a text repeats becomes one row with a count
+        key = mix(g.s + mix(g.c + mix(doc.view(np.uint64) + mix(part.astype(np.uint64)))))
         _, at, n = np.unique(key, return_index=True, return_counts=True)
-        yield pa.RecordBatch.from_arrays([_signed(g.c[at]), _signed(g.s[at]), pa.array(doc[at]), pa.array(n, pa.int64())],
-                                         names=["c", "s", "doc", "n"])
+        yield pa.RecordBatch.from_arrays([_signed(g.c[at]), _signed(g.s[at]), pa.array(doc[at]), pa.array(part[at]),
+                                          pa.array(n, pa.int64())], names=["c", "s", "doc", "part", "n"])
 
 
 def _member(lists: pa.Array, text: np.ndarray, names: np.ndarray) -> np.ndarray:
@@ -168,9 +173,9 @@ def _name_parts(scan, levels: int, batches: Iterator[pa.RecordBatch]) -> Iterato
             parts = windows
         else:
             source = np.repeat(whole.s, (whole.anchor - whole.first) // found.block - (whole.anchor - whole.last) // found.block + 1)
-        doc = _list(batch, "doc").to_numpy()[parts.text]
-        yield pa.RecordBatch.from_arrays([_signed(parts.c), _signed(parts.s), _signed(source), pa.array(doc)],
-                                         names=["c", "s", "source", "doc"])
+        row = [pa.array(_list(batch, x).to_numpy()[parts.text]) for x in KEY]
+        yield pa.RecordBatch.from_arrays([_signed(parts.c), _signed(parts.s), _signed(source), *row],
+                                         names=["c", "s", "source", *KEY])
 
 
 def repeated_windows(batch: pa.RecordBatch, texts: list[bytes], scan) -> tuple[np.ndarray, np.ndarray]:
@@ -200,18 +205,19 @@ def covered(first: np.ndarray, last: np.ndarray, size: int, n: int) -> np.ndarra
 
 
 def _lists(rows: DataFrame, name: str) -> DataFrame:
-    return rows.groupBy("doc").agg(F.collect_set("s").alias(name))
+    return rows.groupBy(*KEY).agg(F.collect_set("s").alias(name))
 
 
 def mark(docs: DataFrame, scan, earlier: bool) -> DataFrame:
     """``docs`` (columns ``doc`` (long, not null), ``data`` (binary), and any
-    others) with the lists that ``repeated_windows`` needs.
+    others but ``part``) with the lists that ``repeated_windows`` needs.
 
     ``earlier``: a window goes if it also occurs in a document with a smaller
     ``doc``; else if it occurs anywhere else, and then every occurrence goes.
     """
-    named = written(docs.select("doc", "data").mapInArrow(
-        lambda it: _name_groups(scan, it), "c long, s long, doc long, n long"), "groups")
+    docs = docs.withColumn("part", F.hash("data"))
+    named = written(docs.select(*KEY, "data").mapInArrow(
+        lambda it: _name_groups(scan, it), "c long, s long, doc long, part int, n long"), "groups")
     several = F.col("least") < F.col("most") if earlier else F.col("n") > 1
     ruled = F.col("doc") > F.col("least") if earlier else F.lit(True)
 
@@ -224,26 +230,31 @@ def mark(docs: DataFrame, scan, earlier: bool) -> DataFrame:
                        .withColumn("open", F.coalesce("open", F.lit(False))).filter("again OR open"), "units")
 
     groups = decide(named.groupBy("c", "s").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.sum("n").alias("n")))
-    gone_groups = _lists(named.join(groups.filter("again"), ["c", "s"]).filter(ruled).select("doc", "s"), "gone_groups")
-    divided = _lists(groups.filter("open").select(F.col("least").alias("doc"), "s"), "groups")
+    # every row of the least document divides: its rows have texts of their own
+    gone, divides = F.col("again") & ruled, F.col("open") & (F.col("doc") == F.col("least"))
+    listed = written(named.join(groups, ["c", "s"]).select(*KEY, "s", gone.alias("gone"), divides.alias("divides"))
+                     .filter("gone OR divides").groupBy(*KEY)
+                     .agg(F.collect_set(F.when(F.col("gone"), F.col("s"))).alias("gone_groups"),
+                          F.collect_set(F.when(F.col("divides"), F.col("s"))).alias("groups")), "lists")
 
     # one exchange of the texts serves all joins: all ask for the same columns
-    texts = docs.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc")
-    kinds = "c long, s long, source long, doc long"
-    rows = written(texts.join(divided, "doc").mapInArrow(lambda it: _name_parts(scan, 1, it), kinds), "blocks")
+    texts = docs.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *KEY)
+    kinds = "c long, s long, source long, doc long, part int"
+    divided = listed.filter("size(groups) > 0").select(*KEY, "groups")
+    rows = written(texts.join(divided, KEY).mapInArrow(lambda it: _name_parts(scan, 1, it), kinds), "blocks")
     # a unit repeats when it comes from different units: one never holds it twice
     as_units = [F.min("doc").alias("least"), F.max("doc").alias("most"),
                 F.when(F.min("source") != F.max("source"), 2).otherwise(1).alias("n")]
     blocks = decide(rows.groupBy("c", "s").agg(*as_units))
-    gone_blocks = _lists(rows.join(blocks.filter("again"), ["c", "s"]).filter(ruled).select("doc", "s"), "gone_blocks")
+    gone_blocks = _lists(rows.join(blocks.filter("again"), ["c", "s"]).filter(ruled).select(*KEY, "s"), "gone_blocks")
     open_blocks = blocks.filter("open").select("c", "s", "least")
     open_rows = rows.join(open_blocks, ["c", "s"]).filter("doc = least")
-    divided = divided.join(_lists(open_rows.select("doc", "s"), "blocks"), "doc", "left")
+    blocks_of = _lists(open_rows.select(*KEY, "s"), "blocks")
 
-    rows = written(texts.join(divided.filter("blocks IS NOT NULL"), "doc").mapInArrow(
+    rows = written(texts.join(divided.join(blocks_of, KEY), KEY).mapInArrow(
         lambda it: _name_parts(scan, 2, it), kinds), "windows")
     windows = rows.groupBy("c", "s").agg(*as_units).filter(several).select("c", "s", "least")
-    gone_windows = _lists(rows.join(windows, ["c", "s"]).filter(ruled).select("doc", "s"), "gone_windows")
-    lists = gone_groups.join(divided, "doc", "full_outer").join(gone_blocks, "doc", "full_outer") \
-        .join(gone_windows, "doc", "full_outer")
-    return texts.join(lists, "doc", "left")
+    gone_windows = _lists(rows.join(windows, ["c", "s"]).filter(ruled).select(*KEY, "s"), "gone_windows")
+    # blocks and windows come from listed rows only
+    lists = listed.join(blocks_of, KEY, "left").join(gone_blocks, KEY, "left").join(gone_windows, KEY, "left")
+    return texts.join(lists, KEY, "left")

@@ -8,7 +8,7 @@ import pytest
 
 from daybook.llm import substring_dedup, suffix_dedup
 from daybook.llm.common import PrefixHash, byte_values
-from daybook.llm.windows import RangeMin
+from daybook.llm.windows import RangeMin, mark
 from tests.llm.helpers import SF, docs, edge_rows, have_tables, prose, table_docs
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -178,3 +178,36 @@ def test_a_collision_of_names_is_found():
     suffix_dedup._verify(buf, hashed, start, end, np.array([1, 2], dtype=np.uint64))
     with pytest.raises(ValueError):
         suffix_dedup._verify(buf, hashed, start, end, np.array([1, 1], dtype=np.uint64))
+
+
+def shared_ids(n=3000):
+    """Many rows without an id and many of one id, some with a passage of
+    another row."""
+    rng = random.Random(12)
+    passages = [prose(500 + k, 60) for k in range(9)]
+    rows = [(1, passages[0]), (3, passages[1]), (9, passages[2]), (None, None), (None, "")]
+    for i in range(n):
+        text = prose(20_000 + i, rng.randint(55, 75))
+        if rng.random() < 0.2:
+            text += " " + rng.choice(passages) + " " + prose(40_000 + i, 3)
+        rows.append((rng.choice([None, None, 5]), text))
+    return rows + [(None, rows[10][1]), (5, rows[11][1]), (2, rows[12][1])]
+
+
+def test_thousands_of_rows_share_an_id_or_have_none(spark):
+    rows = shared_ids()
+    assert words_got(substring_dedup.remove_repeats(docs(spark, rows))) == words_expected(rows)
+    assert bytes_got(suffix_dedup.remove_repeats(docs(spark, rows))) == bytes_expected(rows)
+
+
+@pytest.mark.parametrize("scan, earlier", [(substring_dedup.scan_words, True), (suffix_dedup.scan_bytes, False)])
+def test_lists_hold_names_of_their_own_text_only(spark, scan, earlier):
+    rows = [((1 << 63) - 1 if i is None else i, (t or "").encode()) for i, t in shared_ids(1500)]
+    marked = mark(spark.createDataFrame(rows, "doc long, data binary"), scan, earlier)
+    some = 0
+    for r in marked.collect():
+        g = scan([bytes(r.data)]).groups
+        own = set(g.s.view(np.int64).tolist())
+        assert set(r.gone_groups or []) <= own and set(r.groups or []) <= own
+        some += len(r.gone_groups or [])
+    assert marked.count() == len(rows) and some > 0
