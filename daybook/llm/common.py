@@ -98,6 +98,41 @@ class PrefixHash:
         return mix((self.sums[end] - self.sums[start]) * self.inverse[start] + length)
 
 
+_PRIME = (1 << 31) - 1
+_PRIME_BASES = (0x2545F491, 0x5851F42D)
+
+
+def _prime_powers(base: int, kind: str, n: int) -> np.ndarray:
+    """The first ``n`` powers of ``base`` modulo the prime."""
+    have = _powers.get(kind)
+    if have is None or len(have) < n:
+        have = np.ones(1, dtype=np.uint64)
+        while len(have) < max(n, 1 << 16):
+            have = np.concatenate([have, have * np.uint64(pow(base, len(have), _PRIME)) % np.uint64(_PRIME)])
+        if n <= 16 * CHUNK_BYTES:
+            _powers[kind] = have
+    return have[:n]
+
+
+class PrimeHash:
+    """As ``PrefixHash``, independent of it: two polynomials modulo a prime of
+    31 bits, over different bits of the symbols."""
+
+    def __init__(self, symbols: np.ndarray):
+        n, prime, bits = len(symbols), np.uint64(_PRIME), np.uint64(31)
+        self.parts = []
+        for k, base in enumerate(_PRIME_BASES):
+            x = (symbols >> np.uint64(31 * k) & prime) * _prime_powers(base, f"prime {k}", n)
+            sums = np.zeros(n + 1, dtype=np.uint64)  # exact: terms are below 2**32
+            np.cumsum((x & prime) + (x >> bits), out=sums[1:], dtype=np.uint64)
+            self.parts.append((sums, _prime_powers(pow(base, -1, _PRIME), f"prime inverse {k}", n + 1)))
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        prime = np.uint64(_PRIME)
+        low, high = ((sums[end] - sums[start]) % prime * inverse[start] % prime for sums, inverse in self.parts)
+        return mix((low | high << np.uint64(31)) + mix((end - start).astype(np.uint64)))
+
+
 #: White space of the contracts' word pattern.
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -124,10 +159,10 @@ class Words:
         self.counts = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(texts)), self.counts)
 
-    def hashes(self) -> np.ndarray:
+    def hashes(self, kind: type[PrefixHash | PrimeHash] = PrefixHash) -> np.ndarray:
         if not len(self.start):
             return np.zeros(0, dtype=np.uint64)
-        return PrefixHash(_BYTE_VALUES[self.buf]).of(self.start, self.end)
+        return kind(_BYTE_VALUES[self.buf]).of(self.start, self.end)
 
 
 def byte_values(buf: np.ndarray) -> np.ndarray:

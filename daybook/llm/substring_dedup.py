@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import PrefixHash, Words, chunks, mix
+from daybook.llm.common import PrefixHash, PrimeHash, Words, chunks, mix
 from daybook.llm.windows import LAST, RangeMin, Scan, Units, covered, mark, no_groups, repeated_windows
 
 WINDOW, ROUNDS, BLOCK = 50, 4, 8
@@ -87,7 +87,7 @@ def scan_words(texts: list[bytes], size: int = WINDOW, rounds: int = ROUNDS, blo
     n = len(names)
     starts = np.flatnonzero(words.doc[size - 1:] == words.doc[:n - size + 1]) if n >= size else np.zeros(0, dtype=np.int64)
     if not len(starts):
-        return Scan(no_groups(), lambda a, b: a.view(np.uint64), size, block)
+        return Scan(no_groups(), lambda a, b: a.view(np.uint64), lambda a, b: a.view(np.uint64), size, block)
     hashed = PrefixHash(names)
     symbols = Symbols(names, words.doc, words.first)
     for k in range(rounds):
@@ -108,8 +108,8 @@ def scan_words(texts: list[bytes], size: int = WINDOW, rounds: int = ROUNDS, blo
     lone = chosen < 0
     known = np.where(lone, 0, chosen)
     a, b = np.where(lone, first, symbols.lo[known]), np.where(lone, first + size, symbols.hi[known])
-    out = Scan(Units(words.doc[first], first, last, a, hashed.of(a, b), np.zeros(0, dtype=np.uint64)), hashed.of, size,
-               min(block, size))
+    out = Scan(Units(words.doc[first], first, last, a, hashed.of(a, b), np.zeros(0, dtype=np.uint64)), hashed.of,
+               PrimeHash(words.hashes(PrimeHash)).of, size, min(block, size))
     out.groups.s = out.name(out.groups)
     return out
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import PrefixHash, byte_values, chunks, mix
+from daybook.llm.common import PrefixHash, PrimeHash, byte_values, chunks, mix
 from daybook.llm.windows import LAST, Scan, Units, covered, mark, no_groups, repeated_windows
 
 WINDOW, GRAM, BLOCK = 200, 32, 16
@@ -116,7 +116,7 @@ def scan_bytes(texts: list[bytes], size: int = WINDOW, gram: int = GRAM, block:
     offset = np.concatenate([[0], np.cumsum(lengths + 1)])
     n = len(buf)
     if not len(texts) or lengths.max() < size:
-        return Scan(no_groups(), lambda a, b: a.view(np.uint64), size, block)
+        return Scan(no_groups(), lambda a, b: a.view(np.uint64), lambda a, b: a.view(np.uint64), size, block)
     hashed = PrefixHash(byte_values(buf))
     # the least drawn rank of a gram in the window; the first of equal ones
     bits = max(24, int(n).bit_length())
@@ -139,7 +139,7 @@ def scan_bytes(texts: list[bytes], size: int = WINDOW, gram: int = GRAM, block:
     ends = np.flatnonzero(whole & np.append(new[1:] | ~whole[1:], True))
     chosen = anchor[first]
     groups = Units(doc[first], first, ends, chosen, hashed.of(chosen, chosen + gram), np.zeros(0, dtype=np.uint64))
-    out = Scan(groups, hashed.of, size, min(block, size))
+    out = Scan(groups, hashed.of, PrimeHash(byte_values(buf)).of, size, min(block, size))
     groups.s = out.name(groups)
     out.verify = lambda: _verify(buf, hashed, first, ends + size, groups.s)
     return out

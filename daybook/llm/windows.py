@@ -5,7 +5,8 @@ that choose the same anchor, an anchor being found from a window's own content
 alone. Equal windows therefore have equal anchors, at the same distance from
 their starts. What is compared are *units*, each with two names: ``c``, of
 content that all its windows share (so equal windows lie in units of one
-``c``), and ``s``, of all that its windows cover.
+``c``), and ``s``, of all that its windows cover. The two come from independent
+hashes, so that they are two names also where they cover the same.
 
 1. Units are whole groups, ``c`` names the anchor. Units of the same (c, s)
    hold the same windows: one row per group and document decides most cases.
@@ -62,17 +63,18 @@ class Units:
 @dataclass
 class Scan:
     """The groups of some texts. ``of(start, end)`` names stretches by their
-    content, ``size`` is that of a window, ``block`` the windows of a block;
-    ``verify`` fails if equal names stand for different content."""
+    content for ``c``, ``other`` does so independently for ``s``; ``size`` is
+    that of a window, ``block`` the windows of a block; ``verify`` fails if equal names stand for different content."""
     groups: Units
     of: Callable[[np.ndarray, np.ndarray], np.ndarray]
+    other: Callable[[np.ndarray, np.ndarray], np.ndarray]
     size: int
     block: int
     verify: Callable[[], None] = lambda: None
 
     def name(self, u: Units) -> np.ndarray:
         """``s`` of units: what they cover, and where their anchor lies."""
-        return mix(self.of(u.first, u.last + self.size) ^ mix((u.anchor - u.first).astype(np.uint64) + np.uint64(99)))
+        return mix(self.other(u.first, u.last + self.size) ^ mix((u.anchor - u.first).astype(np.uint64) + np.uint64(99)))
 
     def divide(self, u: Units, width: int) -> Units:
         """The units in blocks of ``width`` windows at distances from the

@@ -211,3 +211,19 @@ def test_lists_hold_names_of_their_own_text_only(spark, scan, earlier):
         assert set(r.gone_groups or []) <= own and set(r.groups or []) <= own
         some += len(r.gone_groups or [])
     assert marked.count() == len(rows) and some > 0
+
+
+def test_windows_that_share_a_polynomial_hash_have_different_names():
+    """The Thue-Morse sequence and its complement collide modulo 2**64,
+    whatever the base; ``c`` is the same then, ``s`` must not be."""
+    signs = [bin(i).count("1") % 2 for i in range(1024)]
+    a, b = (" ".join("xy"[s ^ flip] for s in signs).encode() for flip in (0, 1))
+    plain_a, plain_b = a.replace(b" ", b""), b.replace(b" ", b"")
+    for scan, x, y in ((substring_dedup.scan_words, a, b), (suffix_dedup.scan_bytes, plain_a, plain_b)):
+        found = scan([x, y], 1024)
+        g = found.groups
+        assert len(g) == 2
+        assert found.of(g.first[:1], g.first[:1] + 1024) == found.of(g.first[1:], g.first[1:] + 1024)
+        g.anchor = g.first.copy()  # at one distance
+        single = found.divide(g, 1)
+        assert single.c[0] == single.c[1] and single.s[0] != single.s[1]
