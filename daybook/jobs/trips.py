@@ -119,14 +119,16 @@ def trip_evidence(spark: SparkSession, cfg: Cfg, trips: DataFrame, enriched: Dat
                       F.coalesce("n_countries", F.lit(0)).alias("n_countries"), text.alias("evidence"))
 
 
-def normalise_verdicts(verdicts: DataFrame, done: DataFrame | None = None, force: bool = False) -> DataFrame:
+def normalise_verdicts(verdicts: DataFrame, done: DataFrame | None = None, force: bool = False,
+                       split_chars: int | None = None) -> DataFrame:
     """Externally supplied verdict rows → ``maps_trips_enriched`` rows
     (PIP-03, STR-20, JSN-02, JSN-04): the JSON object is taken from the first
     '{' to the last '}' of the raw answer; trip type trimmed, clipped to 32,
     lower-cased, '-'/' ' → '_', unknown → 'other'; confidence clamped to
     [0, 1]; texts trimmed and clipped (title and label 200, country 100,
     summary 1000, evidence 500); a non-empty split list becomes JSON text
-    (', ' separators, at most 2000 characters), otherwise ''. Keys already
+    (', ' separators), otherwise ''; with ``split_chars`` items that would
+    make it longer are left out whole, so it stays JSON. Keys already
     enriched are skipped unless ``force`` (JON-17)."""
     raw = F.regexp_extract(F.coalesce(F.col("raw"), F.lit("")), "(?s)(\\{.*\\})", 1)
     schema = ("is_trip boolean, confidence double, trip_type string, title string, destination_label string, "
@@ -134,8 +136,11 @@ def normalise_verdicts(verdicts: DataFrame, done: DataFrame | None = None, force
     v = verdicts.withColumn("j", F.from_json(raw, schema))
     split = F.col("j.suggested_split")
     split_items = F.transform(split, lambda x: F.regexp_extract(F.to_json(F.array(x)), "^\\[(.*)\\]$", 1))
-    split_text = F.when(F.coalesce(F.size(split), F.lit(0)) > 0,
-                        F.substring(F.concat(F.lit("["), F.array_join(split_items, ", "), F.lit("]")), 1, 2000))
+    joined = F.array_join(split_items, ", ") if split_chars is None else F.aggregate(
+        split_items, F.lit(""), lambda held, x: F.when(F.length(held) + F.length(x) + 4 - F.when(held == "", 2).otherwise(0)
+                                                       > split_chars, held)
+        .otherwise(F.concat(held, F.when(held == "", "").otherwise(", "), x)))
+    split_text = F.when(F.coalesce(F.size(split), F.lit(0)) > 0, F.concat(F.lit("["), joined, F.lit("]")))
     out = v.select(
         "trip_key", "started_at", "ended_at", (F.datediff("ended_at", "started_at") + 1).cast("int").alias("days"),
         F.coalesce(F.col("j.is_trip"), F.lit(False)).cast("int").alias("is_trip"),

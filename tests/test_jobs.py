@@ -152,3 +152,14 @@ def test_private_places_rebuild_is_fail_safe(spark, cfg):
     except ValueError:
         pass
     assert read_table(spark, cfg, "maps_private_places").count() == 1   # old list intact
+
+
+def test_long_split_list_stays_json(spark):
+    import json
+    items = [f'day {i} "quoted", é' for i in range(400)]
+    v = spark.createDataFrame([("k", dt.date(2024, 1, 1), dt.date(2024, 1, 2), json.dumps({"suggested_split": items}), "m")],
+                              "trip_key string, started_at date, ended_at date, raw string, model string")
+    assert json.loads(trips.normalise_verdicts(v).first().suggested_split) == items
+    cut = trips.normalise_verdicts(v, split_chars=2000).first().suggested_split
+    kept = json.loads(cut)
+    assert len(cut) <= 2000 and kept == items[:len(kept)] and len(kept) > 50
