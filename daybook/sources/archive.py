@@ -20,27 +20,32 @@ def read_many(spark: SparkSession, root: str, glob: str, schema: StructType, mul
             .option("pathGlobFilter", glob).json(root))
 
 
+def _members(suffix: str, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One frame per member."""
+    def frame(*row: str | None) -> pd.DataFrame:
+        return pd.DataFrame([row], columns=["archive", "member", "text"])
+
+    for b in batches:
+        for path, content in zip(b["path"], b["content"]):
+            try:
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    for name in z.namelist():
+                        if name.endswith(suffix):
+                            yield frame(path, name, z.read(name).decode("utf-8", errors="replace"))
+            except zipfile.BadZipFile:
+                yield frame(path, "", None)
+
+
 def expand_zips(spark: SparkSession, root: str, member_suffix: str = ".json") -> DataFrame:
     """(archive, member, text) for every ``*.json`` member of every zip under
-    ``root`` (SRC-27). Each archive is expanded inside one task by
-    ``mapInPandas`` — the only per-file Python in the ingest path; the JSON
-    text is then parsed by Spark (``from_json``)."""
+    ``root`` (SRC-27). The archives are dealt to tasks by path and each is
+    expanded inside one task by ``mapInPandas``, which holds one member's text
+    at a time — the only per-file Python in the ingest path; the JSON text is
+    then parsed by Spark (``from_json``)."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.zip").load(root).select("path", "content"))
-
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for path, content in zip(b["path"], b["content"]):
-                try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        for name in z.namelist():
-                            if name.endswith(member_suffix):
-                                rows.append((path, name, z.read(name).decode("utf-8", errors="replace")))
-                except zipfile.BadZipFile:
-                    rows.append((path, "", None))
-            yield pd.DataFrame(rows, columns=["archive", "member", "text"])
-    return files.mapInPandas(expand, "archive string, member string, text string")
+    dealt = files.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path")
+    return dealt.mapInPandas(lambda it: _members(member_suffix, it), "archive string, member string, text string")
 
 
 def parse_json_array(texts: DataFrame, element_schema: StructType, text_col: str = "text") -> DataFrame:

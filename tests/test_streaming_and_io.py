@@ -235,3 +235,28 @@ def test_warehouse_snapshot_restore_is_idempotent(spark, cfg, put_rows):
     snapshot.restore_warehouse(spark, fresh, root, tables=["youtube_search_history"])   # bare name, second time
     assert read_table(spark, fresh, "youtube_search_history").count() == 2
     assert read_table(spark, fresh, "spotify_artists").first()["artist_name"] == "X"
+
+
+def test_zip_members_come_one_at_a_time(spark, tmp_path):
+    import io
+    import zipfile
+
+    import pandas as pd
+
+    from daybook.sources import archive
+    contents = []
+    for k in range(3):
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w") as z:
+            for i in range(4):
+                z.writestr(f"m{i}.json", f"[{k}, {i}]")
+            z.writestr("other.txt", "no")
+        contents.append(held.getvalue())
+        (tmp_path / f"a{k}.zip").write_bytes(held.getvalue())
+    (tmp_path / "bad.zip").write_bytes(b"not a zip")
+    frames = list(archive._members(".json", iter([pd.DataFrame({"path": ["a", "b", "c"], "content": contents})])))
+    assert [len(f) for f in frames] == [1] * 12
+    rows = archive.expand_zips(spark, str(tmp_path)).collect()
+    assert sorted((r.archive.rsplit("/", 1)[1], r.member, r.text) for r in rows) == sorted(
+        [(f"a{k}.zip", f"m{i}.json", f"[{k}, {i}]") for k in range(3) for i in range(4)] + [("bad.zip", "", None)],
+        key=lambda x: x[:2])
