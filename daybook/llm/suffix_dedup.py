@@ -1,12 +1,13 @@
-"""Substring dedup over bytes by a hash-compared suffix sort.
-
-Suffixes are compared through prefix polynomial hashes: binary search finds
-the length of the common extension, the byte after it decides. The suffixes
-sorted are the sampled ones: every window of ``size`` bytes holds at least one
-sampled place, chosen by the content of the window alone. Inside a task they
-are mergesorted, and neighbours that agree over all their windows are compared
-byte by byte; each such class has one name, and the merge over tasks is
-Spark's, by names.
+"""Substring dedup over bytes by grouping on anchors and content hashes.
+
+Every window of ``size`` bytes chooses a place inside it, its anchor, by its
+content alone (the 32-byte gram of least hash). Windows of one anchor are a
+group, and Spark's grouping by the names of groups, blocks and windows
+(``windows.py``) decides which repeat. A suffix sort checks the names inside
+one round of texts and produces no row: stretches that share a name are
+mergesorted (binary search through prefix polynomial hashes finds the common
+extension, the byte after it decides) and equal neighbours are compared byte
+by byte.
 """
 
 from __future__ import annotations
