@@ -5,7 +5,8 @@ block codes the ids of consecutive documents in interleaved lanes: position
 ``k`` belongs to lane ``k mod lanes``, and all lanes advance together, so a
 step is a handful of array operations. Blocks are independent. Each holds its
 lanes' states, a checksum of its ids, and, when it is long, checkpoints (step,
-place in the words, states) from which decoding can start inside it.
+place in the words, states) from which a single-range read can start inside it.
+``read_tokens`` decodes every block whole.
 
 The files are Parquet: ``blocks`` (one row per block, in ascending document
 order within and across files) and ``table`` (id, frequency).
