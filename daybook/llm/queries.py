@@ -101,6 +101,51 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.path("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.prefix_trie import conversation_trie
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+OP13_SQL = r"""
+WITH crc_table AS (
+  SELECT list(list_reduce(list_concat([i], range(8)),
+                          (c, _) -> CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS tab
+  FROM range(256) AS r(i)),
+own AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, role, text) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+headed AS (
+  SELECT conv_id, turns, conv_id - conv_id % 20 AS base,
+         xor(list_reduce(list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), x -> ascii(x)::BIGINT)),
+                         (c, b) -> xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 4 AS h
+  FROM own, crc_table),
+rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.turns, [])[1:a.h], a.turns[a.h + 1:]) AS path
+  FROM headed a LEFT JOIN own b ON a.base = b.conv_id),
+steps AS (
+  SELECT conv_id, path, unnest(range(len(path) + 1)) AS depth FROM rebuilt),
+nodes AS (
+  SELECT path[1:depth] AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         count(DISTINCT CASE WHEN len(path) > depth THEN path[depth + 1] END) AS n_children,
+         coalesce(string_agg(CASE WHEN len(path) = depth THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '') AS ends
+  FROM steps GROUP BY path[1:depth], depth),
+weighed AS (
+  SELECT *, CASE WHEN depth = 0 THEN 0 ELSE
+           (n_convs - 1) * len(regexp_extract_all(node[depth].text, '[^\x20\x09-\x0D]+')) END AS own_saved
+  FROM nodes),
+up AS (
+  SELECT node, n_children, own_saved, unnest(range(depth + 1)) AS above FROM weighed),
+sums AS (
+  SELECT node[1:above] AS node, above AS depth, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+         sum(own_saved) AS saved_tokens
+  FROM up GROUP BY node[1:above], above)
+SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves::BIGINT AS n_leaves,
+       s.saved_tokens::BIGINT AS saved_tokens, sha256(w.ends) AS ends_sha256
+FROM weighed w JOIN sums s ON s.depth = w.depth AND s.node = w.node
+LEFT JOIN nodes p ON p.depth = w.depth - 1 AND p.node = w.node[1:w.depth - 1]
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_substring_dedup": op2_substring_dedup,
@@ -112,7 +157,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_token_files": op10_token_files,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLE: dict[str, str] = {
     "op1_url_filters": OP1_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
