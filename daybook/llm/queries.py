@@ -101,6 +101,45 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.path("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.collocations import collocations
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+places AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM words),
+grams AS (
+  SELECT lang, ws[i:i + k - 1] AS p FROM places, (VALUES (1), (2), (3)) AS ks(k) WHERE i + k - 1 <= len(ws)),
+f AS (SELECT lang, p, count(*) AS c FROM grams GROUP BY lang, p),
+totals AS (SELECT lang, sum(c) AS n FROM f WHERE len(p) = 1 GROUP BY lang),
+candidates AS (SELECT lang, p, c AS a FROM f WHERE len(p) > 1 AND c >= 10),
+longer AS (
+  SELECT lang, p[1:2] AS p, a FROM candidates WHERE len(p) = 3
+  UNION ALL SELECT lang, p[2:3] AS p, a FROM candidates WHERE len(p) = 3),
+gone AS (
+  SELECT DISTINCT c.lang, c.p FROM candidates c JOIN longer l ON l.lang = c.lang AND l.p = c.p WHERE 100 * l.a >= 50 * c.a),
+cuts AS (
+  SELECT c.lang, c.p, k, c.a, l.c AS l, r.c AS r,
+         (1000000::HUGEINT * c.a::HUGEINT * c.a::HUGEINT) // (l.c::HUGEINT * r.c::HUGEINT) AS score
+  FROM (SELECT *, unnest(range(1, len(p))) AS k FROM candidates) c
+  JOIN f l ON l.lang = c.lang AND l.p = c.p[1:k]
+  JOIN f r ON r.lang = c.lang AND r.p = c.p[k + 1:]
+  WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.lang = c.lang AND g.p = c.p)),
+lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank FROM lowest)
+SELECT lang, rank, array_to_string(p, ' ') AS phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.prefix_trie import conversation_trie
     return conversation_trie(table(spark, sf_dir, "conversations"))
@@ -109,15 +148,15 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP13_SQL = r"""
 WITH crc_table AS (
   SELECT list(list_reduce(list_concat([i], range(8)),
-                          (c, _) -> CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS tab
+                          lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS tab
   FROM range(256) AS r(i)),
 own AS (
   SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, role, text) AS turns
   FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
 headed AS (
   SELECT conv_id, turns, conv_id - conv_id % 20 AS base,
-         xor(list_reduce(list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), x -> ascii(x)::BIGINT)),
-                         (c, b) -> xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 4 AS h
+         xor(list_reduce(list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                         lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 4 AS h
   FROM own, crc_table),
 rebuilt AS (
   SELECT a.conv_id, list_concat(coalesce(b.turns, [])[1:a.h], a.turns[a.h + 1:]) AS path
@@ -157,9 +196,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_token_files": op10_token_files,
+    "op12_phrase_collocations": op12_phrase_collocations,
     "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLE: dict[str, str] = {
     "op1_url_filters": OP1_SQL,
+    "op12_phrase_collocations": OP12_SQL,
     "op13_prefix_trie": OP13_SQL,
 }
