@@ -7,7 +7,7 @@ of a state as places in its own sorted dictionary, 0 for none) and travels as
 its states in preorder, each with its depth, last word and weight.
 
 1. Every task builds transducers of the n-grams of its texts, one per language
-   and two million words, from their sorted n-grams, and cuts them at bounds
+   and million words, from their sorted n-grams, and cuts them at bounds
    that all tasks share.
 2. For each range of phrases the pieces are joined and their weights summed.
    Phrases that are frequent enough remain. A range asks for the counts of the
@@ -39,14 +39,14 @@ from daybook.llm.common import written
 
 #: Words of one shard (ids of so many words fit in 21 bits) and bytes of texts
 #: gathered for it.
-SHARD_WORDS, SHARD_BYTES = 2_000_000, 12 << 20
+SHARD_WORDS, SHARD_BYTES = 1_000_000, 6 << 20
 #: Text bytes of a range, ranges at most, and ranges whose counts are asked together.
-RANGE_BYTES, MOST_RANGES, GROUP = 12 << 20, 200_000, 16
+RANGE_BYTES, MOST_RANGES, GROUP = 8 << 20, 200_000, 16
 #: Texts, and characters of each, from which the bounds of ranges are chosen
 #: (they only balance the work).
 SAMPLE_ROWS, SAMPLE_CHARS = 2_000, 4_000
 #: Pieces of a range are joined when so many states are waiting.
-JOIN_STATES = 2_000_000
+JOIN_STATES = 1_000_000
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPLIT, _GAP = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
@@ -395,12 +395,13 @@ def _score(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBa
             names=["lang", "phrase", "a", "l", "r", "score"])
 
 
-def _bounds(rows: DataFrame, ranges: int) -> list[tuple]:
-    """Phrases (with their language) that divide a bounded sample evenly."""
+def _bounds(rows: DataFrame, count: int, ranges: int) -> list[tuple]:
+    """Phrases (with their language) that divide a sample evenly, of some
+    ``SAMPLE_ROWS`` rows of ``count``."""
     if ranges < 2:
         return []
-    sample = rows.select("lang", F.substring("text", 1, SAMPLE_CHARS).cast("binary").alias("data"),
-                         F.xxhash64(F.monotonically_increasing_id()).alias("h")).orderBy("h").limit(SAMPLE_ROWS).collect()
+    sample = rows.sample(min(1.0, SAMPLE_ROWS / count), seed=42).select(
+        "lang", F.substring("text", 1, SAMPLE_CHARS).cast("binary").alias("data")).collect()
     by_lang: dict[str, list[bytes]] = {}
     for row in sample:
         by_lang.setdefault(row["lang"], []).append(bytes(row["data"]))
@@ -428,8 +429,8 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bounds = _bounds(rows, int(min(MOST_RANGES, -(-size // range_bytes))))
+    count, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    bounds = _bounds(rows, count, int(min(MOST_RANGES, -(-size // range_bytes))))
     ranges = len(bounds) + 1
     groups = -(-ranges // GROUP)
 
