@@ -101,6 +101,13 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.path("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm.pii import personal_data
+    return personal_data(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
 def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm.collocations import collocations
     return collocations(table(spark, sf_dir, "documents"))
@@ -196,6 +203,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_token_files": op10_token_files,
+    "op11_personal_data": op11_personal_data,
     "op12_phrase_collocations": op12_phrase_collocations,
     "op13_prefix_trie": op13_prefix_trie,
 }
