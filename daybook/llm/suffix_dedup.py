@@ -26,32 +26,50 @@ WINDOW, GRAM, BLOCK = 200, 32, 16
 
 
 class Suffixes:
-    """Comparison of suffixes of ``buf``, each up to its own end."""
+    """Comparison of suffixes of ``buf``, each up to its own end. ``head`` holds
+    the next eight bytes of every place as a number, which orders most pairs."""
 
     def __init__(self, buf: np.ndarray, hashed: PrefixHash):
         self.buf, self.hashed = buf, hashed
+        long = np.concatenate([buf, np.zeros(8, dtype=np.uint8)])
+        self.head = np.zeros(len(buf), dtype=np.uint64)
+        for k in range(8):
+            self.head = self.head << np.uint64(8) | long[k:k + len(buf)]
 
     def common(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
         """Length of the common extension of places ``a`` and ``b``, at most
         ``most``."""
-        low, high = np.zeros(len(a), dtype=np.int64), most.copy()  # the answer lies in [low, high]
+        out = most.copy()
+        # most pairs that come here agree as far as they go
+        at = np.flatnonzero(self.hashed.of(a, a + most) != self.hashed.of(b, b + most))
+        a, b = a[at], b[at]
+        low, high = np.zeros(len(at), dtype=np.int64), most[at] - 1  # the answer lies in [low, high]
         while (low < high).any():
             mid = (low + high + 1) // 2
             same = self.hashed.of(a, a + mid) == self.hashed.of(b, b + mid)
             low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
-        return low
+        out[at] = low
+        return out
 
     def before(self, a: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_end: np.ndarray, ties: bool) -> np.ndarray:
         """Whether the suffix at ``a`` sorts before that at ``b``; equal ones
         give ``ties``."""
+        x, y = self.head[a], self.head[b]
+        out = x < y
+        # equal heads, and suffixes that end inside them, need their common extension
+        at = np.flatnonzero((x == y) | (np.minimum(a_end - a, b_end - b) < 8))
+        if not len(at):
+            return out
+        a, b, a_end, b_end = a[at], b[at], a_end[at], b_end[at]
         most = np.minimum(a_end - a, b_end - b)
         n = self.common(a, b, most)
         inside = n < most
         last = len(self.buf) - 1
-        x = self.buf[np.minimum(a + n, last)].astype(np.int16)
-        y = self.buf[np.minimum(b + n, last)].astype(np.int16)
+        x = self.buf[np.minimum(a + n, last)]
+        y = self.buf[np.minimum(b + n, last)]
         la, lb = a_end - a, b_end - b
-        return np.where(inside, x < y, np.where(la != lb, la < lb, ties))
+        out[at] = np.where(inside, x < y, np.where(la != lb, la < lb, ties))
+        return out
 
     def sort(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Indexes of the suffixes ``[start, end)`` in sorted order, by
@@ -73,11 +91,10 @@ class Suffixes:
                 open_ = np.flatnonzero(lo < hi)
                 mid = (lo[open_] + hi[open_]) // 2
                 mine, theirs = order[at[open_]], order[mid]
-                # elements of the other run that come before mine
-                less = self.before(start[theirs], end[theirs], start[mine], end[mine], False)
-                equal_first = ~left[open_]
-                more = ~self.before(start[mine], end[mine], start[theirs], end[theirs], False)
-                goes = np.where(equal_first, more, less)
+                # a left element goes after the other run's smaller ones, a right one after equal ones too
+                is_left = left[open_]
+                x, y = np.where(is_left, theirs, mine), np.where(is_left, mine, theirs)
+                goes = self.before(start[x], end[x], start[y], end[y], False) == is_left
                 lo[open_] = np.where(goes, mid + 1, lo[open_])
                 hi[open_] = np.where(goes, hi[open_], mid)
             place = (run // 2) * 2 * width + (at - run * width) + (lo - first)
