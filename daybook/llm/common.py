@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,21 +39,22 @@ def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                      F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data"))
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str = "data",
+def chunks(batches: Iterator[pa.RecordBatch], column_name: str = "data",
            limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches whose texts hold about ``limit`` bytes, each with
     its texts."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        texts = batch.column(batch.schema.get_field_index(column)).to_pylist()
-        at, held = 0, 0
-        for i, text in enumerate(texts):
-            if held and held + len(text) > limit:
-                yield batch.slice(at, i - at), texts[at:i]
-                at, held = i, 0
-            held += len(text) + 1
-        yield batch.slice(at), texts[at:]
+        column = batch.column(batch.schema.get_field_index(column_name))
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        ends = np.cumsum(sizes)
+        at = 0
+        while at < len(sizes):  # only the texts of a slice are copied
+            before = int(ends[at] - sizes[at])
+            end = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield batch.slice(at, end - at), column.slice(at, end - at).to_pylist()
+            at = end
 
 
 def mix(x: np.ndarray) -> np.ndarray:

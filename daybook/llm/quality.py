@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import Words, chunks, id_and_text, mix
+from daybook.llm.common import PrimeHash, Words, chunks, id_and_text, mix
 
 _SYMBOLS = re.compile(rb"[#*$%&|<>]")
 SCHEMA = ("id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -56,7 +56,7 @@ def _repeated_words(words: Words, size: int = 5) -> np.ndarray:
     out = np.zeros(len(words.counts), dtype=np.int64)
     if n < size:
         return out
-    h = words.hashes()
+    h = words.hashes(PrimeHash)  # one hash decides: modulo a prime, so that no word pattern defeats it
     same = words.doc[size - 1:] == words.doc[: n - size + 1]
     at = np.flatnonzero(same)
     window = words.doc[at].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -136,24 +136,17 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_quality(docs: DataFrame, text_col: str = "text", bands: Bands = Bands()) -> DataFrame:
-    """The rows of ``docs`` that pass, with their own columns. The whole row
-    travels through the pass, so no join is needed and repeated or null ids
-    do not matter."""
-    kept_at = len(docs.columns)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data = batch.column(kept_at + 1)
-            judged = pa.RecordBatch.from_arrays([batch.column(kept_at), data], names=["id", "data"])
-            flags = [x.column(10) for x in _measure(bands, iter([judged]))]
-            if flags:
-                kept = pa.concat_arrays(flags)
-                rows = pa.RecordBatch.from_arrays([batch.column(i) for i in range(kept_at)],
-                                                  names=[f"c{i}" for i in range(kept_at)])
-                yield rows.filter(kept)
-
-    # positions, not names: columns of docs may be called like ours
-    plain = docs.toDF(*[f"c{i}" for i in range(kept_at)])
-    text = plain[f"c{docs.columns.index(text_col)}"]
-    sent = plain.select("*", F.lit(0).cast("long").alias("id"), F.coalesce(text, F.lit("")).cast("binary").alias("data"))
-    return sent.mapInArrow(run, plain.schema).toDF(*docs.columns)
+    """The rows of ``docs`` that pass, with their own columns. Only the text
+    goes to Python and one flag comes back, so no join is needed and repeated
+    or null ids do not matter."""
+    def judge(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for data in columns:
+            rows = pa.RecordBatch.from_arrays([pa.nulls(len(data), pa.int64()), data], names=["id", "data"])
+            flags = [x.column(10) for x in _measure(bands, iter([rows]))]
+            yield pa.concat_arrays(flags) if flags else pa.array([], pa.bool_())
+
+    # typing is by the hints, which must be names of this module
+    judge.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    passes = F.arrow_udf(judge, "boolean")
+    text = docs[docs.columns.index(text_col)]
+    return docs.filter(passes(F.coalesce(text, F.lit("")).cast("binary")))

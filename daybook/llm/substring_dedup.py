@@ -114,58 +114,61 @@ def scan_words(texts: list[bytes], size: int = WINDOW, rounds: int = ROUNDS, blo
     return out
 
 
-def _cut(size: int, names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(size: int, names: list[str], joined: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What is left of each text: its words joined by one space, or the text
+    without the removed words and the white space after them."""
     for batch, texts in chunks(batches):
         words = Words(texts)
         gone = covered(*repeated_windows(batch, texts, lambda t: scan_words(t, size)), size, len(words.start))
         removed = np.bincount(words.doc[gone], minlength=len(texts))
-        kept, rest = [], []
+        left = []
         for i, text in enumerate(texts):
-            if not removed[i]:
-                kept.append(b" ".join(text.split()))
-                rest.append(text)
-                continue
             lo, hi = words.first[i], words.first[i + 1]
-            own = gone[lo:hi]
-            kept.append(b" ".join(w for w, g in zip(text.split(), own.tolist()) if not g))
-            # the text without the removed words and the white space after them
-            turn = np.flatnonzero(np.diff(own.astype(np.int8), prepend=0))
-            places = (words.start[lo:hi] - words.offset[i])[turn].tolist()
-            bounds = [0, *places, len(text)]
-            rest.append(b"".join(text[a:b] for a, b in zip(bounds[::2], bounds[1::2])))
+            if joined:
+                own = text.split()
+                left.append(b" ".join(w for w, g in zip(own, gone[lo:hi].tolist()) if not g) if removed[i] else b" ".join(own))
+            elif removed[i]:
+                turn = np.flatnonzero(np.diff(gone[lo:hi].astype(np.int8), prepend=0))
+                places = (words.start[lo:hi] - words.offset[i])[turn].tolist()
+                bounds = [0, *places, len(text)]
+                left.append(b"".join(text[a:b] for a, b in zip(bounds[::2], bounds[1::2])))
+            else:
+                left.append(text)
         others = [batch.column(batch.schema.get_field_index(n)) for n in names]
         yield pa.RecordBatch.from_arrays(
-            [*others, pa.array(words.counts, pa.int64()), pa.array(removed, pa.int64()),
-             pa.array(kept, pa.binary()), pa.array([x.decode() for x in rest], pa.string())],
-            names=[*names, "n_words", "n_removed", "kept", "rest"])
+            [*others, pa.array(words.counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(left, pa.binary())],
+            names=[*names, "n_words", "n_removed", "kept"])
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW,
-                   others: bool = False) -> DataFrame:
+                   joined: bool = True, others: bool = False) -> DataFrame:
     """Remove every word covered by a window of ``size`` words that also
     occurs in a document with a smaller id; windows are judged on the input.
 
-    Returns ``id, n_words, n_removed, kept`` (the kept words joined by one
-    space, binary) and ``text`` (the text without the removed words, its white
-    space as it was); with ``others`` the columns of ``docs`` instead of
-    ``id``, prefixed ``c0, c1, ...`` in their order.
+    Returns ``id, n_words, n_removed, kept`` (binary): the kept words joined by
+    one space or, not ``joined``, the text without the removed words, its white
+    space as it was. With ``others`` the columns of ``docs`` instead of ``id``,
+    prefixed ``c0, c1, ...`` in their order, but for the text, of which only
+    whether it is not null is carried: each text travels once.
 
     Null texts have no words. Null ids come after all others; rows of the
     same id don't see each other, and each row is judged. An empty table gives
     an empty result.
     """
     names = docs.columns
+    at = names.index(text_col)
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     number = plain[f"c{names.index(id_col)}"].cast("long")
-    text = F.coalesce(plain[f"c{names.index(text_col)}"], F.lit("")).cast("binary")
-    carried = plain.columns if others else []
-    rows = plain.select(F.coalesce(number, F.lit(LAST)).alias("doc"), text.alias("data"), number.alias("id"), *carried)
-    kept = ["id", *carried]
+    text = plain[f"c{at}"]
+    if others:
+        carried = [text.isNotNull().alias(c) if c == f"c{at}" else plain[c] for c in plain.columns]
+    else:
+        carried = [number.alias("id")]
+    rows = plain.select(F.coalesce(number, F.lit(LAST)).alias("doc"), F.coalesce(text, F.lit("")).cast("binary").alias("data"), *carried)
+    kept = rows.columns[2:]
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*kept).schema.fields)
     marked = mark(rows, scan_words if size == WINDOW else lambda t: scan_words(t, size), earlier=True)
-    return marked.mapInArrow(lambda it: _cut(size, kept, it),
-                             f"{kinds}, n_words long, n_removed long, kept binary, rest string") \
-        .withColumnRenamed("rest", "text")
+    return marked.mapInArrow(lambda it: _cut(size, kept, joined, it), f"{kinds}, n_words long, n_removed long, kept binary")
 
 
 def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW) -> DataFrame:
@@ -173,15 +176,14 @@ def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     gets the new length. Rows without repeats stay as they are (a null text
     too); no row is dropped."""
     names = docs.columns
-    out = remove_repeats(docs, id_col, text_col, size, others=True)
+    out = remove_repeats(docs, id_col, text_col, size, joined=False, others=True)
     at = names.index(text_col)
-    changed = F.col("n_removed") > 0
     cols = []
     for i, name in enumerate(names):
         col = F.col(f"c{i}")
         if i == at:
-            col = F.when(changed, F.col("text")).otherwise(col)
+            col = F.when(col, F.col("kept").cast("string"))
         elif name == "n_chars" and docs.schema[name].dataType.simpleString() in ("bigint", "int"):
-            col = F.when(changed, F.char_length("text")).otherwise(col).cast(docs.schema[name].dataType)
+            col = F.when(F.col("n_removed") > 0, F.char_length(F.col("kept").cast("string"))).otherwise(col).cast(docs.schema[name].dataType)
         cols.append(col.alias(name))
     return out.select(*cols)
