@@ -209,8 +209,8 @@ def _round_trip(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
             own = ids[i:j]
             id_hash.append(hashlib.sha256(own.astype("<u4").tobytes()).hexdigest())
             digest = hashlib.sha256()
-            for data, _text in decoder.stream(own):
-                digest.update(data)
+            for _, text in decoder.stream(own):
+                digest.update(text.encode())
             back_hash.append(digest.hexdigest())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(counts, pa.int64()), pa.array(id_hash), pa.array(back_hash)],

@@ -14,7 +14,7 @@ from collections.abc import Callable
 import numpy as np
 import regex
 
-from daybook.llm.common import PrefixHash, mix
+from daybook.llm.common import PrefixHash, PrimeHash, mix
 
 OTHER, LETTER, NUMBER, BLANK, EDGE = range(5)
 _classes: np.ndarray | None = None
@@ -39,7 +39,8 @@ def _class_table() -> np.ndarray:
 class Pieces:
     """The pieces of several texts: ``start``/``end`` (places in ``points``,
     the texts' code points with an edge mark after each), ``first`` (index of
-    each text's first piece, total at the end) and ``key`` (64-bit hash)."""
+    each text's first piece, total at the end), ``key`` and ``check`` (64-bit
+    hashes independent of each other)."""
 
     def __init__(self, texts: list[str]):
         edge = np.uint32(0x110000)
@@ -69,8 +70,11 @@ class Pieces:
         self.end = np.append(at[1:], n)[real]
         edges = np.flatnonzero(kind == EDGE)
         self.first = np.searchsorted(self.start, edges)
-        self.key = PrefixHash(mix(p.astype(np.uint64) + np.uint64(1))).of(self.start, self.end) \
-            if n > 1 else np.zeros(0, dtype=np.uint64)
+        self.key = self.check = np.zeros(0, dtype=np.uint64)
+        if n > 1:
+            drawn = mix(p.astype(np.uint64) + np.uint64(1))
+            self.key = PrefixHash(drawn).of(self.start, self.end)
+            self.check = PrimeHash(drawn).of(self.start, self.end)
 
     @staticmethod
     def _contractions(p, kind, new, joined, start) -> None:
@@ -99,7 +103,7 @@ class Pieces:
 
 
 class PieceTable:
-    """Ids of pieces seen before, by 64-bit key, in two-place buckets of a
+    """Ids of pieces seen before, by key and check, in two-place buckets of a
     table of fixed size; with more pieces than that the oldest entries of a
     bucket are encoded again when they come back. ``encode`` turns a list of
     pieces into their ids."""
@@ -113,6 +117,7 @@ class PieceTable:
     def clear(self) -> None:
         size = int(self.mask) + 1
         self.keys = np.zeros((2, size), dtype=np.uint64)
+        self.checks = np.zeros((2, size), dtype=np.uint64)
         self.place = np.zeros((2, size), dtype=np.int32)
         self.count = np.zeros((2, size), dtype=np.int32)
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
@@ -139,29 +144,37 @@ class PieceTable:
         if not n:
             return np.zeros(0, dtype=np.uint32), np.zeros(len(texts), dtype=np.int64)
         slot = (key & self.mask).astype(np.int64)
-        way = np.where(self.keys[0][slot] == key, 0, np.where(self.keys[1][slot] == key, 1, -1))
+        one, two = ((self.keys[w][slot] == key) & (self.checks[w][slot] == pieces.check) for w in (0, 1))
+        way = np.where(one, 0, np.where(two, 1, -1))
         place, count = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
         for w in (0, 1):
             hit = way == w
             place[hit], count[hit] = self.place[w][slot[hit]], self.count[w][slot[hit]]
         miss = np.flatnonzero(way < 0)
         if len(miss):
-            new, first, back = np.unique(key[miss], return_index=True, return_inverse=True)
+            order = np.lexsort((pieces.check[miss], key[miss]))
+            k, x = key[miss][order], pieces.check[miss][order]
+            new = np.ones(len(k), dtype=bool)
+            new[1:] = (k[1:] != k[:-1]) | (x[1:] != x[:-1])
+            first = order[new]
+            back = np.empty(len(k), dtype=np.int64)
+            back[order] = np.cumsum(new) - 1
             p, c = self._add([pieces.text(i) for i in miss[first].tolist()])
             place[miss], count[miss] = p[back], c[back]
-            s = (new & self.mask).astype(np.int64)
-            for a in (self.keys, self.place, self.count):  # the newer entry moves to the first place
+            s = (k[new] & self.mask).astype(np.int64)
+            tables = ((self.keys, k[new]), (self.checks, x[new]), (self.place, p), (self.count, c))
+            for a, _ in tables:  # the older entry moves to the second place
                 a[1][s] = a[0][s]
-            self.keys[0][s], self.place[0][s], self.count[0][s] = new, p, c
+            # of new pieces of one bucket the last stays, in all tables alike
+            s, last = np.unique(s[::-1], return_index=True)
+            for a, values in tables:
+                a[0][s] = values[::-1][last]
         ends = np.cumsum(count)
         at = np.repeat(place - (ends - count), count) + np.arange(int(ends[-1]))
         bounds = np.concatenate([[0], ends])[pieces.first]
         return self.flat[at], np.diff(bounds)
 
 
-_tables: dict[tuple, PieceTable] = {}
-
-
 def byte_alphabet() -> dict[int, int]:
     """The character that stands for each byte in byte-level vocabularies:
     printable ones for themselves, the others from 256 on."""
@@ -170,18 +183,56 @@ def byte_alphabet() -> dict[int, int]:
     return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
 
 
-def library_table(path: str) -> PieceTable:
+class WithAdded:
+    """A piece table for texts in which added tokens (such as an end mark)
+    stand as they are: they get their own ids, what lies between is encoded."""
+
+    def __init__(self, table: PieceTable, added: dict[str, int]):
+        self.table, self.added = table, added
+        # of tokens that begin alike the longest
+        self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")").split
+
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, one after the other, and how many each has."""
+        parts = [self.split(t) if any(a in t for a in self.added) else [t] for t in texts]
+        flat, counts = self.table.ids([x for p in parts for x in p[::2]])
+        if all(len(p) == 1 for p in parts):
+            return flat, counts
+        out, sizes, at, k = [], [], 0, 0
+        for p in parts:
+            size = 0
+            for i, x in enumerate(p):
+                if i % 2:
+                    own = np.array([self.added[x]], dtype=flat.dtype)
+                else:
+                    own = flat[at:at + counts[k]]
+                    at, k = at + counts[k], k + 1
+                out.append(own)
+                size += len(own)
+            sizes.append(size)
+        return np.concatenate(out), np.array(sizes, dtype=np.int64)
+
+
+_tables: dict[tuple, WithAdded | PieceTable] = {}
+
+
+def library_table(path: str) -> PieceTable | WithAdded:
     """Pieces encoded by the BPE model of the ``tokenizers`` library with the
-    file ``path``; one table per Python worker. Special tokens in a text are
-    ordinary text."""
+    file ``path``; one table per Python worker. Added tokens that a text holds
+    get their ids, as in the library."""
     if (path,) not in _tables:
         from tokenizers import Tokenizer
-        model = Tokenizer.from_file(path).model
+        tokenizer = Tokenizer.from_file(path)
+        model = tokenizer.model
         letters = byte_alphabet()
 
         def encode(pieces: list[str]) -> list[list[int]]:
             return [[t.id for t in model.tokenize(p.encode("utf-8", "surrogatepass").decode("latin-1").translate(letters))]
                     for p in pieces]
 
-        _tables[(path,)] = PieceTable(encode)
+        added = tokenizer.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError("added tokens that take white space or whole words are not supported")
+        table = PieceTable(encode)
+        _tables[(path,)] = WithAdded(table, {t.content: i for i, t in added.items()}) if added else table
     return _tables[(path,)]

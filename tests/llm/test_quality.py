@@ -87,3 +87,12 @@ def test_every_byte_lies_in_a_chunk(spark):
     out = {r.id: r for r in quality_rules(docs(spark, rows)).collect()}
     assert all(out[k].chunk_low == out[k].chunk_high == out[k].ratio for k in (1, 2))
     assert out[3].chunk_high > 0.76 and out[3].kept  # 600 of 4,696 bytes are less than a quarter
+
+
+def test_words_of_equal_polynomials_are_different_words(spark):
+    """Words that collide in a polynomial hash modulo a power of two don't
+    make a window repeat."""
+    odd = ["".join("ab"[(bin(i).count("1") + k) % 2] for i in range(2048)) for k in (0, 1)]
+    text = f"k l m n {odd[0]} k l m n {odd[1]}"
+    row = quality_rules(docs(spark, [(1, text), (2, f"k l m n {odd[0]} k l m n {odd[0]}")])).orderBy("id").collect()
+    assert [r.n_repeat_words for r in row] == [0, 10]

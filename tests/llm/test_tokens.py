@@ -18,7 +18,6 @@ FILE = public_tokenizers.path("byte_bpe_50k.json")
 def library():
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(FILE)
-    tok.encode_special_tokens = True
     return lambda texts: [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -46,12 +45,44 @@ def test_pieces_match_the_pattern():
 def test_piece_table_matches_library_also_when_full(library):
     texts = strings(2, 1500)
     want = library(texts)
-    for table in (pretoken.library_table(FILE), pretoken.PieceTable(pretoken.library_table(FILE).encode, bits=4, ids=500)):
+    whole = pretoken.library_table(FILE)
+    for table in (whole, pretoken.WithAdded(pretoken.PieceTable(whole.table.encode, bits=4, ids=500), whole.added)):
         for _ in range(2):
             ids, counts = table.ids(texts)
             assert ids.tolist() == [i for x in want for i in x] and counts.tolist() == list(map(len, want))
 
 
+def thue_morse(n, a="a", b="b"):
+    return "".join(b if bin(i).count("1") % 2 else a for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_pieces_of_equal_polynomials_stay_apart(n, library, oracle):
+    """Such words collide in every polynomial hash modulo a power of two."""
+    texts = [thue_morse(n), thue_morse(n, "b", "a"), f"x {thue_morse(n)}", f"x {thue_morse(n, 'b', 'a')}"]
+    want = library(texts)
+    table, _ = bpe.codec(RANKS)
+    for found, expected in ((pretoken.library_table(FILE).ids(texts)[0], want), (table.ids(texts)[0], [oracle.encode_ordinary(t) for t in texts])):
+        assert found.tolist() == [i for x in expected for i in x]
+
+
+def test_added_tokens_in_a_text(library):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "<|endoftext", "plain", "", " <|endoftext|>\n"]
+    ids, counts = pretoken.library_table(FILE).ids(texts)
+    want = library(texts)
+    assert 50256 in want[0] and ids.tolist() == [i for x in want for i in x] and counts.tolist() == list(map(len, want))
+
+
+@pytest.mark.skipif(not have_tables, reason="driver tables not present")
+def test_byte_bpe_query(spark, oracle):
+    from daybook.llm.queries import op6_byte_bpe
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in op6_byte_bpe(spark, SF).collect()}
+    for r in table_docs(spark).collect():
+        ids = oracle.encode_ordinary(r.text or "")
+        assert got[r.doc_id] == (len(ids), hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest(),
+                                 hashlib.sha256((r.text or "").encode()).hexdigest())
+
+
 def test_transducer_matches_library(oracle):
     texts = strings(3, 3000)
     fst = bpe.Transducer(bpe.load_ranks(RANKS), max_states=500)
