@@ -67,7 +67,7 @@ def transitions(df: DataFrame, entity: Sequence[str], ts: str, state: Sequence[s
 def dwell_segments(df: DataFrame, entity: Sequence[str], ts: str, key: str, duration_ms: str,
                    as_of, dwell_s: int = 30, slack_s: int = 15,
                    lookback_days: int | None = None, end_col: str = "played_at",
-                   chunk: Column | None = None) -> DataFrame:
+                   chunk: Column | None = None, unknown_s: int | None = None) -> DataFrame:
     """Turn state-transition events into plays (the speed layer).
 
     * a segment starts whenever ``key`` differs from the previous event's
@@ -76,6 +76,8 @@ def dwell_segments(df: DataFrame, entity: Sequence[str], ts: str, key: str, dura
     * its end is the next segment's start (``as_of`` for the open tail),
       clamped to start + duration/1000 + ``slack_s`` seconds when the
       duration is known;
+    * when the duration is unknown, ``unknown_s`` (if given) is the most it
+      lasts;
     * segments shorter than ``dwell_s`` (second boundaries) are dropped.
 
     Ordered by (ts, key) within ``entity`` so same-instant ties are
@@ -94,7 +96,8 @@ def dwell_segments(df: DataFrame, entity: Sequence[str], ts: str, key: str, dura
     nx = neighbour_in_order(seg, entity, order, [ts], chunk, "next", "__n_")
     clamp = F.when(F.col(duration_ms) > 0,
                    F.timestamp_add("SECOND", (F.floor(F.col(duration_ms) / 1000) + slack_s).cast("long"),
-                                   F.col(ts))).otherwise(as_of_c)
+                                   F.col(ts))).otherwise(
+        as_of_c if unknown_s is None else F.least(as_of_c, F.timestamp_add("SECOND", F.lit(unknown_s), F.col(ts))))
     bounded = nx.withColumn(end_col, F.least(F.coalesce(F.col("__n_" + ts), as_of_c), clamp)).drop("__n_" + ts)
     return bounded.filter(seconds_between(F.col(ts), F.col(end_col)) >= dwell_s)
 

@@ -11,12 +11,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections import deque
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import _parse_datatype_string
 
 from daybook.config import Cfg
@@ -124,44 +121,38 @@ def run(spark: SparkSession, cfg: Cfg, source_dir: str, checkpoint: str, availab
 
 
 # ------------------------------------------------------------------ STM-01
-TRANSITION_STATE = "track_id string, is_playing boolean"
-
-
-def _emit_transitions(key, pdfs: Iterator[pd.DataFrame], state):
-    prev = state.get if state.exists else (None, None)
-    out = []
-    for pdf in pdfs:
-        for row in pdf.sort_values(["captured_at", "track_id"]).itertuples(index=False):
-            cur = (row.track_id, bool(row.is_playing))
-            if cur != tuple(prev):
-                out.append(row)
-            prev = cur
-    state.update(prev)
-    if out:
-        yield pd.DataFrame(out)
-
-
-def transition_filter_stream(rows: DataFrame, key: str = "device_id") -> DataFrame:
+def transition_filter_stream(rows: DataFrame, key: str = "device_id", ts: str = "captured_at",
+                             state: tuple[str, ...] = ("track_id", "is_playing"), watermark: str = "10 minutes") -> DataFrame:
     """Streaming twin of the producer's transition filter: per device, emit a
-    row only when the track or the playing flag changes; the last state is
-    kept in the state store (``applyInPandasWithState``). State per key is
-    two fields, so it stays constant-size however long the stream runs."""
-    return rows.groupBy(key).applyInPandasWithState(
-        _emit_transitions, outputStructType=rows.schema, stateStructType=TRANSITION_STATE,
-        outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
+    row only when the track or the playing flag changes, in the order of the
+    capture times (``streaming.ordered``): rows wait until the watermark has
+    passed them, so that shuffled ones give what the batch twin gives."""
+    from daybook.streaming.ordered import Transitions, ordered
+    machine = Transitions([rows.columns.index(c) for c in state])
+    return ordered(rows, key, ts, list(state[:1]), machine, rows.schema, watermark)
 
 
 # ------------------------------------------------------------------ STM-15
 def lag_alerts(lag: DataFrame, most: int = 50, minutes: int = 10) -> DataFrame:
-    """Alert rows from consumer-lag samples ``(sampled_at, lag)``: a sample
-    that ends a stretch of at least ``minutes`` in which every sample was over
-    ``most``; one row per stretch, when it has lasted that long. Stretches are
-    cut at midnight, so that a window holds one day of samples."""
-    over = lag.withColumn("__ok", (F.col("lag") <= most).cast("int"))
-    # stretches per day: the last sample at or under the limit starts one anew
-    w = Window.partitionBy(F.to_date("sampled_at")).orderBy("sampled_at")
-    marked = over.withColumn("__stretch", F.sum("__ok").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = marked.filter("__ok = 0").groupBy(F.to_date("sampled_at").alias("__day"), "__stretch").agg(
+    """Alert rows from consumer-lag samples ``(sampled_at, lag)``: a stretch
+    of at least ``minutes`` in which every sample was over ``most`` gives one
+    row, at the time when it has lasted that long, also when it runs over
+    midnight or over many days.
+
+    A stretch is known by the last sample at or under the limit before it.
+    That sample is looked for within the day and, failing that, taken from a
+    summary of earlier days, so no window holds more than a day of samples or
+    one row a day. Samples without a time are left out; a sample without a lag
+    counts as at the limit."""
+    rows = lag.filter("sampled_at IS NOT NULL").select(
+        "sampled_at", "lag", F.to_date("sampled_at").alias("__day"), F.coalesce(F.col("lag") > most, F.lit(False)).alias("__over"))
+    calm = F.when(~F.col("__over"), F.col("sampled_at"))
+    days = rows.groupBy("__day").agg(F.max(calm).alias("__calm"))
+    before = Window.orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)
+    carried = days.select("__day", F.max("__calm").over(before).alias("__before"))
+    inside = Window.partitionBy("__day").orderBy("sampled_at").rowsBetween(Window.unboundedPreceding, 0)
+    marked = rows.withColumn("__calm", F.max(calm).over(inside)).join(carried, "__day").filter("__over")
+    runs = marked.groupBy(F.coalesce("__calm", "__before").alias("__since")).agg(
         F.min("sampled_at").alias("a"), F.max("sampled_at").alias("b"), F.max("lag").alias("n"))
     return runs.filter(F.col("b") >= F.timestamp_add("MINUTE", F.lit(minutes), F.col("a"))).select(
         F.timestamp_add("MINUTE", F.lit(minutes), F.col("a")).alias("raised_at"), F.lit("stream_lag").alias("kind"),

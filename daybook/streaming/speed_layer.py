@@ -5,88 +5,32 @@ Same rules as the batch ``operators.segments.dwell_segments``: a segment
 starts when the track differs from the previous event's track (empty ids
 never start one, but they do count as the previous track); it ends at the
 next segment's start, clamped to start + duration/1000 + 15 s when the
-duration is known; plays shorter than the dwell threshold are dropped.
-The open tail is closed by an event-time timer at its clamp, once the
-watermark passes it. On closed segments the stream equals the batch twin.
+duration is known, else to start + ``unknown_s``; plays shorter than the dwell
+threshold are dropped. Rows are put in order before they are judged
+(``streaming.ordered``), and the open tail is closed by an event-time timer at
+its clamp. On segments that the watermark has passed the stream equals the
+batch twin, in whatever order and batches the rows come.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-STATE = "seg_start timestamp, seg_track string, seg_dur long, prev_track string, has_seg boolean"
-OUT = "device_id string, track_id string, started_at timestamp, played_at timestamp"
-
-
-def _clamp(start: pd.Timestamp, dur: int, slack_s: int):
-    return start + pd.Timedelta(seconds=int(dur) // 1000 + slack_s) if dur and dur > 0 else None
-
+from pyspark.sql import functions as F
 
-def _whole_seconds(a: pd.Timestamp, b: pd.Timestamp) -> int:
-    return int(b.floor("s").timestamp() - a.floor("s").timestamp())
+from daybook.streaming.ordered import Plays, ordered
 
-
-def make_processor(dwell_s: int = 30, slack_s: int = 15):
-    def process(key, pdfs: Iterator[pd.DataFrame], state):
-        device = key[0]
-        out = []
-
-        def close(start, track, dur, end_candidate):
-            c = _clamp(start, dur, slack_s)
-            end = end_candidate if c is None else min(end_candidate, c)
-            if _whole_seconds(start, end) >= dwell_s:
-                out.append((device, track, start.to_pydatetime(), end.to_pydatetime()))
-
-        if state.hasTimedOut:
-            s = state.get
-            if s[4]:
-                start = pd.Timestamp(s[0])
-                c = _clamp(start, s[2], slack_s)
-                if c is not None:
-                    close(start, s[1], s[2], c)
-            # the segment is closed; the previous track is kept, so a late
-            # same-track event does not open a new segment (as in batch)
-            state.update((None, None, 0, s[3], False))
-            if out:
-                yield pd.DataFrame(out, columns=["device_id", "track_id", "started_at", "played_at"])
-            return
-        seg_start, seg_track, seg_dur, prev, has = (None, None, 0, "__none__", False)
-        if state.exists:
-            s = state.get
-            seg_start = pd.Timestamp(s[0]) if s[4] else None
-            seg_track, seg_dur, prev, has = s[1], int(s[2] or 0), s[3], bool(s[4])
-        rows = pd.concat(list(pdfs)) if pdfs is not None else pd.DataFrame()
-        for r in rows.sort_values(["captured_at", "track_id"]).itertuples(index=False):
-            ts, tid = pd.Timestamp(r.captured_at), (r.track_id or "")
-            if tid != prev and tid != "":
-                if has:
-                    close(seg_start, seg_track, seg_dur, ts)
-                seg_start, seg_track, seg_dur, has = ts, tid, int(r.track_duration_ms or 0), True
-            prev = tid
-        state.update((seg_start.to_pydatetime() if has else None, seg_track, int(seg_dur), prev, has))
-        if has:
-            c = _clamp(seg_start, seg_dur, slack_s)
-            if c is not None:
-                state.setTimeoutTimestamp(int(c.timestamp() * 1000))
-            else:
-                # unknown duration: the segment stays open until the next change
-                state.setTimeoutTimestamp(int((seg_start + pd.Timedelta(days=3650)).timestamp() * 1000))
-        if out:
-            yield pd.DataFrame(out, columns=["device_id", "track_id", "started_at", "played_at"])
-    return process
+OUT = "device_id string, track_id string, started_at timestamp, played_at timestamp"
+COLUMNS = ["device_id", "captured_at", "track_id", "track_duration_ms"]
+#: A segment of unknown duration is closed after six hours without a change.
+UNKNOWN_S = 6 * 3600
 
 
 def plays_stream(captures: DataFrame, watermark: str = "10 minutes", dwell_s: int = 30,
-                 slack_s: int = 15) -> DataFrame:
+                 slack_s: int = 15, unknown_s: int = UNKNOWN_S) -> DataFrame:
     """Streaming plays from a stream of landed captures (``device_id``,
     ``captured_at``, ``track_id``, ``track_duration_ms``). State per device
-    is one open segment, so it stays constant-size."""
-    return (captures.withWatermark("captured_at", watermark)
-            .groupBy("device_id")
-            .applyInPandasWithState(make_processor(dwell_s, slack_s), OUT, STATE, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
-
+    is one open segment and the rows of one watermark delay."""
+    rows = captures.select("device_id", "captured_at", "track_id", F.col("track_duration_ms").cast("long").alias("track_duration_ms"))
+    machine = Plays(COLUMNS.index("track_id"), COLUMNS.index("captured_at"), COLUMNS.index("track_duration_ms"),
+                    dwell_s, slack_s, unknown_s)
+    return ordered(rows, "device_id", "captured_at", ["track_id"], machine, OUT, watermark)

@@ -142,6 +142,20 @@ def test_gap_kpis_of_nested_events_and_lag_alerts(spark, cfg):
     assert [(r.raised_at, r.kind) for r in lag_alerts(lag).collect()] == [(at(1, 15), "stream_lag")]
 
 
+def test_lag_alert_over_midnight(spark):
+    """A stretch over midnight, or over days, is one stretch."""
+    from daybook.streaming.now_playing import lag_alerts
+    t0 = dt.datetime(2025, 6, 2, 12)
+    high = lambda m: 11 * 60 + 52 <= m < 12 * 60 + 10 or 30 * 60 <= m < 90 * 60
+    rows = [(t0 + dt.timedelta(minutes=m), 90 if high(m) else 2) for m in range(5 * 24 * 60)]
+    lag = spark.createDataFrame([*rows, (None, 99), (t0 + dt.timedelta(minutes=40), None)], "sampled_at timestamp, lag int")
+    got = sorted((r.raised_at, r.message) for r in lag_alerts(lag).collect())
+    assert [g[0] for g in got] == [t0 + dt.timedelta(hours=12, minutes=2), t0 + dt.timedelta(hours=30, minutes=10)]
+    first = spark.createDataFrame([(t0 + dt.timedelta(minutes=m), 60) for m in range(12)], "sampled_at timestamp, lag int")
+    assert [r.raised_at for r in lag_alerts(first).collect()] == [t0 + dt.timedelta(minutes=10)]
+    assert lag_alerts(first.limit(0)).count() == 0
+
+
 def test_a_cluster_needs_a_shared_scratch_folder():
     from daybook.session import ensure_checkpoint_dir
 
