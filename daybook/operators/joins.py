@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.geo import haversine_m
+from daybook.operators.intervals import dyadic_overlap_join
 
 KM_PER_DEGREE = 6371.0 * 3.141592653589793 / 180.0
 
@@ -27,43 +28,19 @@ def _epoch_s(c: Column) -> Column:
     return F.unix_micros(c.cast("timestamp")) / 1_000_000
 
 
-def _epoch_day(c: Column) -> Column:
-    return F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date"))
-
-
 def overlap_join(left: DataFrame, right: DataFrame, l_start: str, l_end: str,
-                 r_start: str, r_end: str | None = None, how: str = "inner",
-                 max_right_days: int | None = None, salt: int = 1) -> DataFrame:
-    """Pairs whose day ranges overlap: ``r_start <= l_end AND r_end >= l_start``.
-
-    Works on dates (or timestamps truncated to dates). The right side is keyed
-    by the day of its start; the left side is exploded over the days a
-    matching right start can fall on: ``[l_start - M, l_end]`` where M is the
-    longest right interval in days. Every pair is produced exactly once
-    (one bucket per right row), and the exact predicate is re-checked.
-
-    ``M`` is a scalar subquery over the right side unless given. With
-    ``salt > 1`` each right row also gets a random-free salt (a hash of the
-    row) and the left side is replicated ``salt`` times, so a day holding a
-    large share of the right rows is spread over ``salt`` tasks.
+                 r_start: str, r_end: str | None = None, how: str = "inner", salt: int = 1) -> DataFrame:
+    """Pairs whose day ranges overlap: ``r_start <= l_end AND r_end >= l_start``
+    (a point in a window when ``r_end`` is left out).
+
+    Works on dates (or timestamps truncated to dates), by dyadic cells
+    (``intervals.dyadic_overlap_join``): every pair is produced exactly once,
+    and no side is copied by the length of an interval. With ``salt > 1`` a
+    cell holding a large share of the right rows is spread over ``salt`` tasks.
     ``how`` may be ``inner`` or ``left`` (left rows without a partner kept).
     """
-    r_end = r_end or r_start
-    longest = F.lit(max_right_days) if max_right_days is not None else F.coalesce(
-        right.select(F.max(F.datediff(F.to_date(r_end), F.to_date(r_start))).alias("m")).scalar(), F.lit(0))
     lcols, rcols = left.columns, right.columns
-    L = left.withColumn("__day", F.explode(F.sequence(
-        _epoch_day(F.col(l_start)) - longest, _epoch_day(F.col(l_end)))))
-    R = right.toDF(*[f"__r_{c}" for c in rcols]).withColumn("__rday", _epoch_day(F.col(f"__r_{r_start}")))
-    cond = [F.col("__day") == F.col("__rday")]
-    if salt > 1:
-        L = L.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        R = R.withColumn("__rsalt", F.pmod(F.xxhash64(*[F.col(f"`__r_{c}`") for c in rcols]), F.lit(salt)))
-        cond.append(F.col("__salt") == F.col("__rsalt"))
-    cond.append(F.to_date(F.col(f"__r_{r_start}")) <= F.to_date(F.col(l_end)))
-    cond.append(F.to_date(F.col(f"__r_{r_end}")) >= F.to_date(F.col(l_start)))
-    joined = L.join(R, cond, "inner").select(*[F.col(f"`{c}`") for c in lcols],
-                                             *[F.col(f"`__r_{c}`").alias(c) for c in rcols])
+    joined = dyadic_overlap_join(left, right, l_start, l_end, r_start, r_end or r_start, salt)
     if how == "inner":
         return joined
     if how == "left":
@@ -101,16 +78,17 @@ def within_radius_flag(points: DataFrame, places: DataFrame, lat: str, lng: str,
                        p_radius_m: str = "radius_m", zero_rule: str = "both") -> DataFrame:
     """Add ``flag`` = 1 when a point lies within the radius of any place.
 
-    Grid-cell join: the sphere is cut into square cells no smaller than the
-    largest radius. A place is copied to every cell its radius reaches
-    (longitude span widened by 1/cos(latitude), wrapping at ±180°, all cells
-    near the poles); a point keeps its own cell. Candidates meet by an
-    equi-join on the cell and are confirmed with the exact haversine.
-
-    The output is the union of the semi-join (flag 1) and the anti-join
-    (flag 0), whatever the number of places: every point appears exactly
-    once, no pair list is materialised, and a crowded cell is split by Spark's
-    skew handling.
+    Nested grids, one for each class of radii (powers of two): a place is
+    copied to the cells of its own class's grid that its radius reaches, a few
+    at most (the longitude span widened by 1/cos(latitude), wrapping at ±180°,
+    all cells near the poles), and a position is looked up once in each class
+    that occurs. A large place among small ones keeps their cells small.
+    Candidates meet by an equi-join on (class, cell) and are confirmed with the
+    exact haversine.
+
+    Distinct positions are looked up, and their flags joined back: every point
+    appears exactly once, no pair list is materialised, and a crowded cell or
+    position is split by Spark's skew handling.
     Points without coordinates never match: ``zero_rule="both"`` treats
     only 0/0 as missing, ``"either"`` any zero coordinate (the Maps model's
     rule). An empty place list gives 0.
@@ -119,35 +97,41 @@ def within_radius_flag(points: DataFrame, places: DataFrame, lat: str, lng: str,
                        F.col(p_lng).cast("double").alias("__plng"),
                        F.col(p_radius_m).cast("double").alias("__prad"))
          .filter("__plat IS NOT NULL AND __plng IS NOT NULL AND __prad > 0").distinct())
-    # cells: a whole number of cells around the globe, at least as wide as the
-    # largest radius, a scalar subquery (without places: null, and no cell meets)
-    max_r = P.agg(F.max("__prad").alias("r")).scalar()
-    n = F.greatest(F.floor(360.0 / F.greatest(max_r / 1000.0 / KM_PER_DEGREE, F.lit(1e-4))), F.lit(1)).cast("long")
-    P = P.withColumn("__n", n)
-    ncells = F.col("__n")
-    cell = 360.0 / ncells
+    # class k: radii up to 2**k metres; its cells are a whole number around the globe, at least that wide
+    P = P.withColumn("__pk", F.least(F.ceil(F.log2(F.greatest("__prad", F.lit(16.0)))), F.lit(25)).cast("int"))
+    kinds = P.agg(F.collect_set("__pk").alias("k")).scalar()  # at most 22 of them
+
+    def ncells(k: Column) -> Column:
+        width = F.pow(F.lit(2.0), k) / 1000.0 / KM_PER_DEGREE
+        return F.greatest(F.floor(360.0 / width), F.lit(1)).cast("long")
+
+    around = ncells(F.col("__pk"))
+    cell = 360.0 / around
     dlat = F.col("__prad") / 1000.0 / KM_PER_DEGREE
     band = F.least(F.abs(F.col("__plat")) + dlat, F.lit(90.0))
     cosb = F.cos(F.radians(band))
     dlng = F.when(cosb < 1e-6, F.lit(360.0)).otherwise(dlat / cosb)
     lat_cells = F.sequence(F.floor((F.col("__plat") + 90.0 - dlat) / cell).cast("long"),
                            F.floor((F.col("__plat") + 90.0 + dlat) / cell).cast("long"))
-    lng_cells = F.when(dlng * 2 >= 360.0, F.sequence(F.lit(0).cast("long"), ncells - 1))\
+    # where a span would take very many cells of one row of the grid (near a pole), the row is one cell
+    wide = dlng * 2 >= F.least(F.lit(360.0), 64 * cell)
+    lng_cells = F.when(wide, F.array(F.lit(-1).cast("long")))\
         .otherwise(F.array_distinct(F.transform(
             F.sequence(F.floor((F.col("__plng") + 180.0 - dlng) / cell).cast("long"),
                        F.floor((F.col("__plng") + 180.0 + dlng) / cell).cast("long")),
-            lambda j: F.pmod(j, ncells))))
-    Pc = (P.withColumn("__pcy", F.explode(lat_cells)).withColumn("__pcx", F.explode(lng_cells)).drop("__n"))
-    la, lo = F.col(lat).cast("double"), F.col(lng).cast("double")
-    Q = points.withColumn("__n", n).withColumn("__cy", F.floor((la + 90.0) / cell).cast("long")) \
-              .withColumn("__cx", F.pmod(F.floor((lo + 180.0) / cell).cast("long"), ncells))
-    x, y = F.col(lat), F.col(lng)
+            lambda j: F.pmod(j, around))))
+    Pc = P.withColumn("__pcy", F.explode(lat_cells)).withColumn("__pcx", F.explode(lng_cells))
+    x, y = F.col(lat).cast("double"), F.col(lng).cast("double")
     has_xy = (~((x == 0) & (y == 0)) if zero_rule == "both" else ((x != 0) & (y != 0)))
-    cond = [F.col("__cy") == F.col("__pcy"), F.col("__cx") == F.col("__pcx"), has_xy,
-            haversine_m(F.col(lat), F.col(lng), F.col("__plat"), F.col("__plng")) <= F.col("__prad")]
-    hit = Q.join(Pc, cond, "left_semi").withColumn(flag, F.lit(1))
-    miss = Q.join(Pc, cond, "left_anti").withColumn(flag, F.lit(0))
-    return hit.unionByName(miss).drop("__cy", "__cx", "__n").withColumn(flag, F.col(flag).cast("int"))
+    spots = points.filter(has_xy).select(x.alias("__x"), y.alias("__y")).distinct()
+    n = ncells(F.col("__k"))
+    seen = spots.withColumn("__k", F.explode(kinds)).withColumn("__cy", F.floor((F.col("__x") + 90.0) / (360.0 / n)).cast("long")) \
+        .withColumn("__cx", F.explode(F.array(F.pmod(F.floor((F.col("__y") + 180.0) / (360.0 / n)).cast("long"), n), F.lit(-1).cast("long"))))
+    near = [F.col("__k") == F.col("__pk"), F.col("__cy") == F.col("__pcy"), F.col("__cx") == F.col("__pcx"),
+            haversine_m(F.col("__x"), F.col("__y"), F.col("__plat"), F.col("__plng")) <= F.col("__prad")]
+    hits = seen.join(Pc, near, "left_semi").select("__x", "__y").distinct().withColumn(flag, F.lit(1))
+    return points.join(hits, [x == hits["__x"], y == hits["__y"]], "left").select(
+        *[points[c] for c in points.columns if c != flag], F.coalesce(hits[flag], F.lit(0)).cast("int").alias(flag))
 
 
 def valid_intervals(anchors: DataFrame, entity: Sequence[str], valid_from: str,

@@ -27,6 +27,7 @@ from daybook.functions.numeric import quantize_level, safe_div
 from daybook.functions.text import first_nonblank, join_nonblank, stable_id, text_key, url_decode_plus, url_param
 from daybook.functions.timefn import iso_dow, iso_utc, minutes_between, readable_delta
 from daybook.operators.islands import island_runs, run_mode, run_path_km
+from daybook.operators.intervals import window_sums
 from daybook.operators.joins import overlap_join, valid_intervals, within_radius_flag
 from daybook.operators.segments import dwell_segments, transitions
 from daybook.operators.spine import date_spine, densify, int_spine
@@ -710,14 +711,14 @@ def all_day_and_duration(spark, d):
 # JON-14 interval-overlap join / JON-15 point-in-window join
 # --------------------------------------------------------------------------
 def _windows(spark, d) -> DataFrame:
-    return read(spark, d, "orders").filter(F.col("o_orderpriority") == "1-URGENT").select(
+    return read(spark, d, "orders").select(
         "o_orderkey", F.to_date("o_orderdate").alias("w_start"),
         F.date_add(F.to_date("o_orderdate"), 7).alias("w_end"))
 
 
 @query("interval_overlap_join", """
 WITH w AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS w_start, CAST(o_orderdate AS DATE) + 7 AS w_end
-           FROM orders WHERE o_orderpriority = '1-URGENT'),
+           FROM orders),
 li AS (SELECT CAST(l_shipdate AS DATE) AS s, CAST(l_shipdate AS DATE) + 3 AS e, l_quantity FROM lineitem)
 SELECT w.o_orderkey, count(*) AS items, CAST(sum(li.l_quantity) AS BIGINT) AS qty
 FROM w JOIN li ON li.s <= w.w_end + 2 AND li.e >= w.w_start - 2
@@ -730,7 +731,7 @@ def interval_overlap_join(spark, d):
     Exact rewrite that keeps the pair set small: windows sharing the same
     dates are joined once (distinct intervals), and line items are
     pre-aggregated per distinct (start, end) interval before the range join
-    (``overlap_join``: day buckets + exact predicate); the partial counts
+    (``overlap_join``: dyadic cells + exact predicate); the partial counts
     and sums are combined per window interval and attached back to the
     orders by an equi-join."""
     w = _windows(spark, d).select("o_orderkey", F.date_sub("w_start", 2).alias("b_start"),
@@ -739,14 +740,14 @@ def interval_overlap_join(spark, d):
                                            F.date_add(F.to_date("l_shipdate"), 3).alias("e"), "l_quantity")
     ragg = li.groupBy("s", "e").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q"))
     dw = w.select("b_start", "b_end").distinct()
-    per = (overlap_join(dw, ragg, "b_start", "b_end", "s", "e", salt=2)
+    per = (overlap_join(dw, ragg, "b_start", "b_end", "s", "e")
            .groupBy("b_start", "b_end").agg(F.sum("n").alias("items"), F.sum("q").cast("long").alias("qty")))
     return w.join(per, ["b_start", "b_end"]).select("o_orderkey", "items", "qty")
 
 
 @query("point_in_window_join", """
 WITH w AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS w_start, CAST(o_orderdate AS DATE) + 7 AS w_end
-           FROM orders WHERE o_orderpriority = '1-URGENT'),
+           FROM orders),
 c AS (SELECT w.o_orderkey, l.l_suppkey, count(*) AS n
       FROM w JOIN lineitem l ON CAST(l.l_shipdate AS DATE) >= w.w_start AND CAST(l.l_shipdate AS DATE) <= w.w_end
       GROUP BY 1, 2)
@@ -757,15 +758,13 @@ def point_in_window_join(spark, d):
     """Line items whose ship date falls inside a window; per window the
     top 10 suppliers by count.
 
-    Exact rewrite: line items are counted per (ship day, supplier) first,
-    windows are joined once per distinct date range, the per-range top 10
-    is taken there and attached back to every order with that range."""
+    Line items are counted per supplier and dyadic block of ship days, and
+    each distinct date range takes the sums of its few blocks
+    (``window_sums``), so no row stands for a window and a day; the per-range
+    top 10 is taken there and attached back to every order with that range."""
     w = _windows(spark, d)
-    li = read(spark, d, "lineitem").groupBy(F.to_date("l_shipdate").alias("s"), "l_suppkey") \
-        .agg(F.count(F.lit(1)).alias("c"))
-    dw = w.select("w_start", "w_end").distinct()
-    j = overlap_join(dw, li, "w_start", "w_end", "s", None, salt=2)
-    per = j.groupBy("w_start", "w_end", "l_suppkey").agg(F.sum("c").alias("n"))
+    li = read(spark, d, "lineitem").select(F.to_date("l_shipdate").alias("s"), "l_suppkey", F.lit(1).alias("n"))
+    per = window_sums(w, "w_start", "w_end", li, "s", ["l_suppkey"], ["n"])
     top = top_n_per_group(per, ["w_start", "w_end"], [F.col("n").desc(), F.col("l_suppkey")], 10)
     return w.join(top, ["w_start", "w_end"]).select("o_orderkey", "l_suppkey", "n", "rank")
 
@@ -849,7 +848,7 @@ ACTIVITY_SQL = """(SELECT CAST(o.o_orderdate AS DATE) AS event_date, n.n_name AS
              WHEN '3-MEDIUM' THEN 'search' ELSE 'other' END AS activity_type
    FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
    JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey
-   WHERE c.c_acctbal >= 0)"""
+)"""
 
 
 @query("home_and_daily_location", f"""
@@ -883,7 +882,7 @@ def home_and_daily_location(spark, d):
     more than 50 km away). The one-row home is read once and attached as
     literals (``attach_scalar``)."""
     from daybook.operators.merge import attach_scalar
-    c = read(spark, d, "customer").filter(F.col("c_acctbal") >= 0)
+    c = read(spark, d, "customer")
     a = (read(spark, d, "orders").join(c, F.col("c_custkey") == F.col("o_custkey"))
          .join(read(spark, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
          .join(read(spark, d, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
@@ -920,9 +919,9 @@ def home_and_daily_location(spark, d):
 # WIN-06/07, AGG-24, PIP-01 trip islands
 # --------------------------------------------------------------------------
 @query("trip_islands", f"""
-WITH e AS (SELECT user_id, CAST(ts AS DATE) AS day, value, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
-           FROM events WHERE event_type = 'purchase'),
-home AS (SELECT user_id, avg(value) / 10 AS home_lat, avg(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS home_lng
+WITH e AS (SELECT user_id || '-' || event_type AS user_id, CAST(ts AS DATE) AS day, value, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+           FROM events),
+home AS (SELECT user_id || '-' || event_type AS user_id, avg(value) / 10 AS home_lat, avg(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS home_lng
          FROM events GROUP BY 1),
 daily AS (SELECT user_id, day, 'B' || CAST(CAST(floor(max(value) / 100) AS BIGINT) AS VARCHAR) AS locality,
                  avg(value) / 10 AS lat, avg(k) AS lng, count(*) FILTER (WHERE value >= 100) AS directions
@@ -953,15 +952,15 @@ FROM runs JOIN md USING (user_id, run_id) LEFT JOIN km USING (user_id, run_id)
 WHERE runs.directions > 0 AND md.destination <> ''
 """)
 def trip_islands(spark, d):
-    """Trip segmentation on a daily series per user: daily aggregate →
+    """Trip segmentation on a daily series per user and event type: daily aggregate →
     gaps-and-islands (gap > GAP_DAYS + 1 splits) → per run: span, mode
     destination (first-seen tie), distinct places, round-trip path length
     via ``lag`` (points with a zero coordinate skipped); runs without a
     directions day are dropped."""
-    ev = _ev(spark, d)
+    ev = _ev(spark, d).withColumn("user_id", F.concat_ws("-", "user_id", "event_type"))
     k = F.get_json_object("props", "$.k").cast("long")
     home = ev.groupBy("user_id").agg((F.avg("value") / 10).alias("home_lat"), F.avg(k).alias("home_lng"))
-    e = ev.filter(F.col("event_type") == "purchase").select("user_id", F.to_date("ts").alias("day"), "value", k.alias("k"))
+    e = ev.select("user_id", F.to_date("ts").alias("day"), "value", k.alias("k"))
     daily = e.groupBy("user_id", "day").agg(
         F.concat(F.lit("B"), F.floor(F.max("value") / 100).cast("long").cast("string")).alias("locality"),
         (F.avg("value") / 10).alias("lat"), F.avg("k").alias("lng"),

@@ -10,12 +10,12 @@ more rows come. State per key is the rows of one watermark delay and the
 machine's fields.
 
 Built on ``transformWithStateInPandas``, whose state lives in RocksDB
-(``use_rocksdb``).
+(``use_rocksdb``). Times travel as microseconds since the epoch, so no session
+time zone plays a part.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Iterator
 from typing import Any
 
@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType, _parse_datatype_string
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -38,24 +38,21 @@ def use_rocksdb(spark: SparkSession) -> None:
 class Machine:
     """A rule over the ordered rows of a key. ``start`` is the state before the
     first row; ``step`` takes a row's values and gives the new state and output
-    rows; ``deadline`` is when a state has to ``expire`` without a row."""
+    rows; ``deadline`` is when a state has to ``expire`` without a row. Times
+    are microseconds."""
     schema = ""
     start: tuple = ()
 
     def step(self, key: tuple, state: tuple, row: tuple) -> tuple[tuple, list[tuple]]:
         raise NotImplementedError
 
-    def deadline(self, state: tuple) -> dt.datetime | None:
+    def deadline(self, state: tuple) -> int | None:
         return None
 
     def expire(self, key: tuple, state: tuple) -> tuple[tuple, list[tuple]]:
         return state, []
 
 
-def _ms(t: dt.datetime) -> int:
-    return int(t.replace(tzinfo=dt.timezone.utc).timestamp() * 1_000_000) // 1000
-
-
 class Ordered(StatefulProcessor):
     """Releases buffered rows to a machine as the watermark passes them."""
 
@@ -78,8 +75,9 @@ class Ordered(StatefulProcessor):
 
     def _release(self, key: tuple, rows: list[tuple], watermark: int) -> Iterator[pd.DataFrame]:
         state = tuple(self.state.get()) if self.state.exists() else self.machine.start
-        ready = self._sorted([r for r in rows if _ms(r[self.at]) <= watermark])
-        late = [r for r in rows if _ms(r[self.at]) > watermark]
+        past = watermark * 1000 + 999  # a watermark is in milliseconds
+        ready = self._sorted([r for r in rows if r[self.at] <= past])
+        waiting = [r for r in rows if r[self.at] > past]
         found: list[tuple] = []
         for row in ready:
             due = self.machine.deadline(state)
@@ -89,27 +87,26 @@ class Ordered(StatefulProcessor):
             state, more = self.machine.step(key, state, row)
             found += more
         due = self.machine.deadline(state)
-        if due is not None and _ms(due) <= watermark:
+        if due is not None and due <= past:
             state, more = self.machine.expire(key, state)
             found += more
             due = self.machine.deadline(state)
-        if late:
-            self.waiting.put(late)
+        if waiting:
+            self.waiting.put(waiting)
         else:
             self.waiting.clear()
         self.state.update(state)
-        next_times = [_ms(r[self.at]) for r in late] + ([_ms(due)] if due is not None else [])
+        times = [r[self.at] for r in waiting] + ([due] if due is not None else [])
         for old in list(self.handle.listTimers()):
             self.handle.deleteTimer(old)
-        if next_times:
-            self.handle.registerTimer(max(min(next_times), watermark + 1))
+        if times:
+            self.handle.registerTimer(max(min(times) // 1000, watermark + 1))
         if found:
             yield pd.DataFrame(found, columns=self.out)
 
     def _values(self, pdf: pd.DataFrame) -> list[tuple]:
         plain = pdf[self.columns].astype(object).where(pdf[self.columns].notna(), None)
-        return [tuple(x.to_pydatetime() if isinstance(x, pd.Timestamp) else x.item() if hasattr(x, "item") else x for x in r)
-                for r in plain.itertuples(index=False, name=None)]
+        return [tuple(x.item() if hasattr(x, "item") else x for x in r) for r in plain.itertuples(index=False, name=None)]
 
     def _held(self) -> list[tuple]:
         return [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
@@ -128,13 +125,20 @@ def ordered(rows: DataFrame, key: str, ts: str, tiebreak: list[str], machine: Ma
     (``ts``, ``tiebreak``). Rows later than ``watermark`` behind the newest
     are dropped by Spark, as in any stream with a watermark; rows without a
     time or key belong to no order and are left out."""
-    from pyspark.sql.types import _parse_datatype_string
     use_rocksdb(rows.sparkSession)
     schema = _parse_datatype_string(out) if isinstance(out, str) else out
-    timed = rows.filter(F.col(ts).isNotNull() & F.col(key).isNotNull()).withWatermark(ts, watermark)
-    processor = Ordered(machine, rows.schema, rows.columns, [f.name for f in schema.fields], ts, tiebreak)
-    return timed.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=schema, outputMode="append", timeMode="EventTime")
+    timed = rows.filter(F.col(ts).isNotNull() & F.col(key).isNotNull()).withColumn("__event_time", F.col(ts)) \
+        .withWatermark("__event_time", watermark)
+    sent = timed.select(*[F.unix_micros(f.name).alias(f.name) if isinstance(f.dataType, TimestampType) else f.name
+                          for f in rows.schema.fields], "__event_time")
+    held = sent.drop("__event_time").schema
+    processor = Ordered(machine, held, held.names, schema.names, ts, tiebreak)
+    plain = StructType([StructField(f.name, LongType() if isinstance(f.dataType, TimestampType) else f.dataType)
+                        for f in schema.fields])
+    found = sent.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=plain, outputMode="append", timeMode="EventTime")
+    return found.select(*[F.timestamp_micros(f.name).alias(f.name) if isinstance(f.dataType, TimestampType) else f.name
+                          for f in schema.fields])
 
 
 class Transitions(Machine):
@@ -157,7 +161,7 @@ class Plays(Machine):
     next start, at most ``slack_s`` seconds after its known duration, or
     ``unknown_s`` seconds after its start when the duration is unknown. Plays
     shorter than ``dwell_s`` are dropped."""
-    schema = "start timestamp, track string, duration long, previous string"
+    schema = "start long, track string, duration long, previous string"
     start = (None, "", 0, "__none__")
 
     def __init__(self, track: int, ts: int, duration: int, dwell_s: int, slack_s: int, unknown_s: int):
@@ -167,13 +171,13 @@ class Plays(Machine):
     def deadline(self, state):
         if state[0] is None:
             return None
-        return state[0] + dt.timedelta(seconds=state[2] // 1000 + self.slack_s if state[2] > 0 else self.unknown_s)
+        return state[0] + 1_000_000 * (state[2] // 1000 + self.slack_s if state[2] > 0 else self.unknown_s)
 
     def _close(self, key, state, end):
         if state[0] is None:
             return []
         end = min(end, self.deadline(state))
-        whole = (end.replace(microsecond=0) - state[0].replace(microsecond=0)).total_seconds()
+        whole = end // 1_000_000 - state[0] // 1_000_000
         return [(key[0], state[1], state[0], end)] if whole >= self.dwell_s else []
 
     def step(self, key, state, row):
