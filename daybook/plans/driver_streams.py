@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from daybook.plans.driver import DWELL_S, _ev, query
+from daybook.plans.driver import DWELL_S, ORACLE, _ev, query
 
 
 def _out_of_order(spark, d, name, columns, make, key):
@@ -92,3 +92,21 @@ def lag_alert_stretches(spark, d):
     most = samples.select(F.floor(F.median("lag")).alias("m")).scalar()
     return lag_alerts(samples.withColumn("lag", F.col("lag") - most), 0, 120).select(
         F.col("raised_at").cast("timestamp_ntz").alias("raised_at"), "kind", "message")
+
+
+# --------------------------------------------------------------------------
+# AGG-13, SRC-01 latest version from a table laid out by key
+# --------------------------------------------------------------------------
+@query("latest_by_version_bucketed", ORACLE["latest_by_version"])
+def latest_by_version_bucketed(spark, d):
+    """The versions arrive in three appends; the read finds the latest per key
+    in the buckets as they lie, without an exchange."""
+    from daybook.session import scratch_path
+    from daybook.sources import versioned_table as V
+    rows = _ev(spark, d).select("user_id", "event_type", "ts", "event_id", "value")
+    path = scratch_path(spark, "versions")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    V.create(spark, path, schema, ["user_id", "event_type"], "ts", 8)
+    for k in range(3):
+        V.append(spark, path, rows.filter(F.pmod(F.xxhash64(*rows.columns), F.lit(3)) == k))
+    return V.latest(spark, path)

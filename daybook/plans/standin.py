@@ -94,9 +94,9 @@ def _frames(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         F.lit("").alias("admin_area_1"), F.col("r_name").alias("country"), F.lit("").alias("country_code"),
         F.when(F.col("s_acctbal") > 0, 0.9).otherwise(0.3).cast("float").alias("match_confidence"),
         F.lit("poi").alias("match_type")))
-    private = cust.filter("c_acctbal > 9900").select(
+    private = cust.select(
         (((F.col("c_acctbal") + 1000) % 180) - 90).alias("lat"), (((F.col("c_custkey") * 7.3) % 360) - 180).alias("lng"),
-        F.lit(100000).alias("radius_m"))
+        F.when(F.col("c_acctbal") > 9900, 100000).otherwise(200).alias("radius_m"))
     vid = F.concat(F.lit("v"), _k().cast("string"))
     watches = ev.filter("event_type = 'purchase'").select(
         _ts().alias("watched_at"), vid.alias("video_id"), F.concat(F.lit("Video "), _k().cast("string")).alias("video_title"),

@@ -53,8 +53,8 @@ MAPS_RAW = f"""SELECT CAST(ts AS TIMESTAMP) AS event_ts,
   'place ' || CAST({K} AS VARCHAR) AS place FROM events WHERE event_type IN ('signup', 'error')"""
 CATALOG = """SELECT 'q:place ' || CAST(s_suppkey AS VARCHAR) AS place_id, ((s_acctbal + 1000) % 180) - 90 AS lat,
   ((s_suppkey * CAST(7.3 AS DOUBLE)) % 360) - 180 AS lng FROM supplier"""
-PRIVATE = """SELECT ((c_acctbal + 1000) % 180) - 90 AS lat, ((c_custkey * CAST(7.3 AS DOUBLE)) % 360) - 180 AS lng, 100000.0 AS radius_m
-  FROM customer WHERE c_acctbal > 9900"""
+PRIVATE = """SELECT ((c_acctbal + 1000) % 180) - 90 AS lat, ((c_custkey * CAST(7.3 AS DOUBLE)) % 360) - 180 AS lng, CASE WHEN c_acctbal > 9900 THEN 100000.0 ELSE 200.0 END AS radius_m
+  FROM customer"""
 ENRICHED = f"""SELECT a.event_ts, a.activity_type, CAST(a.event_ts AS DATE) AS event_date,
   CAST(hour(a.event_ts) AS INTEGER) AS hour_of_day,
   CAST(EXISTS (SELECT 1 FROM ({PRIVATE}) p WHERE coalesce(c.lat, 0.0) <> 0 AND coalesce(c.lng, 0.0) <> 0
