@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from daybook.plans.driver import DWELL_S, ORACLE, _ev, query
+from daybook.plans.driver import DWELL_S, EVENTS_AS_OF, ORACLE, _ev, query
 
 
 def _out_of_order(spark, d, name, columns, make, key):
@@ -110,3 +110,48 @@ def latest_by_version_bucketed(spark, d):
     for k in range(3):
         V.append(spark, path, rows.filter(F.pmod(F.xxhash64(*rows.columns), F.lit(3)) == k))
     return V.latest(spark, path)
+
+
+# --------------------------------------------------------------------------
+# STM-09, PIP-12 late re-ingest with a ledger
+# --------------------------------------------------------------------------
+@query("late_reingest", """
+SELECT event_id, CAST(ts AS DATE) AS event_date, event_type FROM events
+""")
+def late_reingest(spark, d):
+    """Three ingests: the first misses rows that come late, the second takes
+    them up, the third comes after more than a fortnight and misses nothing."""
+    import datetime as dt
+
+    from daybook.jobs.imports import ingest_dates
+    from daybook.session import scratch_path
+    base = scratch_path(spark, "reingest")
+    ev = _ev(spark, d).select("event_id", "ts", "event_type")
+    late = (F.col("ts") >= F.lit("2024-01-09").cast("timestamp_ntz")) & (F.pmod(F.hash("event_id"), F.lit(5)) == 0)
+    for day, rows in ((10, ev.filter(~late)), (12, ev), (31, ev)):
+        ingest_dates(spark, rows, "ts", "events", f"{base}/events", f"{base}/ledger", dt.datetime(2024, 1, day, 23, 59, 59, 999999))
+    return spark.read.parquet(f"{base}/events").select("event_id", "event_date", "event_type")
+
+
+# --------------------------------------------------------------------------
+# SNK-08, PIP-19 restore of what differs
+# --------------------------------------------------------------------------
+@query("restore_differences", """
+SELECT o_orderkey, o_custkey, o_orderpriority FROM orders
+UNION ALL SELECT -1, -1, 'own'
+""")
+def restore_differences(spark, d):
+    """A restored table loses some rows and gets one of its own; the next
+    restore compares checksums and brings back the lost rows only."""
+    from daybook.session import scratch_path
+    from daybook.sources.driver import read
+    from daybook.sources.snapshot import restore, snapshot
+    base = scratch_path(spark, "differences")
+    orders = read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    snapshot(spark, {"orders": orders}, f"{base}/snap", EVENTS_AS_OF.date())
+    damaged = orders.filter("o_orderpriority <> '3-MEDIUM' OR o_custkey % 2 = 0").unionByName(
+        orders.limit(1).select(F.lit(-1).cast("long").alias("o_orderkey"), F.lit(-1).cast("long").alias("o_custkey"), F.lit("own").alias("o_orderpriority")))
+    damaged.write.parquet(f"{base}/out/orders")
+    restore(spark, f"{base}/snap", lambda t: f"{base}/out/{t}")
+    restore(spark, f"{base}/snap", lambda t: f"{base}/out/{t}")
+    return spark.read.parquet(f"{base}/out/orders")

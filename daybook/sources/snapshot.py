@@ -5,11 +5,18 @@ Layout: ``{root}/dt=YYYY-MM-DD/{table}/`` (Parquet, zstd) per table and a
 ``_MANIFEST.json`` written last; a snapshot without a manifest is
 incomplete. Writes are distributed (no table passes through the driver);
 only the manifest — a few numbers per table — is written by the driver.
+
+The manifest holds checksums of every table that don't depend on the order of
+rows: rows fall into ``RANGES`` ranges of their hash, each with its count, the
+exclusive or and the sum of its hashes. A restore compares them with the
+target's and reads on only in ranges that differ; a target whose files have not
+changed since the last restore of the same snapshot is not read at all.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 from collections.abc import Callable, Sequence
 
@@ -20,6 +27,9 @@ from daybook.session import materialize
 from daybook.session import run_parallel as _parallel
 
 MANIFEST = "_MANIFEST.json"
+RANGES = 32
+#: Folder (beside the snapshots) that says which targets hold which snapshot.
+DONE = "_restored"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -28,11 +38,56 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _files(spark, path: str) -> list[int]:
+    """Bytes and files of a folder, and when its newest file was written."""
+    fs, p = _fs(spark, path)
+    summary = fs.getContentSummary(p)
+    newest = max((st.getModificationTime() for st in fs.listStatus(p)), default=0)
+    return [int(summary.getLength()), int(summary.getFileCount()), int(newest)]
+
+
 def _dir_bytes(spark, path: str) -> int:
     fs, p = _fs(spark, path)
     return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
 
 
+def _read_json(spark: SparkSession, path: str) -> dict | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
+def _write_json(spark: SparkSession, path: str, value: dict) -> None:
+    fs, p = _fs(spark, path)
+    stream = fs.create(p, True)
+    stream.write(bytearray(json.dumps(value, sort_keys=True).encode()))
+    stream.close()
+
+
+def _row_hash(df: DataFrame):
+    """A hash of all columns (maps as JSON)."""
+    return F.xxhash64(*[F.to_json(F.col(f"`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`")
+                        for f in df.schema.fields])
+
+
+def _range(df: DataFrame):
+    return F.pmod(_row_hash(df), F.lit(RANGES)).cast("int")
+
+
+def checksums(df: DataFrame) -> dict[str, list[int]]:
+    """Count, exclusive or and sum (of the upper halves) of the row hashes of
+    each range; one pass with partial sums, a few numbers come back."""
+    hashed = df.select(_row_hash(df).alias("h"))
+    found = hashed.groupBy(F.pmod("h", F.lit(RANGES)).alias("r")).agg(
+        F.count("*").alias("n"), F.bit_xor("h").alias("x"), F.sum(F.shiftrightunsigned("h", 32)).alias("s")).collect()
+    return {str(row["r"]): [int(row["n"]), int(row["x"]), int(row["s"])] for row in found}
+
+
 def snapshot(spark: SparkSession, tables: dict[str, DataFrame], root: str, day: dt.date,
              dedup: dict[str, Callable[[DataFrame], DataFrame]] | None = None) -> dict:
     """Write every table (deduplicated by its read rule when given) under
@@ -45,15 +100,13 @@ def snapshot(spark: SparkSession, tables: dict[str, DataFrame], root: str, day:
         out = df if not dedup or name not in dedup else dedup[name](df)
         path = f"{base}/{name}"
         out.write.mode("overwrite").option("compression", "zstd").parquet(path)
-        rows = spark.read.parquet(path).count()  # answered from Parquet footers
-        return name, {"rows": int(rows), "bytes": _dir_bytes(spark, path)}
+        sums = checksums(spark.read.schema(out.schema).parquet(path))  # of what was written
+        return name, {"rows": sum(x[0] for x in sums.values()), "bytes": _dir_bytes(spark, path), "sums": sums}
     # tables are independent jobs: submit them concurrently so small tables
     # do not leave the cluster idle one after another (OPT-16)
     entries = dict(_parallel([(write_one, (n, df)) for n, df in tables.items()]))
     manifest = {"dt": day.isoformat(), "tables": entries}
-    stream = fs.create(mp, True)
-    stream.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
-    stream.close()
+    _write_json(spark, f"{base}/{MANIFEST}", manifest)
     return manifest
 
 
@@ -100,7 +153,9 @@ def restore(spark: SparkSession, root: str, target: Callable[[str], str | None],
     missing, or an empty selection, raises. Restore is additive: only rows
     that the target doesn't hold yet are appended (compared over all columns,
     with their number), so restoring twice changes nothing, also in tables
-    without a version. Returns the rows appended per table."""
+    without a version. Ranges whose checksums agree are not compared, and a
+    target that is as the last restore of this snapshot left it is not read.
+    Returns the rows appended per table."""
     day = day or latest_complete(spark, root)
     if day is None:
         raise FileNotFoundError(f"no complete snapshot under {root}")
@@ -114,14 +169,27 @@ def restore(spark: SparkSession, root: str, target: Callable[[str], str | None],
         missing = wanted - {bare(n) for n in present}
         if missing:
             raise FileNotFoundError(f"tables not in snapshot {day}: {sorted(missing)}")
+    entries = (_read_json(spark, f"{root.rstrip('/')}/dt={day}/{MANIFEST}") or {}).get("tables", {})
+
     def restore_one(name: str, dest: str) -> tuple[str, int]:
-        rows = read_snapshot(spark, root, day, name)
+        done = f"{root.rstrip('/')}/{DONE}/{hashlib.md5(dest.encode()).hexdigest()}.json"
+        entry = {"dt": day, "table": name, "sums": entries.get(name, {}).get("sums")}
         fs_, d_ = _fs(spark, dest)
-        if fs_.exists(d_):
-            rows = materialize(_missing(rows, spark.read.schema(rows.schema).parquet(dest)))
+        there = fs_.exists(d_)
+        if there and entry["sums"] and _read_json(spark, done) == entry | {"files": _files(spark, dest)}:
+            return name, 0
+        rows = read_snapshot(spark, root, day, name)
+        if there:
+            held = spark.read.schema(rows.schema).parquet(dest)
+            if entry["sums"]:
+                sums = checksums(held)
+                differ = [int(r) for r, x in entry["sums"].items() if sums.get(r) != x]
+                rows, held = (df.filter(_range(df).isin(differ)) for df in (rows, held))
+            rows = materialize(_missing(rows, held)) if not entry["sums"] or differ else rows.limit(0)
         n = rows.count()
-        if n or not fs_.exists(d_):
+        if n or not there:
             rows.write.mode("append").parquet(dest)
+        _write_json(spark, done, entry | {"files": _files(spark, dest)})
         return name, n
     jobs = [(restore_one, (name, target(name))) for name in present
             if (wanted is None or bare(name) in wanted) and target(name) is not None]

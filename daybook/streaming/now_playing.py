@@ -10,6 +10,7 @@ tables are read latest-version-per-key.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections import deque
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,6 +22,7 @@ from daybook.functions.contract import Field, contract_errors
 from daybook.functions.timefn import wire_ms
 from daybook.schemas import TABLES
 from daybook.sources import tables
+from daybook.streaming.health import HealthListener, record_batch
 
 TOPIC = "spotify.player.current"  # fixed value: stream topic name
 WIRE_TS_PATTERN = "^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\\.[0-9]{3}$"  # fixed value
@@ -67,9 +69,11 @@ def dlq_rows(rejected: DataFrame, rejected_at: Column, value: str = "value") ->
                            F.array_join("errors", "; ").alias("error"), F.col(value).alias("payload"))
 
 
-def route_batch(spark: SparkSession, cfg: Cfg, batch: DataFrame, value: str = "value") -> dict[str, int]:
+def route_batch(spark: SparkSession, cfg: Cfg, batch: DataFrame, value: str = "value", health: str | None = None,
+                epoch: int = 0) -> dict[str, int]:
     """One micro-batch: validate, append valid rows and rejects. Returns
-    the counts (the health counters of STM-14)."""
+    the counts; with ``health`` (a folder) they are recorded there, with the
+    kinds of rejects and the newest accepted time (STM-14)."""
     b = with_errors(batch, value).persist()
     ok = b.filter(F.size("errors") == 0)
     bad = b.filter(F.size("errors") > 0)
@@ -80,43 +84,49 @@ def route_batch(spark: SparkSession, cfg: Cfg, batch: DataFrame, value: str = "v
         # the message's own time, so that a retried batch writes the same keys
         at = F.col("received_at") if "received_at" in batch.columns else F.lit(cfg.as_of).cast("timestamp")
         tables.append(dlq_rows(bad, at, value), cfg, "spotify_player_current_dlq")
+    counts = {"ok": n_ok, "rejected": n_bad}
+    if health:
+        micros = parse_valid(ok, value).agg(F.max(F.unix_micros("captured_at"))).first()[0] if n_ok else None
+        last = None if micros is None else dt.datetime.fromtimestamp(micros / 1_000_000, dt.timezone.utc)
+        record_batch(spark, health, epoch, b, counts, last)
     b.unpersist()
-    return {"ok": n_ok, "rejected": n_bad}
+    return counts
 
 
 def run(spark: SparkSession, cfg: Cfg, source_dir: str, checkpoint: str, available_now: bool = True,
-        kafka_options: dict[str, str] | None = None):
+        kafka_options: dict[str, str] | None = None, health: str | None = None):
     """Start the landing query. With ``kafka_options`` the source is Kafka
     (``value`` cast to string); otherwise JSON-lines files in
-    ``source_dir`` (one message per line)."""
+    ``source_dir`` (one message per line). Its health is kept in the folder
+    ``health`` (beside the checkpoint unless given) and read by
+    ``streaming.health.totals``, over all runs."""
     if kafka_options:
         src = (spark.readStream.format("kafka").options(**kafka_options).load()
                .select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("received_at")))
     else:
         src = spark.readStream.text(source_dir).select(
             "value", F.col("_metadata.file_modification_time").alias("received_at"))
-    counters: deque[dict] = deque(maxlen=1_000)  # of the latest batches; totals run on
-    health = {"batches": 0, "ok": 0, "rejected": 0, "errors": 0, "last_ok": None}
+    counters: deque[dict] = deque(maxlen=1_000)  # of the latest batches of this run
+    folder = health or f"{checkpoint.rstrip('/')}_health"
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        health["batches"] += 1
-        try:
-            counts = route_batch(spark, cfg, batch)
-        except Exception:
-            health["errors"] += 1
-            raise
-        for k, n in counts.items():
-            health[k] += n
-        if counts["ok"]:
-            health["last_ok"] = dt.datetime.now(dt.timezone.utc)
-        counters.append({"epoch": epoch, **counts})
-    w = src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+        counters.append({"epoch": epoch, **route_batch(spark, cfg, batch, health=folder, epoch=epoch)})
+
+    name = f"now-playing-{uuid.uuid4().hex[:8]}"
+    listener = HealthListener(spark, folder, name)
+    spark.streams.addListener(listener)
+    w = src.writeStream.queryName(name).foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
     q = w.start()
-    if available_now:
-        q.awaitTermination()
     q.counters = counters  # type: ignore[attr-defined]
-    q.health = health  # type: ignore[attr-defined]
+    q.health_folder = folder  # type: ignore[attr-defined]
+    if available_now:
+        try:
+            q.awaitTermination()
+        finally:
+            # its last events are delivered before the listener goes
+            spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+            spark.streams.removeListener(listener)
     return q
 
 
