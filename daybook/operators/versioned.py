@@ -12,10 +12,11 @@ def latest_by_version(df: DataFrame, keys: Sequence[str], version: str | Sequenc
                       tiebreak: Sequence[str] = ()) -> DataFrame:
     """One row per ``keys``: the row with the greatest ``version``.
 
-    Implemented as a hash aggregate of ``max(struct(version, tiebreak, rest))``
-    rather than a ``row_number`` window: the aggregate combines map-side, so a
-    key holding a third of all rows is reduced to one row per input partition
-    before the shuffle. Ties on the version are broken by ``tiebreak`` and then
+    Implemented as an aggregate of ``max(struct(version, tiebreak, rest))``
+    (Spark plans a sort aggregate for it) rather than a ``row_number`` window:
+    it combines map-side, so a key holding a third of all rows is reduced to
+    one row per input partition before the shuffle. A table laid out by key
+    (``sources.versioned_table``) needs neither aggregate nor shuffle. Ties on the version are broken by ``tiebreak`` and then
     by the remaining columns, so the result is deterministic.
     """
     keys = list(keys)

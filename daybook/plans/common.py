@@ -11,3 +11,17 @@ def place_weight(activity_type: str = "activity_type") -> Column:
     t = F.col(activity_type)
     return (F.count_if(t == "directions") * 3 + F.count_if(t == "view_place")
             + F.count_if(t == "search")).cast("long")
+
+
+def distinct_count(df, column: str, name: str):
+    """One row: how many different values (not null) ``column`` has. Two plain
+    hash aggregates; several such counts of one pre-aggregated table share its
+    exchange, where several ``countDistinct`` would expand every row."""
+    return df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.lit(1).alias("one")).agg(F.count("one").alias(name))
+
+
+def mean_degrees(column: str):
+    """The mean of coordinates, from a sum of whole micro-degrees: the same in
+    whatever order and partitions rows are added."""
+    micro = F.round(F.col(column) * 1_000_000).cast("long")
+    return F.sum(micro).cast("double") / F.count(micro) / 1_000_000

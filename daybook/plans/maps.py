@@ -18,7 +18,8 @@ from daybook.operators.spine import densify, int_spine
 from daybook.operators.joins import within_radius_flag
 from daybook.operators.topn import top_n
 from daybook.plans.base import floor_date, place_label, s, today
-from daybook.plans.common import place_weight
+from daybook.plans.common import distinct_count, mean_degrees, place_weight
+from daybook.session import materialize
 from daybook.sources.tables import read_table
 
 
@@ -86,7 +87,7 @@ def _gated(spark, cfg, enriched=None):
 def silver_home_base(spark: SparkSession, cfg: Cfg, enriched: DataFrame | None = None) -> DataFrame:
     """The place with the largest weighted activity; ties → (locality, country)."""
     loc = _gated(spark, cfg, enriched).groupBy("locality", "country").agg(
-        F.avg("lat").alias("lat"), F.avg("lng").alias("lng"), place_weight().alias("weight"))
+        mean_degrees("lat").alias("lat"), mean_degrees("lng").alias("lng"), place_weight().alias("weight"))
     top = top_n(loc, 1, [F.col("weight").desc(), F.col("locality"), F.col("country")])
     return top.select(F.col("locality").alias("home_locality"), F.col("country").alias("home_country"),
                       F.col("lat").alias("home_lat"), F.col("lng").alias("home_lng"))
@@ -97,7 +98,7 @@ def silver_geo_daily(spark: SparkSession, cfg: Cfg, enriched: DataFrame | None =
     home and the away rule."""
     g = _gated(spark, cfg, enriched)
     day_loc = g.groupBy("event_date", "locality", "country").agg(
-        F.avg("lat").alias("lat"), F.avg("lng").alias("lng"), F.count(F.lit(1)).alias("n"),
+        mean_degrees("lat").alias("lat"), mean_degrees("lng").alias("lng"), F.count(F.lit(1)).alias("n"),
         place_weight().alias("weight"), F.count_if(F.col("activity_type") == "directions").alias("directions"))
     best = F.max(F.struct("weight", "n", "locality", "country", "lat", "lng")).alias("b")
     day = day_loc.groupBy("event_date").agg(best, F.sum("n").alias("activity_count"),
@@ -158,31 +159,22 @@ def gold_maps_kpis_dashboard(spark: SparkSession, cfg: Cfg, enriched: DataFrame
     """One KPI row: activity counts, cities/countries with a directions row,
     trip KPIs floored by start, new places this year, home.
 
-    The activity part is ONE scan: GROUPING SETS ((), (locality),
-    (country)) computes the totals and the per-locality / per-country
-    directions counts together (Expand + one hash aggregate); a second,
-    tiny aggregate over that result (one row per locality and country)
-    folds it into the KPI row."""
+    The activity part is one scan, summed once by (date, locality, country,
+    place) and written (``materialize``): totals and every distinct count are
+    small aggregates over that table, and no row is expanded."""
     e = enriched if enriched is not None else silver_maps_activity_enriched(spark, cfg)
     a = public_activity(spark, cfg, e).filter(F.col("event_date") >= floor_date(cfg))
     t = F.col("activity_type")
-    gs = a.groupingSets([[], ["locality"], ["country"]], "locality", "country").agg(
-        F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("n"),
-        F.count_if(t == "directions").alias("dirs"), F.count_if(t == "search").alias("searches"),
-        F.count_if(t == "view_place").alias("views"), F.countDistinct("event_date").alias("days"),
-        F.countDistinct(F.when(F.col("place_name") != "", F.col("place_name"))).alias("places"),
-        F.min("event_date").alias("__min"), F.max("event_date").alias("__max"))
-    total = F.col("gid") == 3          # () : both columns aggregated away
-    by_loc, by_country = F.col("gid") == 1, F.col("gid") == 2
-
-    def tot(c):
-        return F.max(F.when(total, F.col(c)))
-    k = gs.agg(tot("n").alias("total_activities"), tot("dirs").alias("total_directions"),
-               tot("searches").alias("total_searches"), tot("views").alias("total_explorations"),
-               tot("days").alias("days_with_activity"), tot("places").alias("unique_destinations"),
-               tot("__min").alias("__min"), tot("__max").alias("__max"),
-               F.count_if(by_loc & (F.col("locality") != "") & (F.col("dirs") > 0)).alias("cities_visited"),
-               F.count_if(by_country & (F.col("country") != "") & (F.col("dirs") > 0)).alias("countries_visited"))
+    per = materialize(a.groupBy("event_date", "locality", "country", "place_name").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(t == "directions").alias("dirs"), F.count_if(t == "search").alias("searches"),
+        F.count_if(t == "view_place").alias("views")))
+    k = per.agg(F.sum("n").alias("total_activities"), F.sum("dirs").alias("total_directions"), F.sum("searches").alias("total_searches"),
+                F.sum("views").alias("total_explorations"), F.min("event_date").alias("__min"), F.max("event_date").alias("__max"))
+    with_directions = per.filter("dirs > 0")
+    for part in (distinct_count(per, "event_date", "days_with_activity"), distinct_count(per.filter("place_name <> ''"), "place_name", "unique_destinations"),
+                 distinct_count(with_directions.filter("locality <> ''"), "locality", "cities_visited"),
+                 distinct_count(with_directions.filter("country <> ''"), "country", "countries_visited")):
+        k = attach_scalar(k, part)
     gt = gold_maps_trips(spark, cfg, trips)
     recent = gt.filter(F.to_date("start") >= floor_date(cfg))
     tk = recent.agg(F.coalesce(F.sum("days"), F.lit(0)).cast("long").alias("days_away_from_home"),
@@ -224,7 +216,7 @@ def gold_maps_locations_dashboard(spark: SparkSession, cfg: Cfg, enriched: DataF
             .union(gold_maps_trips(spark, cfg, trips).filter(F.col("country") != "").select("country")).distinct())
     a = a.join(gate, "country", "left_semi")
     g = a.groupBy(place_label().alias("name")).agg(
-        F.avg("lat").alias("lat"), F.avg("lng").alias("lng"), F.count(F.lit(1)).alias("__n"),
+        mean_degrees("lat").alias("lat"), mean_degrees("lng").alias("lng"), F.count(F.lit(1)).alias("__n"),
         F.count_if(F.col("activity_type") == "directions").alias("__d"))
     g = top_n(g.filter("__d > 0"), 500, [F.col("__d").desc(), F.col("__n").desc(), F.col("name")])
     return g.select("name", "lat", "lng", readable_delta(F.col("__n") * 60).alias("duration"),

@@ -502,3 +502,32 @@ MODEL_ORACLE.update({
                CAST(isodow(d.date) >= 6 AS INTEGER) AS is_weekend
         FROM d LEFT JOIN w ON w.date = d.date LEFT JOIN s ON s.date = d.date""",
 })
+
+
+def _mean(c: str) -> str:
+    """Mean of coordinates from a sum of whole micro-degrees."""
+    return f"CAST(sum(CAST(round({c} * 1000000) AS BIGINT)) AS DOUBLE) / count({c}) / 1000000"
+
+
+GATED = f"SELECT * FROM ({PUBLIC_FULL}) WHERE locality <> '' AND match_confidence >= CAST(0.4 AS FLOAT)"
+WEIGHT = ("(count(*) FILTER (WHERE activity_type = 'directions') * 3 + count(*) FILTER (WHERE activity_type = 'view_place') "
+          "+ count(*) FILTER (WHERE activity_type = 'search'))")
+HOME_BASE = f"""SELECT locality AS home_locality, country AS home_country, {_mean('lat')} AS home_lat, {_mean('lng')} AS home_lng
+  FROM ({GATED}) GROUP BY locality, country ORDER BY {WEIGHT} DESC, locality, country LIMIT 1"""
+
+MODEL_ORACLE.update({
+    "model_silver_home_base": HOME_BASE,
+    "model_silver_geo_daily": f"""
+        WITH l AS (SELECT event_date, locality, country, {_mean('lat')} AS lat, {_mean('lng')} AS lng, count(*) AS n,
+                          {WEIGHT} AS weight, count(*) FILTER (WHERE activity_type = 'directions') AS directions
+                   FROM ({GATED}) GROUP BY 1, 2, 3),
+        p AS (SELECT *, sum(n) OVER (PARTITION BY event_date) AS activity_count,
+                     sum(directions) OVER (PARTITION BY event_date) AS directions_count FROM l
+              QUALIFY row_number() OVER (PARTITION BY event_date ORDER BY weight DESC, n DESC, locality DESC, country DESC) = 1),
+        m AS (SELECT *, {_hav_m('lat', 'lng', 'home_lat', 'home_lng')} AS m FROM p, ({HOME_BASE}))
+        SELECT event_date, locality, country, lat, lng, CAST(activity_count AS BIGINT) AS activity_count,
+               CAST(directions_count AS BIGINT) AS directions_count, home_locality, home_country, home_lat, home_lng,
+               round(m / 1000.0, 1) AS km_from_home,
+               CAST(country <> home_country OR (locality <> home_locality AND m > 50000) AS INTEGER) AS away
+        FROM m""",
+})

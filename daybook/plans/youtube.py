@@ -13,6 +13,7 @@ from daybook.functions.timefn import DAY_NAMES, iso_dow, iso_utc, readable_delta
 from daybook.operators.spine import densify, int_spine
 from daybook.operators.topn import top_n
 from daybook.plans.base import floor_date, s, today
+from daybook.plans.common import distinct_count
 from daybook.sources.tables import read_table
 
 
@@ -48,19 +49,25 @@ def _watches(spark, cfg, watches=None):
 
 def gold_youtube_kpis_with_watch_time_dashboard(spark: SparkSession, cfg: Cfg, watches=None,
                                                 searches=None) -> DataFrame:
-    """One KPI row: one aggregate per source joined as scalars (AGG-14)."""
+    """One KPI row (AGG-14): watches are summed once by (channel, video,
+    category, date); totals and every distinct count are aggregates over that
+    table, which share its exchange, joined as scalars. No row is expanded."""
     from daybook.operators.merge import attach_scalar
     w = _watches(spark, cfg, watches)
     sr = (searches if searches is not None else silver_youtube_searches(spark, cfg)) \
         .filter(F.col("searched_date") >= floor_date(cfg))
     d = F.col("duration_seconds")
-    a = w.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_from_ads").alias("ads"),
-              F.sum(d).alias("secs"), F.avg(F.when(d > 0, d)).alias("avg_pos"),
-              F.countDistinct(F.when(F.col("channel_id") != "", F.col("channel_id"))).alias("unique_channels"),
-              F.countDistinct("video_id").alias("unique_videos"),
-              F.countDistinct(F.when(F.col("category_id") != "", F.col("category_id"))).alias("unique_categories"),
-              F.countDistinct("watched_date").alias("days"), F.count_if(d > 0).alias("enriched"),
-              F.min("watched_date").alias("first"), F.max("watched_date").alias("last"))
+    per = w.groupBy("channel_id", "video_id", "category_id", "watched_date").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("is_from_ads").alias("ads"), F.sum(d).alias("secs"),
+        F.sum(F.when(d > 0, d)).alias("pos"), F.count_if(d > 0).alias("enriched"))
+    a = per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("ads"), F.lit(0)).alias("ads"), F.sum("secs").alias("secs"),
+                F.try_divide(F.sum("pos").cast("double"), F.sum("enriched")).alias("avg_pos"),
+                F.coalesce(F.sum("enriched"), F.lit(0)).alias("enriched"),
+                F.min("watched_date").alias("first"), F.max("watched_date").alias("last"))
+    for part in (distinct_count(per.filter("channel_id <> ''"), "channel_id", "unique_channels"), distinct_count(per, "video_id", "unique_videos"),
+                 distinct_count(per.filter("category_id <> ''"), "category_id", "unique_categories"),
+                 distinct_count(per, "watched_date", "days")):
+        a = attach_scalar(a, part)
     b = sr.agg(F.count(F.lit(1)).alias("total_searches"))
     k = attach_scalar(a, b)
     avg_s = finite_or_zero(round_half(F.col("avg_pos"), 0))
