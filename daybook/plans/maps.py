@@ -18,8 +18,7 @@ from daybook.operators.spine import densify, int_spine
 from daybook.operators.joins import within_radius_flag
 from daybook.operators.topn import top_n
 from daybook.plans.base import floor_date, place_label, s, today
-from daybook.plans.common import distinct_count, mean_degrees, place_weight
-from daybook.session import materialize
+from daybook.plans.common import distinct_counts, mean_degrees, place_weight
 from daybook.sources.tables import read_table
 
 
@@ -160,21 +159,21 @@ def gold_maps_kpis_dashboard(spark: SparkSession, cfg: Cfg, enriched: DataFrame
     trip KPIs floored by start, new places this year, home.
 
     The activity part is one scan, summed once by (date, locality, country,
-    place) and written (``materialize``): totals and every distinct count are
-    small aggregates over that table, and no row is expanded."""
+    place). Totals and the distinct counts are small aggregates over that
+    table; no activity row is expanded."""
     e = enriched if enriched is not None else silver_maps_activity_enriched(spark, cfg)
     a = public_activity(spark, cfg, e).filter(F.col("event_date") >= floor_date(cfg))
     t = F.col("activity_type")
-    per = materialize(a.groupBy("event_date", "locality", "country", "place_name").agg(
+    per = a.groupBy("event_date", "locality", "country", "place_name").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(t == "directions").alias("dirs"), F.count_if(t == "search").alias("searches"),
-        F.count_if(t == "view_place").alias("views")))
+        F.count_if(t == "view_place").alias("views"))
     k = per.agg(F.sum("n").alias("total_activities"), F.sum("dirs").alias("total_directions"), F.sum("searches").alias("total_searches"),
                 F.sum("views").alias("total_explorations"), F.min("event_date").alias("__min"), F.max("event_date").alias("__max"))
-    with_directions = per.filter("dirs > 0")
-    for part in (distinct_count(per, "event_date", "days_with_activity"), distinct_count(per.filter("place_name <> ''"), "place_name", "unique_destinations"),
-                 distinct_count(with_directions.filter("locality <> ''"), "locality", "cities_visited"),
-                 distinct_count(with_directions.filter("country <> ''"), "country", "countries_visited")):
-        k = attach_scalar(k, part)
+    went = F.col("dirs") > 0
+    k = attach_scalar(k, distinct_counts(
+        per, days_with_activity=F.col("event_date"), unique_destinations=F.nullif(F.col("place_name"), F.lit("")),
+        cities_visited=F.when(went, F.nullif(F.col("locality"), F.lit(""))),
+        countries_visited=F.when(went, F.nullif(F.col("country"), F.lit("")))))
     gt = gold_maps_trips(spark, cfg, trips)
     recent = gt.filter(F.to_date("start") >= floor_date(cfg))
     tk = recent.agg(F.coalesce(F.sum("days"), F.lit(0)).cast("long").alias("days_away_from_home"),

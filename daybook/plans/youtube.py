@@ -13,7 +13,7 @@ from daybook.functions.timefn import DAY_NAMES, iso_dow, iso_utc, readable_delta
 from daybook.operators.spine import densify, int_spine
 from daybook.operators.topn import top_n
 from daybook.plans.base import floor_date, s, today
-from daybook.plans.common import distinct_count
+from daybook.plans.common import distinct_counts
 from daybook.sources.tables import read_table
 
 
@@ -50,8 +50,8 @@ def _watches(spark, cfg, watches=None):
 def gold_youtube_kpis_with_watch_time_dashboard(spark: SparkSession, cfg: Cfg, watches=None,
                                                 searches=None) -> DataFrame:
     """One KPI row (AGG-14): watches are summed once by (channel, video,
-    category, date); totals and every distinct count are aggregates over that
-    table, which share its exchange, joined as scalars. No row is expanded."""
+    category, date); totals and the distinct counts are aggregates over that
+    table, joined as scalars. No watch row is expanded."""
     from daybook.operators.merge import attach_scalar
     w = _watches(spark, cfg, watches)
     sr = (searches if searches is not None else silver_youtube_searches(spark, cfg)) \
@@ -64,10 +64,9 @@ def gold_youtube_kpis_with_watch_time_dashboard(spark: SparkSession, cfg: Cfg, w
                 F.try_divide(F.sum("pos").cast("double"), F.sum("enriched")).alias("avg_pos"),
                 F.coalesce(F.sum("enriched"), F.lit(0)).alias("enriched"),
                 F.min("watched_date").alias("first"), F.max("watched_date").alias("last"))
-    for part in (distinct_count(per.filter("channel_id <> ''"), "channel_id", "unique_channels"), distinct_count(per, "video_id", "unique_videos"),
-                 distinct_count(per.filter("category_id <> ''"), "category_id", "unique_categories"),
-                 distinct_count(per, "watched_date", "days")):
-        a = attach_scalar(a, part)
+    a = attach_scalar(a, distinct_counts(
+        per, unique_channels=F.nullif(F.col("channel_id"), F.lit("")), unique_videos=F.col("video_id"),
+        unique_categories=F.nullif(F.col("category_id"), F.lit("")), days=F.col("watched_date")))
     b = sr.agg(F.count(F.lit(1)).alias("total_searches"))
     k = attach_scalar(a, b)
     avg_s = finite_or_zero(round_half(F.col("avg_pos"), 0))
