@@ -14,7 +14,7 @@ import html
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -35,10 +35,13 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd"
 ROOTS = frozenset(["#page", "html", "body"])
 #: Prior knowledge, as imagined counts (see Model.prior).
 FURNITURE_TAGS = "nav header footer aside form button dialog head".split()
-CONTENT_TAGS = "article main p h1 h2 h3 h4 h5 h6 blockquote pre".split()
-FURNITURE_WORDS = ("ad ads advert advertisement banner breadcrumb comment comments consent cookie cookies footer form "
-                   "header login menu modal nav navbar navigation newsletter notice popup promo related reply replies "
-                   "share sidebar signup social sponsor sponsored subscribe toolbar widget").split()
+CONTENT_TAGS = "article main p h1 h2 h3 h4 h5 h6 blockquote pre #text".split()
+FURNITURE_WORDS = ("ad ads advert advertisement banner breadcrumb comment commentlist comments consent cookie cookies "
+                   "discussion disqus footer form header login menu modal nav navbar navigation newsletter notice popup "
+                   "promo related reply replies respond share sidebar signup social sponsor sponsored subscribe toolbar "
+                   "widget").split()
+#: Evidence that an article's own blocks may carry too: not enough alone against an article around it.
+SOFT = {"link:2": 2.0, "word:social": 3.0, "word:related": 3.0, "word:discussion": 3.0, "word:form": 3.0}
 CONTENT_WORDS = "article content entry main post story".split()
 ROLES = "navigation banner contentinfo complementary form search dialog".split()
 
@@ -74,10 +77,20 @@ def parse(source: str) -> Page:
     browsers do in the common cases (paragraphs, list items, table cells)."""
     page = Page()
     stack = [0]
+    depths: dict[str, list[int]] = {}  # of the open elements by tag, so that no search walks the stack
     held: list[str] = []
-    links = 0
+    links = linked = 0
+
+    def add(tag: str, marks: tuple[str, ...]) -> int:
+        page.parent.append(stack[-1])
+        page.tag.append(tag)
+        page.marks.append(marks)
+        page.chars.append(0)
+        page.linked.append(0)
+        return len(page.tag) - 1
 
     def flush() -> None:
+        nonlocal linked
         if held:
             text = "".join(held)
             held.clear()
@@ -85,8 +98,22 @@ def parse(source: str) -> Page:
                 text = html.unescape(text)
             text = " ".join(text.split())
             if text:
-                page.parts.append((stack[-1], text))
-                page.chars[stack[-1]] += len(text)
+                at = stack[-1]
+                if page.tag[at] in ROOTS:  # text between the blocks of a body is a block of its own
+                    at = add("#text", ())
+                page.parts.append((at, text))
+                page.chars[at] += len(text)
+                page.linked[at] += linked
+        linked = 0
+
+    def end(depth: int) -> None:
+        """Close the element at this depth and all in it."""
+        for i in stack[depth:]:
+            depths[page.tag[i]].pop()
+        del stack[depth:]
+
+    def last(tags: Iterable[str]) -> int:
+        return max((depths[t][-1] for t in tags if depths.get(t)), default=0)
 
     at, n = 0, len(source)
     while at < n:
@@ -97,7 +124,7 @@ def parse(source: str) -> Page:
             text = source[at:lt]
             held.append(text)
             if links:
-                page.linked[stack[-1]] += len(text)
+                linked += len(text)
         if lt == n:
             break
         m = _TAG.match(source, lt) or _LOOSE.match(source, lt)
@@ -112,8 +139,8 @@ def parse(source: str) -> Page:
         closing = m.group(1)
         if tag in HIDDEN:
             if not closing and not m.group(3).endswith("/"):
-                end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])", re.I).search(source, at)
-                at = end.start() if end else n
+                shut = re.compile(f"</{re.escape(tag)}(?=[\\s/>])", re.I).search(source, at)
+                at = shut.start() if shut else n
             continue
         if tag in INLINE:
             if tag == "a":
@@ -124,29 +151,19 @@ def parse(source: str) -> Page:
         flush()
         links = 0
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
-                if page.tag[stack[depth]] == tag:
-                    del stack[depth:]
-                    break
+            if depths.get(tag):
+                end(depths[tag][-1])
             continue
         if page.tag[stack[-1]] == "p":
-            stack.pop()
+            end(len(stack) - 1)
         if tag in ENDS:
             ended, stop = ENDS[tag]
-            for depth in range(len(stack) - 1, 0, -1):
-                if page.tag[stack[depth]] in stop:
-                    break
-                if page.tag[stack[depth]] in ended:
-                    del stack[depth:]
-                    break
+            while (depth := last(ended)) > last(stop):
+                end(depth)
         if tag in VOID or m.group(3).endswith("/"):
             continue
-        page.parent.append(stack[-1])
-        page.tag.append(tag)
-        page.marks.append(_marks(m.group(3)) if m.group(3) else ())
-        page.chars.append(0)
-        page.linked.append(0)
-        stack.append(len(page.tag) - 1)
+        depths.setdefault(tag, []).append(len(stack))
+        stack.append(add(tag, _marks(m.group(3)) if m.group(3) else ()))
     flush()
     return page
 
@@ -190,7 +207,7 @@ class Model:
     knowledge; ``most``: bound of the logarithm of one feature's potential
     (more for the marks of furniture and the tags that name an article).
 
-    Tags and sizes of text tell text from wrappers, but not content from
+    Tags, sizes and lack of links tell text from wrappers, but not content from
     furniture: a comment is a paragraph too, and many of them must not outvote
     the mark on their parent. For those features the two states are tied."""
 
@@ -201,6 +218,8 @@ class Model:
         self.edge = []
         for a in STATES:
             row = [seen[f"edge:{a}:{b}"] + 1e-3 for b in STATES]
+            if a == WRAPPER:  # the sample's furniture is marked; unmarked text is rather content
+                row[CONTENT] = max(row[CONTENT], 1.5 * row[FURNITURE])
             if a == CONTENT:  # an article may hold furniture though the sample's don't
                 row[FURNITURE] = max(row[FURNITURE], 0.02 * sum(row))
             self.edge.append([x / sum(row) for x in row])
@@ -208,13 +227,18 @@ class Model:
         self.own: dict[str, tuple[float, ...]] = {}
         marks = {f"tag:{t}" for t in FURNITURE_TAGS} | {f"word:{w}" for w in FURNITURE_WORDS} | {f"role:{r}" for r in ROLES}
         named = {"tag:article", "tag:main"}
+        good = {f"word:{w}" for w in CONTENT_WORDS}
         for name in {k[4:] for k in seen if k[:2] == "f:"}:
             # rate per block of a state; a part of a count for what was never seen
-            unseen, bound = (1e-6, 14.0) if name in named else (0.02, 2 * most) if name in marks else (0.5, most)
+            unseen, bound = (1e-6, 14.0) if name in named else (0.02, 2 * most) if name in marks \
+                else (0.02 if name in good else 0.5, most)
             rate = [math.log((seen[f"f:{s}:{name}"] + unseen) / blocks[s]) for s in STATES]
-            if name not in marks and name[:4] in ("tag:", "size") and name not in named:
-                rate[CONTENT], rate[FURNITURE] = (max(rate[CONTENT], rate[FURNITURE] - 0.1),
-                                                  max(rate[FURNITURE], rate[CONTENT] - 0.1))
+            if name not in marks and name not in named and (name[:4] in ("tag:", "size") or name == "link:0"):
+                rate[CONTENT] = rate[FURNITURE] = max(rate[CONTENT], rate[FURNITURE])
+            if name in SOFT:
+                rate[CONTENT] = max(rate[CONTENT], rate[FURNITURE] - SOFT[name])
+            elif name in marks:  # as strong where the sample holds many other furniture blocks
+                rate[CONTENT] = min(rate[CONTENT], rate[FURNITURE] - 2 * most + 2)
             self.own[name] = tuple(max(-bound, x - max(rate)) for x in rate)
 
     @staticmethod
@@ -225,7 +249,7 @@ class Model:
                              (CONTENT, [f"tag:{t}" for t in CONTENT_TAGS] + [f"word:{w}" for w in CONTENT_WORDS] + ["size:3"])):
             out |= {f"f:{state}:{n}": weight for n in names}
         # furniture stays furniture below, content mostly stays content
-        for a, row in ((WRAPPER, (20, 2, 8)), (CONTENT, (0.1, 50, 1)), (FURNITURE, (0.05, 0, 500))):
+        for a, row in ((WRAPPER, (20, 6, 4)), (CONTENT, (0.1, 50, 1)), (FURNITURE, (0.05, 0, 500))):
             out |= {f"edge:{a}:{b}": x * weight for b, x in zip(STATES, row)}
         return out
 
@@ -327,7 +351,7 @@ def extract_text(pages: DataFrame, model: Model | None = None, id_col: str = "pa
 
     Character references are decoded, white space inside a block becomes one
     space, blocks are joined by one line end; a line break (``br``) is white
-    space. Null html counts as empty; its text is the empty string. Null and
+    space. Text directly under the body is a block of its own. Null html counts as empty; its text is the empty string. Null and
     repeated ids are kept, one row per input row. An empty table gives an
     empty result. One pass without a shuffle, after training on a sample.
     """

@@ -1,6 +1,9 @@
+import time
+
+import pyarrow.parquet as pq
 import pytest
 
-from daybook.llm.html_extract import Model, extract_text, labels, main_text, parse, train
+from daybook.llm.html_extract import Model, _count, extract_text, labels, main_text, parse, train
 from tests.llm.helpers import SF, have_tables
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="home">
@@ -90,3 +93,51 @@ def test_query_returns_the_article(spark):
         parts = re.split(r"</?(?:p|h1)>", inner.replace("<b>", "").replace("</b>", "").replace("<br>", " "))
         want[r.page_id] = "\n".join(x for p in parts if (x := " ".join(html.unescape(p).split())))
     assert {r.page_id: r.text for r in op3_html_extraction(spark, SF).collect()} == want
+
+
+LONG = "A sentence of some length that reads like the body of a text, and so on it goes. " * 3
+TEXT = LONG.strip()
+TEMPLATES = {
+    "text of the body": (f"<html><body>{LONG}</body></html>", [TEXT]),
+    "text beside a paragraph": (f"<body>{LONG}<p>{LONG}</p></body>", [TEXT, TEXT]),
+    "paragraphs of the body": (f"<body><h1>Title here</h1><p>{LONG}</p><p>Short one.</p></body>", ["Title here", TEXT, "Short one."]),
+    "named divs": (f"<body><div class=topmenu><ul><li><a href=1>One</a><li><a href=2>Two</a></ul></div><div class=post-body>"
+                   f"<h2>Head</h2><p>{LONG}</p></div><div class=footer>c</div></body>", ["Head", TEXT]),
+    "nameless divs": (f"<body><div><div><a href=1>Home</a> <a href=2>About us</a></div></div><div><h1>Title</h1><div>{LONG}</div>"
+                      f"<div>{LONG}</div></div><div><form>Sign up</form></div></body>", ["Title", TEXT, TEXT]),
+    "layout table": (f"<body><table><tr><td class=nav><a href=1>A</a><br><a href=2>B</a><td class=content><p>{LONG}</p><p>{LONG}</p>"
+                     "<tr><td class=footer>F</table></body>", [TEXT, TEXT]),
+    "main": (f"<body><header>Site</header><main><section><h2>Q</h2><p>{LONG}</p></section></main><footer>F</footer></body>", ["Q", TEXT]),
+    "linked list item": (f"<nav><a href=1>Home</a></nav><article><h1>H</h1><p>{LONG}</p><ul><li><a href=x>Linked point</a></li></ul>"
+                         f"<p>{LONG}</p></article>", ["H", TEXT, "Linked point", TEXT]),
+    "linked paragraph": (f"<nav><a href=1>Home</a></nav><article><h1>H</h1><p><a href=q>{LONG}</a></p><p>{LONG}</p></article>",
+                         ["H", TEXT, TEXT]),
+    "social paragraph": (f"<article><h1>H</h1><p class=social>{LONG}</p><p>{LONG}</p></article>", ["H", TEXT, TEXT]),
+    "comments below": (f"<article><h1>H</h1><p>{LONG}</p></article><div id=disqus><p>{LONG}</p><p>I agree.</p></div>", ["H", TEXT]),
+    "comments inside": (f"<article><h1>H</h1><p>{LONG}</p><div id=disqus_thread>" + f"<p>{LONG}</p>" * 60 + "</div></article>", ["H", TEXT]),
+}
+
+
+@pytest.mark.parametrize("name", TEMPLATES)
+@pytest.mark.parametrize("trained", [False, pytest.param(True, marks=pytest.mark.skipif(not have_tables, reason="no tables"))])
+def test_templates(name, trained):
+    """Pages unlike those of the tables, by the prior alone and after training
+    on the tables' pages."""
+    counts: dict[str, int] = {}
+    if trained:
+        for batch in pq.read_table(f"{SF}/pages.parquet", columns=["html"]).to_batches():
+            for out in _count(iter([batch])):
+                for k, n in zip(out[0].to_pylist(), out[1].to_pylist()):
+                    counts[k] = counts.get(k, 0) + n
+    page, want = TEMPLATES[name]
+    assert main_text(page, Model({k: n for k, n in counts.items() if n >= 3})) == "\n".join(want)
+
+
+@pytest.mark.parametrize("page", ["<div>{0}</section>{0}", "<ul><li><ul>{0}<div>{0}<li/>{0}", "<table><tr><td><table>{0}<div>{0}<td/>{0}"])
+def test_parsing_is_linear(page):
+    """Unmatched tags below many open elements."""
+    n = 20_000
+    head, *tags = page.split("{0}")[:-1]
+    start = time.process_time()
+    parse((head + "".join(t * n for t in tags)) if tags[1:] else head * n + tags[0] * n)
+    assert time.process_time() - start < 5
