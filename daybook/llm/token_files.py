@@ -5,11 +5,13 @@ block codes the ids of consecutive documents in interleaved lanes: position
 ``k`` belongs to lane ``k mod lanes``, and all lanes advance together, so a
 step is a handful of array operations. Blocks are independent. Each holds its
 lanes' states, a checksum of its ids, and, when it is long, checkpoints (step,
-place in the words, states) from which a single-range read can start inside it.
-``read_tokens`` decodes every block whole.
+place in the words, states) from which decoding can start inside it: a block
+with checkpoints is read as ranges that different tasks decode, and the
+checksums of the ranges are combined.
 
 The files are Parquet: ``blocks`` (one row per block, in ascending document
-order within and across files) and ``table`` (id, frequency).
+order within and across files; ``points`` counts its checkpoints) and ``table``
+(id, frequency).
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ _BITS, _WORD = np.uint64(SCALE), np.uint64(32)
 
 BLOCK_SCHEMA = ("part int, block int, before long, n_ids long, lanes int, ids_crc32 long, doc_ids array<long>, "
                 "doc_sizes array<int>, words binary, states binary, "
-                "checkpoints array<struct<step:int,word:long,states:binary>>")
+                "points int, checkpoints array<struct<step:int,word:long,states:binary>>")
 
 
 def scaled(counts: np.ndarray, scale: int = SCALE) -> np.ndarray:
@@ -116,6 +118,8 @@ def decode_steps(words: np.ndarray, states: np.ndarray, table: Table, steps: int
         under = x < LOW
         n = int(np.count_nonzero(under))
         if n:
+            if at + n > len(words):
+                raise ValueError("checksum not reached: the words run out")
             x[under] = (x[under] << _WORD) | words[at:at + n]
             at += n
     return out
@@ -172,7 +176,7 @@ def _blocks(freq: np.ndarray, lanes: int, block_ids: int, every: int,
     number, before = 0, 0
     names = [x.strip().split()[0] for x in BLOCK_SCHEMA.replace("step:int,word:long,states:binary", "").split(",")]
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()),
-             pa.list_(pa.int32()), pa.binary(), pa.binary(),
+             pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.int32(),
              pa.list_(pa.struct([("step", pa.int32()), ("word", pa.int64()), ("states", pa.binary())]))]
 
     def block(docs: list[int | None], held: list[np.ndarray]) -> pa.RecordBatch:
@@ -184,7 +188,7 @@ def _blocks(freq: np.ndarray, lanes: int, block_ids: int, every: int,
         points = [{"step": s, "word": int(sums[s - 1]), "states": at[s].astype("<u8").tobytes()}
                   for s in range(every, steps, every)]
         row = (part, number, before, len(ids), width, zlib.crc32(ids.astype("<u4").tobytes()), docs,
-               [len(x) for x in held], words, states, points)
+               [len(x) for x in held], words, states, len(points), points)
         number += 1
         before += len(ids)
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
@@ -254,6 +258,107 @@ def _read(freq: np.ndarray, base: dict[int, int], batches: Iterator[pa.RecordBat
                                          names=["id", "start", "n_tokens", "ids_crc32"])
 
 
+def _times(a: int, b: int) -> int:
+    """Product of two polynomials modulo that of the checksum, over bits in
+    reverse order (the highest bit is 1)."""
+    out = 0
+    for bit in range(31, -1, -1):
+        if a >> bit & 1:
+            out ^= b
+        b = b >> 1 ^ (0xEDB88320 if b & 1 else 0)
+    return out
+
+
+def joined_crc(first: int, second: int, n_bytes: int) -> int:
+    """Checksum (crc32) of two byte strings one after the other, from theirs
+    and the length of the second."""
+    shift, square, n = 1 << 31, 1 << 30, 8 * n_bytes
+    while n:
+        if n & 1:
+            shift = _times(shift, square)
+        square = _times(square, square)
+        n >>= 1
+    return _times(shift, first) ^ second
+
+
+RANGE_SCHEMA = "part int, block int, k int, first long, n_ids long, steps int, words binary, states binary, cuts array<long>"
+
+
+def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A block's ranges, from one checkpoint up to the next, each with its
+    words; ``first`` is the place of its first id in the block, ``cuts`` are
+    the places where pieces of documents start and end."""
+    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(),
+             pa.list_(pa.int64())]
+    names = [x.split()[0] for x in RANGE_SCHEMA.split(", ")]
+    for batch in batches:
+        for at in range(batch.num_rows):
+            row = batch.slice(at, 1).to_pylist()[0]
+            words, lanes, n = memoryview(row["words"]), row["lanes"], row["n_ids"]
+            starts = [(0, 0, row["states"])] + [(p["step"], p["word"], p["states"]) for p in row["checkpoints"]]
+            bounds = np.cumsum(np.array(row["doc_sizes"], dtype=np.int64))
+            ends = [(step, word) for step, word, _ in starts[1:]] + [(-(-n // lanes), len(words) // 4)]
+            for k, ((step, word, states), (stop, until)) in enumerate(zip(starts, ends)):
+                first, end = step * lanes, min(n, stop * lanes)
+                inside = bounds[np.searchsorted(bounds, first, "right"):np.searchsorted(bounds, end)]
+                out = (row["part"], row["block"], k, first, end - first, stop - step,
+                       bytes(words[4 * word:4 * until]), states, [first, *inside.tolist(), end])
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(out, kinds)], names=names)
+
+
+def _read_ranges(freq: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Checksum of every piece of a document in a range."""
+    table = Table(freq)
+    for batch in batches:
+        for row in batch.to_pylist():
+            words = np.frombuffer(row["words"], dtype="<u4").astype(np.uint64)
+            ids = decode_steps(words, np.frombuffer(row["states"], dtype="<u8"), table, row["steps"]).reshape(-1)[:row["n_ids"]]
+            first, cuts = row["first"], row["cuts"]
+            sums = [zlib.crc32(ids[a - first:b - first].astype("<u4").tobytes()) for a, b in zip(cuts, cuts[1:])]
+            n = len(sums)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row["part"]] * n, pa.int32()), pa.array([row["block"]] * n, pa.int32()),
+                 pa.array(cuts[:-1], pa.int64()), pa.array(np.diff(cuts), pa.int64()), pa.array(sums, pa.int64())],
+                names=["part", "block", "at", "n", "crc"])
+
+
+def _join_ranges(base: dict[int, int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of a block from the checksums of its pieces."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            pieces = iter(row["pieces"])
+            whole, at, sums = 0, 0, []
+            for size in row["doc_sizes"]:
+                end, crc = at + size, 0
+                while at < end:
+                    p = next(pieces)
+                    if p["at"] != at:
+                        raise ValueError(f"a range of block {row['part']}/{row['block']} is missing")
+                    crc = joined_crc(crc, p["crc"], 4 * p["n"])
+                    at += p["n"]
+                sums.append(crc)
+                whole = joined_crc(whole, crc, 4 * size)
+            if whole != row["ids_crc32"]:
+                raise ValueError(f"checksum of block {row['part']}/{row['block']} differs")
+            sizes = np.array(row["doc_sizes"], dtype=np.int64)
+            starts = base[row["part"]] + row["before"] + np.cumsum(sizes) - sizes
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (row["doc_ids"], starts, sizes, sums)],
+                                             names=["id", "start", "n_tokens", "ids_crc32"])
+
+
+def _read_long(blocks: DataFrame, freq: np.ndarray, base: dict[int, int]) -> DataFrame:
+    """Documents of the blocks with checkpoints. A range goes to the task of
+    its number and block; the pieces' checksums of a block meet in one row
+    (one piece per document and checkpoint)."""
+    key = ["part", "block"]
+    heads = blocks.select(*key, "before", "ids_crc32", "doc_ids", "doc_sizes")
+    pieces = blocks.mapInArrow(_ranges, RANGE_SCHEMA).repartition(*key, "k").mapInArrow(
+        lambda it: _read_ranges(freq, it), "part int, block int, at long, n long, crc long")
+    met = pieces.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("at", "n", "crc"))).alias("pieces"))
+    return heads.join(met, key).mapInArrow(lambda it: _join_ranges(base, it),
+                                           "id long, start long, n_tokens long, ids_crc32 long")
+
+
 def read_table(spark: SparkSession, out: str) -> np.ndarray:
     rows = spark.read.parquet(f"{out}/table").collect()
     freq = np.zeros(len(rows), dtype=np.int64)
@@ -264,8 +369,10 @@ def read_table(spark: SparkSession, out: str) -> np.ndarray:
 
 def read_tokens(spark: SparkSession, out: str) -> DataFrame:
     """``(id, start, n_tokens, ids_crc32)`` per document from the files under
-    ``out``; every block is decoded by itself and held against its checksum.
-    The driver gets one row per written file."""
+    ``out``. A block without checkpoints is decoded by itself, one with
+    checkpoints (a document longer than a block) range by range in different
+    tasks; both are held against the block's checksum. The driver gets one row
+    per written file."""
     freq = read_table(spark, out)
     blocks = spark.read.parquet(f"{out}/blocks")
     sizes = blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()
@@ -273,7 +380,9 @@ def read_tokens(spark: SparkSession, out: str) -> DataFrame:
     for r in sorted(sizes, key=lambda r: r.part):
         base[r.part] = total
         total += r.n
-    return blocks.mapInArrow(lambda it: _read(freq, base, it), "id long, start long, n_tokens long, ids_crc32 long")
+    short = blocks.filter("points = 0").mapInArrow(lambda it: _read(freq, base, it),
+                                                   "id long, start long, n_tokens long, ids_crc32 long")
+    return short.unionByName(_read_long(blocks.filter("points > 0"), freq, base))
 
 
 def token_files(docs: DataFrame, path: str, end_id: int = 0, **kw) -> DataFrame:

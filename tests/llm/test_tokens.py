@@ -249,6 +249,40 @@ def test_token_files_edges(spark, library):
     assert token_files.token_files(docs(spark, []), FILE).count() == 0
 
 
+@pytest.mark.parametrize("n", [0, 1, 7, 1000])
+def test_joined_checksums(n):
+    a, b = b"some bytes", bytes(range(256)) * 4
+    assert token_files.joined_crc(zlib.crc32(a), zlib.crc32(b[:n]), n) == zlib.crc32(a + b[:n])
+    assert token_files.joined_crc(0, zlib.crc32(a), len(a)) == zlib.crc32(a)
+
+
+def test_a_long_document_is_decoded_in_ranges(spark, library):
+    """One document of many blocks among short ones: its ranges are rows of
+    their own, and documents that meet in a block with checkpoints are told
+    apart; a damaged range is noticed."""
+    from pyspark.sql import functions as F
+
+    from daybook.session import scratch_path
+    rows = [(i, f"short text {i}") for i in range(50)] + [(20, "many words of one long text " * 4000)]
+    want = {(i, len(x), zlib.crc32(x.tobytes())) for i, x in token_rows(rows, library)}
+    for lanes, block_ids, every in ((16, 500, 8), (4, 1 << 17, 5)):
+        out, bad = scratch_path(spark, "t"), scratch_path(spark, "t")
+        token_files.write_tokens(docs(spark, rows, False), out, FILE, lanes=lanes, block_ids=block_ids, every=every)
+        blocks = spark.read.parquet(f"{out}/blocks")
+        assert blocks.agg(F.max("points")).first()[0] > 100
+        found = token_files.read_tokens(spark, out).collect()
+        assert {(r.id, r.n_tokens, r.ids_crc32) for r in found} == want and len(found) == len(rows)
+        at = 0
+        for r in sorted(found, key=lambda r: r.start):
+            assert r.start == at
+            at += r.n_tokens
+        spark.read.parquet(f"{out}/table").write.parquet(f"{bad}/table")
+        shifted = F.expr("transform(checkpoints, c -> named_struct('step', c.step, 'word', c.word + 1, 'states', c.states))")
+        blocks.withColumn("checkpoints", shifted).write.parquet(f"{bad}/blocks")
+        with pytest.raises(Exception, match="checksum"):
+            token_files.read_tokens(spark, bad).collect()
+
+
 @pytest.mark.skipif(not have_tables, reason="driver tables not present")
 def test_token_files_query(spark, library):
     from daybook.llm.queries import op10_token_files
