@@ -51,20 +51,29 @@ def trip_evidence(spark: SparkSession, cfg: Cfg, trips: DataFrame, enriched: Dat
                   calendar_geo: DataFrame | None = None) -> DataFrame:
     """Per trip: totals, top-10 localities, top-12 places and up to 25
     travel-relevant calendar events within ±buffer days, rendered as
-    ordered text lines. One distributed job for all trips (range joins),
-    every list bounded by its rank limit."""
+    ordered text lines below a header of the candidate's dates, guess and
+    distances. One distributed job for all trips (range joins), every list
+    bounded by its rank limit. Activity is counted per day and place before
+    the joins, and a day's counts are spread over ``cfg.salt_buckets`` tasks,
+    so a day holding a large share of all rows doesn't meet in one."""
+    given = {"days": "int", "destination": "string", "destination_country": "string", "localities": "int",
+             "countries": "int", "max_km": "long", "km": "long"}
     t = trips.select("started_at", "ended_at", trip_key("started_at", "ended_at").alias("trip_key"))
+    heads = trips.select(trip_key("started_at", "ended_at").alias("trip_key"),
+                         *[(F.col(c) if c in trips.columns else F.lit(None)).cast(k).alias(f"h_{c}") for c, k in given.items()])
     a = public_activity(spark, cfg, enriched).filter(
         (F.col("match_confidence") >= cfg.home_confidence_min))
-    a = a.select("event_date", "locality", "country", "activity_type", "place_name", "primary_type")
-    ta = overlap_join(t, a, "started_at", "ended_at", "event_date")
+    a = a.groupBy("event_date", "locality", "country", "activity_type", "place_name", "primary_type").agg(
+        F.count(F.lit(1)).alias("rows"))
+    ta = overlap_join(t, a, "started_at", "ended_at", "event_date", salt=cfg.salt_buckets)
+    rows = F.sum("rows")
+    kind = lambda k: F.coalesce(F.sum(F.when(F.col("activity_type") == k, F.col("rows"))), F.lit(0))
     loc = ta.filter(F.col("locality") != "")
     totals = loc.groupBy("trip_key").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("activity_type") == "directions").alias("n_dir"),
-        F.count_if(F.col("activity_type") == "search").alias("n_search"),
+        rows.alias("n"), kind("directions").alias("n_dir"), kind("search").alias("n_search"),
         F.countDistinct("country").alias("n_countries"))
     lg = loc.groupBy("trip_key", "locality", "country").agg(
-        F.count_if(F.col("activity_type") == "directions").alias("dir"), F.count(F.lit(1)).alias("n"))
+        kind("directions").alias("dir"), rows.alias("n"))
     lg = top_n_per_group(lg, ["trip_key"], [F.col("dir").desc(), F.col("n").desc(), F.col("locality")], 10)
     loc_lines = lg.groupBy("trip_key").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("rank", "locality", "country", "dir", "n"))),
@@ -72,14 +81,14 @@ def trip_evidence(spark: SparkSession, cfg: Cfg, trips: DataFrame, enriched: Dat
                            x["dir"].cast("string"), F.lit(" navigations / "), x["n"].cast("string"),
                            F.lit(" activities"))), "\n").alias("loc_lines"))
     pg = ta.filter(F.col("place_name") != "").groupBy("trip_key", "place_name").agg(
-        F.min("primary_type").alias("ptype"), F.count(F.lit(1)).alias("n"))
+        F.min("primary_type").alias("ptype"), rows.alias("n"))
     pg = top_n_per_group(pg, ["trip_key"], [F.col("n").desc(), F.col("place_name")], 12)
     place_lines = pg.groupBy("trip_key").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("rank", "place_name", "ptype", "n"))),
         lambda x: F.concat(F.lit("  - "), x["place_name"],
                            F.when(x["ptype"] != "", F.concat(F.lit(" ("), x["ptype"], F.lit(")"))).otherwise(F.lit("")),
                            F.lit(" x"), x["n"].cast("string"))), "\n").alias("place_lines"))
-    out = t.join(totals, "trip_key", "left").join(loc_lines, "trip_key", "left").join(place_lines, "trip_key", "left")
+    out = t.join(heads, "trip_key").join(totals, "trip_key", "left").join(loc_lines, "trip_key", "left").join(place_lines, "trip_key", "left")
     cal_lines = None
     if calendar_geo is not None:
         b = cfg.evidence_buffer_days
@@ -87,7 +96,7 @@ def trip_evidence(spark: SparkSession, cfg: Cfg, trips: DataFrame, enriched: Dat
         c = calendar_geo.filter((F.col("corroborates_travel") == 1) | (F.col("is_multi_day") == 1)).select(
             F.to_date("started_at").alias("c_s"), F.to_date("ended_at").alias("c_e"), "started_at", "title",
             "location", "geo_locality", "geo_country", "km_from_home", "is_all_day", "is_multi_day", "is_travel_title")
-        tc = overlap_join(tw, c, "w_s", "w_e", "c_s", "c_e")
+        tc = overlap_join(tw, c, "w_s", "w_e", "c_s", "c_e", salt=cfg.salt_buckets)
         tc = top_n_per_group(tc, ["trip_key"], [F.col("started_at"), F.col("title")], 25)
         tags = F.concat_ws(", ", F.when(F.col("is_all_day") == 1, F.lit("all-day")),
                            F.when(F.col("is_multi_day") == 1, F.lit("multi-day")),
@@ -105,8 +114,18 @@ def trip_evidence(spark: SparkSession, cfg: Cfg, trips: DataFrame, enriched: Dat
         out = out.join(cal_lines, "trip_key", "left")
     else:
         out = out.withColumn("cal_lines", F.lit(None).cast("string"))
+    shown = lambda c, none: F.coalesce(F.when(F.col(c).cast("string") != "", F.col(c).cast("string")), F.lit(none))
     text = F.concat_ws("\n",
                        F.concat(F.lit("trip "), F.col("trip_key")),
+                       F.concat(F.lit("dates: "), F.col("started_at").cast("date").cast("string"), F.lit(" to "),
+                                F.col("ended_at").cast("date").cast("string"), F.lit(" ("),
+                                F.coalesce("h_days", F.datediff("ended_at", "started_at") + 1).cast("string"), F.lit(" days)")),
+                       F.concat(F.lit("geometric guess: "), shown("h_destination", "?"), F.lit(", "),
+                                shown("h_destination_country", "?")),
+                       F.concat(F.lit("distinct: "), shown("h_localities", "0"), F.lit(" localities, "),
+                                shown("h_countries", "0"), F.lit(" countries")),
+                       F.concat(F.lit("distances: at most "), shown("h_max_km", "0"), F.lit(" km from home, round trip about "),
+                                shown("h_km", "0"), F.lit(" km")),
                        F.concat(F.lit("activity: "), F.coalesce("n", F.lit(0)).cast("string"), F.lit(" rows, "),
                                 F.coalesce("n_dir", F.lit(0)).cast("string"), F.lit(" navigations, "),
                                 F.coalesce("n_search", F.lit(0)).cast("string"), F.lit(" searches, "),

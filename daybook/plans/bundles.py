@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from daybook.config import Cfg
 from daybook.functions.text import truncate_ellipsis
 from daybook.operators.topn import top_n, top_n_plus_other
-from daybook.plans import calendar, maps, spotify, youtube
+from daybook.plans import calendar, home, maps, spotify, unified, youtube
 
 
 def current_track_shaped(current: DataFrame) -> DataFrame:
@@ -42,6 +42,49 @@ def spotify_bundle(spark: SparkSession, cfg: Cfg) -> dict[str, DataFrame]:
             "current": current_track_shaped(spotify.gold_spotify_current_track(spark, cfg))}
 
 
+def spotify_summary_bundle(spark: SparkSession, cfg: Cfg, plays: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The short form of the music numbers: labelled counts as text in a fixed
+    order, and the hours. A warehouse without plays gives zeros."""
+    one = spotify.gold_spotify_kpis_summary(spark, cfg, plays)
+    text = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("string")
+    stats = one.select(F.posexplode(F.array(
+        F.struct(F.lit("Artists").alias("label"), text("artists").alias("value")),
+        F.struct(F.lit("Songs").alias("label"), text("songs").alias("value"))))).select("pos", "col.label", "col.value")
+    return {"stats": stats, "total_hours": one.select(F.coalesce("total_hours", F.lit("0 hrs")).alias("total_hours"))}
+
+
+def overview_bundle(spark: SparkSession, cfg: Cfg, models: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Numbers of the home page (counts as text, hours as numbers) and the last
+    30 days of data per source in ascending order, with their sum and mean.
+    ``models``: built models to read (``registry.build_all``, or what
+    ``run_daily`` wrote); without them both are built here."""
+    from daybook.plans.registry import MODELS
+    known = models or {}
+    get = lambda name: known[name] if name in known else MODELS[name](spark, cfg)
+    counts = ("songsStreamed", "artistsListened", "videosWatched", "youtubeChannels", "searchQueries", "citiesVisited")
+    summary = get("gold_home_overview_stats").select(
+        *[F.coalesce(F.col(c).cast("long"), F.lit(0)).cast("string").alias(c) for c in counts],
+        *[F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c) for c in ("spotifyHours", "youtubeHours")])
+    series = home.overview_series(spark, cfg, get("gold_home_daily_data_generation")).withColumnRenamed("google", "calendar")
+    totals = series.agg(F.coalesce(F.max("sum_total"), F.lit(0)).cast("long").cast("string").alias("totalEvents"),
+                        F.coalesce(F.max("avg_per_day"), F.lit(0)).cast("long").cast("string").alias("avgPerDay"))
+    return {"summary": summary, "daily": series.select("date", "spotify", "youtube", "calendar", "maps"), "totals": totals}
+
+
+def home_bundle(spark: SparkSession, cfg: Cfg, models: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Everything of the home page: the overview, the newest events of each
+    source, the live timeline and the track that plays."""
+    known = models or {}
+    uni = known["silver_events_unified"] if "silver_events_unified" in known else unified.silver_events_unified(spark, cfg)
+    given = {"gold_home_daily_data_generation": home.gold_home_daily_data_generation(spark, cfg, uni),
+             "gold_home_recent_events": home.gold_home_recent_events(spark, cfg, uni)} | known
+    current = given.get("gold_spotify_current_track")
+    return {**overview_bundle(spark, cfg, given),
+            **{f"recent_{k}": v for k, v in recent_by_source(given["gold_home_recent_events"]).items()},
+            "timeline": home.live_timeline(spark, cfg, uni),
+            "current": current_track_shaped(current if current is not None else spotify.gold_spotify_current_track(spark, cfg))}
+
+
 def youtube_bundle(spark: SparkSession, cfg: Cfg) -> dict[str, DataFrame]:
     w = youtube.silver_youtube_watches(spark, cfg)
     s = youtube.silver_youtube_searches(spark, cfg)

@@ -3,6 +3,8 @@ categories, grid, upcoming (§2.K)."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -144,16 +146,20 @@ def gold_calendar_upcoming_events(spark: SparkSession, cfg: Cfg, events=None) ->
                      F.col("duration_minutes").alias("durationMinutes"))
 
 
-def gap_kpis(spark: SparkSession, cfg: Cfg, events=None) -> DataFrame:
+def gap_kpis(spark: SparkSession, cfg: Cfg, events=None, by: Sequence[str] = ()) -> DataFrame:
     """Per day: longest unscheduled span between timed events and a
     fragmentation count (gaps between consecutive events) (WIN-09, an
     extension the design documents). A gap runs from the latest end so far to
-    the next start, so an event inside a longer one makes none. The window
-    holds one day of all calendars: free time is free of any of them."""
-    ev = _timed_past(spark, cfg, events)
-    w = Window.partitionBy("event_date").orderBy("started_at", "event_id")
+    the next start, so an event inside a longer one makes none. With
+    ``by=["calendar_id"]`` the spans are those of each calendar; without it a
+    day holds all calendars: free time is free of any of them. Events of the
+    same start are summed first, so the window holds the distinct starts of a
+    day, however many calendars share them."""
+    ev = _timed_past(spark, cfg, events).groupBy(*by, "event_date", "started_at").agg(
+        F.max("ended_at").alias("ended_at"), F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy(*by, "event_date").orderBy("started_at")
     busy = F.max("ended_at").over(w.rowsBetween(Window.unboundedPreceding, 0))
     g = ev.withColumn("__next", F.lead("started_at").over(w)).withColumn("__busy", busy).withColumn(
         "__gap", F.when(F.col("__next") > F.col("__busy"), minutes_between("__busy", "__next")))
-    return g.groupBy("event_date").agg(F.coalesce(F.max("__gap"), F.lit(0)).alias("longest_gap_minutes"),
-                                       F.count("__gap").alias("fragments"), F.count(F.lit(1)).alias("events"))
+    return g.groupBy(*by, "event_date").agg(F.coalesce(F.max("__gap"), F.lit(0)).alias("longest_gap_minutes"),
+                                            F.count("__gap").alias("fragments"), F.sum("__n").alias("events"))

@@ -107,6 +107,14 @@ def test_trips_evidence_verdicts_weather_and_build(spark, cfg, put_rows):
     rome_key = [k for k in ev if "Rome, Italy" in ev[k]["evidence"]][0]
     assert ev[rome_key]["n"] == 7 and ev[rome_key]["n_dir"] == 5      # home days inside the window count too
     assert "Flight to Rome" in ev[rome_key]["evidence"] and "Rome, Italy" in ev[rome_key]["evidence"]
+    lines = ev[rome_key]["evidence"].split("\n")
+    trip = {(r["started_at"], r["ended_at"]): r for r in t.collect()}[(ev[rome_key]["started_at"], ev[rome_key]["ended_at"])]
+    assert lines[1] == f"dates: {trip['started_at']} to {trip['ended_at']} ({trip['days']} days)"
+    assert lines[2] == "geometric guess: Rome, Italy"
+    assert lines[3] == f"distinct: {trip['localities']} localities, {trip['countries']} countries"
+    assert lines[4] == f"distances: at most {trip['max_km']} km from home, round trip about {trip['km']} km"
+    bare = trips.trip_evidence(spark, cfg, t.select("started_at", "ended_at"), e).filter(F.col("trip_key") == rome_key).first()
+    assert bare["n"] == 7 and "geometric guess: ?, ?" in bare["evidence"] and "  (none)" in bare["evidence"]
     v = spark.createDataFrame([(rome_key, "noise {\"is_trip\": true, \"confidence\": 1.7, \"trip_type\": \"Road Trip\","
                                           " \"title\": \"Rome\", \"suggested_split\": [\"a\", \"b\"]} tail", "m1")],
                               "trip_key string, raw string, model string").join(
@@ -132,6 +140,19 @@ def test_trips_evidence_verdicts_weather_and_build(spark, cfg, put_rows):
         df.limit(1).collect()
     b = bundles.travel_bundle(spark, cfg)
     assert {r["name"] for r in b["distribution"].collect()} >= {"directions"}
+    h = bundles.home_bundle(spark, cfg, models)
+    s = h["summary"].first()
+    assert s["songsStreamed"] == "0" and s["spotifyHours"] == 0.0 and s["citiesVisited"].isdigit()
+    daily = h["daily"].collect()
+    assert h["daily"].columns == ["date", "spotify", "youtube", "calendar", "maps"] and daily == sorted(daily)
+    total = sum(r["spotify"] + r["youtube"] + r["calendar"] + r["maps"] for r in daily)
+    assert total > 0 and h["totals"].first()["totalEvents"] == str(total)
+    assert h["recent_maps"].count() > 0 and h["timeline"].count() >= 0 and h["current"].first()["has_track"] is False
+    short = bundles.spotify_summary_bundle(spark, cfg)
+    assert [tuple(r) for r in short["stats"].orderBy("pos").collect()] == [(0, "Artists", "0"), (1, "Songs", "0")]
+    assert short["total_hours"].first()[0] == "0 hrs"
+    alone = bundles.overview_bundle(spark, cfg)
+    assert alone["summary"].first() == s and alone["daily"].collect() == daily
     cur = bundles.current_track_shaped(models["gold_spotify_current_track"]).collect()
     assert len(cur) == 1 and cur[0]["has_track"] is False
     assert read_raw(spark, cfg, "alerts").count() == 0

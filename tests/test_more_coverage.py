@@ -137,6 +137,14 @@ def test_gap_kpis_of_nested_events_and_lag_alerts(spark, cfg):
                                "event_id string, started_at timestamp, ended_at timestamp, event_date date, is_all_day int")
     g = gap_kpis(spark, cfg, ev).first()
     assert (g["longest_gap_minutes"], g["fragments"], g["events"]) == (60, 1, 3)
+    # many calendars of one hour, each with an own event: one start for all, and spans per calendar
+    many = ev.crossJoin(spark.range(200).select(F.col("id").alias("calendar_id"))).unionByName(
+        ev.limit(0).withColumn("calendar_id", F.lit(0).cast("long"))).filter("event_id <> 'b' OR calendar_id < 5")
+    both = gap_kpis(spark, cfg, many).first()
+    assert (both["longest_gap_minutes"], both["fragments"], both["events"]) == (60, 1, 405)
+    alone = gap_kpis(spark, cfg, many.filter("event_id <> 'a'"), ["calendar_id"])
+    assert {(r["calendar_id"] < 5, r["longest_gap_minutes"], r["fragments"], r["events"]) for r in alone.collect()} == \
+        {(True, 300, 1, 2), (False, 0, 0, 1)}
     lag = spark.createDataFrame([(at(1, m), 60 if 5 <= m <= 18 or 30 <= m <= 35 else 3) for m in range(60)],
                                 "sampled_at timestamp, lag int")
     assert [(r.raised_at, r.kind) for r in lag_alerts(lag).collect()] == [(at(1, 15), "stream_lag")]
