@@ -531,3 +531,83 @@ MODEL_ORACLE.update({
                CAST(country <> home_country OR (locality <> home_locality AND m > 50000) AS INTEGER) AS away
         FROM m""",
 })
+
+
+ENRICHED_ALL = f"""SELECT k.event_ts, k.activity_type, k.query,
+  CASE WHEN c.place_id IS NOT NULL THEN c.c_name ELSE k.place_name END AS place_name, k.place_id,
+  coalesce(c.primary_type, '') AS primary_type, CASE WHEN c.place_id IS NOT NULL THEN 'poi' ELSE '' END AS place_types,
+  coalesce(c.lat, k.lat) AS lat, coalesce(c.lng, k.lng) AS lng, '' AS neighborhood, '' AS sublocality,
+  coalesce(c.locality, '') AS locality, coalesce(c.country, '') AS country, '' AS country_code,
+  CAST(coalesce(c.match_confidence, 0.0) AS FLOAT) AS match_confidence, CASE WHEN c.place_id IS NOT NULL THEN 'poi' ELSE '' END AS match_type,
+  k.origin, k.destination, CAST(k.event_ts AS DATE) AS event_date, CAST(hour(k.event_ts) AS INTEGER) AS hour_of_day
+  FROM ({KEYED}) k LEFT JOIN ({CATALOG_FULL}) c ON c.place_id = k.geo_key"""
+GEO_DAILY = MODEL_ORACLE["model_silver_geo_daily"]
+#: away days in runs (a gap of over four days splits), one trip per run with a directions day
+TRIPS = f"""WITH g AS (SELECT * FROM ({GEO_DAILY}) WHERE away = 1),
+  r AS (SELECT *, sum(CASE WHEN prev IS NULL OR date_diff('day', prev, event_date) > 4 THEN 1 ELSE 0 END)
+                  OVER (ORDER BY event_date ROWS UNBOUNDED PRECEDING) AS run_id
+        FROM (SELECT *, lag(event_date) OVER (ORDER BY event_date) AS prev FROM g)),
+  a AS (SELECT run_id, min(event_date) AS started_at, max(event_date) AS ended_at, sum(directions_count) AS dirs,
+               count(DISTINCT nullif(locality, '')) AS localities, count(DISTINCT nullif(country, '')) AS countries,
+               CAST(floor(max(km_from_home)) AS BIGINT) AS max_km FROM r GROUP BY 1),
+  md AS (SELECT run_id, locality AS destination FROM r GROUP BY 1, 2
+         QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY count(*) DESC, min(event_date), locality) = 1),
+  dc AS (SELECT r.run_id, arg_min(country, event_date) AS country FROM r JOIN md ON md.run_id = r.run_id AND destination = locality GROUP BY 1),
+  pts AS (SELECT *, lag(lat) OVER w AS plat, lag(lng) OVER w AS plng, lead(lat) OVER w AS nlat
+          FROM r WHERE lat <> 0 AND lng <> 0 WINDOW w AS (PARTITION BY run_id ORDER BY event_date)),
+  km AS (SELECT run_id, sum(CASE WHEN plat IS NULL THEN {_hav_m('home_lat', 'home_lng', 'lat', 'lng')}
+                                 ELSE {_hav_m('plat', 'plng', 'lat', 'lng')} END
+                            + CASE WHEN nlat IS NULL THEN {_hav_m('lat', 'lng', 'home_lat', 'home_lng')} ELSE 0 END) / 1000 AS km
+         FROM pts GROUP BY 1)
+  SELECT started_at, ended_at, date_diff('day', started_at, ended_at) + 1 AS days, destination, coalesce(country, '') AS country,
+         CAST(floor(coalesce(km, 0)) AS BIGINT) AS km, localities, countries, max_km
+  FROM a JOIN md USING (run_id) LEFT JOIN dc USING (run_id) LEFT JOIN km USING (run_id) WHERE dirs > 0 AND destination <> ''"""
+
+MODEL_ORACLE.update({
+    "model_silver_maps_activity_enriched": f"""
+        SELECT *, CAST(EXISTS (SELECT 1 FROM ({PRIVATE}) p WHERE e.lat <> 0 AND e.lng <> 0
+          AND {_hav_m('e.lat', 'e.lng', 'p.lat', 'p.lng')} <= p.radius_m) AS INTEGER) AS is_private FROM ({ENRICHED_ALL}) e""",
+    "model_gold_maps_trips": f"""
+        SELECT CAST(started_at AS VARCHAR) AS start, CAST(ended_at AS VARCHAR) AS "end", destination, destination AS title, '' AS trip_type,
+               country, '' AS summary, CAST(0 AS FLOAT) AS confidence, CAST(days AS INTEGER) AS days, km,
+               CAST(localities AS INTEGER) AS localities, CAST(countries AS INTEGER) AS countries, max_km,
+               CAST(NULL AS DOUBLE) AS temp_mean, CAST(NULL AS DOUBLE) AS precip_mm, '' AS weather,
+               CAST(started_at AS VARCHAR) || '_' || CAST(ended_at AS VARCHAR) AS trip_key FROM ({TRIPS})""",
+    "model_gold_maps_kpis_dashboard": f"""
+        WITH a AS (SELECT * FROM ({PUBLIC_FULL}) WHERE event_date >= DATE '2024-01-01'),
+        k AS (SELECT count(*) AS n, count(*) FILTER (WHERE activity_type = 'directions') AS d,
+                     count(*) FILTER (WHERE activity_type = 'search') AS s, count(*) FILTER (WHERE activity_type = 'view_place') AS v,
+                     count(DISTINCT event_date) AS days, count(DISTINCT nullif(place_name, '')) AS places,
+                     count(DISTINCT nullif(locality, '')) FILTER (WHERE activity_type = 'directions') AS cities,
+                     count(DISTINCT nullif(country, '')) FILTER (WHERE activity_type = 'directions') AS countries,
+                     min(event_date) AS lo, max(event_date) AS hi FROM a),
+        t AS (SELECT * FROM ({TRIPS})), recent AS (SELECT * FROM t WHERE started_at >= DATE '2024-01-01'),
+        tk AS (SELECT CAST(coalesce(sum(days), 0) AS BIGINT) AS away, coalesce(max(days), 0) AS longest, CAST(coalesce(sum(km), 0) AS INTEGER) AS km
+               FROM recent),
+        np AS (SELECT count(*) AS new FROM (SELECT destination FROM t GROUP BY 1 HAVING min(year(started_at)) = 2024))
+        SELECT n AS total_activities, d AS total_directions, s AS total_searches, v AS total_explorations, v AS total_likely_visits,
+               days AS days_with_activity, places AS unique_destinations, cities AS cities_visited, countries AS countries_visited,
+               CAST(coalesce(lo, DATE '1970-01-01') AS VARCHAR) AS first_activity, CAST(coalesce(hi, DATE '1970-01-01') AS VARCHAR) AS last_activity,
+               CAST(coalesce(date_diff('day', lo, hi), 0) AS INTEGER) AS days_tracked, {_ratio('n', 'days', 1)} AS avg_activities_per_day,
+               {_ratio('d', 'n', 1, 100)} AS directions_pct, {_ratio('s', 'n', 1, 100)} AS search_pct, {_ratio('v', 'n', 1, 100)} AS explore_pct,
+               away AS days_away_from_home, longest AS longest_trip_days, km AS kilometers_traveled, new AS new_places_this_year,
+               coalesce((SELECT home_locality FROM ({HOME_BASE})), '') AS home_locality,
+               coalesce((SELECT home_country FROM ({HOME_BASE})), '') AS home_country
+        FROM k, tk, np""",
+    "model_gold_maps_locations_dashboard": f"""
+        SELECT name, lat, lng, {_readable('(n * 60)')} AS duration, 'aggregated' AS dwell_time_category,
+               CAST(0 AS DOUBLE) AS distance_to_next_km
+        FROM (SELECT {_label()} AS name, {_mean('lat')} AS lat, {_mean('lng')} AS lng, count(*) AS n,
+                     count(*) FILTER (WHERE activity_type = 'directions') AS d
+              FROM ({PUBLIC_FULL}) WHERE event_date >= DATE '2024-01-01' AND lat <> 0 AND lng <> 0 AND match_confidence >= CAST(0.4 AS FLOAT)
+                AND country IN (SELECT home_country FROM ({HOME_BASE}) UNION SELECT country FROM ({TRIPS}) WHERE country <> '')
+              GROUP BY 1 HAVING d > 0 ORDER BY d DESC, n DESC, name LIMIT 500)""",
+    "model_gold_spotify_top_artists": f"""
+        WITH p AS (SELECT *, date_diff('day', DATE '2024-01-01', CAST(played_at AS DATE)) // 7 AS w FROM ({MERGED_G})
+                   WHERE primary_artist_id <> '' AND played_at >= TIMESTAMP '2024-01-01 00:00:00'),
+        a AS (SELECT primary_artist_id AS id, arg_max(primary_artist_name, (played_at, primary_artist_name)) AS name,
+                     arg_max(genres, (played_at, genres)) AS genres, count(*) AS plays, sum(duration_ms) AS ms,
+                     {" || ',' || ".join(f"count(*) FILTER (WHERE w = {w})" for w in range(5))} AS trend FROM p GROUP BY 1),
+        t AS (SELECT *, row_number() OVER (ORDER BY plays DESC, name, id) AS rank FROM a)
+        SELECT rank, name, plays, {_ratio('ms', '3600000', 1)} AS hours, coalesce(genres[1], '') AS genre, trend FROM t WHERE rank <= 15""",
+})
