@@ -179,7 +179,8 @@ def pack(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2,
     places = Places(solve(histogram, capacity))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = sizes.select("length", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    ranked = pieces.join(base, ["length", "part"]).withColumn("rank", F.col("base") + F.col("place"))
+    # a task holds its share of the counts (at most ``capacity`` for each task of the first stage); pieces aren't sorted
+    ranked = pieces.join(base.hint("shuffle_hash"), ["length", "part"]).withColumn("rank", F.col("base") + F.col("place"))
     return ranked.select("id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(
         lambda it: _assign(places, it),
         "id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
