@@ -78,6 +78,22 @@ def test_within_radius_grid_matches_brute_force(spark):
     assert empty.agg(F.sum("is_private")).first()[0] == 0
 
 
+def test_within_radius_cells_are_not_collected_by_the_driver(spark, tmp_path):
+    """Copies of places by cell grow beyond what Spark expects of the table, so
+    they meet the positions in a shuffle, whatever the size it expects."""
+    spark.createDataFrame([(float(i % 80), float(i % 170), 300) for i in range(50)],
+                          "lat double, lng double, radius_m int").write.parquet(f"{tmp_path}/places")
+    P = spark.read.parquet(f"{tmp_path}/places")  # files, whose size Spark knows
+    Q = spark.createDataFrame([(i, float(i % 90), float(i % 170)) for i in range(200)], "id int, lat double, lng double")
+    out = within_radius_flag(Q, P, "lat", "lng")
+    got = {r["id"] for r in out.filter("is_private = 1").collect()}
+    near = {(i % 80, i % 170) for i in range(50)}
+    assert got == {i for i in range(200) if (i % 90, i % 170) in near and (i % 90, i % 170) != (0, 0)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan
+    assert not [x for x in plan.splitlines() if "Broadcast" in x and "LeftSemi" in x]
+
+
 def test_islands_and_mode(spark):
     days = [D0 + dt.timedelta(days=d) for d in (0, 1, 4, 9, 10, 14)]   # gaps: 3 (same), 5 (split), 4 (same)
     df = spark.createDataFrame([("u", d, loc) for d, loc in zip(days, ["A", "B", "B", "C", "C", "A"])],
