@@ -14,7 +14,7 @@ def worklist(requested: DataFrame, catalog: DataFrame, key: str, cap: int | None
     unlike ``NOT IN`` is NULL-safe); with ``cap`` (a caller's lookup budget)
     the first by key, the next run takes the rest."""
     todo = (requested.select(key).filter(F.col(key).isNotNull() & (F.col(key).cast("string") != ""))
-            .distinct().join(catalog.select(key), key, "left_anti"))
+            .distinct().join(catalog.select(key).hint("merge"), key, "left_anti"))
     return todo.orderBy(key).limit(cap) if cap else todo
 
 

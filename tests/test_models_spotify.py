@@ -94,3 +94,15 @@ def test_current_track(spark, cfg, put_rows):
         {"captured_at": AS_OF - dt.timedelta(minutes=1), "track_id": "new", "artists_ids": ["a9"], "artists_names": ["N"]}])
     r = spotify.gold_spotify_current_track(spark, cfg).first()
     assert r["track_id"] == "new" and r["artist_uri"] == "spotify:artist:a9" and r["artist_name"] == "N"
+
+
+def test_catalogs_are_shuffled_not_collected_by_the_driver(spark, cfg, put_rows):
+    """A catalog's files are much smaller than its rows in the driver's memory."""
+    put_rows(cfg, "spotify_plays_raw", [{"played_at": dt.datetime(2025, 6, 1, 10), "track_id": "t1", "artists_ids": ["a1"]}])
+    put_rows(cfg, "spotify_tracks", [{"track_id": "t1", "track_name": "One", "duration_ms": 1000}])
+    put_rows(cfg, "spotify_artists", [{"artist_id": "a1", "artist_name": "A"}])
+    put_rows(cfg, "spotify_saved_tracks", [{"added_at": dt.datetime(2025, 6, 1, 10), "track_id": "t1"}])
+    plays = spotify.silver_spotify_plays(spark, cfg)
+    assert [(r.track_name, r.primary_artist_name) for r in plays.collect()] == [("One", "A")]
+    for df in (plays, spotify.silver_spotify_saved(spark, cfg)):
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
