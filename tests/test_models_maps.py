@@ -117,3 +117,17 @@ def test_home_geo_daily_trips_and_gold(spark, cfg, put_rows):
     assert maps.gold_maps_recent_activities(spark, cfg).count() == 10
     locs = {r["name"] for r in maps.gold_maps_locations_dashboard(spark, cfg).collect()}
     assert "Paris" in locs and "Milan" in locs
+
+
+def test_daily_series_from_written_sums(spark, cfg, put_rows):
+    """The trip job writes the sums per day and place; series and home follow
+    from them as from the activity itself."""
+    _catalog(cfg, put_rows)
+    _activity(cfg, put_rows)
+    days = maps.place_days(spark, cfg).localCheckpoint()
+    got = maps.silver_geo_daily(spark, cfg, days=days)
+    want = maps.silver_geo_daily(spark, cfg)
+    assert got.collect() == want.collect() and got.count() > 0
+    home = maps.silver_home_base(spark, cfg).first()
+    assert {tuple(r) for r in got.select(*home.asDict()).distinct().collect()} == {tuple(home)}
+    assert "Parquet" not in got._jdf.queryExecution().executedPlan().toString()

@@ -169,3 +169,16 @@ def test_within_radius_of_crowded_cells(spark):
     got = {r["id"]: r["is_private"] for r in within_radius_flag(Q, P, "lat", "lng").collect()}
     want = {i: int(any(_hav_m(la, lo, a, b) <= r for a, b, r in places)) for i, la, lo in pts}
     assert got == want and 0 < sum(want.values()) < len(want)
+
+
+def test_attached_row_is_in_the_plan_once(spark):
+    """Nested rows would double the driver's plan at each level."""
+    from daybook.operators.merge import attach_scalar
+    df = spark.range(3).withColumn("g", F.col("id") % 2)
+    inner = attach_scalar(df.agg(F.max("id").alias("m")), df.agg(F.min("id").alias("n")))
+    out = attach_scalar(df, inner.withColumn("none", F.lit(None).cast("string")))
+    assert sorted(map(tuple, out.collect())) == [(0, 0, 2, 0, None), (1, 1, 2, 0, None), (2, 0, 2, 0, None)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("scalar-subquery#") == 2
+    assert attach_scalar(df, df.filter("id > 5").select("id").withColumnRenamed("id", "no").limit(1)).count() == 0
+    nothing = attach_scalar(df, df.agg(F.max(F.when(F.col("id") > 5, F.col("id"))).alias("top")))
+    assert [r.top for r in nothing.collect()] == [None, None, None]
